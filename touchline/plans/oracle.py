@@ -300,3 +300,85 @@ FROM league_summary""", "silver", "league_summary"),
     "league_table_ranked": with_ctes("SELECT * FROM ranked", *_GOLD, "ranked"),
     "champions": with_ctes("SELECT * FROM ranked WHERE league_position = 1", *_GOLD, "ranked"),
 }
+
+
+# --- column functions, provenance, drift, landing ------------------------------
+
+_LEAGUE_RE = r"([^/\\]+)[/\\][^/\\]+\.csv$"
+_SEASON_RE = r"([^/\\]+)\.csv$"
+# The league dictionary, as a lookup for the oracle side.
+_LEAGUES = (("E0", "england_premier_league"), ("E1", "england_championship"), ("SP1", "spain_la_liga"),
+            ("SP2", "spain_segunda_division"), ("I1", "italy_serie_a"), ("I2", "italy_serie_b"),
+            ("F1", "france_ligue_1"), ("F2", "france_ligue_2"), ("D1", "germany_bundesliga_1"),
+            ("D2", "germany_bundesliga_2"), ("N1", "netherlands_eredivisie"), ("P1", "portugal_primeira_liga"))
+_LEAGUE_VALUES = ", ".join(f"('{c}', '{n}')" for c, n in _LEAGUES)
+
+
+def code_of(name_expr: str) -> str:
+    return "CASE " + " ".join(f"WHEN {name_expr} = '{n}' THEN '{c}'" for c, n in _LEAGUES) + " END"
+
+
+def season_code_sql(y: str) -> str:
+    return f"lpad(CAST(({y}) % 100 AS VARCHAR), 2, '0') || lpad(CAST(({y} + 1) % 100 AS VARCHAR), 2, '0')"
+
+
+_LEAGUE_OF = f"regexp_extract(source_file, '{_LEAGUE_RE}', 1)"
+_SEASON_OF = f"regexp_extract(source_file, '{_SEASON_RE}', 1)"
+_CALENDAR = (f"SELECT CAST(y AS INT) AS season_start_year, {season_code_sql('y')} AS season FROM "
+             f"(SELECT unnest(generate_series(min(sy), max(sy))) AS y FROM (SELECT {start_year_expr('season')} AS sy FROM raw))")
+_MANIFEST = (f"SELECT l.code AS league_code, l.name AS league_name, c.season AS season, "
+             f"'file:///landing/_runs/run0/' || l.name || '/' || c.season || '.csv' AS path "
+             f"FROM (VALUES {_LEAGUE_VALUES}) l(code, name) CROSS JOIN calendar c")
+_LANDING = (
+    "SELECT m.league_code, m.league_name, m.season, m.path, f.league_name IS NOT NULL AS success, "
+    "CASE WHEN f.league_name IS NOT NULL THEN 'landed ' || m.league_code || ' season ' || m.season "
+    "ELSE 'no data for ' || m.league_code || ' season ' || m.season END AS message "
+    f"FROM manifest m LEFT JOIN (SELECT DISTINCT {_LEAGUE_OF} AS league_name, {_SEASON_OF} AS season FROM raw) f "
+    "ON m.league_name = f.league_name AND m.season = f.season"
+)
+_NARROW = ('ingestion_run_id, source_file, league_name, "Div", "Date", "HomeTeam", "AwayTeam", "FTHG", "FTAG", '
+           '"FTR", league_code, season')
+
+
+def with_stages(final: str, **stages: str) -> str:
+    """``WITH raw AS (F6), <given stages> <final>``."""
+    parts = [f"raw AS (\n{RAW_SQL}\n)"] + [f"{n} AS (\n{sql}\n)" for n, sql in stages.items()]
+    return "WITH " + ",\n".join(parts) + "\n" + final
+
+
+ORACLE.update({
+    "match_dates": with_ctes(f'SELECT "Date" AS date_text, {date_expr(chr(34) + "Date" + chr(34))} AS match_date FROM raw'),
+    "lenient_int": with_ctes(
+        'SELECT "FTHG" AS fthg_text, try_cast("FTHG" AS INT) AS fthg_int, "HTAG" AS htag_text, '
+        'try_cast("HTAG" AS INT) AS htag_int, "HS" AS hs_text, try_cast("HS" AS INT) AS hs_int FROM raw'),
+    "null_defaults": with_ctes(
+        "SELECT full_time_result, count(*) AS matches, CAST(sum(full_time_home_goals) AS BIGINT) AS home_goals, "
+        "CAST(count_if(full_time_home_goals = 0) AS BIGINT) AS home_zero_goals FROM silver GROUP BY full_time_result",
+        "silver"),
+    "season_start_year": with_ctes(
+        f"SELECT season, {start_year_expr('season')} AS season_start_year, count(*) AS matches FROM raw GROUP BY season"),
+    "required_keys": with_ctes(
+        "SELECT league_code, season, reason AS reject_reason, count(*) AS matches FROM ("
+        "SELECT league_code, season, CASE WHEN \"HomeTeam\" IS NULL THEN 'missing home_team' "
+        "WHEN \"AwayTeam\" IS NULL THEN 'missing away_team' WHEN league_code IS NULL THEN 'unknown league' "
+        "WHEN season IS NULL THEN 'missing season' END AS reason FROM raw) t "
+        "WHERE reason IS NOT NULL GROUP BY league_code, season, reason"),
+    "path_provenance": with_ctes(
+        f"SELECT source_file, 'run0' AS ingestion_run_id, {_LEAGUE_OF} AS league_name, "
+        f"{code_of(_LEAGUE_OF)} AS league_code, {_SEASON_OF} AS season FROM raw"),
+    "league_code_lookup": with_ctes(
+        f"SELECT league_name, {code_of('league_name')} AS league_code, count(*) AS matches "
+        f"FROM (SELECT {_LEAGUE_OF} AS league_name FROM raw) t GROUP BY league_name"),
+    "schema_drift_union": with_stages(
+        "SELECT * FROM silver",
+        drift=(f"SELECT {_NARROW} FROM raw WHERE {start_year_expr('season')} < 1996\n"
+               f"UNION ALL BY NAME\nSELECT * FROM raw WHERE NOT ({start_year_expr('season')} < 1996)"),
+        silver=silver_select("drift")),
+    "season_calendar": with_stages("SELECT * FROM calendar", calendar=_CALENDAR),
+    "ingest_manifest": with_stages("SELECT * FROM manifest", calendar=_CALENDAR, manifest=_MANIFEST),
+    "landing_results": with_stages("SELECT * FROM landing", calendar=_CALENDAR, manifest=_MANIFEST, landing=_LANDING),
+    "ingest_summary": with_stages(
+        "SELECT CAST(count_if(success) AS BIGINT) AS successes, count(*) AS total FROM landing",
+        calendar=_CALENDAR, manifest=_MANIFEST, landing=_LANDING),
+    "league_list_parse": with_ctes('SELECT DISTINCT season, "Div" AS league_code, league_name FROM raw'),
+})

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import gold, silver, views
 from ..sources.lineitem_matches import load_raw_matches
@@ -87,3 +88,129 @@ def q_league_table_ranked(spark, sf_dir):
 @query("champions")
 def q_champions(spark, sf_dir):
     return views.champions(_team_table(spark, sf_dir))
+
+
+# --- column functions (C5-C8, Q1) ---------------------------------------------
+
+@query("match_dates")
+def q_match_dates(spark, sf_dir):
+    from ..functions.parsing import match_date
+    return load_raw_matches(spark, sf_dir).select(F.col("Date").alias("date_text"), match_date("Date").alias("match_date"))
+
+
+@query("lenient_int")
+def q_lenient_int(spark, sf_dir):
+    from ..functions.parsing import lenient_int
+    raw = load_raw_matches(spark, sf_dir)
+    return raw.select(*[x for c in ("FTHG", "HTAG", "HS") for x in
+                        (F.col(f"`{c}`").alias(f"{c.lower()}_text"), lenient_int(F.col(f"`{c}`")).alias(f"{c.lower()}_int"))])
+
+
+@query("null_defaults")
+def q_null_defaults(spark, sf_dir):
+    return _silver(spark, sf_dir).groupBy("full_time_result").agg(
+        F.count(F.lit(1)).alias("matches"),
+        F.sum("full_time_home_goals").alias("home_goals"),
+        F.count_if(F.col("full_time_home_goals") == 0).alias("home_zero_goals"))
+
+
+@query("season_start_year")
+def q_season_start_year(spark, sf_dir):
+    from ..functions.parsing import season_start_year
+    raw = load_raw_matches(spark, sf_dir)
+    return raw.groupBy("season").agg(F.count(F.lit(1)).alias("matches")).select(
+        "season", season_start_year("season").alias("season_start_year"), "matches")
+
+
+@query("required_keys")
+def q_required_keys(spark, sf_dir):
+    rejected = silver.rejected_matches(load_raw_matches(spark, sf_dir))
+    return rejected.groupBy("league_code", "season", "reject_reason").agg(F.count(F.lit(1)).alias("matches"))
+
+
+# --- provenance (C1-C4, P1, P9) ------------------------------------------------
+
+@query("path_provenance")
+def q_path_provenance(spark, sf_dir):
+    from ..sources.bronze import provenance
+    raw = load_raw_matches(spark, sf_dir)
+    return raw.select(*provenance(F.col("source_file"), "run0"))
+
+
+@query("league_code_lookup")
+def q_league_code_lookup(spark, sf_dir):
+    from ..params import league_code_map
+    from ..sources.landing import league_name_from_path
+    raw = load_raw_matches(spark, sf_dir)
+    names = raw.select(league_name_from_path(F.col("source_file")).alias("league_name"))
+    return names.groupBy("league_name").agg(F.count(F.lit(1)).alias("matches")).select(
+        "league_name", F.element_at(league_code_map(), F.col("league_name")).alias("league_code"), "matches")
+
+
+# --- header drift (S6, P3) ---------------------------------------------------
+
+NARROW_HEADER = ("ingestion_run_id", "source_file", "league_name", "Div", "Date", "HomeTeam", "AwayTeam",
+                 "FTHG", "FTAG", "FTR", "league_code", "season")
+NARROW_BEFORE = 1996
+
+
+@query("schema_drift_union")
+def q_schema_drift_union(spark, sf_dir):
+    """Old seasons land with a narrow header (no half-time, shots, cards);
+    both layouts are united by name and typed; missing stats become NULL."""
+    from ..functions.parsing import season_start_year
+    raw = load_raw_matches(spark, sf_dir)
+    old = season_start_year("season") < NARROW_BEFORE
+    narrow = raw.where(old).select(*[F.col(f"`{c}`") for c in NARROW_HEADER])
+    wide = raw.where(~old)
+    return silver.silver_matches(narrow.unionByName(wide, allowMissingColumns=True))
+
+
+# --- landing (S1-S5, S9) -----------------------------------------------------
+
+LANDING_RUN = "file:///landing/_runs/run0"
+
+
+def _manifest_from_data(spark, raw):
+    from ..functions.parsing import season_start_year
+    from ..params import league_dimension
+    from ..sources import landing
+    years = raw.select(season_start_year("season").alias("y"))
+    return landing.ingest_manifest(league_dimension(spark), years.select(F.min("y")).scalar(),
+                                   years.select(F.max("y")).scalar(), LANDING_RUN)
+
+
+@query("season_calendar")
+def q_season_calendar(spark, sf_dir):
+    from ..sources import landing
+    return landing.observed_calendar(load_raw_matches(spark, sf_dir))
+
+
+@query("ingest_manifest")
+def q_ingest_manifest(spark, sf_dir):
+    return _manifest_from_data(spark, load_raw_matches(spark, sf_dir))
+
+
+@query("landing_results")
+def q_landing_results(spark, sf_dir):
+    """Manifest checked against the files the bronze rows came from."""
+    from ..sources import landing
+    raw = load_raw_matches(spark, sf_dir)
+    files = raw.select(F.col("source_file").alias("file_path")).distinct()
+    return landing.landing_results(_manifest_from_data(spark, raw), files)
+
+
+@query("ingest_summary")
+def q_ingest_summary(spark, sf_dir):
+    from ..sources import landing
+    return landing.ingest_summary(q_landing_results(spark, sf_dir))
+
+
+@query("league_list_parse")
+def q_league_list_parse(spark, sf_dir):
+    """Per season, the ``code=name`` list of leagues seen, as text, parsed back."""
+    from ..params import parse_league_list
+    raw = load_raw_matches(spark, sf_dir)
+    texts = raw.groupBy("season").agg(
+        F.concat_ws(" , ", F.sort_array(F.collect_set(F.concat(F.col("Div"), F.lit(" = "), F.col("league_name"))))).alias("league_list"))
+    return parse_league_list(texts, "league_list").drop("position")
