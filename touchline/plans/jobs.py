@@ -121,12 +121,12 @@ def run_all(spark: SparkSession, params: RunParams, run_id: str | None = None, *
     return report
 
 
-def landing_from_rows(raw: DataFrame, run_root: str) -> str:
+def landing_from_rows(raw: DataFrame, run_root: str, mode: str = "overwrite") -> str:
     """Write raw match rows as landed CSV files (header, one folder per league
     and season, Spark's partitioned layout). Used to feed the landing and
     bronze steps from data derived from the driver's tables."""
     data_cols = [c for c in raw.columns if c not in ("ingestion_run_id", "source_file", "league_code")]
     (raw.select(*[F.col(f"`{c}`") for c in data_cols])
      .hint("rebalance", "league_name", "season")
-     .write.mode("overwrite").option("header", True).partitionBy("league_name", "season").csv(run_root))
+     .write.mode(mode).option("header", True).partitionBy("league_name", "season").csv(run_root))
     return run_root

@@ -382,3 +382,25 @@ ORACLE.update({
         calendar=_CALENDAR, manifest=_MANIFEST, landing=_LANDING),
     "league_list_parse": with_ctes('SELECT DISTINCT season, "Div" AS league_code, league_name FROM raw'),
 })
+
+
+# --- write/read back, catalog, landed CSV, model --------------------------------
+# Writing a layer and reading it back (directly, through the catalog, or from
+# landed CSV files) must not change a value, so these compare with the direct
+# computation over the same tables.
+
+_FEATURES = ("full_time_home_goals, full_time_away_goals, half_time_home_goals, half_time_away_goals, "
+             "home_shots, away_shots")
+
+ORACLE.update({
+    "partition_roundtrip": ORACLE["silver_matches"],
+    "pruned_read": with_ctes("SELECT * FROM silver WHERE league_code = 'E0'", "silver"),
+    "catalog_tables": ORACLE["silver_matches"],
+    "catalog_views": ORACLE["league_table_ranked"],
+    "landing_check": ORACLE["landing_results"],
+    "landing_to_silver": ORACLE["schema_drift_union"],
+    "match_features": with_ctes(
+        f"SELECT {_FEATURES}, CASE full_time_result WHEN 'D' THEN 0 WHEN 'H' THEN 1 WHEN 'A' THEN 2 END AS label "
+        "FROM silver WHERE season_start_year >= 1998 AND full_time_result IN ('D', 'H', 'A') AND "
+        + " AND ".join(f"{c.strip()} IS NOT NULL" for c in _FEATURES.split(",")), "silver"),
+})

@@ -214,3 +214,119 @@ def q_league_list_parse(spark, sf_dir):
     texts = raw.groupBy("season").agg(
         F.concat_ws(" , ", F.sort_array(F.collect_set(F.concat(F.col("Div"), F.lit(" = "), F.col("league_name"))))).alias("league_list"))
     return parse_league_list(texts, "league_list").drop("position")
+
+
+# --- layer I/O and catalog (S7, S8, S10, S11) ---------------------------------
+
+def _written_silver(spark, sf_dir) -> str:
+    from ..session import scratch_path
+    from ..sources.layers import write_layer
+    return write_layer(_silver(spark, sf_dir), scratch_path(spark, "silver"))
+
+
+@query("partition_roundtrip")
+def q_partition_roundtrip(spark, sf_dir):
+    """Silver written as partitioned Parquet and read back with its schema."""
+    from .. import schemas
+    from ..sources.layers import read_layer
+    return read_layer(spark, _written_silver(spark, sf_dir), schemas.SILVER)
+
+
+@query("pruned_read")
+def q_pruned_read(spark, sf_dir):
+    """One league read back: the filter prunes partition folders."""
+    from .. import schemas
+    from ..sources.layers import read_layer
+    return read_layer(spark, _written_silver(spark, sf_dir), schemas.SILVER).where(F.col("league_code") == "E0")
+
+
+def _lake_from(spark, sf_dir) -> tuple[str, str]:
+    """A lake with silver and gold written from the driver's tables; its
+    tables registered under a fresh database prefix."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.layers import layer_path, read_table, write_layer
+    from .catalog import register_lake
+    root = scratch_path(spark, "lake")
+    write_layer(_silver(spark, sf_dir), layer_path(root, "silver.matches"))
+    matches = read_table(spark, root, "silver.matches")
+    write_layer(gold.team_season_table(matches), layer_path(root, "gold.team_season_table"))
+    write_layer(gold.league_season_summary(matches), layer_path(root, "gold.league_season_summary"))
+    prefix = f"tl{uuid.uuid4().hex[:8]}_"
+    register_lake(spark, root, prefix, ("silver.matches", "gold.team_season_table", "gold.league_season_summary"))
+    return root, prefix
+
+
+@query("catalog_tables")
+def q_catalog_tables(spark, sf_dir):
+    """External silver table over existing partition folders, after repair."""
+    from .catalog import qualified
+    _, prefix = _lake_from(spark, sf_dir)
+    return spark.table(qualified("silver.matches", prefix))
+
+
+@query("catalog_views")
+def q_catalog_views(spark, sf_dir):
+    """The ranked SQL view over the catalog's gold table (Spark's SQL path)."""
+    from .catalog import qualified
+    _, prefix = _lake_from(spark, sf_dir)
+    return spark.sql(f"SELECT * FROM {qualified(views.TEAM_SEASON_RANKED.name, prefix)}")
+
+
+# --- landed CSV -> bronze -> silver (S3, S6, P1, J1, J2) ----------------------
+
+def _landed_run(spark, sf_dir) -> tuple[str, str]:
+    """Raw rows written as landed CSV files with two header layouts: old
+    seasons narrow, newer ones with every column and ``Date`` moved after the
+    teams (a column inserted mid-header for the older layout)."""
+    from ..functions.parsing import season_start_year
+    from ..session import scratch_path
+    from .jobs import landing_from_rows
+    raw = load_raw_matches(spark, sf_dir)
+    old = season_start_year("season") < NARROW_BEFORE
+    run_root = scratch_path(spark, "landing") + "/_runs/run0"
+    landing_from_rows(raw.where(old).select(*[F.col(f"`{c}`") for c in NARROW_HEADER]), run_root, "overwrite")
+    moved = [c for c in raw.columns if c != "Date"]
+    moved.insert(moved.index("AwayTeam") + 1, "Date")
+    landing_from_rows(raw.where(~old).select(*[F.col(f"`{c}`") for c in moved]), run_root, "append")
+    return run_root, "run0"
+
+
+@query("landing_check")
+def q_landing_check(spark, sf_dir):
+    """Manifest checked against the files that actually landed."""
+    from ..sources import landing
+    run_root, _ = _landed_run(spark, sf_dir)
+    raw = load_raw_matches(spark, sf_dir)
+    return landing.landing_results(_manifest_from_data(spark, raw), landing.landed_headers(spark, run_root))
+
+
+@query("landing_to_silver")
+def q_landing_to_silver(spark, sf_dir):
+    """Landed CSV (two header layouts) -> bronze -> silver."""
+    from ..sources.bronze import bronze_from_landing
+    run_root, run_id = _landed_run(spark, sf_dir)
+    return silver.silver_matches(bronze_from_landing(spark, run_root, run_id))
+
+
+# --- model (M1-M5) -------------------------------------------------------------
+
+# The test data's seasons start 1994-2001; the bound keeps the later half.
+FEATURE_MIN_START_YEAR = 1998
+
+
+@query("match_features")
+def q_match_features(spark, sf_dir):
+    from ..operators import model
+    return model.match_features(_silver(spark, sf_dir), FEATURE_MIN_START_YEAR)
+
+
+@query("outcome_model")
+def q_outcome_model(spark, sf_dir):
+    """Forest trained on 80 % of the features; held-out predictions."""
+    from ..operators import model
+    from ..session import scratch_path
+    features = model.match_features(_silver(spark, sf_dir), FEATURE_MIN_START_YEAR)
+    trained, predictions = model.train_outcome_model(features, save_to=scratch_path(spark, "model"))
+    return predictions.select(*model.FEATURES, "label", "prediction",
+                              F.lit(trained.accuracy).alias("test_accuracy"))
