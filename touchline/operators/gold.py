@@ -2,8 +2,8 @@
 
 Plans (checked with ``explain``):
 
-* team table: silver -> two projections (home side, away side) -> union ->
-  partial HashAggregate -> ONE Exchange on (league_code, season, team) ->
+* team table: silver -> one projection -> Generate (inline of a home and an
+  away struct per match) -> partial HashAggregate -> ONE Exchange on (league_code, season, team) ->
   final HashAggregate -> one Project with all 45 derived metrics.
 * league summary: silver -> partial HashAggregate -> Exchange on
   (league_code, season) -> final HashAggregate -> Project.
@@ -34,8 +34,8 @@ _FOR_AGAINST_STATS = ("shots", "shots_on_target", "corners", "fouls")
 _OWN_STATS = ("yellow_cards", "red_cards")
 
 
-def _side_rows(silver: DataFrame, own: str) -> DataFrame:
-    """One row per match seen from ``own`` ("home" or "away")."""
+def _side_columns(own: str) -> list[Column]:
+    """A match seen from ``own`` ("home" or "away"): the team-row columns."""
     opp, win, loss = _SIDES[own]
     c = F.col
     result = c("full_time_result")
@@ -47,8 +47,7 @@ def _side_rows(silver: DataFrame, own: str) -> DataFrame:
     for stem in _FOR_AGAINST_STATS:
         stats += [c(f"{own}_{stem}").alias(f"{stem}_for"), c(f"{opp}_{stem}").alias(f"{stem}_against")]
     stats += [c(f"{own}_{stem}").alias(stem) for stem in _OWN_STATS]
-    return silver.select(
-        "league_code", "season",
+    return [
         c(f"{own}_team").alias("team"),
         F.lit(own).alias("venue"),
         flag(result == win).alias("wins"),
@@ -70,12 +69,18 @@ def _side_rows(silver: DataFrame, own: str) -> DataFrame:
         # a missing result ('U') is neither a win nor a loss, so it counts in both
         flag(trailing & (result != loss)).alias("comeback_results"),
         flag(leading & (result != win)).alias("blown_leads"),
-    )
+    ]
 
 
 def team_match_rows(silver: DataFrame) -> DataFrame:
-    """Two rows per match (home view and away view), duplicates kept."""
-    return _side_rows(silver, "home").unionByName(_side_rows(silver, "away"))
+    """Two rows per match (home view and away view), duplicates kept.
+
+    Both views come from ONE scan: each match row yields an array of two
+    structs that ``inline`` turns into two rows. A union of two projections
+    would read and decode the match table twice.
+    """
+    home, away = F.struct(*_side_columns("home")), F.struct(*_side_columns("away"))
+    return silver.select("league_code", "season", F.inline(F.array(home, away)))
 
 
 def _team_counts(rows: DataFrame) -> DataFrame:

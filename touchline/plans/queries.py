@@ -171,13 +171,20 @@ def q_schema_drift_union(spark, sf_dir):
 LANDING_RUN = "file:///landing/_runs/run0"
 
 
-def _manifest_from_data(spark, raw):
+def _landed_files(raw):
+    """Distinct source files of the raw rows (partial aggregate per task)."""
+    return raw.select(F.col("source_file").alias("file_path")).distinct()
+
+
+def _manifest_from_data(spark, files):
+    """Manifest over the seasons the landed files span: one (min, max) scalar
+    subquery over the distinct files, then a generator per league."""
     from ..functions.parsing import season_start_year
     from ..params import league_dimension
     from ..sources import landing
-    years = raw.select(season_start_year("season").alias("y"))
-    return landing.ingest_manifest(league_dimension(spark), years.select(F.min("y")).scalar(),
-                                   years.select(F.max("y")).scalar(), LANDING_RUN)
+    years = files.select(season_start_year(landing.season_from_path(F.col("file_path"))).alias("y"))
+    bounds = years.select(F.struct(F.min("y").alias("lo"), F.max("y").alias("hi"))).scalar()
+    return landing.ingest_manifest(league_dimension(spark), bounds["lo"], bounds["hi"], LANDING_RUN)
 
 
 @query("season_calendar")
@@ -188,16 +195,15 @@ def q_season_calendar(spark, sf_dir):
 
 @query("ingest_manifest")
 def q_ingest_manifest(spark, sf_dir):
-    return _manifest_from_data(spark, load_raw_matches(spark, sf_dir))
+    return _manifest_from_data(spark, _landed_files(load_raw_matches(spark, sf_dir)))
 
 
 @query("landing_results")
 def q_landing_results(spark, sf_dir):
     """Manifest checked against the files the bronze rows came from."""
     from ..sources import landing
-    raw = load_raw_matches(spark, sf_dir)
-    files = raw.select(F.col("source_file").alias("file_path")).distinct()
-    return landing.landing_results(_manifest_from_data(spark, raw), files)
+    files = _landed_files(load_raw_matches(spark, sf_dir))
+    return landing.landing_results(_manifest_from_data(spark, files), files)
 
 
 @query("ingest_summary")
@@ -297,8 +303,8 @@ def q_landing_check(spark, sf_dir):
     """Manifest checked against the files that actually landed."""
     from ..sources import landing
     run_root, _ = _landed_run(spark, sf_dir)
-    raw = load_raw_matches(spark, sf_dir)
-    return landing.landing_results(_manifest_from_data(spark, raw), landing.landed_headers(spark, run_root))
+    headers = landing.landed_headers(spark, run_root)
+    return landing.landing_results(_manifest_from_data(spark, headers), headers)
 
 
 @query("landing_to_silver")

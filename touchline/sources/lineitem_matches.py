@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread_small_scan
+
 # Supplier key modulo 4 -> (league code, league folder name).
 LEAGUE_BY_SUPPLIER = (
     ("E0", "england_premier_league"),
@@ -29,7 +31,9 @@ LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_q
 
 
 def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*LINEITEM_COLUMNS)
+    """The six ``lineitem`` columns the mapping needs (pruned at the scan)."""
+    scan = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*LINEITEM_COLUMNS)
+    return spread_small_scan(scan)
 
 
 def _s(c: Column) -> Column:
