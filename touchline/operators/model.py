@@ -66,9 +66,12 @@ def train_outcome_model(features: DataFrame, *, num_trees: int = 100, seed: int
     Returns the trained model summary and the test predictions.
     """
     train, test = features.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
+    if train.isEmpty():
+        raise ValueError("no training rows after the split")
     model = outcome_pipeline(num_trees, seed).fit(train)
     predictions = model.transform(test)
-    accuracy = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(predictions)
+    accuracy = (float("nan") if test.isEmpty() else
+                MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(predictions))
     if save_to:
         model.write().overwrite().save(save_to)
     return TrainedModel(model, accuracy, train.count(), test.count()), predictions

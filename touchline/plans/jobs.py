@@ -115,9 +115,10 @@ def run_all(spark: SparkSession, params: RunParams, run_id: str | None = None, *
     report.outputs["gold.league_season_summary"] = league
     register_lake(spark, params.lake_root, params.database_prefix)
     if with_model:
-        features = model.match_features(read_table(spark, params.lake_root, "silver.matches"), min_start_year)
-        if not features.isEmpty():
+        try:
             report.accuracy = train_model(spark, params, min_start_year).accuracy
+        except ValueError as exc:
+            LOG.warning("model not trained: %s", exc)
     return report
 
 
