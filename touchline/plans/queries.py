@@ -172,8 +172,12 @@ LANDING_RUN = "file:///landing/_runs/run0"
 
 
 def _landed_files(raw):
-    """Distinct source files of the raw rows (partial aggregate per task)."""
-    return raw.select(F.col("source_file").alias("file_path")).distinct()
+    """Distinct source files of the raw rows (partial aggregate per task),
+    checkpointed to the shared folder: the manifest bounds and the check both
+    read this small table, so the raw rows are scanned once."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(raw.sparkSession)
+    return raw.select(F.col("source_file").alias("file_path")).distinct().checkpoint()
 
 
 def _manifest_from_data(spark, files):

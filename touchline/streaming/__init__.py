@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The pipeline this package rebuilds is a daily full-refresh batch: it has no
+stream source or sink, no watermark, no windowed aggregate and no state, so
+there is no streaming operator to provide.
+"""
