@@ -55,15 +55,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Read from the session (``spark.checkpoint.dir`` as named by the cluster).
     Only where nothing is set, as in local tests, a fresh folder is made.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="touchline-ckpt-"))
+        return sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="touchline-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -89,7 +95,9 @@ def spread_small_scan(frame: DataFrame) -> DataFrame:
     the scanned columns. Large inputs already have more splits than cores and
     are returned unchanged, so at scale this adds nothing to the plan.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
+    try:
+        cores = frame.sparkSession.sparkContext.defaultParallelism
+        splits = frame.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the plan as is
         return frame
-    return frame.repartition(cores)
+    return frame if splits >= cores else frame.repartition(cores)
