@@ -404,3 +404,27 @@ ORACLE.update({
         "FROM silver WHERE season_start_year >= 1998 AND full_time_result IN ('D', 'H', 'A') AND "
         + " AND ".join(f"{c.strip()} IS NOT NULL" for c in _FEATURES.split(",")), "silver"),
 })
+
+
+# --- metric families of the team table --------------------------------------------
+
+_FAMILIES = {
+    "team_season_rates": "win_rate, draw_rate, loss_rate, points_per_match, goals_for_per_match, "
+                         "goals_against_per_match, goal_difference_per_match, clean_sheet_rate, failed_to_score_rate, "
+                         "both_teams_scored_rate, over_1_5_rate, over_2_5_rate, over_3_5_rate",
+    "team_shot_metrics": "shots_for, shots_against, shots_on_target_for, shots_on_target_against, avg_shots_for, "
+                         "avg_shots_against, avg_shots_on_target_for, avg_shots_on_target_against, shot_dominance_index, "
+                         "on_target_dominance_index, territorial_dominance_proxy, shot_accuracy, shot_conversion_rate, "
+                         "net_efficiency, pressure_without_payoff, opponent_suppression_rate, avg_corners_for, "
+                         "avg_corners_against, avg_fouls_for, avg_fouls_against",
+    "team_half_metrics": "first_half_goals_for, first_half_goals_against, second_half_goals_for, "
+                         "second_half_goals_against, leading_at_half, trailing_at_half, comeback_results, blown_leads, "
+                         "first_half_goals_for_per_match, first_half_goals_against_per_match, "
+                         "second_half_goals_for_per_match, second_half_goals_against_per_match, fast_start_rate, "
+                         "second_half_surge_index, second_half_collapse_index, comeback_rate, blown_lead_rate, "
+                         "first_half_control_index",
+    "team_discipline": "yellow_cards, red_cards, avg_yellow_cards, avg_red_cards, discipline_points, "
+                       "discipline_points_per_match",
+}
+ORACLE.update({name: with_ctes(f"SELECT league_code, season, team, {cols} FROM team_table", *_GOLD)
+               for name, cols in _FAMILIES.items()})

@@ -340,3 +340,40 @@ def q_outcome_model(spark, sf_dir):
     trained, predictions = model.train_outcome_model(features, save_to=scratch_path(spark, "model"))
     return predictions.select(*model.FEATURES, "label", "prediction",
                               F.lit(trained.accuracy).alias("test_accuracy"))
+
+
+# --- metric families of the team table (A2), for finer-grained checks ----------
+
+TEAM_METRIC_FAMILIES = {
+    "team_season_rates": (
+        "win_rate", "draw_rate", "loss_rate", "points_per_match", "goals_for_per_match",
+        "goals_against_per_match", "goal_difference_per_match", "clean_sheet_rate", "failed_to_score_rate",
+        "both_teams_scored_rate", "over_1_5_rate", "over_2_5_rate", "over_3_5_rate"),
+    "team_shot_metrics": (
+        "shots_for", "shots_against", "shots_on_target_for", "shots_on_target_against", "avg_shots_for",
+        "avg_shots_against", "avg_shots_on_target_for", "avg_shots_on_target_against", "shot_dominance_index",
+        "on_target_dominance_index", "territorial_dominance_proxy", "shot_accuracy", "shot_conversion_rate",
+        "net_efficiency", "pressure_without_payoff", "opponent_suppression_rate", "avg_corners_for",
+        "avg_corners_against", "avg_fouls_for", "avg_fouls_against"),
+    "team_half_metrics": (
+        "first_half_goals_for", "first_half_goals_against", "second_half_goals_for", "second_half_goals_against",
+        "leading_at_half", "trailing_at_half", "comeback_results", "blown_leads",
+        "first_half_goals_for_per_match", "first_half_goals_against_per_match",
+        "second_half_goals_for_per_match", "second_half_goals_against_per_match", "fast_start_rate",
+        "second_half_surge_index", "second_half_collapse_index", "comeback_rate", "blown_lead_rate",
+        "first_half_control_index"),
+    "team_discipline": (
+        "yellow_cards", "red_cards", "avg_yellow_cards", "avg_red_cards", "discipline_points",
+        "discipline_points_per_match"),
+}
+
+
+def _family(name: str) -> Query:
+    def run(spark, sf_dir):
+        return _team_table(spark, sf_dir).select("league_code", "season", "team", *TEAM_METRIC_FAMILIES[name])
+    run.__name__ = f"q_{name}"
+    return run
+
+
+for _name in TEAM_METRIC_FAMILIES:
+    REGISTRY[_name] = _family(_name)
