@@ -101,8 +101,11 @@ def test_run_all_end_to_end(spark, landed):
                        leagues=LEAGUES, database_prefix="t_e2e_")
     report = jobs.run_all(spark, params, RUN, min_start_year=2000)
     assert (report.successes, report.total) == (4, 4 * 31)
+    bronze_rows = read_table(spark, params.lake_root, "bronze.matches")
+    # only files of manifest tasks: the unknown league's folder is not read
+    assert bronze_rows.count() == 6 and bronze_rows.where("league_name = 'unknown_league'").count() == 0
     silver_rows = read_table(spark, params.lake_root, "silver.matches")
-    assert silver_rows.count() == 5  # blank line and unknown league dropped
+    assert silver_rows.count() == 5  # the blank trailing line is dropped
     by_team = {r.home_team: r for r in silver_rows.collect()}
     assert by_team["Arsenal"].season == "9394" and by_team["Arsenal"].season_start_year == 1993
     assert by_team["Arsenal"].match_date == dt.date(1993, 8, 14)

@@ -52,13 +52,21 @@ def land(spark: SparkSession, params: RunParams, run_id: str) -> tuple[DataFrame
     return results, headers
 
 
-def build_bronze(spark: SparkSession, params: RunParams, run_id: str, headers: DataFrame) -> str | None:
+def build_bronze(spark: SparkSession, params: RunParams, run_id: str, headers: DataFrame,
+                 results: DataFrame | None = None) -> str | None:
     """Landed CSV of the run -> bronze table; None if nothing landed.
 
+    With ``results`` (the landing check), only files of successful manifest
+    tasks are read, as a download run would have produced exactly those.
     Each landed file belongs to one (league, season), so scan tasks already
     write few partitions each: no shuffle before the write.
     """
     run_root = landing.run_folder(params.landing, run_id)
+    if results is not None:
+        wanted = landing.successful(results).select("league_name", "season")
+        keyed = headers.select("*", landing.league_name_from_path(F.col("file_path")).alias("league_name"),
+                               landing.season_from_path(F.col("file_path")).alias("season"))
+        headers = keyed.join(wanted, ["league_name", "season"], "left_semi").select("file_path", "header")
     if headers.isEmpty():
         LOG.warning("no landed file with content under %s; bronze not written", run_root)
         return None
@@ -105,7 +113,7 @@ def run_all(spark: SparkSession, params: RunParams, run_id: str | None = None, *
     summary = landing.ingest_summary(results).first()
     report.successes, report.total = summary["successes"], summary["total"]
     LOG.info("landing: %d of %d files", report.successes, report.total)
-    bronze_path = build_bronze(spark, params, run_id, headers)
+    bronze_path = build_bronze(spark, params, run_id, headers, results)
     if bronze_path is None:
         return report
     report.outputs["bronze.matches"] = bronze_path
