@@ -3,6 +3,8 @@
 Each query is run to completion with the ``noop`` sink (whole plan executed,
 nothing collected) after one warm-up run of the flagship query. Prints one
 JSON line: {"metric", "value" (sum of query seconds), "unit", "queries", "sf"}.
+``BENCH_QUERIES=a,b`` runs a subset; ``BENCH_EVENT_LOG_DIR`` writes Spark's
+event log there (per-stage and per-task times).
 """
 
 from __future__ import annotations
@@ -33,6 +35,11 @@ def main() -> None:
     from touchline.plans.queries import REGISTRY, _landed_run
     from touchline.session import scratch_path
 
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # stage/task times without the UI
+    if event_dir:
+        from pyspark.sql import SparkSession
+        os.makedirs(event_dir, exist_ok=True)
+        SparkSession.builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = build_session(f"local[{cpus}]", app_name="touchline-bench", shuffle_partitions=int(cpus) * 2)
     REGISTRY["champions"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

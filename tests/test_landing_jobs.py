@@ -146,3 +146,23 @@ def test_catalog_ddl_generated_from_schema():
     assert "`p_gold`.`team_season_table`" in ddl and "PARTITIONED BY (league_code, season)" in ddl
     assert ddl.count("DOUBLE") == 42 and ddl.count("BIGINT") == 35
     assert layer_path("/lake", "gold.team_season_table") == "/lake/gold/team_season_table"
+
+
+def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_dir):
+    """A run that lands one league replaces only that league's partitions."""
+    import dataclasses
+    root = landing.run_folder(f"{tmp_dir}/landing", RUN)
+    write_text(f"{root}/england_premier_league/2324.csv", FILES["england_premier_league/2324.csv"])
+    write_text(f"{root}/spain_la_liga/2324.csv", FILES["spain_la_liga/2324.csv"])
+    params = RunParams(lake_root=f"{tmp_dir}/lake", landing_root=f"{tmp_dir}/landing", start_year=2023,
+                       end_year=2023, leagues=LEAGUES, database_prefix="t_dyn_", partition_overwrite="dynamic")
+    jobs.run_all(spark, params, RUN, with_model=False)
+    run2 = "20240102T000000Z"
+    write_text(landing.run_folder(f"{tmp_dir}/landing", run2) + "/spain_la_liga/2324.csv",
+               "Div,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR\nSP1,12/08/2023,Sevilla,Valencia,1,2,A\n")
+    jobs.run_all(spark, params, run2, with_model=False)
+    teams = {(r.league_code, r.home_team) for r in read_table(spark, params.lake_root, "silver.matches").collect()}
+    assert teams == {("E0", "Burnley"), ("SP1", "Sevilla")}
+    static = dataclasses.replace(params, partition_overwrite="static")
+    jobs.run_all(spark, static, run2, with_model=False)
+    assert {r.league_code for r in read_table(spark, params.lake_root, "silver.matches").collect()} == {"SP1"}

@@ -38,6 +38,12 @@ class RunReport:
     accuracy: float | None = None
 
 
+def _dynamic(params: RunParams) -> bool:
+    if params.partition_overwrite not in ("static", "dynamic"):
+        raise ValueError(f"partition_overwrite must be static or dynamic, not {params.partition_overwrite!r}")
+    return params.partition_overwrite == "dynamic"
+
+
 def land(spark: SparkSession, params: RunParams, run_id: str) -> tuple[DataFrame, DataFrame]:
     """Manifest + landing check for one run -> (results, landed headers).
 
@@ -71,13 +77,15 @@ def build_bronze(spark: SparkSession, params: RunParams, run_id: str, headers: D
         LOG.warning("no landed file with content under %s; bronze not written", run_root)
         return None
     bronze = bronze_from_landing(spark, run_root, run_id, params.leagues, headers)
-    return write_layer(bronze, layer_path(params.lake_root, "bronze.matches"), rebalance=False)
+    return write_layer(bronze, layer_path(params.lake_root, "bronze.matches"), rebalance=False,
+                       dynamic=_dynamic(params))
 
 
 def build_silver(spark: SparkSession, params: RunParams) -> str:
     """Bronze table -> silver table (partition-aligned, no shuffle)."""
     bronze = read_table(spark, params.lake_root, "bronze.matches")
-    return write_layer(silver.silver_matches(bronze), layer_path(params.lake_root, "silver.matches"), rebalance=False)
+    return write_layer(silver.silver_matches(bronze), layer_path(params.lake_root, "silver.matches"),
+                       rebalance=False, dynamic=_dynamic(params))
 
 
 def build_gold(spark: SparkSession, params: RunParams) -> tuple[str, str]:
@@ -87,9 +95,10 @@ def build_gold(spark: SparkSession, params: RunParams) -> tuple[str, str]:
     rebalance on the partition columns gives one file per partition.
     """
     matches = read_table(spark, params.lake_root, "silver.matches")
-    team = write_layer(gold.team_season_table(matches), layer_path(params.lake_root, "gold.team_season_table"))
+    team = write_layer(gold.team_season_table(matches), layer_path(params.lake_root, "gold.team_season_table"),
+                       dynamic=_dynamic(params))
     summary = write_layer(gold.league_season_summary(matches),
-                          layer_path(params.lake_root, "gold.league_season_summary"))
+                          layer_path(params.lake_root, "gold.league_season_summary"), dynamic=_dynamic(params))
     return team, summary
 
 
