@@ -36,11 +36,12 @@ def main() -> None:
     from touchline.session import scratch_path
 
     event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # stage/task times without the UI
+    extra = {}
     if event_dir:
-        from pyspark.sql import SparkSession
         os.makedirs(event_dir, exist_ok=True)
-        SparkSession.builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
-    spark = build_session(f"local[{cpus}]", app_name="touchline-bench", shuffle_partitions=int(cpus) * 2)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir}
+    spark = build_session(f"local[{cpus}]", app_name="touchline-bench", shuffle_partitions=int(cpus) * 2,
+                          extra_conf=extra)
     REGISTRY["champions"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings: dict[str, float] = {}

@@ -16,7 +16,7 @@ JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def build_session(master: str | None = None, app_name: str = "touchline",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session with AQE on, UI off and a UTC session clock.
 
     On a cluster ``master`` is left to spark-submit. ``shuffle_partitions`` is
@@ -43,6 +43,8 @@ def build_session(master: str | None = None, app_name: str = "touchline",
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
