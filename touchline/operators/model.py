@@ -64,7 +64,15 @@ def train_outcome_model(features: DataFrame, *, num_trees: int = 100, seed: int
     """80/20 split, fit, accuracy on the held-out part; optionally save.
 
     Returns the trained model summary and the test predictions.
+
+    The feature rows are checkpointed once into the shared checkpoint folder:
+    the split, the forest's passes, the evaluation and the counts then read
+    that table instead of re-running the lineage from the source, and a lost
+    executor costs only its tasks of the pass in flight.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(features.sparkSession)
+    features = features.checkpoint()
     train, test = features.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
     if train.isEmpty():
         raise ValueError("no training rows after the split")

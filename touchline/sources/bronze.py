@@ -41,11 +41,15 @@ def header_columns(header: str) -> list[str]:
 def header_groups(headers: DataFrame) -> list[tuple[list[str], list[str]]]:
     """[(columns, file paths)] per distinct header.
 
-    Brings to the driver one path per landed file, the same information
-    Spark's own file index holds for any file scan.
+    Brings to the driver one (header, path) row per landed file, the same
+    information Spark's own file index holds for the CSV scans that follow.
+    The rows are grouped here, not in a Spark aggregate: a header shared by
+    most files would otherwise put every path into one task's buffer.
     """
-    grouped = headers.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("paths"))
-    return [(header_columns(r["header"]), list(r["paths"])) for r in grouped.orderBy("header").collect()]
+    paths: dict[str, list[str]] = {}
+    for row in headers.select("header", "file_path").toLocalIterator():
+        paths.setdefault(row["header"], []).append(row["file_path"])
+    return [(header_columns(h), sorted(paths[h])) for h in sorted(paths)]
 
 
 def provenance(source_file: Column, run_id: str, leagues: dict[str, str] | None = None) -> list[Column]:
