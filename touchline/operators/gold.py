@@ -5,8 +5,12 @@ Plans (checked with ``explain``):
 * team table: silver -> one projection -> Generate (inline of a home and an
   away struct per match) -> partial HashAggregate -> ONE Exchange on (league_code, season, team) ->
   final HashAggregate -> one Project with all 45 derived metrics.
-* league summary: silver -> partial HashAggregate -> Exchange on
+* league summary, standalone: silver -> partial HashAggregate -> Exchange on
   (league_code, season) -> final HashAggregate -> Project.
+* both tables in the gold job (:func:`gold_tables`): the team aggregation
+  also sums the per-match league measures of the matches each team hosted,
+  so the league summary is a roll-up of the (small) team aggregates and the
+  match table is read once, not twice.
 
 Every measure is an algebraic aggregate (count / sum / avg), so the partial
 aggregate combines map-side: whatever share of the rows one league, season or
@@ -72,24 +76,47 @@ def _side_columns(own: str) -> list[Column]:
     ]
 
 
-def team_match_rows(silver: DataFrame) -> DataFrame:
+def team_match_rows(silver: DataFrame, with_league_measures: bool = False) -> DataFrame:
     """Two rows per match (home view and away view), duplicates kept.
 
     Both views come from ONE scan: each match row yields an array of two
     structs that ``inline`` turns into two rows. A union of two projections
     would read and decode the match table twice.
+
+    ``with_league_measures`` adds the per-match values of the league summary
+    (``_m_*``), set on the home row only and NULL on the away row, so every
+    match counts exactly once when they are summed.
     """
-    home, away = F.struct(*_side_columns("home")), F.struct(*_side_columns("away"))
-    return silver.select("league_code", "season", F.inline(F.array(home, away)))
+    home, away = _side_columns("home"), _side_columns("away")
+    if with_league_measures:
+        for name, expr, _ in league_measures():
+            home.append(expr.alias(f"_m_{name}"))
+            away.append(F.lit(None).cast("int").alias(f"_m_{name}"))
+    return silver.select("league_code", "season", F.inline(F.array(F.struct(*home), F.struct(*away))))
+
 
+def team_season_aggregates(silver: DataFrame, with_league_measures: bool = False) -> DataFrame:
+    """The 32 team counts per (league_code, season, team): one partial
+    aggregate per map task, one Exchange, one final aggregate.
 
-def _team_counts(rows: DataFrame) -> DataFrame:
+    With ``with_league_measures`` each group also carries the sum (and, for
+    averaged measures, the non-NULL count) of the league measures of the
+    matches it hosted; :func:`league_summary_from` rolls those up.
+    """
+    rows = team_match_rows(silver, with_league_measures)
+    extra = []
+    if with_league_measures:
+        for name, _, kind in league_measures():
+            extra.append(F.sum(f"_m_{name}").alias(f"_m_{name}"))
+            if kind == "avg":
+                extra.append(F.count(f"_m_{name}").alias(f"_n_{name}"))
     sums = [F.sum(name).alias(name) for name in schemas.TEAM_COUNTS[3:]]
     return rows.groupBy(*GROUP_KEYS).agg(
         F.count(F.lit(1)).alias("matches_played"),
         F.count_if(F.col("venue") == "home").alias("home_matches"),
         F.count_if(F.col("venue") == "away").alias("away_matches"),
         *sums,
+        *extra,
     )
 
 
@@ -159,43 +186,53 @@ def team_metrics() -> list[tuple[str, Column]]:
     return metrics
 
 
-def team_season_table(silver: DataFrame) -> DataFrame:
-    """One row per (league_code, season, team): 32 counts + 45 metrics."""
-    counts = _team_counts(team_match_rows(silver))
-    return counts.select(
+def team_table_from(aggregates: DataFrame) -> DataFrame:
+    """Team aggregates -> the stored team table: 32 counts + 45 metrics."""
+    return aggregates.select(
         "team", *schemas.TEAM_COUNTS,
         *[expr.alias(name) for name, expr in team_metrics()],
         "league_code", "season",
     )
 
 
-def league_season_summary(silver: DataFrame) -> DataFrame:
-    """One row per (league_code, season): 18 measures + 9 rates."""
+def team_season_table(silver: DataFrame) -> DataFrame:
+    """One row per (league_code, season, team): 32 counts + 45 metrics."""
+    return team_table_from(team_season_aggregates(silver))
+
+
+def league_measures() -> list[tuple[str, Column, str]]:
+    """The 18 league-summary measures: (name, per-match value, kind).
+
+    ``kind`` is ``count`` (matches), ``sum`` or ``avg``. AVG skips a match
+    where either side's figure is unknown, as its per-match value is NULL.
+    """
     c = F.col
     home_goals, away_goals = c("full_time_home_goals"), c("full_time_away_goals")
     total = home_goals + away_goals
     result = c("full_time_result")
+    measures = [
+        ("matches", F.lit(1), "count"),
+        ("home_wins", flag(result == "H"), "sum"),
+        ("draws", flag(result == "D"), "sum"),
+        ("away_wins", flag(result == "A"), "sum"),
+        ("home_goals", home_goals, "sum"),
+        ("away_goals", away_goals, "sum"),
+        ("avg_goals_per_match", total, "avg"),
+        ("total_goals", total, "sum"),
+        ("both_teams_scored_matches", flag((home_goals > 0) & (away_goals > 0)), "sum"),
+        ("over_1_5_matches", flag(total >= 2), "sum"),
+        ("over_2_5_matches", flag(total >= 3), "sum"),
+        ("over_3_5_matches", flag(total >= 4), "sum"),
+    ]
+    measures += [(f"avg_{stem}_per_match", c(f"home_{stem}") + c(f"away_{stem}"), "avg")
+                 for stem in ("shots", "shots_on_target", "corners", "fouls", "yellow_cards", "red_cards")]
+    assert [n for n, _, _ in measures] == [f.name for f in schemas.LEAGUE_SUMMARY.fields[:18]]
+    return measures
 
-    def both(stem: str) -> Column:
-        return c(f"home_{stem}") + c(f"away_{stem}")
 
-    agg = silver.groupBy(*LEAGUE_KEYS).agg(
-        F.count(F.lit(1)).alias("matches"),
-        F.sum(flag(result == "H")).alias("home_wins"),
-        F.sum(flag(result == "D")).alias("draws"),
-        F.sum(flag(result == "A")).alias("away_wins"),
-        F.sum(home_goals).alias("home_goals"),
-        F.sum(away_goals).alias("away_goals"),
-        F.avg(total).alias("avg_goals_per_match"),
-        F.sum(total).alias("total_goals"),
-        F.sum(flag((home_goals > 0) & (away_goals > 0))).alias("both_teams_scored_matches"),
-        F.sum(flag(total >= 2)).alias("over_1_5_matches"),
-        F.sum(flag(total >= 3)).alias("over_2_5_matches"),
-        F.sum(flag(total >= 4)).alias("over_3_5_matches"),
-        # AVG skips a match where either side's figure is unknown
-        *[F.avg(both(stem)).alias(f"avg_{stem}_per_match") for stem in
-          ("shots", "shots_on_target", "corners", "fouls", "yellow_cards", "red_cards")],
-    )
+def _with_league_rates(agg: DataFrame) -> DataFrame:
+    """18 measures per (league_code, season) -> the stored summary (+ 9 rates)."""
+    c = F.col
     m = c("matches")
     rates = [
         safe_ratio(c("home_wins"), m).alias("home_win_rate"),
@@ -210,3 +247,46 @@ def league_season_summary(silver: DataFrame) -> DataFrame:
     ]
     measures = [f.name for f in schemas.LEAGUE_SUMMARY.fields[:18]]
     return agg.select(*measures, *rates, "league_code", "season")
+
+
+_DIRECT = {"count": F.count, "sum": F.sum, "avg": F.avg}
+
+
+def league_season_summary(silver: DataFrame) -> DataFrame:
+    """One row per (league_code, season): 18 measures + 9 rates, aggregated
+    directly over the match rows."""
+    agg = silver.groupBy(*LEAGUE_KEYS).agg(
+        *[_DIRECT[kind](expr).alias(name) for name, expr, kind in league_measures()])
+    return _with_league_rates(agg)
+
+
+def league_summary_from(aggregates: DataFrame) -> DataFrame:
+    """The league summary rolled up from team aggregates built
+    ``with_league_measures``.
+
+    Equal to :func:`league_season_summary`: sums and counts add up exactly,
+    and an average is the summed values over the summed non-NULL counts
+    (NULL when there are none), which is how AVG itself finishes. It reads
+    one row per team and season instead of the match table.
+    """
+    c = F.col
+    parts = []
+    for name, _, kind in league_measures():
+        parts.append(F.sum(f"_m_{name}").alias(f"_m_{name}"))
+        if kind == "avg":
+            parts.append(F.sum(f"_n_{name}").alias(f"_n_{name}"))
+    per_league = aggregates.groupBy(*LEAGUE_KEYS).agg(*parts)
+    values = [
+        (F.when(c(f"_n_{name}") > 0, c(f"_m_{name}").cast("double") / c(f"_n_{name}").cast("double"))
+         if kind == "avg" else c(f"_m_{name}")).alias(name)
+        for name, _, kind in league_measures()
+    ]
+    return _with_league_rates(per_league.select(*values, *LEAGUE_KEYS))
+
+
+def gold_tables(silver: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(team aggregates, team table, league summary) from ONE pass over the
+    match table. Materialize the aggregates (one row per team and season,
+    e.g. ``checkpoint()``) before using both tables, so that pass runs once."""
+    aggregates = team_season_aggregates(silver, with_league_measures=True)
+    return aggregates, team_table_from(aggregates), league_summary_from(aggregates)

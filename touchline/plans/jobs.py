@@ -91,13 +91,20 @@ def build_silver(spark: SparkSession, params: RunParams) -> str:
 def build_gold(spark: SparkSession, params: RunParams) -> tuple[str, str]:
     """Silver table -> team-season table and league-season summary.
 
-    Both outputs are small (one row per team or league and season); a
+    ONE pass over the match table: the team aggregation also carries the
+    per-match league measures (on the home row), its result (one row per team
+    and season) is checkpointed into the shared folder, and both tables are
+    derived from it; the league summary is a roll-up of team rows, so the
+    match table is never read a second time. Both outputs are small; a
     rebalance on the partition columns gives one file per partition.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     matches = read_table(spark, params.lake_root, "silver.matches")
-    team = write_layer(gold.team_season_table(matches), layer_path(params.lake_root, "gold.team_season_table"),
+    aggregates = gold.team_season_aggregates(matches, with_league_measures=True).checkpoint()
+    team = write_layer(gold.team_table_from(aggregates), layer_path(params.lake_root, "gold.team_season_table"),
                        dynamic=_dynamic(params))
-    summary = write_layer(gold.league_season_summary(matches),
+    summary = write_layer(gold.league_summary_from(aggregates),
                           layer_path(params.lake_root, "gold.league_season_summary"), dynamic=_dynamic(params))
     return team, summary
 

@@ -77,7 +77,10 @@ def q_league_season_summary(spark, sf_dir):
 
 @query("league_summary_view")
 def q_league_summary_view(spark, sf_dir):
-    return views.league_summary_view(gold.league_season_summary(_silver(spark, sf_dir)))
+    """The view over the summary as the gold job builds it: rolled up from the
+    team aggregates (one pass over the matches for both gold tables)."""
+    _, _, league = gold.gold_tables(_silver(spark, sf_dir))
+    return views.league_summary_view(league)
 
 
 @query("league_table_ranked")
@@ -255,13 +258,13 @@ def _lake_from(spark, sf_dir) -> tuple[str, str]:
     tables registered under a fresh database prefix."""
     import uuid
     from ..session import scratch_path
-    from ..sources.layers import layer_path, read_table, write_layer
+    from ..params import RunParams
+    from ..sources.layers import layer_path, write_layer
     from .catalog import register_lake
+    from .jobs import build_gold
     root = scratch_path(spark, "lake")
     write_layer(_silver(spark, sf_dir), layer_path(root, "silver.matches"))
-    matches = read_table(spark, root, "silver.matches")
-    write_layer(gold.team_season_table(matches), layer_path(root, "gold.team_season_table"))
-    write_layer(gold.league_season_summary(matches), layer_path(root, "gold.league_season_summary"))
+    build_gold(spark, RunParams(lake_root=root))
     prefix = f"tl{uuid.uuid4().hex[:8]}_"
     register_lake(spark, root, prefix, ("silver.matches", "gold.team_season_table", "gold.league_season_summary"))
     return root, prefix
