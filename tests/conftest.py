@@ -16,7 +16,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from touchline.session import JIT_OPTIONS, ensure_checkpoint_dir
+    from touchline.session import DEBUG_CONF, JIT_OPTIONS, ensure_checkpoint_dir
 
     session = (
         SparkSession.builder.master("local[*]")
@@ -26,6 +26,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config(DEBUG_CONF, "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -12,8 +12,7 @@ and never shuffles, so it scales with the table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import spread_small_scan
 
@@ -36,75 +35,71 @@ def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_small_scan(scan)
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _by_supplier(index: int) -> str:
+    """SQL CASE over the supplier key: the league code (0) or folder name (1)."""
+    arms = " ".join(f"WHEN {i} THEN '{pair[index]}'" for i, pair in enumerate(LEAGUE_BY_SUPPLIER))
+    return f"CASE l_suppkey % {len(LEAGUE_BY_SUPPLIER)} {arms} END"
 
 
-def _two(c: Column) -> Column:
-    return F.lpad(_s(c), 2, "0")
+def _two(expr: str) -> str:
+    return f"lpad(CAST({expr} AS STRING), 2, '0')"
 
 
-def _by_supplier(index: int) -> Column:
-    k = F.col("l_suppkey") % 4
-    expr = F.lit(LEAGUE_BY_SUPPLIER[-1][index])
-    for i, pair in reversed(list(enumerate(LEAGUE_BY_SUPPLIER[:-1]))):
-        expr = F.when(k == i, F.lit(pair[index])).otherwise(expr)
-    return expr
+def _team(expr: str) -> str:
+    return f"concat('T', {_two(expr)})"
+
+
+# The mapping in SQL text (FIXTURES.md F6 in Spark's dialect): three narrow
+# projections, parsed once on the JVM instead of built from a few hundred
+# Column calls through the Python gateway.
+_KEYS = (
+    "l_orderkey AS ok", "l_partkey AS pk", "l_suppkey AS sk", "l_linenumber AS ln",
+    "CAST(l_quantity AS INT) % 5 AS hg",
+    "CAST(l_partkey % 4 AS INT) AS ag",
+    f"{_two('day(l_shipdate)')} AS dd",
+    f"{_two('month(l_shipdate)')} AS mm",
+    "CAST(year(l_shipdate) AS STRING) AS yyyy",
+    "CASE WHEN month(l_shipdate) >= 7 THEN year(l_shipdate) ELSE year(l_shipdate) - 1 END AS sy",
+    f"{_by_supplier(1)} AS league_name",
+    f"{_by_supplier(0)} AS league_code",
+)
+_SEASON = "concat(substring(CAST(sy AS STRING), 3, 2), substring(CAST(sy + 1 AS STRING), 3, 2)) AS season"
+_NO_SHOTS = "pk % 11 = 0"
+_ROW = (
+    f"'{RUN_ID}' AS ingestion_run_id",
+    f"concat('{SOURCE_PREFIX}', league_name, '/', season, '.csv') AS source_file",
+    "league_name",
+    "league_code AS `Div`",
+    "CASE WHEN ok % 3 = 0 THEN concat_ws('/', dd, mm, substring(yyyy, 3, 2)) "
+    "WHEN ok % 3 = 1 THEN concat_ws('/', dd, mm, yyyy) ELSE concat_ws('-', yyyy, mm, dd) END AS `Date`",
+    f"CASE WHEN ok % 101 <> 0 THEN {_team('pk % 20')} END AS `HomeTeam`",
+    f"{_team('(pk % 20 + 1 + ok % 19) % 20')} AS `AwayTeam`",
+    "CASE WHEN ok % 53 = 0 THEN 'x' ELSE CAST(hg AS STRING) END AS `FTHG`",
+    "CAST(ag AS STRING) AS `FTAG`",
+    "CASE WHEN ok % 53 <> 0 THEN CASE WHEN hg > ag THEN 'H' WHEN hg < ag THEN 'A' ELSE 'D' END END AS `FTR`",
+    "CASE WHEN ln <> 7 THEN CAST(least(hg, CAST(ok % 3 AS INT)) AS STRING) END AS `HTHG`",
+    "CASE WHEN ln = 7 THEN '' ELSE CAST(least(ag, CAST(sk % 3 AS INT)) AS STRING) END AS `HTAG`",
+    f"CASE WHEN NOT ({_NO_SHOTS}) THEN CAST(hg + sk % 4 + pk % 9 AS STRING) END AS `HS`",
+    f"CASE WHEN NOT ({_NO_SHOTS}) THEN CAST(ag + sk % 4 + ok % 8 AS STRING) END AS `AS`",
+    f"CASE WHEN NOT ({_NO_SHOTS}) THEN CAST(hg + sk % 4 AS STRING) END AS `HST`",
+    f"CASE WHEN NOT ({_NO_SHOTS}) THEN CAST(ag + sk % 4 AS STRING) END AS `AST`",
+    "CAST(ok % 9 AS STRING) AS `HC`",
+    "CAST(pk % 8 AS STRING) AS `AC`",
+    "CAST(8 + ok % 7 AS STRING) AS `HF`",
+    "CAST(8 + sk % 7 AS STRING) AS `AF`",
+    "CAST(ln % 4 AS STRING) AS `HY`",
+    "CAST(ok % 5 AS STRING) AS `AY`",
+    "CASE WHEN ok % 17 = 0 THEN '1' ELSE '0' END AS `HR`",
+    "CASE WHEN pk % 23 = 0 THEN '1' ELSE '0' END AS `AR`",
+    "league_code",
+    "season",
+)
 
 
 def raw_matches(lineitem: DataFrame) -> DataFrame:
     """``lineitem`` -> raw match rows (all STRING, bronze names)."""
-    ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    ship = F.col("l_shipdate")
-    start = F.when(F.month(ship) >= 7, F.year(ship)).otherwise(F.year(ship) - 1)
-    hg = F.col("l_quantity").cast("int") % 5
-    ag = (pk % 4).cast("int")
-    dd, mm, yyyy = _two(F.dayofmonth(ship)), _two(F.month(ship)), _s(F.year(ship))
-    season = F.concat(F.substring(_s(start), 3, 2), F.substring(_s(start + 1), 3, 2))
-    league_name, league_code = _by_supplier(1), _by_supplier(0)
-
-    staged = lineitem.select(
-        ok.alias("ok"), pk.alias("pk"), sk.alias("sk"), ln.alias("ln"),
-        hg.alias("hg"), ag.alias("ag"), dd.alias("dd"), mm.alias("mm"), yyyy.alias("yyyy"),
-        season.alias("season"), league_name.alias("league_name"), league_code.alias("league_code"),
-    )
-    ok, pk, sk, ln, hg, ag = (F.col(c) for c in ("ok", "pk", "sk", "ln", "hg", "ag"))
-    dd, mm, yyyy = F.col("dd"), F.col("mm"), F.col("yyyy")
-    date_text = (
-        F.when(ok % 3 == 0, F.concat_ws("/", dd, mm, F.substring(yyyy, 3, 2)))
-        .when(ok % 3 == 1, F.concat_ws("/", dd, mm, yyyy))
-        .otherwise(F.concat_ws("-", yyyy, mm, dd))
-    )
-    team = lambda k: F.concat(F.lit("T"), _two(k))
-    bad_goals, no_shots, no_half = ok % 53 == 0, pk % 11 == 0, ln == 7
-    return staged.select(
-        F.lit(RUN_ID).alias("ingestion_run_id"),
-        F.concat(F.lit(SOURCE_PREFIX), F.col("league_name"), F.lit("/"), F.col("season"), F.lit(".csv")).alias("source_file"),
-        F.col("league_name"),
-        F.col("league_code").alias("Div"),
-        date_text.alias("Date"),
-        F.when(ok % 101 != 0, team(pk % 20)).alias("HomeTeam"),
-        team((pk % 20 + 1 + ok % 19) % 20).alias("AwayTeam"),
-        F.when(bad_goals, F.lit("x")).otherwise(_s(hg)).alias("FTHG"),
-        _s(ag).alias("FTAG"),
-        F.when(~bad_goals, F.when(hg > ag, "H").when(hg < ag, "A").otherwise("D")).alias("FTR"),
-        F.when(~no_half, _s(F.least(hg, (ok % 3).cast("int")))).alias("HTHG"),
-        F.when(no_half, F.lit("")).otherwise(_s(F.least(ag, (sk % 3).cast("int")))).alias("HTAG"),
-        F.when(~no_shots, _s(hg + sk % 4 + pk % 9)).alias("HS"),
-        F.when(~no_shots, _s(ag + sk % 4 + ok % 8)).alias("AS"),
-        F.when(~no_shots, _s(hg + sk % 4)).alias("HST"),
-        F.when(~no_shots, _s(ag + sk % 4)).alias("AST"),
-        _s(ok % 9).alias("HC"),
-        _s(pk % 8).alias("AC"),
-        _s(8 + ok % 7).alias("HF"),
-        _s(8 + sk % 7).alias("AF"),
-        _s(ln % 4).alias("HY"),
-        _s(ok % 5).alias("AY"),
-        F.when(ok % 17 == 0, "1").otherwise("0").alias("HR"),
-        F.when(pk % 23 == 0, "1").otherwise("0").alias("AR"),
-        F.col("league_code"),
-        F.col("season"),
-    )
+    keyed = lineitem.selectExpr(*_KEYS).selectExpr("*", _SEASON)
+    return keyed.selectExpr(*_ROW)
 
 
 def load_raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
