@@ -122,43 +122,3 @@ def test_views_columns(raw_small):
     assert len(views.bronze_view(silver.conform_bronze(raw_small)).columns) == 26
     assert views.league_summary_view(gold.league_season_summary(s)).columns[-1] == "home_goal_advantage"
 
-
-def _rows_by_key(df):
-    return {(r.league_code, r.season): r.asDict() for r in df.collect()}
-
-
-def test_league_rollup_equals_direct_aggregation(spark, raw_small):
-    """The gold job's league summary (a roll-up of team aggregates) equals the
-    direct aggregation over matches, on the derived rows and on hand-made
-    edge cases: a league-season with no known shots (AVG is NULL), a missing
-    result, unknown goals, a team that only plays away."""
-    edge = raw_frame(spark, [
-        match(home="A", away="B", HS=None, season="9394"),
-        match(home="B", away="A", ftr=None, fthg="x", HS=None, AS="3", season="9394"),
-        match(home="A", away="C", ftr="D", fthg="1", ftag="1", season="0001", league="SP1"),
-        match(home="B", away="C", ftr="A", fthg="0", ftag="2", HY="", season="0001", league="SP1"),
-    ])
-    for raw in (edge, raw_small):
-        s = silver.silver_matches(raw)
-        direct = gold.league_season_summary(s)
-        aggregates, team, rolled = gold.gold_tables(s)
-        assert types_of(rolled) == types_of(direct) == types_of(schemas.LEAGUE_SUMMARY)
-        assert _rows_by_key(rolled) == _rows_by_key(direct)
-        assert types_of(team) == types_of(schemas.TEAM_SEASON)
-        assert sorted(map(tuple, team.collect())) == sorted(map(tuple, gold.team_season_table(s).collect()))
-    null_avg = _rows_by_key(gold.league_summary_from(gold.team_season_aggregates(silver.silver_matches(edge), True)))
-    assert null_avg[("E0", "9394")]["avg_shots_per_match"] is None
-
-
-def test_gold_job_reads_the_match_table_once(spark, tmp_dir):
-    """Both gold tables come from one scan: the league summary's plan over the
-    checkpointed team aggregates holds no Parquet scan of the match table."""
-    s = silver.silver_matches(load_raw_matches(spark, SF_SMALL))
-    from touchline.sources.layers import read_layer, write_layer
-    matches = read_layer(spark, write_layer(s, f"{tmp_dir}/silver"), schemas.SILVER)
-    aggregates = gold.team_season_aggregates(matches, with_league_measures=True)
-    agg_plan = aggregates._jdf.queryExecution().executedPlan().toString()
-    assert agg_plan.count("FileScan parquet") == 1 and agg_plan.count("Exchange hashpartitioning") == 1
-    saved = aggregates.checkpoint()
-    plan = gold.league_summary_from(saved)._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan parquet" not in plan
