@@ -2,12 +2,15 @@
 
 Each query is run to completion with the ``noop`` sink (whole plan executed,
 nothing collected). One untimed pass over the same queries comes first, so
-the timed pass measures steady state (JIT-compiled generated code, warm
+the timed passes measure steady state (JIT-compiled generated code, warm
 caches) as a long-running job sees it, not JVM start-up; ``BENCH_WARMUP=0``
-times the cold pass instead. Prints one JSON line: {"metric", "value" (sum
-of query seconds), "unit", "queries", "sf"}. ``BENCH_QUERIES=a,b`` runs a
-subset; ``BENCH_EVENT_LOG_DIR`` writes Spark's event log there (per-stage
-and per-task times).
+skips it. Then ``BENCH_ROUNDS`` (default 3) timed passes, and after all of
+them the whole pipeline (one untimed run, then the same number of timed
+runs); each entry is the median of its rounds (single samples varied by up to 50 % between
+runs, as HotSpot compiles generated code in background threads). Prints one
+JSON line: {"metric", "value" (sum of the per-query medians), "unit",
+"queries", "sf"}. ``BENCH_QUERIES=a,b`` runs a subset; ``BENCH_EVENT_LOG_DIR``
+writes Spark's event log there (per-stage and per-task times).
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -39,12 +43,15 @@ def main() -> None:
     from touchline.session import scratch_path
 
     event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # stage/task times without the UI
-    extra = {}
+    # local mode runs every executor thread in this one JVM: size its heap
+    # (PySpark's default is 1 GB for all eight task threads)
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")}
     if event_dir:
         os.makedirs(event_dir, exist_ok=True)
-        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir}
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(f"local[{cpus}]", app_name="touchline-bench", shuffle_partitions=int(cpus) * 2,
                           extra_conf=extra)
+
     def pipeline() -> float:
         """Whole pipeline over landed CSV files: land -> bronze -> silver -> gold -> catalog."""
         run_root, run_id = _landed_run(spark, sf_dir)
@@ -63,15 +70,23 @@ def main() -> None:
         return round(time.perf_counter() - t0, 3)
 
     names = only or HEADLINE
-    if os.environ.get("BENCH_WARMUP", "1") != "0":
+    warm = os.environ.get("BENCH_WARMUP", "1") != "0"
+    rounds = max(1, int(os.environ.get("BENCH_ROUNDS", "3")))
+    samples: dict[str, list[float]] = {}
+    # the queries first, then the pipeline: the pipeline runs the same parse
+    # code over another input layout, and interleaving it slowed the next
+    # queries by up to 2x in this one shared JVM (measured), an effect of
+    # local mode that separate cluster jobs do not share
+    for name in names if warm else ():
+        run(name)
+    for _ in range(rounds):
         for name in names:
-            run(name)
-        if not only:
-            pipeline()
-
-    timings: dict[str, float] = {name: run(name) for name in names}
+            samples.setdefault(name, []).append(run(name))
     if not only:
-        timings["pipeline_run_all"] = pipeline()
+        if warm:
+            pipeline()
+        samples["pipeline_run_all"] = [pipeline() for _ in range(rounds)]
+    timings = {name: statistics.median(times) for name, times in samples.items()}
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
