@@ -166,3 +166,11 @@ def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_dir):
     static = dataclasses.replace(params, partition_overwrite="static")
     jobs.run_all(spark, static, run2, with_model=False)
     assert {r.league_code for r in read_table(spark, params.lake_root, "silver.matches").collect()} == {"SP1"}
+
+
+def test_checkpoint_folder_is_never_machine_local_on_a_cluster():
+    from touchline.session import _local_only_folder
+    assert _local_only_folder("local[4]")
+    for master in ("yarn", "spark://host:7077", "k8s://https://host"):
+        with pytest.raises(ValueError):
+            _local_only_folder(master)

@@ -66,7 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` as named by the cluster).
-    Only where nothing is set, as in local tests, a fresh folder is made.
+    Only where nothing is set and the master is local (tests, the bench) is a
+    fresh folder made; on a cluster a machine-local folder would not survive
+    a lost executor, so an unset folder is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -77,14 +79,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="touchline-ckpt-"))
+        sc.setCheckpointDir(configured or _local_only_folder(sc.master))
         return sc.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="touchline-ckpt-")
+        configured = _local_only_folder(spark.conf.get("spark.master", ""))
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
 
 
+def _local_only_folder(master: str) -> str:
+    if not (master or "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor and the "
+                         "driver share (HDFS, object store, shared mount)")
+    return tempfile.mkdtemp(prefix="touchline-ckpt-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
