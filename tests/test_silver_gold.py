@@ -122,3 +122,28 @@ def test_views_columns(raw_small):
     assert len(views.bronze_view(silver.conform_bronze(raw_small)).columns) == 26
     assert views.league_summary_view(gold.league_season_summary(s)).columns[-1] == "home_goal_advantage"
 
+
+
+def test_team_table_with_a_hot_team_matches_brute_force(raw_small):
+    """One team hosts a third of all matches (a hot key): the aggregate still
+    equals a row-by-row count in pandas over the same silver rows."""
+    hot = raw_small.withColumn(
+        "HomeTeam", F.when(F.xxhash64("Date", "AwayTeam", "FTHG") % 3 == 0, F.lit("HOT")).otherwise(F.col("HomeTeam")))
+    s = silver.silver_matches(hot)
+    got = {(r.league_code, r.season, r.team): r for r in gold.team_season_table(s).collect()}
+    pdf = s.select("league_code", "season", "home_team", "away_team", "full_time_result",
+                   "full_time_home_goals", "full_time_away_goals").toPandas()
+    expected: dict = {}
+    for row in pdf.itertuples(index=False):
+        for team, own, gf, ga in ((row.home_team, "H", row.full_time_home_goals, row.full_time_away_goals),
+                                  (row.away_team, "A", row.full_time_away_goals, row.full_time_home_goals)):
+            e = expected.setdefault((row.league_code, row.season, team), [0, 0, 0, 0])
+            e[0] += 1
+            e[1] += row.full_time_result == own
+            e[2] += row.full_time_result == "D"
+            e[3] += gf - ga
+    assert sum(v[0] for k, v in expected.items() if k[2] == "HOT") > len(pdf) / 4
+    assert set(got) == set(expected)
+    for key, (mp, wins, draws, gd) in expected.items():
+        r = got[key]
+        assert (r.matches_played, r.wins, r.draws, r.goal_difference, r.points) == (mp, wins, draws, gd, 3 * wins + draws)
