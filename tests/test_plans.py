@@ -52,3 +52,21 @@ def test_league_filter_prunes_partitions(spark, tmp_dir):
 def test_champions_uses_window_group_limit(spark, tmp_dir):
     champs = views.champions(gold.team_season_table(_silver_table(spark, tmp_dir)))
     assert "WindowGroupLimit" in _plan(champs)
+
+
+def test_jit_option_is_appended_once():
+    from touchline.session import JIT_OPTIONS, with_jit_option
+    assert with_jit_option(None) == JIT_OPTIONS
+    assert with_jit_option("-XX:+UseG1GC") == f"-XX:+UseG1GC {JIT_OPTIONS}"
+    assert with_jit_option(f"-Xss4m {JIT_OPTIONS}") == f"-Xss4m {JIT_OPTIONS}"
+
+
+def test_small_scan_spread_by_row_hash(spark):
+    from touchline.session import spread_small_scan
+    scan = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    spread = spread_small_scan(scan)
+    cores = spark.sparkContext.defaultParallelism
+    assert spread.rdd.getNumPartitions() == cores
+    assert "hashpartitioning(l_orderkey" in _plan(spread)
+    assert sorted(spread.collect()) == sorted(scan.collect())
+    assert spread_small_scan(spread.repartition(cores * 2)).rdd.getNumPartitions() == cores * 2
