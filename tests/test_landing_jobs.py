@@ -174,3 +174,21 @@ def test_checkpoint_folder_is_never_machine_local_on_a_cluster():
     for master in ("yarn", "spark://host:7077", "k8s://https://host"):
         with pytest.raises(ValueError):
             _local_only_folder(master)
+
+
+def test_landed_folders_with_spaces_and_glob_characters(spark, tmp_dir):
+    """File paths come back as URIs (``%20``) and readers expand globs: a
+    folder named ``premier league`` or ``liga[1]`` must still be read, and
+    provenance must hold the real folder name."""
+    run_root = landing.run_folder(f"{tmp_dir}/landing", RUN)
+    header = "Div,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR\n"
+    write_text(f"{run_root}/premier league/9394.csv", header + "E0,14/08/93,A,B,1,0,H\n")
+    write_text(f"{run_root}/liga[1]/9394.csv", header + "L1,14/08/93,C,D,0,0,D\n")
+    write_text(f"{run_root}/a+b/9394.csv", header + "P1,14/08/93,E,F,2,2,D\n")
+    leagues = {"E0": "premier league", "L1": "liga[1]", "P1": "a+b"}
+    rows = bronze_from_landing(spark, run_root, RUN, leagues).collect()
+    assert sorted((r.league_name, r.league_code, r.HomeTeam) for r in rows) == [
+        ("a+b", "P1", "E"), ("liga[1]", "L1", "C"), ("premier league", "E0", "A")]
+    manifest = landing.ingest_manifest(league_dimension(spark, leagues), 1993, 1993, run_root)
+    results = landing.landing_results(manifest, landing.landed_headers(spark, run_root)).collect()
+    assert all(r.success for r in results) and len(results) == 3

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,12 +70,23 @@ def provenance(source_file: Column, run_id: str, leagues: dict[str, str] | None
     ]
 
 
+_GLOB_CHARS = re.compile(r"([\\{}\[\]*?])")
+
+
+def readable_path(file_uri: str) -> str:
+    """A ``_metadata.file_path`` URI as a path the file readers accept: escapes
+    decoded (``%20`` -> space) and glob characters escaped, because readers
+    expand ``[``, ``{``, ``*`` and ``?`` in the paths they are given."""
+    return _GLOB_CHARS.sub(r"\\\1", unquote(file_uri))
+
+
 def read_landed_csv(spark: SparkSession, groups: list[tuple[list[str], list[str]]]) -> DataFrame | None:
     """One all-STRING CSV scan per header group, union by name, + file path."""
     frames = []
     for columns, paths in groups:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        scan = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(paths)
+        scan = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+                .csv([readable_path(p) for p in paths]))
         frames.append(scan.select("*", F.col("_metadata.file_path").alias("_file_path")))
     if not frames:
         return None

@@ -31,14 +31,23 @@ def run_folder(landing_root: str, run_id: str) -> str:
     return f"{landing_root.rstrip('/')}/_runs/{run_id}"
 
 
+def _percent_decoded(text: Column) -> Column:
+    """``%XX`` escapes of a file URI decoded (``premier%20league`` ->
+    ``premier league``). Spark's ``url_decode`` is form decoding, so a literal
+    ``+`` is protected first; text that does not decode is kept as is."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
 def league_name_from_path(path: Column) -> Column:
+    """League folder name of a landed file (``_metadata.file_path`` is a
+    URI, so escapes are decoded)."""
     hive = F.regexp_extract(path, HIVE_LEAGUE, 1)
-    return F.when(hive != "", hive).otherwise(F.regexp_extract(path, LEAGUE_FROM_PATH, 1))
+    return _percent_decoded(F.when(hive != "", hive).otherwise(F.regexp_extract(path, LEAGUE_FROM_PATH, 1)))
 
 
 def season_from_path(path: Column) -> Column:
     hive = F.regexp_extract(path, HIVE_SEASON, 1)
-    return F.when(hive != "", hive).otherwise(F.regexp_extract(path, SEASON_FROM_PATH, 1))
+    return _percent_decoded(F.when(hive != "", hive).otherwise(F.regexp_extract(path, SEASON_FROM_PATH, 1)))
 
 
 # --- S1 season calendar ------------------------------------------------------
