@@ -192,3 +192,15 @@ def test_landed_folders_with_spaces_and_glob_characters(spark, tmp_dir):
     manifest = landing.ingest_manifest(league_dimension(spark, leagues), 1993, 1993, run_root)
     results = landing.landing_results(manifest, landing.landed_headers(spark, run_root)).collect()
     assert all(r.success for r in results) and len(results) == 3
+
+
+def test_odd_column_names_and_quoted_fields(spark, tmp_dir):
+    """Odds columns with dots and comparison signs, a quoted referee with a
+    comma, a BOM and CRLF line ends: read by name, unknown columns dropped."""
+    run_root = landing.run_folder(f"{tmp_dir}/landing", RUN)
+    text = ("﻿Div,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR,Referee,BbMx>2.5,B365<2.5,HS\r\n"
+            'E0,11/08/2023,Burnley,Man City,0,3,A,"Smith, J",1.8,2.1,6\r\n')
+    write_text(f"{run_root}/england_premier_league/2324.csv", text)
+    row = bronze_from_landing(spark, run_root, RUN, LEAGUES).first()
+    assert (row.Div, row.Referee, row.HS, row.league_code, row.season) == ("E0", "Smith, J", "6", "E0", "2324")
+    assert "BbMx>2.5" not in row.asDict()
