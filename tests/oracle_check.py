@@ -1,6 +1,7 @@
 """Spark-vs-DuckDB comparison in the manner of the driver's gate.
 
-Usage: ``python tests/oracle_check.py [sf_dir] [query ...]``. Prints one line
+Usage: ``python tests/oracle_check.py [--plain] [sf_dir] [query ...]``
+(``--plain``: a bare session instead of ``build_session``). Prints one line
 per query: rows on both sides, column-name match, multiset value match.
 """
 
@@ -85,9 +86,16 @@ def main(argv):
     from touchline.session import build_session
     import __spark_entry__ as E
 
+    plain = "--plain" in argv  # a bare session, as an outside caller would build it
+    argv = [a for a in argv if a != "--plain"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     wanted = argv[2:]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()
     bad = 0
