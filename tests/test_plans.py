@@ -54,11 +54,13 @@ def test_champions_uses_window_group_limit(spark, tmp_dir):
     assert "WindowGroupLimit" in _plan(champs)
 
 
-def test_jit_option_is_appended_once():
+def test_jit_options_are_appended_once_and_never_override_the_site():
     from touchline.session import JIT_OPTIONS, with_jit_option
     assert with_jit_option(None) == JIT_OPTIONS
     assert with_jit_option("-XX:+UseG1GC") == f"-XX:+UseG1GC {JIT_OPTIONS}"
     assert with_jit_option(f"-Xss4m {JIT_OPTIONS}") == f"-Xss4m {JIT_OPTIONS}"
+    site = "-XX:ReservedCodeCacheSize=1g -XX:+DontCompileHugeMethods"
+    assert with_jit_option(site) == site
 
 
 def test_small_scan_spread_by_row_hash(spark):
