@@ -250,8 +250,8 @@ def q_pruned_read(spark, sf_dir):
     return read_layer(spark, _written_silver(spark, sf_dir), schemas.SILVER).where(F.col("league_code") == "E0")
 
 
-def _lake_from(spark, sf_dir) -> tuple[str, str]:
-    """A lake with silver and gold written from the driver's tables; its
+def _lake_from(spark, sf_dir, with_gold: bool = True) -> tuple[str, str]:
+    """A lake with silver (and gold) written from the driver's tables; its
     tables registered under a fresh database prefix."""
     import uuid
     from ..session import scratch_path
@@ -261,9 +261,12 @@ def _lake_from(spark, sf_dir) -> tuple[str, str]:
     from .jobs import build_gold
     root = scratch_path(spark, "lake")
     write_layer(_silver(spark, sf_dir), layer_path(root, "silver.matches"))
-    build_gold(spark, RunParams(lake_root=root))
+    tables = ("silver.matches",)
+    if with_gold:
+        build_gold(spark, RunParams(lake_root=root))
+        tables += ("gold.team_season_table", "gold.league_season_summary")
     prefix = f"tl{uuid.uuid4().hex[:8]}_"
-    register_lake(spark, root, prefix, ("silver.matches", "gold.team_season_table", "gold.league_season_summary"))
+    register_lake(spark, root, prefix, tables)
     return root, prefix
 
 
@@ -271,7 +274,7 @@ def _lake_from(spark, sf_dir) -> tuple[str, str]:
 def q_catalog_tables(spark, sf_dir):
     """External silver table over existing partition folders, after repair."""
     from .catalog import qualified
-    _, prefix = _lake_from(spark, sf_dir)
+    _, prefix = _lake_from(spark, sf_dir, with_gold=False)
     return spark.table(qualified("silver.matches", prefix))
 
 
