@@ -147,3 +147,46 @@ def test_team_table_with_a_hot_team_matches_brute_force(raw_small):
     for key, (mp, wins, draws, gd) in expected.items():
         r = got[key]
         assert (r.matches_played, r.wins, r.draws, r.goal_difference, r.points) == (mp, wins, draws, gd, 3 * wins + draws)
+
+
+def _by_key(df, key=("league_code", "season")):
+    return {tuple(r[k] for k in key): r.asDict() for r in df.collect()}
+
+
+def test_gold_from_venue_aggregates_equals_direct(spark, raw_small):
+    """The gold job's one-pass path (per-team-and-venue aggregates, then a
+    team sum and a league roll-up of home rows) equals the direct
+    aggregations, on the derived rows and on edge cases: a league-season with
+    no known shots (AVG is NULL), a missing result, unknown goals."""
+    edge = raw_frame(spark, [
+        match(home="A", away="B", HS=None, season="9394"),
+        match(home="B", away="A", ftr=None, fthg="x", HS=None, AS="3", season="9394"),
+        match(home="A", away="C", ftr="D", fthg="1", ftag="1", hthg=None, season="0001", league="SP1"),
+        match(home="B", away="C", ftr="A", fthg="0", ftag="2", HY="", season="0001", league="SP1"),
+    ])
+    for raw in (edge, raw_small):
+        s = silver.silver_matches(raw)
+        per_venue = gold.team_venue_aggregates(s)
+        league, direct = gold.league_summary_from(per_venue), gold.league_season_summary(s)
+        assert types_of(league) == types_of(direct) == types_of(schemas.LEAGUE_SUMMARY)
+        assert _by_key(league) == _by_key(direct)
+        team = gold.team_table_from(per_venue)
+        assert types_of(team) == types_of(schemas.TEAM_SEASON)
+        key = ("league_code", "season", "team")
+        assert _by_key(team, key) == _by_key(gold.team_season_table(s), key)
+    no_shots = _by_key(gold.league_summary_from(gold.team_venue_aggregates(silver.silver_matches(edge))))
+    assert no_shots[("E0", "9394")]["avg_shots_per_match"] is None
+
+
+def test_gold_job_path_reads_the_matches_once(spark, tmp_dir):
+    """One scan and one Exchange for the per-venue aggregates; the league
+    roll-up over their checkpoint reads no Parquet."""
+    from touchline.sources.layers import read_layer, write_layer
+    s = silver.silver_matches(load_raw_matches(spark, SF_SMALL))
+    matches = read_layer(spark, write_layer(s, f"{tmp_dir}/silver"), schemas.SILVER)
+    per_venue = gold.team_venue_aggregates(matches)
+    plan = per_venue._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+    saved = per_venue.checkpoint()
+    for derived in (gold.league_summary_from(saved), gold.team_table_from(saved)):
+        assert "FileScan parquet" not in derived._jdf.queryExecution().executedPlan().toString()

@@ -91,13 +91,20 @@ def build_silver(spark: SparkSession, params: RunParams) -> str:
 def build_gold(spark: SparkSession, params: RunParams) -> tuple[str, str]:
     """Silver table -> team-season table and league-season summary.
 
-    Both outputs are small (one row per team or league and season); a
-    rebalance on the partition columns gives one file per partition.
+    ONE pass over the matches: the per-(team, venue) aggregates
+    (``gold.team_venue_aggregates``, two rows per team and season) are
+    checkpointed into the shared folder, and both tables are derived from
+    them: the team table sums a team's two venue rows, the league summary
+    rolls up the home rows. Both outputs are small; a rebalance on the
+    partition columns gives one file per partition.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     matches = read_table(spark, params.lake_root, "silver.matches")
-    team = write_layer(gold.team_season_table(matches), layer_path(params.lake_root, "gold.team_season_table"),
+    per_venue = gold.team_venue_aggregates(matches).checkpoint()
+    team = write_layer(gold.team_table_from(per_venue), layer_path(params.lake_root, "gold.team_season_table"),
                        dynamic=_dynamic(params))
-    summary = write_layer(gold.league_season_summary(matches),
+    summary = write_layer(gold.league_summary_from(per_venue),
                           layer_path(params.lake_root, "gold.league_season_summary"), dynamic=_dynamic(params))
     return team, summary
 

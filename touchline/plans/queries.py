@@ -77,7 +77,10 @@ def q_league_season_summary(spark, sf_dir):
 
 @query("league_summary_view")
 def q_league_summary_view(spark, sf_dir):
-    return views.league_summary_view(gold.league_season_summary(_silver(spark, sf_dir)))
+    """The view over the summary as the gold job builds it: rolled up from
+    the per-(team, venue) aggregates (``league_season_summary`` is the direct
+    aggregation; both meet the same oracle)."""
+    return views.league_summary_view(gold.league_summary_from(gold.team_venue_aggregates(_silver(spark, sf_dir))))
 
 
 @query("league_table_ranked")
