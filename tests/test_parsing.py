@@ -34,3 +34,10 @@ def test_season_start_year_keeps_leading_zero_and_century(spark):
 def test_season_code_roundtrip(spark):
     got = _one(spark, season_code, [1993, 1999, 2000, 2009, 2023], "int")
     assert got == ["9394", "9900", "0001", "0910", "2324"]
+
+
+def test_readable_path_decodes_uri_escapes_and_escapes_globs():
+    from touchline.sources.bronze import readable_path
+    assert readable_path("file:/l/premier%20league/9394.csv") == "file:/l/premier league/9394.csv"
+    assert readable_path("file:/l/liga%5B1%5D/a+b/%7Bx%7D*.csv") == "file:/l/liga\\[1\\]/a+b/\\{x\\}\\*.csv"
+    assert readable_path("file:/l/plain/0001.csv") == "file:/l/plain/0001.csv"
