@@ -29,7 +29,9 @@ def build_session(master: str | None = None, app_name: str = "touchline",
 
     On a cluster ``master`` is left to spark-submit. ``shuffle_partitions`` is
     only an upper bound: AQE coalesces small shuffle partitions and splits
-    skewed ones at run time.
+    skewed ones at run time. Static settings (JVM options, the codegen class
+    cache) take effect only when this call creates the session; an existing
+    session is reused as it is.
     """
     builder = (
         SparkSession.builder.appName(app_name)
