@@ -8,6 +8,11 @@ Plans (checked with ``explain``):
   HashAggregate -> one Project with all 45 derived metrics.
 * league summary: silver -> partial HashAggregate -> Exchange on
   (league_code, season) -> final HashAggregate -> Project.
+* the gold job builds both from ONE pass: :func:`team_venue_aggregates`
+  (same shape as the team table, grouped also by venue, with the per-match
+  totals the league summary averages), checkpointed, then
+  :func:`team_table_from` and :func:`league_summary_from` over that small
+  result.
 
 Every measure is an algebraic aggregate (count / sum / avg), so the partial
 aggregate combines map-side: whatever share of the rows one league, season or
