@@ -72,3 +72,11 @@ def test_small_scan_spread_by_row_hash(spark):
     assert "hashpartitioning(l_orderkey" in _plan(spread)
     assert sorted(spread.collect()) == sorted(scan.collect())
     assert spread_small_scan(spread.repartition(cores * 2)).rdd.getNumPartitions() == cores * 2
+
+
+def test_model_season_bound_prunes_partitions(spark, tmp_dir):
+    from touchline.operators.model import match_features
+    plan = _plan(match_features(_silver_table(spark, tmp_dir), 1998))
+    part = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    # the bound on the derived start year is evaluated over the season folders
+    assert "PartitionFilters: [(CASE WHEN (try_cast(substring(season" in part

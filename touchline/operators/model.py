@@ -17,6 +17,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parsing import season_start_year
+
 FEATURES = (
     "full_time_home_goals", "full_time_away_goals", "half_time_home_goals",
     "half_time_away_goals", "home_shots", "away_shots",
@@ -36,9 +38,13 @@ def outcome_label(result: str = "full_time_result"):
 def match_features(silver: DataFrame, min_start_year: int = MIN_SEASON_START_YEAR) -> DataFrame:
     """Six numeric features + label; unknown results ('U') and rows with a
     NULL feature are dropped. The season bound is on the typed start year
-    (a text bound would let ``"9394"`` pass)."""
+    (a text bound would let ``"9394"`` pass). It is stated twice: on the
+    stored start year, and on the ``season`` partition column it is derived
+    from, so a read of the silver table skips the folders of older seasons
+    at planning time instead of scanning them."""
+    bound = (F.col("season_start_year") >= min_start_year) & (season_start_year("season") >= min_start_year)
     return (
-        silver.where(F.col("season_start_year") >= min_start_year)
+        silver.where(bound)
         .select(*FEATURES, outcome_label().alias("label"))
         .na.drop(subset=[*FEATURES, "label"])
     )
