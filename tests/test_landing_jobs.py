@@ -9,6 +9,8 @@ unknown league, and an empty and a blank file.
 from __future__ import annotations
 
 import datetime as dt
+import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,9 +162,15 @@ def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_dir):
     run2 = "20240102T000000Z"
     write_text(landing.run_folder(f"{tmp_dir}/landing", run2) + "/spain_la_liga/2324.csv",
                "Div,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR\nSP1,12/08/2023,Sevilla,Valencia,1,2,A\n")
+    e0_files = {(p, os.path.getmtime(p)) for p in glob.glob(f"{tmp_dir}/lake/*/*/league_code=E0/*/*.parquet")}
+    assert e0_files
     jobs.run_all(spark, params, run2, with_model=False)
     teams = {(r.league_code, r.home_team) for r in read_table(spark, params.lake_root, "silver.matches").collect()}
     assert teams == {("E0", "Burnley"), ("SP1", "Sevilla")}
+    # the second run read and rewrote only SP1: E0's silver and gold files are untouched
+    assert {(p, os.path.getmtime(p)) for p in glob.glob(f"{tmp_dir}/lake/*/*/league_code=E0/*/*.parquet")} == e0_files
+    league = {r.league_code: r.matches for r in read_table(spark, params.lake_root, "gold.league_season_summary").collect()}
+    assert league == {"E0": 1, "SP1": 1}
     static = dataclasses.replace(params, partition_overwrite="static")
     jobs.run_all(spark, static, run2, with_model=False)
     assert {r.league_code for r in read_table(spark, params.lake_root, "silver.matches").collect()} == {"SP1"}

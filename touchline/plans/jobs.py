@@ -81,14 +81,31 @@ def build_bronze(spark: SparkSession, params: RunParams, run_id: str, headers: D
                        dynamic=_dynamic(params))
 
 
-def build_silver(spark: SparkSession, params: RunParams) -> str:
-    """Bronze table -> silver table (partition-aligned, no shuffle)."""
-    bronze = read_table(spark, params.lake_root, "bronze.matches")
+def only_partitions(frame: DataFrame, partitions: list[tuple[str, str]] | None) -> DataFrame:
+    """Rows of the given (league_code, season) partitions only, or all rows.
+
+    The test is an expression over the partition columns alone, so a table
+    read prunes the other folders at planning time. Every silver row and every
+    gold aggregate belongs to one (league, season), so a layer rebuilt from
+    these partitions equals the full rebuild on them."""
+    if partitions is None:
+        return frame
+    keys = sorted({f"{code}/{season}" for code, season in partitions})
+    return frame.where(F.concat_ws("/", "league_code", "season").isin(keys))
+
+
+def build_silver(spark: SparkSession, params: RunParams, partitions: list[tuple[str, str]] | None = None) -> str:
+    """Bronze table -> silver table (partition-aligned, no shuffle).
+
+    With ``partitions`` (dynamic overwrite), only those bronze partitions are
+    read and only those silver partitions replaced."""
+    bronze = only_partitions(read_table(spark, params.lake_root, "bronze.matches"), partitions)
     return write_layer(silver.silver_matches(bronze), layer_path(params.lake_root, "silver.matches"),
                        rebalance=False, dynamic=_dynamic(params))
 
 
-def build_gold(spark: SparkSession, params: RunParams) -> tuple[str, str]:
+def build_gold(spark: SparkSession, params: RunParams,
+               partitions: list[tuple[str, str]] | None = None) -> tuple[str, str]:
     """Silver table -> team-season table and league-season summary.
 
     ONE pass over the matches: the per-(team, venue) aggregates
@@ -96,11 +113,12 @@ def build_gold(spark: SparkSession, params: RunParams) -> tuple[str, str]:
     checkpointed into the shared folder, and both tables are derived from
     them: the team table sums a team's two venue rows, the league summary
     rolls up the home rows. Both outputs are small; a rebalance on the
-    partition columns gives one file per partition.
+    partition columns gives one file per partition. With ``partitions``
+    (dynamic overwrite) only those silver partitions are read.
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    matches = read_table(spark, params.lake_root, "silver.matches")
+    matches = only_partitions(read_table(spark, params.lake_root, "silver.matches"), partitions)
     per_venue = gold.team_venue_aggregates(matches).checkpoint()
     team = write_layer(gold.team_table_from(per_venue), layer_path(params.lake_root, "gold.team_season_table"),
                        dynamic=_dynamic(params))
@@ -133,8 +151,14 @@ def run_all(spark: SparkSession, params: RunParams, run_id: str | None = None, *
     if bronze_path is None:
         return report
     report.outputs["bronze.matches"] = bronze_path
-    report.outputs["silver.matches"] = build_silver(spark, params)
-    team, league = build_gold(spark, params)
+    # dynamic overwrite: the later layers rebuild only the partitions this run
+    # landed (at most leagues x seasons pairs, from the manifest)
+    partitions = None
+    if _dynamic(params):
+        landed = landing.successful(results).select("league_code", "season").distinct().collect()
+        partitions = [(r.league_code, r.season) for r in landed]
+    report.outputs["silver.matches"] = build_silver(spark, params, partitions)
+    team, league = build_gold(spark, params, partitions)
     report.outputs["gold.team_season_table"] = team
     report.outputs["gold.league_season_summary"] = league
     register_lake(spark, params.lake_root, params.database_prefix)
