@@ -80,3 +80,21 @@ def test_model_season_bound_prunes_partitions(spark, tmp_dir):
     part = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
     # the bound on the derived start year is evaluated over the season folders
     assert "PartitionFilters: [(CASE WHEN (try_cast(substring(season" in part
+
+
+def test_no_cross_join_nested_loop_or_python_udf_in_any_query(spark):
+    """Every registered query (the forest aside: its plan is MLlib's) plans
+    without a cartesian product, a nested-loop join or a Python UDF."""
+    import __spark_entry__ as E
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+    for name, fn in E.queries().items():
+        if name == "outcome_model":
+            continue
+        plan = _plan(fn(spark, SF_SMALL))
+        assert not [b for b in banned if b in plan], name
+
+
+def test_silver_job_plan_has_no_shuffle(spark, tmp_dir):
+    bronze = silver.conform_bronze(load_raw_matches(spark, SF_SMALL))
+    path = write_layer(bronze, f"{tmp_dir}/bronze")
+    assert "Exchange" not in _plan(silver.silver_matches(read_layer(spark, path, schemas.BRONZE)))
