@@ -33,6 +33,8 @@ def tree_and_scans(text: str) -> str:
 def main(argv: list[str]) -> None:
     from touchline import schemas
     from touchline.operators import gold, silver, views
+    from touchline.operators.model import match_features
+    from touchline.plans.jobs import only_partitions
     from touchline.plans.queries import REGISTRY, _silver
     from touchline.session import build_session, scratch_path
     from touchline.sources.layers import layer_path, read_table, write_layer
@@ -50,6 +52,9 @@ def main(argv: list[str]) -> None:
         ("League summary, standalone", gold.league_season_summary(matches)),
         ("Flagship: champions (WindowGroupLimit under the rank filter)", views.champions(gold.team_season_table(matches))),
         ("Pruned read: one league of silver", matches.where("league_code = 'E0'")),
+        ("Incremental silver job (dynamic overwrite): only the landed partitions are read",
+         silver.silver_matches(only_partitions(bronze, [("E0", "9900")]))),
+        ("Model features: the season bound prunes the season folders", match_features(matches, 1998)),
         ("Landing check (manifest vs landed files)", REGISTRY["landing_results"](spark, sf_dir)),
     ]
     out = ["# PLANS", "",
