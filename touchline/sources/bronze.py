@@ -49,7 +49,7 @@ def header_groups(headers: DataFrame) -> list[tuple[list[str], list[str]]]:
     most files would otherwise put every path into one task's buffer.
     """
     paths: dict[str, list[str]] = {}
-    for row in headers.select("header", "file_path").toLocalIterator():
+    for row in headers.select("header", "file_path").toLocalIterator(prefetchPartitions=True):
         paths.setdefault(row["header"], []).append(row["file_path"])
     return [(header_columns(h), sorted(paths[h])) for h in sorted(paths)]
 
