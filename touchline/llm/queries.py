@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .bpe import op2_byte_bpe
 from .simhash import op5_simhash_ball
 
 REGISTRY = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op5_simhash_ball": op5_simhash_ball,
 }
 ORACLE: dict[str, str] = {}
