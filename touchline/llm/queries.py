@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .bpe import op2_byte_bpe
 from .simhash import op5_simhash_ball
+from .toxicity import op10_toxicity
 
 REGISTRY = {
     "op2_byte_bpe": op2_byte_bpe,
     "op5_simhash_ball": op5_simhash_ball,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
