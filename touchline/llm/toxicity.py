@@ -51,6 +51,8 @@ EXCEPTION_SIZE = 500
 #: Log-likelihood ratio an entry needs; chance alone exceeds it about once in 10,000 entries.
 MIN_RATIO = 15.0
 MIN_TOXIC = 3
+#: Times as frequent an entry must be in toxic texts as in clean ones.
+MIN_LIFT = 50
 MIN_EXCEPTION = 5
 #: Entries are whole words, or their first 3 to 8 letters.
 BEGINNINGS = range(3, 9)
@@ -206,7 +208,7 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from) -> Lexicon:
     n, p = t + c, F.lit(n_toxic / (n_toxic + n_clean))
     part = lambda k, e: F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
     ratio = 2 * (part(t, n * p) + part(c, n * (1 - p)))
-    candidates = (_counted(rows, entries).where((t >= MIN_TOXIC) & (t > n * p))
+    candidates = (_counted(rows, entries).where((t >= MIN_TOXIC) & (t * n_clean >= c * n_toxic * MIN_LIFT))
                   .select("entry", "toxic", "clean", ratio.alias("ratio"))
                   .orderBy(F.desc("ratio"), F.desc(F.length("entry")), "entry").limit(LEXICON_SIZE).collect())
     odds = {r.entry: math.log((r.toxic + 0.5) / (n_toxic + 1)) - math.log((r.clean + 0.5) / (n_clean + 1))
