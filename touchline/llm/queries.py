@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from .bpe import op2_byte_bpe
+from .mixing import OP3_SQL, op3_curriculum_mix
 from .simhash import op5_simhash_ball
 from .toxicity import op10_toxicity
 
 REGISTRY = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_curriculum_mix": op3_curriculum_mix,
     "op5_simhash_ball": op5_simhash_ball,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_curriculum_mix": OP3_SQL,
+}
