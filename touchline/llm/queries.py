@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from .bpe import op2_byte_bpe
 from .mixing import OP3_SQL, op3_curriculum_mix
+from .quality import OP1_SQL, op1_host_rules
 from .simhash import op5_simhash_ball
 from .toxicity import op10_toxicity
 
 REGISTRY = {
+    "op1_host_rules": op1_host_rules,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op5_simhash_ball": op5_simhash_ball,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {
+    "op1_host_rules": OP1_SQL,
     "op3_curriculum_mix": OP3_SQL,
 }
