@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_GAPS, cut, table
+from .common import WORD_GAPS, cut, let, table
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -38,11 +38,6 @@ FLAT = 10.0
 RULES = ("short", "repeats", "symbols", "dup_lines")
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def repeat_words(words: Column) -> Column:
     """Words inside 3-word windows that occur twice or more, first occurrence included.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op2_byte_bpe
 from .mixing import OP3_SQL, op3_curriculum_mix
+from .multiset_hash import op4_multiset_hash
 from .quality import OP1_SQL, op1_host_rules
 from .simhash import op5_simhash_ball
 from .toxicity import op10_toxicity
@@ -12,6 +13,7 @@ REGISTRY = {
     "op1_host_rules": op1_host_rules,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_curriculum_mix": op3_curriculum_mix,
+    "op4_multiset_hash": op4_multiset_hash,
     "op5_simhash_ball": op5_simhash_ball,
     "op10_toxicity": op10_toxicity,
 }
