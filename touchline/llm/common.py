@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +11,19 @@ from ..session import scratch_path
 
 CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: The characters that part words: space and U+0009 to U+000D.
 WORD_GAPS = " \t\n\x0b\f\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A whole input table."""
+    """A whole input table. Python workers are told where this package lies, for
+    sessions started from another folder (a cluster installs the package)."""
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

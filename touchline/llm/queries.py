@@ -8,6 +8,7 @@ from .multiset_hash import op4_multiset_hash
 from .quality import OP1_SQL, op1_host_rules
 from .simhash import op5_simhash_ball
 from .toxicity import op10_toxicity
+from .warc import OP9_SQL, op9_warc
 
 REGISTRY = {
     "op1_host_rules": op1_host_rules,
@@ -15,9 +16,11 @@ REGISTRY = {
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_multiset_hash": op4_multiset_hash,
     "op5_simhash_ball": op5_simhash_ball,
+    "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {
     "op1_host_rules": OP1_SQL,
     "op3_curriculum_mix": OP3_SQL,
+    "op9_warc": OP9_SQL,
 }
