@@ -7,6 +7,7 @@ from .mixing import OP3_SQL, op3_curriculum_mix
 from .multiset_hash import op4_multiset_hash
 from .quality import OP1_SQL, op1_host_rules
 from .simhash import op5_simhash_ball
+from .suffix_dedup import op6_suffix_dedup
 from .toxicity import op10_toxicity
 from .warc import OP9_SQL, op9_warc
 
@@ -16,6 +17,7 @@ REGISTRY = {
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_multiset_hash": op4_multiset_hash,
     "op5_simhash_ball": op5_simhash_ball,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
 }

@@ -41,7 +41,7 @@ from .common import cut, table
 MAGIC = b"\x1f\x8b\x08"
 SPLIT_BYTES = 4 << 20
 ARCHIVE_BYTES = 256 << 20
-READ_BYTES = 1 << 20
+READ_BYTES = 1 << 17
 #: The revisit profile of the WARC standard and the records' date.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
