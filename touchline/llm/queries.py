@@ -9,6 +9,7 @@ from .quality import OP1_SQL, op1_host_rules
 from .simhash import op5_simhash_ball
 from .suffix_dedup import op6_suffix_dedup
 from .toxicity import op10_toxicity
+from .url_lists import OP8_SQL, op8_url_lists
 from .warc import OP9_SQL, op9_warc
 
 REGISTRY = {
@@ -18,11 +19,13 @@ REGISTRY = {
     "op4_multiset_hash": op4_multiset_hash,
     "op5_simhash_ball": op5_simhash_ball,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op8_url_lists": op8_url_lists,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {
     "op1_host_rules": OP1_SQL,
     "op3_curriculum_mix": OP3_SQL,
+    "op8_url_lists": OP8_SQL,
     "op9_warc": OP9_SQL,
 }
