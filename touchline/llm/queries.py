@@ -8,6 +8,7 @@ from .multiset_hash import op4_multiset_hash
 from .quality import OP1_SQL, op1_host_rules
 from .simhash import op5_simhash_ball
 from .suffix_dedup import op6_suffix_dedup
+from .token_files import op7_token_files
 from .toxicity import op10_toxicity
 from .url_lists import OP8_SQL, op8_url_lists
 from .warc import OP9_SQL, op9_warc
@@ -19,6 +20,7 @@ REGISTRY = {
     "op4_multiset_hash": op4_multiset_hash,
     "op5_simhash_ball": op5_simhash_ball,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_token_files": op7_token_files,
     "op8_url_lists": op8_url_lists,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
