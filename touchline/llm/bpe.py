@@ -28,6 +28,7 @@ from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -171,25 +172,31 @@ def decoded(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(per_batch, "doc_id long, text binary")
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: each text encoded,
-    its ids decoded again, both digested in the same pass."""
+def digests(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, and ``ids`` if asked
+    for: each text encoded, its ids decoded again, both digested in the same pass."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
         decimal = own.text_of.__getitem__
         for batch in batches:
-            counts, of_ids, of_bytes = [], [], []
+            counts, of_ids, of_bytes, kept = [], [], [], []
             for text in batch.column(1):
                 ids = own.encode(text.as_py() or "")
                 counts.append(len(ids))
+                if with_ids:
+                    kept.append(np.array(ids, dtype=np.int32))
                 of_ids.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(own.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
-                 pa.array(of_bytes, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return _rows(docs).mapInArrow(per_batch, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns.append(pa.array(kept, pa.list_(pa.int32())))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _rows(docs).mapInArrow(per_batch, schema + (", ids array<int>" if with_ids else ""))
 
 
 def _rows(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ Model of a block, all in whole numbers so that any machine decodes the same:
 
 * order 2: the id that last followed the same two ids, with a confidence;
 * order 1: the id that last followed the same id, with a confidence;
-* order 0: how often an id was seen, and the id seen most often.
+* order 0: how often a predicted id was seen so far.
 
 "Is it the order-2 prediction?" is a binary decision whose probability mixes the
 adaptive estimates of all three orders in the logistic domain by weights that
@@ -50,7 +50,7 @@ from ..session import scratch_path
 from .common import cut, table
 
 BLOCK = 2048
-CHUNK = 4_000_000
+CHUNK = 8_000_000
 MAGIC = b"TIDS"
 LAST = (1 << 63) - 1  # place of a null doc_id
 END_ID = 0
@@ -146,7 +146,7 @@ class Mixer:
         logits = [STRETCH[x >> 4] for x in now]
         weights = [w[of] for w in self.weights]
         mixed = sum(w * x for w, x in zip(weights, logits)) >> 16
-        p = SQUASH[np.clip(mixed, -2047, 2047) + 2047]
+        p = SQUASH[np.minimum(np.maximum(mixed, -2047), 2047) + 2047]
         bit = coder.code(of, p << 4, bit)
         error = ((bit.astype(np.int64) << 12) - p) * 6
         target = np.where(bit, 65535, 0)
@@ -165,8 +165,7 @@ def coded(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None, rest: np.nd
     after2, sure2 = np.zeros(n * ORDER2, dtype=np.int32), np.zeros(n * ORDER2, dtype=np.int8)
     after1, sure1 = np.zeros(n * ORDER1, dtype=np.int32), np.zeros(n * ORDER1, dtype=np.int8)
     seen = np.zeros(n * ORDER0, dtype=np.int8)
-    times, top, top_times = np.zeros(n * ORDER0, dtype=np.int16), np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int16)
-    second, first, common = Mixer(n, (8, 16, 8)), Mixer(n, (8, 8, 8)), Mixer(n, (8, 8, 8))
+    second, first = Mixer(n, (8, 16, 8)), Mixer(n, (8, 8, 8))
     previous, older = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     for step in range(int(lengths.max(initial=0))):
         of = np.flatnonzero(lengths > step)
@@ -192,14 +191,6 @@ def coded(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None, rest: np.nd
                                               seen[of[ask] * ORDER0 + g % ORDER0].astype(np.int64)], value[ask] == g)
             value[ask[hit]] = g[hit]
             open_[ask[hit]] = False
-        g0 = top[of]
-        ask = np.flatnonzero(open_ & (g0 >= 0) & (g0 != guess1) & (g0 != guess2))
-        if len(ask):
-            g = g0[ask]
-            hit = common.code(coder, of[ask], [own1[ask], own2[ask],
-                                               seen[of[ask] * ORDER0 + g % ORDER0].astype(np.int64)], value[ask] == g)
-            value[ask[hit]] = g[hit]
-            open_[ask[hit]] = False
         ask = np.flatnonzero(open_)
         if len(ask):
             blocks = of[ask]
@@ -220,11 +211,7 @@ def coded(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None, rest: np.nd
         after1[slot1] = np.where(keep, guess1, value) + 1
         sure1[slot1] = np.where(right, np.minimum(own1 + 1, 7), np.where(keep, own1 >> 1, 0))
         slot0 = of * ORDER0 + value % ORDER0
-        often = times[slot0] + 1
-        times[slot0] = often
-        seen[slot0] = np.minimum(often, 7)
-        more = often > top_times[of]
-        top[of[more]], top_times[of[more]] = value[more], often[more]
+        seen[slot0] = np.minimum(seen[slot0] + 1, 7)
         older[of], previous[of] = b1, value
     return out
 
