@@ -198,7 +198,7 @@ def coded(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None, rest: np.nd
             if encode:
                 rest[blocks, at] = value[ask]
             else:
-                value[ask] = rest[blocks, at]
+                value[ask] = rest[blocks, np.minimum(at, rest.shape[1] - 1)]  # a damaged block may ask for more
             rest_at[blocks] += 1
         if not encode:
             out[of, step] = value
