@@ -13,6 +13,9 @@ CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+#: Tasks that a list of work items is spread over at most.
+MOST_TASKS = 20_000
+
 #: The characters that part words: space and U+0009 to U+000D.
 WORD_GAPS = " \t\n\x0b\f\r"
 
@@ -53,6 +56,13 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def spread(work: DataFrame, *order: str) -> DataFrame:
+    """Work items (a short row each, much work behind it) over as many tasks as
+    there are items, up to ``MOST_TASKS``. Without a number, adaptive execution
+    would merge such short rows into one task."""
+    return work.repartitionByRange(max(1, min(work.count(), MOST_TASKS)), *order)
+
+
 def is_empty(frame: DataFrame) -> bool:
     return not frame.take(1)
 

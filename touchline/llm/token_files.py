@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import cut, table
+from .common import cut, spread, table
 
 BLOCK = 2048
 CHUNK = 8_000_000
@@ -353,7 +353,7 @@ def read_back(manifest: DataFrame) -> DataFrame:
                     "start": pa.array(starts + row["before"]), "n_tokens": pa.array(counts),
                     "ids_crc32": pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)], pa.int64())})
 
-    return chunks.repartition("path", "offset").mapInArrow(per_task, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread(chunks, "part", "chunk").mapInArrow(per_task, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_token_files(spark, sf_dir):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import cut, table
+from .common import cut, spread, table
 
 MAGIC = b"\x1f\x8b\x08"
 SPLIT_BYTES = 4 << 20
@@ -207,7 +207,7 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, _schema())
 
-    return ranges.repartition("path", "begin").mapInArrow(per_task, RECORDS)
+    return spread(ranges, "path", "begin").mapInArrow(per_task, RECORDS)
 
 
 def _schema() -> pa.Schema:
