@@ -27,7 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = (
     "raw_matches", "silver_matches", "team_match_rows", "team_season_table", "league_season_summary",
     "league_table_ranked", "champions", "matches_enriched", "schema_drift_union", "landing_results",
-    "partition_roundtrip", "landing_to_silver", "catalog_views", "match_features",
+    "partition_roundtrip", "landing_to_silver", "catalog_views", "match_features", "outcome_model",
 )
 
 
