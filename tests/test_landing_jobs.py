@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline import schemas
-from touchline.params import RunParams, league_dimension, parse_league_list, parse_league_text
+from touchline.params import RunParams, league_dimension, leagues_from_text, parse_league_list, params_from_env
 from touchline.plans import catalog, jobs
 from touchline.sources import landing
 from touchline.sources.bronze import bronze_from_landing, header_columns
@@ -60,11 +60,11 @@ def test_season_calendar(spark):
 
 
 def test_league_text_parsing(spark):
-    assert parse_league_text(" E0=england , ,SP1 = spain, E0=eng2") == {"E0": "eng2", "SP1": "spain"}
+    assert leagues_from_text(spark, " E0=england , ,SP1 = spain, E0=eng2") == {"E0": "eng2", "SP1": "spain"}
     with pytest.raises(ValueError):
-        parse_league_text("E0")
+        leagues_from_text(spark, "E0")
     with pytest.raises(ValueError):
-        parse_league_text(" , ")
+        leagues_from_text(spark, " , ")
     df = spark.createDataFrame([(" E0=england , ,SP1 = spain, E0=eng2",)], "league_list string")
     got = {(r.league_code, r.league_name) for r in parse_league_list(df).collect()}
     assert got == {("E0", "eng2"), ("SP1", "spain")}
@@ -204,11 +204,91 @@ def test_landed_folders_with_spaces_and_glob_characters(spark, tmp_dir):
 
 def test_odd_column_names_and_quoted_fields(spark, tmp_dir):
     """Odds columns with dots and comparison signs, a quoted referee with a
-    comma, a BOM and CRLF line ends: read by name, unknown columns dropped."""
+    comma, a BOM and CRLF line ends: read by name, unknown columns kept by name."""
     run_root = landing.run_folder(f"{tmp_dir}/landing", RUN)
     text = ("﻿Div,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR,Referee,BbMx>2.5,B365<2.5,HS\r\n"
             'E0,11/08/2023,Burnley,Man City,0,3,A,"Smith, J",1.8,2.1,6\r\n')
     write_text(f"{run_root}/england_premier_league/2324.csv", text)
     row = bronze_from_landing(spark, run_root, RUN, LEAGUES).first()
     assert (row.Div, row.Referee, row.HS, row.league_code, row.season) == ("E0", "Smith, J", "6", "E0", "2324")
-    assert "BbMx>2.5" not in row.asDict()
+    assert row.extra_columns == {"BbMx>2.5": "1.8", "B365<2.5": "2.1"}
+
+
+def test_headers_that_repeat_names_or_differ_in_case(spark, tmp_dir):
+    from touchline.sources.bronze import header_columns
+    assert header_columns("Referee,Referee,Referee_1") == ["Referee", "Referee_2", "Referee_1"]
+    assert header_columns("AHH,AHh,,") == ["AHH", "AHh_1", "_c2", "_c3"]
+    run_root = landing.run_folder(f"{tmp_dir}/landing", RUN)
+    write_text(f"{run_root}/england_premier_league/2324.csv",
+               "Div,Date,HomeTeam,AwayTeam,Referee,Referee,Referee_1,AHH,AHh\nE0,11/08/2023,A,B,r,s,t,1,2\n")
+    row = bronze_from_landing(spark, run_root, RUN, LEAGUES).first()
+    assert row.Referee == "r" and row.extra_columns == {"Referee_2": "s", "Referee_1": "t", "AHH": "1", "AHh_1": "2"}
+
+
+def _lake_params(tmp_dir, name, **more):
+    return RunParams(lake_root=f"{tmp_dir}/{name}", landing_root=f"{tmp_dir}/landing-{name}", start_year=2022, end_year=2023,
+                     leagues=LEAGUES, database_prefix="t_follow_", **more)
+
+
+def test_catalog_follows_the_lake_and_drops_lost_partitions(spark, tmp_dir):
+    from touchline.plans import catalog
+    head = "Div,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR\n"
+    try:
+        for lake, home in (("lake1", "First"), ("lake2", "Second")):
+            params = _lake_params(tmp_dir, lake)
+            for season in ("2223", "2324"):
+                write_text(landing.run_folder(params.landing, RUN) + f"/england_premier_league/{season}.csv",
+                           head + f"E0,12/08/2023,{home},B,1,0,H\n")
+            jobs.run_all(spark, params, RUN, with_model=False)
+            assert {r.home_team for r in spark.table("t_follow_silver.matches").collect()} == {home}
+        assert spark.sql("SHOW PARTITIONS t_follow_silver.matches").count() == 2
+        run2 = "20240102T000000Z"
+        write_text(landing.run_folder(params.landing, run2) + "/england_premier_league/2223.csv", head + "E0,12/08/2022,Third,B,1,0,H\n")
+        jobs.run_all(spark, params, run2, with_model=False)
+        assert spark.sql("SHOW PARTITIONS t_follow_silver.matches").count() == 1
+    finally:
+        before = {d.name for d in spark.catalog.listDatabases()}
+        catalog.drop_lake(spark, "t_follow_")
+        assert {d.name for d in spark.catalog.listDatabases()} == {d for d in before if not d.startswith("t_follow_")}
+
+
+def test_location_text_is_escaped():
+    from touchline.plans.catalog import table_ddl
+    assert "LOCATION '/o\\'brien/x'" in table_ddl("silver.matches", "/o'brien/x")
+
+
+def test_run_path_rules(spark, tmp_dir, monkeypatch):
+    params = _lake_params(tmp_dir, "rules")
+    report = jobs.run_all(spark, params, "no-such-run", with_model=False)
+    assert report.outputs == {} and report.successes == 0 and not os.path.exists(f"{tmp_dir}/rules/bronze")
+    with pytest.raises(ValueError):
+        landing.ingest_manifest(league_dimension(spark, LEAGUES), 2005, 2003, "/x")
+    root = landing.run_folder(params.landing, RUN)
+    head = "Div,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR\n"
+    write_text(f"{root}/england_premier_league/2324.csv", head + "E0,12/08/2023,A,B,1,0,H\nE0,12/08/2023,,C,1,0,H\n")
+    write_text(f"{root}/england_premier_league/9394.csv", head + "E0,12/08/1993,A,B,1,0,H\n")
+    monkeypatch.setenv("TOUCHLINE_LAKE_ROOT", f"{tmp_dir}/rules")
+    monkeypatch.setenv("TOUCHLINE_LANDING_ROOT", f"{tmp_dir}/landing-rules")
+    monkeypatch.setenv("TOUCHLINE_START_YEAR", "2022")
+    monkeypatch.setenv("TOUCHLINE_END_YEAR", "2023")
+    monkeypatch.setenv("TOUCHLINE_LEAGUES", "E0=england_premier_league, SP1=spain_la_liga")
+    report = jobs.run_all(spark, params_from_env(spark), RUN, with_model=False)
+    assert (report.successes, report.total, report.unlisted_files, report.rejected_rows) == (1, 4, 1, 1)
+
+
+def test_saved_model_predicts_like_the_trained_one(spark, tmp_dir):
+    from pyspark.ml import PipelineModel
+    from touchline.operators import model
+    from touchline.plans.queries import _split_features
+    trained, predictions = model.train_outcome_model(_split_features(spark, "/root/testdata/sf0.001"), num_trees=5, save_to=f"{tmp_dir}/model")
+    again = PipelineModel.load(f"{tmp_dir}/model").transform(predictions.drop("features", "rawPrediction", "probability", "prediction"))
+    key = [*model.FEATURES, "label", "prediction"]
+    assert sorted(map(tuple, again.select(key).collect())) == sorted(map(tuple, predictions.select(key).collect()))
+    assert trained.test_rows == predictions.count()
+
+
+def test_file_checkpoint_folder_is_refused_on_a_cluster():
+    from touchline.session import shared_folder
+    assert shared_folder("file:///x", "local-cluster[2,1,1024]") and shared_folder("hdfs:///x", "yarn")
+    with pytest.raises(ValueError):
+        shared_folder("file:///x", "yarn")

@@ -15,8 +15,8 @@ def _one(spark, expr, values, dtype="string"):
 
 
 def test_lenient_int(spark):
-    got = _one(spark, lenient_int, ["3", "3.0", "3.7", " 4 ", "", "x", None, "1e1", "99999999999"])
-    assert got == [3, 3, 3, 4, None, None, None, 10, None]
+    got = _one(spark, lenient_int, ["3", "3.0", "3.7", " 4 ", "", "x", None, "1e1", "99999999999", "3d", "2.5D", "-3.9", "+2."])
+    assert got == [3, 3, 3, 4, None, None, None, None, None, None, None, -3, 2]
 
 
 def test_match_date_formats_and_century(spark):

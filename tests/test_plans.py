@@ -63,15 +63,11 @@ def test_jit_options_are_appended_once_and_never_override_the_site():
     assert with_jit_option(site) == site
 
 
-def test_small_scan_spread_by_row_hash(spark):
-    from touchline.session import spread_small_scan
-    scan = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber")
-    spread = spread_small_scan(scan)
-    cores = spark.sparkContext.defaultParallelism
-    assert spread.rdd.getNumPartitions() == cores
-    assert "hashpartitioning(l_orderkey" in _plan(spread)
-    assert sorted(spread.collect()) == sorted(scan.collect())
-    assert spread_small_scan(spread.repartition(cores * 2)).rdd.getNumPartitions() == cores * 2
+def test_registered_queries_read_what_they_need_and_shuffle_once(spark):
+    from touchline.plans.queries import REGISTRY
+    calendar = _plan(REGISTRY["season_calendar"](spark, SF_SMALL))
+    assert "ReadSchema: struct<l_shipdate:" in calendar and "l_orderkey" not in calendar
+    assert _plan(REGISTRY["team_season_table"](spark, SF_SMALL)).count("Exchange ") == 1
 
 
 def test_model_season_bound_prunes_partitions(spark, tmp_dir):
@@ -85,9 +81,9 @@ def test_model_season_bound_prunes_partitions(spark, tmp_dir):
 def test_no_cross_join_nested_loop_or_python_udf_in_any_query(spark):
     """Every registered query (the forest aside: its plan is MLlib's) plans
     without a cartesian product, a nested-loop join or a Python UDF."""
-    import __spark_entry__ as E
+    from touchline.plans.queries import REGISTRY
     banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-    for name, fn in E.queries().items():
+    for name, fn in REGISTRY.items():
         if name == "outcome_model":
             continue
         plan = _plan(fn(spark, SF_SMALL))

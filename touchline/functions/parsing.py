@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 CENTURY_PIVOT = 70
 
 _SHORT_DATE = r"^\d{2}/\d{2}/\d{2}$"
+DECIMAL_TEXT = r"^\s*([+-]?\d+)\.\d*\s*$"
 DATE_FORMATS = ("dd/MM/yyyy", "yyyy-MM-dd")
 
 
@@ -23,13 +24,15 @@ def _col(c: str | Column) -> Column:
 
 
 def lenient_int(c: str | Column) -> Column:
-    """Text -> INT: ``"3"`` and ``"3.0"`` give 3, junk and empty give NULL.
+    """Text -> INT: ``"3"``, ``" 3 "`` and ``"3.0"`` give 3; junk, exponents,
+    type suffixes (``3d``) and empty text give NULL.
 
-    Plain integers take the direct cast; only other text (decimals,
-    exponents, junk) goes through the slower DOUBLE parse.
+    Plain integers take the direct cast; only text of the shape sign, digits,
+    point, digits has its fraction cut off and is cast again.
     """
     text = _col(c)
-    return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
+    whole = F.regexp_extract(text, DECIMAL_TEXT, 1)
+    return F.coalesce(text.try_cast("int"), F.when(text.rlike(DECIMAL_TEXT), whole.try_cast("int")))
 
 
 def two_digit_year_century(yy: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.metrics import flag, safe_ratio
+from ..functions.metrics import flag
 
 GROUP_KEYS = ("league_code", "season", "team")
 LEAGUE_KEYS = ("league_code", "season")
@@ -41,6 +41,11 @@ _OWN_STATS = ("yellow_cards", "red_cards")
 _LEAGUE_AVERAGED = _FOR_AGAINST_STATS + _OWN_STATS
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """DOUBLE quotient; NULL where ``whole`` is 0 or NULL."""
+    return F.try_divide(part.cast("double"), whole.cast("double"))
+
+
 def _side_values(own: str) -> list[Column]:
     """A match seen from ``own`` ("home" or "away"): the side-relative raw
     values every team measure is computed from. ``outcome`` is W, D, L or U
@@ -134,7 +139,7 @@ def team_metrics() -> list[tuple[str, Column]]:
     mp = c("matches_played")
 
     def per_match(e: Column) -> Column:
-        return safe_ratio(e, mp)
+        return ratio(e, mp)
 
     def diff(stem: str) -> Column:
         return c(f"{stem}_for") - c(f"{stem}_against")
@@ -169,12 +174,12 @@ def team_metrics() -> list[tuple[str, Column]]:
         ("shot_dominance_index", per_match(diff("shots"))),
         ("on_target_dominance_index", per_match(diff("shots_on_target"))),
         ("territorial_dominance_proxy", per_match(diff("corners"))),
-        ("shot_accuracy", safe_ratio(c("shots_on_target_for"), c("shots_for"))),
-        ("shot_conversion_rate", safe_ratio(c("goals_for"), c("shots_for"))),
-        ("net_efficiency", safe_ratio(c("goals_for"), c("shots_on_target_for"))
-         - safe_ratio(c("goals_against"), c("shots_on_target_against"))),
+        ("shot_accuracy", ratio(c("shots_on_target_for"), c("shots_for"))),
+        ("shot_conversion_rate", ratio(c("goals_for"), c("shots_for"))),
+        ("net_efficiency", ratio(c("goals_for"), c("shots_on_target_for"))
+         - ratio(c("goals_against"), c("shots_on_target_against"))),
         ("pressure_without_payoff", per_match(c("shots_for")) - per_match(c("goals_for"))),
-        ("opponent_suppression_rate", F.lit(1.0) - safe_ratio(c("shots_on_target_against"), c("shots_against"))),
+        ("opponent_suppression_rate", F.lit(1.0) - ratio(c("shots_on_target_against"), c("shots_against"))),
         ("avg_corners_for", per_match(c("corners_for"))),
         ("avg_corners_against", per_match(c("corners_against"))),
         ("avg_fouls_for", per_match(c("fouls_for"))),
@@ -182,10 +187,10 @@ def team_metrics() -> list[tuple[str, Column]]:
         ("avg_yellow_cards", per_match(c("yellow_cards"))),
         ("avg_red_cards", per_match(c("red_cards"))),
         ("fast_start_rate", per_match(c("leading_at_half"))),
-        ("second_half_surge_index", safe_ratio(c("second_half_goals_for"), c("goals_for"))),
-        ("second_half_collapse_index", safe_ratio(c("second_half_goals_against"), c("goals_against"))),
-        ("comeback_rate", safe_ratio(c("comeback_results"), c("trailing_at_half"))),
-        ("blown_lead_rate", safe_ratio(c("blown_leads"), c("leading_at_half"))),
+        ("second_half_surge_index", ratio(c("second_half_goals_for"), c("goals_for"))),
+        ("second_half_collapse_index", ratio(c("second_half_goals_against"), c("goals_against"))),
+        ("comeback_rate", ratio(c("comeback_results"), c("trailing_at_half"))),
+        ("blown_lead_rate", ratio(c("blown_leads"), c("leading_at_half"))),
         ("first_half_control_index", per_match(diff("first_half_goals"))),
         ("discipline_points", discipline),
         ("discipline_points_per_match", per_match(discipline)),
@@ -314,15 +319,15 @@ def _with_league_rates(agg: DataFrame) -> DataFrame:
     c = F.col
     m = c("matches")
     rates = [
-        safe_ratio(c("home_wins"), m).alias("home_win_rate"),
-        safe_ratio(c("draws"), m).alias("draw_rate"),
-        safe_ratio(c("away_wins"), m).alias("away_win_rate"),
-        safe_ratio(c("home_goals"), m).alias("avg_home_goals"),
-        safe_ratio(c("away_goals"), m).alias("avg_away_goals"),
-        safe_ratio(c("both_teams_scored_matches"), m).alias("both_teams_scored_rate"),
-        safe_ratio(c("over_1_5_matches"), m).alias("over_1_5_rate"),
-        safe_ratio(c("over_2_5_matches"), m).alias("over_2_5_rate"),
-        safe_ratio(c("over_3_5_matches"), m).alias("over_3_5_rate"),
+        ratio(c("home_wins"), m).alias("home_win_rate"),
+        ratio(c("draws"), m).alias("draw_rate"),
+        ratio(c("away_wins"), m).alias("away_win_rate"),
+        ratio(c("home_goals"), m).alias("avg_home_goals"),
+        ratio(c("away_goals"), m).alias("avg_away_goals"),
+        ratio(c("both_teams_scored_matches"), m).alias("both_teams_scored_rate"),
+        ratio(c("over_1_5_matches"), m).alias("over_1_5_rate"),
+        ratio(c("over_2_5_matches"), m).alias("over_2_5_rate"),
+        ratio(c("over_3_5_matches"), m).alias("over_3_5_rate"),
     ]
     measures = [f.name for f in schemas.LEAGUE_SUMMARY.fields[:18]]
     return agg.select(*measures, *rates, "league_code", "season")

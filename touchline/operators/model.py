@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import season_start_year
@@ -35,21 +35,37 @@ def outcome_label(result: str = "full_time_result"):
     return expr
 
 
-def match_features(silver: DataFrame, min_start_year: int = MIN_SEASON_START_YEAR) -> DataFrame:
+def match_features(silver: DataFrame, min_start_year: int = MIN_SEASON_START_YEAR,
+                   keep: tuple[Column, ...] = ()) -> DataFrame:
     """Six numeric features + label; unknown results ('U') and rows with a
     NULL feature are dropped. The season bound is on the typed start year
     (a text bound would let ``"9394"`` pass). It is stated twice: on the
     stored start year, and on the ``season`` partition column it is derived
     from, so a read of the silver table skips the folders of older seasons
-    at planning time instead of scanning them."""
+    at planning time instead of scanning them. ``keep`` adds columns."""
     bound = (F.col("season_start_year") >= min_start_year) & (season_start_year("season") >= min_start_year)
     return (
         silver.where(bound)
-        .select(*FEATURES, outcome_label().alias("label"))
+        .select(*FEATURES, outcome_label().alias("label"), *keep)
         .na.drop(subset=[*FEATURES, "label"])
     )
 
 
+def in_test(test_percent: int = 20) -> Column:
+    """Whether a match is held out: its key's MD5, read as a number, modulo 100.
+
+    The split depends on the match alone, not on partitions, cores or row
+    order, so every engine and every rerun holds out the same matches.
+    """
+    key = F.concat_ws("|", "league_code", "season", F.coalesce(F.col("match_date").cast("string"), F.lit("")),
+                      "home_team", "away_team")
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 100 < test_percent
+
+
+class NoTrainingRows(ValueError):
+    """The split leaves nothing to train on."""
+
+
 @dataclass
 class TrainedModel:
     model: PipelineModel
@@ -66,22 +82,21 @@ def outcome_pipeline(num_trees: int = 100, seed: int = 42) -> Pipeline:
 
 
 def train_outcome_model(features: DataFrame, *, num_trees: int = 100, seed: int = 42,
-                        test_fraction: float = 0.2, save_to: str | None = None) -> tuple[TrainedModel, DataFrame]:
-    """80/20 split, fit, accuracy on the held-out part; optionally save.
+                        save_to: str | None = None) -> tuple[TrainedModel, DataFrame]:
+    """Fit on the rows not held out, accuracy on those that are (column ``in_test``); optionally save.
 
     Returns the trained model summary and the test predictions.
 
-    The feature rows are checkpointed once into the shared checkpoint folder:
-    the split, the forest's passes, the evaluation and the counts then read
-    that table instead of re-running the lineage from the source, and a lost
-    executor costs only its tasks of the pass in flight.
+    The feature rows are written once as Parquet into the shared folder: the
+    forest's passes, the evaluation and the counts then read that table
+    instead of re-running the lineage from the source, and a lost executor
+    costs only its tasks of the pass in flight.
     """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(features.sparkSession)
-    features = features.checkpoint()
-    train, test = features.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
+    from ..session import scratch_table
+    features = scratch_table(features, "features")
+    train, test = features.where(~F.col("in_test")), features.where("in_test")
     if train.isEmpty():
-        raise ValueError("no training rows after the split")
+        raise NoTrainingRows("no training rows after the split")
     model = outcome_pipeline(num_trees, seed).fit(train)
     predictions = model.transform(test)
     accuracy = (float("nan") if test.isEmpty() else

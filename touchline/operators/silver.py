@@ -17,16 +17,24 @@ REQUIRED_KEYS = ("home_team", "away_team", "league_code", "season")
 
 
 def conform_bronze(frame: DataFrame) -> DataFrame:
-    """Any raw frame -> the fixed bronze layout (50 STRING columns).
+    """Any raw frame -> the bronze layout.
 
-    Known columns are cast to STRING, absent ones become typed NULLs, unknown
-    extra columns (odds of other bookmakers, …) are dropped.
+    The 50 known columns are cast to STRING, absent ones become typed NULLs;
+    every other landed column (odds of other bookmakers, …) is kept by name in
+    the map ``extra_columns``, where it has a value.
     """
     present = set(frame.columns)
-    return frame.select(
-        *[(F.col(schemas.quote(f.name)).cast("string") if f.name in present else F.lit(None).cast("string")).alias(f.name)
-          for f in schemas.BRONZE.fields]
-    )
+    known = {f.name for f in schemas.BRONZE.fields}
+    text = [(F.col(schemas.quote(f.name)).cast("string") if f.name in present else F.lit(None).cast("string")).alias(f.name)
+            for f in schemas.BRONZE.fields if f.name != schemas.EXTRA]
+    pairs = [part for c in frame.columns if c not in known for part in (F.lit(c), F.col(schemas.quote(c)).cast("string"))]
+    if schemas.EXTRA in present:
+        extra = F.col(schemas.EXTRA)
+    elif pairs:
+        extra = F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+    else:
+        extra = F.create_map().cast("map<string,string>")
+    return frame.select(*text, extra.alias(schemas.EXTRA)).select(*schemas.BRONZE.names)
 
 
 def _raw(frame: DataFrame, name: str) -> Column:

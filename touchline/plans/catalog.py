@@ -3,7 +3,9 @@
 DDL text is generated from the StructTypes in ``schemas``. Tables are created
 if absent (``CREATE OR REPLACE TABLE … USING PARQUET`` is not supported by
 Spark's session catalog) and their partitions registered with
-``MSCK REPAIR TABLE``: an external partitioned table over existing files reads
+``MSCK REPAIR TABLE ... SYNC PARTITIONS`` (which also drops partitions whose
+folders are gone). A table that points to another lake or has another schema
+is dropped and created anew; its files stay. An external partitioned table over existing files reads
 zero rows until its partitions are recovered.
 """
 
@@ -27,10 +29,26 @@ def table_ddl(name: str, location: str, prefix: str = "") -> str:
     parts = ", ".join(schemas.PARTITION_COLUMNS)
     return (
         f"CREATE TABLE IF NOT EXISTS {qualified(name, prefix)} (\n  {schemas.column_ddl(schema)}\n)\n"
-        f"USING PARQUET\nPARTITIONED BY ({parts})\nLOCATION '{location}'"
+        f"USING PARQUET\nPARTITIONED BY ({parts})\nLOCATION '{_escaped(location)}'"
     )
 
 
+def _escaped(text: str) -> str:
+    """Text inside a SQL string literal."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _same_table(spark: SparkSession, name: str, location: str, prefix: str) -> bool:
+    """Whether the catalog's table has this location and this schema."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    wanted = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    rows = spark.sql(f"DESCRIBE FORMATTED {qualified(name, prefix)}").collect()
+    stored = next((r.data_type for r in rows if r.col_name == "Location"), "")
+    fields = [(f.name, f.dataType) for f in schemas.TABLES[name].fields]
+    held = [(f.name, f.dataType) for f in spark.table(qualified(name, prefix)).schema.fields]
+    return spark._jvm.org.apache.hadoop.fs.Path(stored).equals(wanted) and held == fields
+
+
 def view_ddl(view: ViewDef, prefix: str = "") -> str:
     return f"CREATE OR REPLACE VIEW {qualified(view.name, prefix)} AS\n" + view.sql(qualified(view.source, prefix))
 
@@ -38,12 +56,22 @@ def view_ddl(view: ViewDef, prefix: str = "") -> str:
 def register_table(spark: SparkSession, name: str, location: str, prefix: str = "") -> DataFrame:
     db = prefix + name.split(".")[0]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schemas.quote(db)}")
-    if not spark.catalog.tableExists(f"{db}.{name.split('.')[1]}"):
-        spark.sql(table_ddl(name, location, prefix))
-    spark.sql(f"MSCK REPAIR TABLE {qualified(name, prefix)}")
+    if spark.catalog.tableExists(f"{db}.{name.split('.')[1]}") and not _same_table(spark, name, location, prefix):
+        spark.sql(f"DROP TABLE {qualified(name, prefix)}")  # external: the files stay
+    spark.sql(table_ddl(name, location, prefix))
+    spark.sql(f"MSCK REPAIR TABLE {qualified(name, prefix)} SYNC PARTITIONS")
     return spark.table(qualified(name, prefix))
 
 
+def drop_lake(spark: SparkSession, prefix: str) -> None:
+    """Drop the databases of a prefix with their views and table entries; external files stay."""
+    if not prefix:
+        raise ValueError("drop_lake needs a database prefix")
+    names = {n.split(".")[0] for n in schemas.TABLES} | {v.name.split(".")[0] for v in VIEWS}
+    for name in sorted(names):
+        spark.sql(f"DROP DATABASE IF EXISTS {schemas.quote(prefix + name)} CASCADE")
+
+
 def register_lake(spark: SparkSession, lake_root: str, prefix: str = "",
                   tables: tuple[str, ...] = tuple(schemas.TABLES)) -> list[str]:
     """Create-if-absent + repair every table, then (re)create the views."""

@@ -34,6 +34,8 @@ class RunReport:
     run_id: str
     successes: int = 0
     total: int = 0
+    unlisted_files: int = 0   # landed files outside the manifest, which are not read
+    rejected_rows: int = 0    # bronze rows that silver drops for a missing key
     outputs: dict[str, str] = field(default_factory=dict)
     accuracy: float | None = None
 
@@ -81,6 +83,14 @@ def build_bronze(spark: SparkSession, params: RunParams, run_id: str, headers: D
                        dynamic=_dynamic(params))
 
 
+def unlisted_files(headers: DataFrame, results: DataFrame) -> int:
+    """Landed files whose (league, season) the manifest does not list."""
+    listed = results.select("league_name", "season").distinct()
+    keyed = headers.select(landing.league_name_from_path(F.col("file_path")).alias("league_name"),
+                           landing.season_from_path(F.col("file_path")).alias("season"))
+    return keyed.join(listed, ["league_name", "season"], "left_anti").count()
+
+
 def only_partitions(frame: DataFrame, partitions: list[tuple[str, str]] | None) -> DataFrame:
     """Rows of the given (league_code, season) partitions only, or all rows.
 
@@ -131,7 +141,7 @@ def train_model(spark: SparkSession, params: RunParams, min_start_year: int = mo
                 num_trees: int = 100) -> model.TrainedModel:
     """Silver table -> features -> forest, saved under ``models/``."""
     matches = read_table(spark, params.lake_root, "silver.matches")
-    features = model.match_features(matches, min_start_year)
+    features = model.match_features(matches, min_start_year, keep=(model.in_test().alias("in_test"),))
     trained, _ = model.train_outcome_model(
         features, num_trees=num_trees, save_to=f"{params.lake_root.rstrip('/')}/models/match_outcome")
     LOG.info("model accuracy %.3f on %d test rows", trained.accuracy, trained.test_rows)
@@ -147,6 +157,9 @@ def run_all(spark: SparkSession, params: RunParams, run_id: str | None = None, *
     summary = landing.ingest_summary(results).first()
     report.successes, report.total = summary["successes"], summary["total"]
     LOG.info("landing: %d of %d files", report.successes, report.total)
+    report.unlisted_files = unlisted_files(headers, results)
+    if report.unlisted_files:
+        LOG.warning("landing: %d files are not in the manifest and are not read", report.unlisted_files)
     bronze_path = build_bronze(spark, params, run_id, headers, results)
     if bronze_path is None:
         return report
@@ -157,6 +170,10 @@ def run_all(spark: SparkSession, params: RunParams, run_id: str | None = None, *
     if _dynamic(params):
         landed = landing.successful(results).select("league_code", "season").distinct().collect()
         partitions = [(r.league_code, r.season) for r in landed]
+    bronze = only_partitions(read_table(spark, params.lake_root, "bronze.matches"), partitions)
+    report.rejected_rows = silver.rejected_matches(bronze).count()  # reads four columns of the written table
+    if report.rejected_rows:
+        LOG.warning("silver drops %d rows without a team, league or season", report.rejected_rows)
     report.outputs["silver.matches"] = build_silver(spark, params, partitions)
     team, league = build_gold(spark, params, partitions)
     report.outputs["gold.team_season_table"] = team
@@ -165,7 +182,7 @@ def run_all(spark: SparkSession, params: RunParams, run_id: str | None = None, *
     if with_model:
         try:
             report.accuracy = train_model(spark, params, min_start_year).accuracy
-        except ValueError as exc:
+        except model.NoTrainingRows as exc:
             LOG.warning("model not trained: %s", exc)
     return report
 

@@ -32,7 +32,8 @@ SELECT
  CASE WHEN l_orderkey%53=0 THEN NULL WHEN hg>ag THEN 'H' WHEN hg<ag THEN 'A' ELSE 'D' END AS "FTR",
  CASE WHEN l_linenumber=7 THEN NULL ELSE CAST(least(hg,CAST(l_orderkey%3 AS INT)) AS VARCHAR(10)) END AS "HTHG",
  CASE WHEN l_linenumber=7 THEN '' ELSE CAST(least(ag,CAST(l_suppkey%3 AS INT)) AS VARCHAR(10)) END AS "HTAG",
- CASE WHEN l_partkey%11=0 THEN NULL ELSE CAST(hg+l_suppkey%4+l_partkey%9 AS VARCHAR(10)) END AS "HS",
+ CASE WHEN l_partkey%11=0 THEN NULL ELSE concat(CASE WHEN l_orderkey%41=0 THEN ' ' ELSE '' END, CAST(hg+l_suppkey%4+l_partkey%9 AS VARCHAR(10)),
+  CASE WHEN l_orderkey%41=0 THEN ' ' WHEN l_orderkey%43=0 THEN '.0' WHEN l_orderkey%47=0 THEN 'd' WHEN l_orderkey%59=0 THEN 'e2' WHEN l_orderkey%61=0 THEN '.7' ELSE '' END) END AS "HS",
  CASE WHEN l_partkey%11=0 THEN NULL ELSE CAST(ag+l_suppkey%4+l_orderkey%8 AS VARCHAR(10)) END AS "AS",
  CASE WHEN l_partkey%11=0 THEN NULL ELSE CAST(hg+l_suppkey%4 AS VARCHAR(10)) END AS "HST",
  CASE WHEN l_partkey%11=0 THEN NULL ELSE CAST(ag+l_suppkey%4 AS VARCHAR(10)) END AS "AST",
@@ -54,7 +55,9 @@ def big(expr: str) -> str:
 
 
 def iint(text: str) -> str:
-    return f"try_cast({text} AS INT)"
+    """Sign and digits with an optional fraction, which is cut off; anything else is NULL."""
+    return (f"CASE WHEN regexp_full_match({text}, '\\s*[+-]?\\d+(\\.\\d*)?\\s*') "
+            f"THEN try_cast(trim(split_part({text}, '.', 1)) AS INT) END")
 
 
 _CENTURY = "CASE WHEN try_cast(substr({t},7,2) AS INT) >= 70 THEN '19' ELSE '20' END"
@@ -346,11 +349,14 @@ def with_stages(final: str, **stages: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + final
 
 
+_DRIFT = (f"SELECT {_NARROW} FROM raw WHERE {start_year_expr('season')} < 1996\n"
+          f"UNION ALL BY NAME\nSELECT * FROM raw WHERE NOT ({start_year_expr('season')} < 1996)")
+
 ORACLE.update({
     "match_dates": with_ctes(f'SELECT "Date" AS date_text, {date_expr(chr(34) + "Date" + chr(34))} AS match_date FROM raw'),
     "lenient_int": with_ctes(
-        'SELECT "FTHG" AS fthg_text, try_cast("FTHG" AS INT) AS fthg_int, "HTAG" AS htag_text, '
-        'try_cast("HTAG" AS INT) AS htag_int, "HS" AS hs_text, try_cast("HS" AS INT) AS hs_int FROM raw'),
+        "SELECT " + ", ".join(f'"{c}" AS {c.lower()}_text, {iint(chr(34) + c + chr(34))} AS {c.lower()}_int'
+                              for c in ("FTHG", "HTAG", "HS")) + " FROM raw"),
     "null_defaults": with_ctes(
         "SELECT full_time_result, count(*) AS matches, CAST(sum(full_time_home_goals) AS BIGINT) AS home_goals, "
         "CAST(count_if(full_time_home_goals = 0) AS BIGINT) AS home_zero_goals FROM silver GROUP BY full_time_result",
@@ -369,11 +375,7 @@ ORACLE.update({
     "league_code_lookup": with_ctes(
         f"SELECT league_name, {code_of('league_name')} AS league_code, count(*) AS matches "
         f"FROM (SELECT {_LEAGUE_OF} AS league_name FROM raw) t GROUP BY league_name"),
-    "schema_drift_union": with_stages(
-        "SELECT * FROM silver",
-        drift=(f"SELECT {_NARROW} FROM raw WHERE {start_year_expr('season')} < 1996\n"
-               f"UNION ALL BY NAME\nSELECT * FROM raw WHERE NOT ({start_year_expr('season')} < 1996)"),
-        silver=silver_select("drift")),
+    "schema_drift_union": with_stages("SELECT * FROM silver", drift=_DRIFT, silver=silver_select("drift")),
     "season_calendar": with_stages("SELECT * FROM calendar", calendar=_CALENDAR),
     "ingest_manifest": with_stages("SELECT * FROM manifest", calendar=_CALENDAR, manifest=_MANIFEST),
     "landing_results": with_stages("SELECT * FROM landing", calendar=_CALENDAR, manifest=_MANIFEST, landing=_LANDING),
@@ -399,6 +401,22 @@ ORACLE.update({
     "catalog_views": ORACLE["league_table_ranked"],
     "landing_check": ORACLE["landing_results"],
     "landing_to_silver": ORACLE["schema_drift_union"],
+    "bronze_extra_columns": with_ctes(
+        """SELECT league_code, season, "Date", "AwayTeam", "HC", "HC" || '.25' AS b365h,
+        CASE WHEN "AC" <> '0' THEN "AC" || '.5' END AS psh, CASE WHEN "AC" <> '0' THEN 2 ELSE 1 END AS n_extra FROM raw"""),
+    "outcome_split": with_ctes(
+        f"SELECT {_FEATURES}, CASE full_time_result WHEN 'D' THEN 0 WHEN 'H' THEN 1 WHEN 'A' THEN 2 END AS label, "
+        "CAST('0x' || substr(md5(concat_ws('|', league_code, season, coalesce(CAST(match_date AS VARCHAR), ''), home_team, away_team)), 1, 8) AS BIGINT) % 100 < 20 AS in_test "
+        "FROM silver WHERE season_start_year >= 1998 AND full_time_result IN ('D', 'H', 'A') AND "
+        + " AND ".join(f"{c.strip()} IS NOT NULL" for c in _FEATURES.split(",")), "silver"),
+    "ingest_success": with_stages("SELECT league_code, league_name, season, success, message FROM landing WHERE success",
+                                  calendar=_CALENDAR, manifest=_MANIFEST, landing=_LANDING),
+    "job_bronze": with_ctes(
+        'SELECT league_code, season, "Date", "HomeTeam", "AwayTeam", "FTHG", '
+        f"""CASE WHEN {start_year_expr('season')} >= 1996 THEN trim("HS") END AS "HS" FROM raw"""),
+    "job_silver": ORACLE["schema_drift_union"],
+    "job_run_all": with_stages("SELECT * FROM league_summary", drift=_DRIFT, silver=silver_select("drift"),
+                               league_summary=LEAGUE_SUMMARY),
     "match_features": with_ctes(
         f"SELECT {_FEATURES}, CASE full_time_result WHEN 'D' THEN 0 WHEN 'H' THEN 1 WHEN 'A' THEN 2 END AS label "
         "FROM silver WHERE season_start_year >= 1998 AND full_time_result IN ('D', 'H', 'A') AND "

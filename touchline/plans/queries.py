@@ -1,8 +1,9 @@
 """Named queries over the driver's tables, for ``__spark_entry__``.
 
 Each query takes ``(spark, sf_dir)``, reads whole tables from ``sf_dir``
-(the raw match rows are derived from all of ``lineitem``) and returns a lazy
-DataFrame. Column names equal those of the matching oracle SQL.
+(the raw match rows are derived from all of ``lineitem``) and returns a
+DataFrame. Queries that land files, write layers, run jobs, train the model or
+list landed files run those jobs while they are built; the others are lazy. Column names equal those of the matching oracle SQL.
 """
 
 from __future__ import annotations
@@ -142,12 +143,12 @@ def q_path_provenance(spark, sf_dir):
 
 @query("league_code_lookup")
 def q_league_code_lookup(spark, sf_dir):
-    from ..params import league_code_map
+    from ..sources.bronze import code_of_league
     from ..sources.landing import league_name_from_path
     raw = load_raw_matches(spark, sf_dir)
     names = raw.select(league_name_from_path(F.col("source_file")).alias("league_name"))
     return names.groupBy("league_name").agg(F.count(F.lit(1)).alias("matches")).select(
-        "league_name", F.element_at(league_code_map(), F.col("league_name")).alias("league_code"), "matches")
+        "league_name", code_of_league(F.col("league_name")).alias("league_code"), "matches")
 
 
 # --- header drift (S6, P3) ---------------------------------------------------
@@ -325,6 +326,76 @@ def q_landing_to_silver(spark, sf_dir):
     return silver.silver_matches(bronze_from_landing(spark, run_root, run_id))
 
 
+@query("bronze_extra_columns")
+def q_bronze_extra_columns(spark, sf_dir):
+    """Landed files with bookmaker columns that bronze has no place for, and a
+    header that repeats names: bronze keeps them by name."""
+    from ..session import scratch_path
+    from ..sources.bronze import bronze_from_landing
+    from .jobs import landing_from_rows
+    raw = load_raw_matches(spark, sf_dir)
+    odds = raw.withColumns({"B365H": F.concat("HC", F.lit(".25")), "PSH": F.when(F.col("AC") != "0", F.concat("AC", F.lit(".5")))})
+    root = scratch_path(spark, "landing-odds") + "/_runs/run0"
+    bronze = bronze_from_landing(spark, landing_from_rows(odds, root), "run0")
+    extra = F.col("extra_columns")
+    return bronze.select("league_code", "season", "Date", "AwayTeam", "HC", extra["B365H"].alias("b365h"),
+                         F.try_element_at(extra, F.lit("PSH")).alias("psh"), F.size(extra).alias("n_extra"))
+
+
+# --- jobs (S4, J1-J5) ------------------------------------------------------------
+
+def _job_params(spark, sf_dir):
+    from ..params import RunParams
+    from ..session import scratch_path
+    run_root, run_id = _landed_run(spark, sf_dir)
+    return RunParams(lake_root=scratch_path(spark, "job-lake"), landing_root=run_root[: -len(f"/_runs/{run_id}")],
+                     start_year=1990, end_year=2005), run_id
+
+
+@query("ingest_success")
+def q_ingest_success(spark, sf_dir):
+    """The manifest's successful tasks, checked against files that landed."""
+    from ..sources import landing
+    return landing.successful(q_landing_check(spark, sf_dir)).drop("path")
+
+
+@query("job_bronze")
+def q_job_bronze(spark, sf_dir):
+    """The landing and bronze jobs (J1, J2); the written table's keys and some raw columns."""
+    from ..sources.layers import read_table
+    from . import jobs
+    params, run_id = _job_params(spark, sf_dir)
+    results, headers = jobs.land(spark, params, run_id)
+    jobs.build_bronze(spark, params, run_id, headers, results)
+    return read_table(spark, params.lake_root, "bronze.matches").select("league_code", "season", "Date", "HomeTeam", "AwayTeam", "FTHG", "HS")
+
+
+@query("job_silver")
+def q_job_silver(spark, sf_dir):
+    """Landing, bronze and silver jobs (J1-J3); the written silver table."""
+    from ..sources.layers import read_table
+    from . import jobs
+    params, run_id = _job_params(spark, sf_dir)
+    results, headers = jobs.land(spark, params, run_id)
+    jobs.build_bronze(spark, params, run_id, headers, results)
+    jobs.build_silver(spark, params)
+    return read_table(spark, params.lake_root, "silver.matches")
+
+
+@query("job_run_all")
+def q_job_run_all(spark, sf_dir):
+    """Every layer in order (J5); the written league summary. The run's databases go again."""
+    import dataclasses
+    import uuid
+    from ..sources.layers import read_table
+    from . import catalog, jobs
+    params, run_id = _job_params(spark, sf_dir)
+    params = dataclasses.replace(params, database_prefix=f"tl{uuid.uuid4().hex[:8]}_")
+    jobs.run_all(spark, params, run_id, with_model=False)
+    catalog.drop_lake(spark, params.database_prefix)
+    return read_table(spark, params.lake_root, "gold.league_season_summary")
+
+
 # --- model (M1-M5) -------------------------------------------------------------
 
 # The test data's seasons start 1994-2001; the bound keeps the later half.
@@ -337,12 +408,23 @@ def q_match_features(spark, sf_dir):
     return model.match_features(_silver(spark, sf_dir), FEATURE_MIN_START_YEAR)
 
 
+def _split_features(spark, sf_dir):
+    from ..operators import model
+    return model.match_features(_silver(spark, sf_dir), FEATURE_MIN_START_YEAR, keep=(model.in_test().alias("in_test"),))
+
+
+@query("outcome_split")
+def q_outcome_split(spark, sf_dir):
+    """Every feature row with the side of the split it is on (what the forest is trained and tested on)."""
+    return _split_features(spark, sf_dir)
+
+
 @query("outcome_model")
 def q_outcome_model(spark, sf_dir):
     """Forest trained on 80 % of the features; held-out predictions."""
     from ..operators import model
     from ..session import scratch_path
-    features = model.match_features(_silver(spark, sf_dir), FEATURE_MIN_START_YEAR)
+    features = _split_features(spark, sf_dir)
     trained, predictions = model.train_outcome_model(features, save_to=scratch_path(spark, "model"))
     return predictions.select(*model.FEATURES, "label", "prediction",
                               F.lit(trained.accuracy).alias("test_accuracy"))

@@ -16,8 +16,13 @@ RAW_MATCH_COLUMNS = (
     "LBH", "LBD", "LBA", "SBH", "SBD", "SBA", "WHH", "WHD", "WHA",
 )
 
+# Landed columns outside RAW_MATCH_COLUMNS, by name.
+EXTRA = "extra_columns"
+
 BRONZE = T.StructType(
-    [T.StructField(c, T.StringType()) for c in BRONZE_PROVENANCE + RAW_MATCH_COLUMNS + PARTITION_COLUMNS]
+    [T.StructField(c, T.StringType()) for c in BRONZE_PROVENANCE + RAW_MATCH_COLUMNS]
+    + [T.StructField(EXTRA, T.MapType(T.StringType(), T.StringType()))]
+    + [T.StructField(c, T.StringType()) for c in PARTITION_COLUMNS]
 )
 
 

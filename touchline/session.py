@@ -12,10 +12,6 @@ import uuid
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from .schemas import quote
 
 # HotSpot options: JIT-compile Spark's large generated methods, and room for
 # the compiled code of many generated classes in a long-lived JVM.
@@ -108,7 +104,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
-        sc.setCheckpointDir(configured or _local_only_folder(sc.master))
+        sc.setCheckpointDir(shared_folder(configured, sc.master) if configured else _local_only_folder(sc.master))
         return sc.getCheckpointDir()
     if not configured:
         configured = _local_only_folder(spark.conf.get("spark.master", ""))
@@ -116,6 +112,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def shared_folder(configured: str, master: str) -> str:
+    """The configured folder. ``local-cluster`` and local masters may name a
+    ``file:`` folder; on any other master executors would not share it."""
+    if configured.startswith("file:") and not (master or "").startswith("local"):
+        raise ValueError(f"spark.checkpoint.dir {configured} is local to each machine: name a folder that every "
+                         "executor and the driver share")
+    return configured
+
+
 def _local_only_folder(master: str) -> str:
     if not (master or "").startswith("local"):
         raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor and the "
@@ -124,9 +129,26 @@ def _local_only_folder(master: str) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique location under the shared checkpoint folder."""
+    """A new, unique location under the shared checkpoint folder; what is written
+    there goes when the session's file system closes."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/touchline/{name}-{uuid.uuid4().hex[:12]}"
+    return remove_at_exit(spark, f"{root}/touchline/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scratch_table(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` written as Parquet into the shared folder and read back; the
+    files go when the session's file system closes."""
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> str:
+    """Have the JVM's file system delete ``path`` when it closes."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def local_path(path: str) -> str:
@@ -136,27 +158,3 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return os.fspath(path)
-
-
-def spread_small_scan(frame: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the session has cores.
-
-    A small input (one file, one row group) is read by one task, and all
-    narrow work after it runs on one core. Spreading it costs one shuffle of
-    the scanned columns. Rows are hash-partitioned on all their columns:
-    deterministic on a retry like a round-robin shuffle, but without the
-    sort Spark puts in front of a round-robin shuffle for that purpose
-    (measured: the single map task was the slowest stage). Large inputs
-    already have more splits than cores and are returned unchanged, so at
-    scale this adds nothing to the plan.
-    """
-    try:
-        cores = frame.sparkSession.sparkContext.defaultParallelism
-        splits = frame.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the plan as is
-        return frame
-    if splits >= cores:
-        return frame
-    if any(isinstance(f.dataType, T.MapType) for f in frame.schema.fields):
-        return frame.repartition(cores)  # map columns cannot be hashed
-    return frame.repartition(cores, *[F.col(quote(c)) for c in frame.columns])

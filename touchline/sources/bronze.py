@@ -20,23 +20,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.silver import conform_bronze
-from ..params import league_code_map
+from ..params import DEFAULT_LEAGUES
 from .landing import landed_headers, league_name_from_path, season_from_path
 
 
 def header_columns(header: str) -> list[str]:
-    """CSV header line -> unique, non-empty column names."""
-    names = next(csv.reader(io.StringIO(header)), [])
-    seen: dict[str, int] = {}
+    """CSV header line -> non-empty column names, unique without regard to case.
+
+    A repeated name gets the first free ``_1``, ``_2`` ... behind it.
+    """
+    names = [raw.strip() or f"_c{i}" for i, raw in enumerate(next(csv.reader(io.StringIO(header)), []))]
+    given = {name.lower() for name in names}
+    used: set[str] = set()
     out = []
-    for i, raw in enumerate(names):
-        name = raw.strip() or f"_c{i}"
-        if name in seen:
-            seen[name] += 1
-            name = f"{name}_{seen[name]}"
-        else:
-            seen[name] = 0
-        out.append(name)
+    for name in names:
+        unique, n = name, 0
+        while unique.lower() in used or (n and unique.lower() in given):
+            n += 1
+            unique = f"{name}_{n}"
+        used.add(unique.lower())
+        out.append(unique)
     return out
 
 
@@ -54,6 +57,14 @@ def header_groups(headers: DataFrame) -> list[tuple[list[str], list[str]]]:
     return [(header_columns(h), sorted(paths[h])) for h in sorted(paths)]
 
 
+def code_of_league(name: Column, leagues: dict[str, str] | None = None) -> Column:
+    """League code of a folder name; NULL if unknown. One CASE over the league dictionary."""
+    code = F.lit(None).cast("string")
+    for known, folder in sorted((leagues or DEFAULT_LEAGUES).items(), reverse=True):
+        code = F.when(name == folder, known).otherwise(code)
+    return code
+
+
 def provenance(source_file: Column, run_id: str, leagues: dict[str, str] | None = None) -> list[Column]:
     """The five provenance columns of a bronze row, from its file path.
 
@@ -65,7 +76,7 @@ def provenance(source_file: Column, run_id: str, leagues: dict[str, str] | None
         source_file.alias("source_file"),
         F.lit(run_id).alias("ingestion_run_id"),
         name.alias("league_name"),
-        F.element_at(league_code_map(leagues), name).alias("league_code"),
+        code_of_league(name, leagues).alias("league_code"),
         season_from_path(source_file).alias("season"),
     ]
 
@@ -98,7 +109,8 @@ def read_landed_csv(spark: SparkSession, groups: list[tuple[list[str], list[str]
 
 def bronze_from_landing(spark: SparkSession, run_root: str, run_id: str,
                         leagues: dict[str, str] | None = None, headers: DataFrame | None = None) -> DataFrame | None:
-    """All landed files of a run -> bronze rows in the fixed 50-column layout.
+    """All landed files of a run -> bronze rows: the 50 known columns, and every
+    other landed column in ``extra_columns``.
 
     Returns None when no file with content landed (nothing to write).
     """

@@ -82,8 +82,12 @@ def ingest_manifest(leagues: DataFrame, first_year: Column | int, last_year: Col
     generator over the small league dimension, not a join. ``first_year`` and
     ``last_year`` may be literals or scalar subqueries over data.
     """
+    if isinstance(first_year, int) and isinstance(last_year, int) and first_year > last_year:
+        raise ValueError(f"first_year {first_year} is after last_year {last_year}")
     lo = F.lit(first_year) if isinstance(first_year, int) else first_year
     hi = F.lit(last_year) if isinstance(last_year, int) else last_year
+    # a descending range over data is an error too, not a sequence that counts down
+    hi = F.when(lo > hi, F.raise_error(F.lit("first_year is after last_year")).cast("int")).otherwise(hi)
     per_league = leagues.select("league_code", "league_name", F.explode(F.sequence(lo, hi)).alias("season_start_year"))
     season = season_code("season_start_year")
     return per_league.select(
@@ -98,8 +102,12 @@ def landed_headers(spark: SparkSession, run_root: str) -> DataFrame:
     """(file_path, header) for every landed CSV file that has a non-blank line.
 
     One text scan of the run folder. The header is the first non-blank line of
-    the file's first split (BOM removed); empty or blank files yield no row.
+    the file's first split (BOM removed); empty or blank files yield no row,
+    and a run folder that does not exist yields no rows.
     """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_root)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], "file_path string, header string")
     lines = (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(run_root)
         .select("value", F.col("_metadata.file_path").alias("file_path"),

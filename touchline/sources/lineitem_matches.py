@@ -14,8 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import spread_small_scan
-
 # Supplier key modulo 4 -> (league code, league folder name).
 LEAGUE_BY_SUPPLIER = (
     ("E0", "england_premier_league"),
@@ -31,8 +29,7 @@ LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_q
 
 def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six ``lineitem`` columns the mapping needs (pruned at the scan)."""
-    scan = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*LINEITEM_COLUMNS)
-    return spread_small_scan(scan)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*LINEITEM_COLUMNS)
 
 
 def _by_supplier(index: int) -> str:
@@ -79,7 +76,10 @@ _ROW = (
     "CASE WHEN ok % 53 <> 0 THEN CASE WHEN hg > ag THEN 'H' WHEN hg < ag THEN 'A' ELSE 'D' END END AS `FTR`",
     "CASE WHEN ln <> 7 THEN CAST(least(hg, CAST(ok % 3 AS INT)) AS STRING) END AS `HTHG`",
     "CASE WHEN ln = 7 THEN '' ELSE CAST(least(ag, CAST(sk % 3 AS INT)) AS STRING) END AS `HTAG`",
-    f"CASE WHEN NOT ({_NO_SHOTS}) THEN CAST(hg + sk % 4 + pk % 9 AS STRING) END AS `HS`",
+    # padded, decimal, suffixed and exponent texts reach the integer parse
+    f"CASE WHEN NOT ({_NO_SHOTS}) THEN concat(CASE WHEN ok % 41 = 0 THEN ' ' ELSE '' END, "
+    "CAST(hg + sk % 4 + pk % 9 AS STRING), CASE WHEN ok % 41 = 0 THEN ' ' WHEN ok % 43 = 0 THEN '.0' "
+    "WHEN ok % 47 = 0 THEN 'd' WHEN ok % 59 = 0 THEN 'e2' WHEN ok % 61 = 0 THEN '.7' ELSE '' END) END AS `HS`",
     f"CASE WHEN NOT ({_NO_SHOTS}) THEN CAST(ag + sk % 4 + ok % 8 AS STRING) END AS `AS`",
     f"CASE WHEN NOT ({_NO_SHOTS}) THEN CAST(hg + sk % 4 AS STRING) END AS `HST`",
     f"CASE WHEN NOT ({_NO_SHOTS}) THEN CAST(ag + sk % 4 AS STRING) END AS `AST`",
