@@ -9,9 +9,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
@@ -37,16 +34,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="touchline-test-")
-
-
-def write_text(path: str, text: str) -> str:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as fh:
-        fh.write(text)
-    return path
-
-
-def types_of(df_or_schema):
-    """[(name, type)] ignoring nullability."""
-    schema = getattr(df_or_schema, "schema", df_or_schema)
-    return [(f.name, f.dataType.simpleString()) for f in schema.fields]

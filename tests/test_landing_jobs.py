@@ -22,7 +22,7 @@ from touchline.sources import landing
 from touchline.sources.bronze import bronze_from_landing, header_columns
 from touchline.sources.layers import layer_path, read_layer, read_table
 
-from conftest import types_of, write_text
+from helpers import types_of, write_text
 
 RUN = "20240101T000000Z"
 FILES = {

@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from oracle_check import compare, duck
 from touchline.plans.queries import REGISTRY
 

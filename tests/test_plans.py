@@ -10,7 +10,7 @@ from touchline.operators import gold, silver, views
 from touchline.sources.layers import read_layer, write_layer
 from touchline.sources.lineitem_matches import load_raw_matches
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def _plan(df) -> str:

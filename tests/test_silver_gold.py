@@ -13,7 +13,7 @@ from touchline import schemas
 from touchline.operators import gold, silver, views
 from touchline.sources.lineitem_matches import load_raw_matches
 
-from conftest import SF_SMALL, types_of
+from helpers import SF_SMALL, types_of
 
 RAW_COLS = ("Div Date HomeTeam AwayTeam FTHG FTAG FTR HTHG HTAG HS AS HST AST HC AC HF AF HY AY HR AR "
             "league_code season").split()
