@@ -333,6 +333,25 @@ def test_column_wise_transform_groups_equal_windows():
         assert all(len(g) == 1 for g in groups.values()) and len(set.union(set(), *groups.values())) == len(groups)
 
 
+def test_segments_of_joined_texts_are_those_of_each_text():
+    """Neighbours in one array change nothing; all windows of a text are covered once, and
+    segments not marked ``twice`` have no two equal windows."""
+    rng = random.Random(3)
+    texts = [(t or "").encode() for _, t, _ in TEXTS] + [b"x" * n for n in (0, 99, 100, 101)] + [b"abc def " * 70]
+    texts += [bytes(rng.choice(b"abcdefgh ") for _ in range(rng.randint(0, 400))) for _ in range(40)]
+    begins = np.cumsum([0, *map(len, texts)])
+    text, anchor, starts, counts, twice = suffix_dedup.segments(texts, b"".join(texts))
+    for i, own in enumerate(texts):
+        mine = text == i
+        alone = suffix_dedup.segments([own], own)
+        assert all(np.array_equal(a, b) for a, b in zip((anchor[mine], starts[mine] - begins[i], counts[mine], twice[mine]), alone[1:]))
+        covered = [w for s, n in zip(alone[2], alone[3]) for w in range(s, s + n)]
+        assert covered == list(range(max(0, len(own) - suffix_dedup.WIDTH + 1)))
+        for s, n, again in zip(*alone[2:]):
+            assert again or len({own[w:w + suffix_dedup.WIDTH] for w in range(s, s + n)}) == n
+    assert list(suffix_dedup._groups([2, 0, 1], np.array([suffix_dedup.GROUP_BYTES, 7, 5]))) == [[2], [0], [1]]
+
+
 @pytest.mark.parametrize("most_members, batch", [(2000, 10000), (1, 7)])
 def test_substring_dedup(spark, docs, empty, most_members, batch):
     rng = random.Random(9)
