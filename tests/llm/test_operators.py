@@ -390,6 +390,21 @@ def test_token_coder_round_trips_and_finds_damage():
         token_files.unpacked(bytes(data))
 
 
+def test_ids_without_a_context_are_coded_by_how_often_they_are_seen():
+    rng = np.random.default_rng(2)
+    ids = rng.choice(rng.integers(0, 65536, 64), 30_000)  # 6 bits an id, and none tells of the next
+    data = token_files.packed(ids)
+    assert (token_files.unpacked(data) == ids).all()
+    assert len(data) * 8 < len(ids) * 8
+
+
+def test_coder_bounds_stay_apart():
+    coder = token_files.Encoder(1)
+    of = np.zeros(1, dtype=np.int64)
+    coder.settle(of, np.array([0x00FFFFFF]), np.array([0x01000001]))
+    assert coder.high[0] - coder.low[0] >= 0xFFFF
+
+
 def brute_tokens(rows):
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     own.encode_special_tokens = True

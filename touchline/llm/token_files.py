@@ -9,13 +9,15 @@ Model of a block, all in whole numbers so that any machine decodes the same:
 
 * order 2: the id that last followed the same two ids, with a confidence;
 * order 1: the id that last followed the same id, with a confidence;
-* order 0: how often a predicted id was seen so far.
+* order 0: how often a predicted id was seen so far, and how often each id was
+  that neither order predicted.
 
 "Is it the order-2 prediction?" is a binary decision whose probability mixes the
 adaptive estimates of all three orders in the logistic domain by weights that
 are learned on the way; then likewise "is it the order-1 prediction?". An id
-neither predicts has its high byte coded by an adaptive binary tree (order 0)
-and its low byte stored.
+neither predicts is coded by order 0: its high byte by a tree of adaptive counts
+(16 sums, 16 counts below each), then its low byte by such a tree of that high
+byte. Every id thus goes through the arithmetic coder; nothing is stored beside it.
 
 Blocks do not depend on each other, so a task codes many side by side: one step
 codes the next id of every block with a few array operations. A task holds one
@@ -49,13 +51,17 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import cut, spread, table
 
-BLOCK = 2048
-CHUNK = 8_000_000
+BLOCK = 4096
+CHUNK = 4_000_000
 MAGIC = b"TIDS"
 LAST = (1 << 63) - 1  # place of a null doc_id
 END_ID = 0
 
-ORDER1, ORDER2, ORDER0 = 1 << 9, 1 << 11, 1 << 9  # table sizes a block
+ORDER1, ORDER2, ORDER0 = 1 << 11, 1 << 13, 1 << 11  # table sizes a block
+#: Order 0: what an id adds to the counts of its bytes; a block's counts stay below 65,536.
+STEP = (65535 - 256) // BLOCK
+#: Trees of a block (the high byte's, and the low byte's of each high byte) and rows of 16 of a tree (its sums, then its counts).
+TREES, ROWS = 257, 17
 M32 = 0xFFFFFFFF
 # logistic tables: 12-bit probabilities and their logits in 1/256
 _logit = np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))
@@ -77,16 +83,27 @@ class Coder:
         return low, high, low + (span >> 16) * p + (((span & 0xFFFF) * p) >> 16)
 
     def settle(self, of: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        """Shift out the leading bytes that both bounds share."""
+        """Shift out the leading bytes that both bounds share, and keep them 65,535 apart."""
         while True:
             same = np.flatnonzero((low ^ high) < (1 << 24))
             if not len(same):
-                break
+                close = np.flatnonzero(high - low < 0xFFFF)
+                if not len(close):
+                    break
+                high[close] = low[close] | 0xFFFF  # below the old bound, as the first bytes differ
+                continue
             self.shift(of[same], high[same] >> 24)
             low[same] = (low[same] << 8) & M32
             high[same] = ((high[same] << 8) & M32) | 255
         self.low[of], self.high[of] = low, high
 
+    def part(self, of: np.ndarray, below: np.ndarray, count: np.ndarray, total: np.ndarray) -> None:
+        """Narrow the bounds to ``count`` of ``total`` parts (65,536 at most), ``below`` of them left out before."""
+        low = self.low[of]
+        each = (self.high[of] - low + 1) // total
+        low = low + each * below
+        self.settle(of, low, low + each * count - 1)
+
 
 class Encoder(Coder):
     def __init__(self, blocks: int):
@@ -125,6 +142,12 @@ class Decoder(Coder):
         self.value[of] = ((self.value[of] << 8) & M32) | self.coded[of, at]
         self.at[of] += 1
 
+    def goal(self, of: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Which of ``total`` parts the coded value lies in."""
+        low = self.low[of]
+        at = (self.value[of] - low) // ((self.high[of] - low + 1) // total)
+        return np.minimum(np.maximum(at, 0), total - 1)  # a damaged block may lie outside
+
     def code(self, of: np.ndarray, p: np.ndarray, bit) -> np.ndarray:
         low, high, middle = self.split(of, p)
         bit = self.value[of] <= middle
@@ -156,16 +179,53 @@ class Mixer:
         return bit
 
 
-def coded(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None, rest: np.ndarray, rest_at: np.ndarray) -> np.ndarray:
+class Bytes:
+    """Adaptive counts of the two bytes of an id (order 0); unseen bytes count one."""
+
+    def __init__(self, blocks: int):
+        self.counts = np.ones((blocks * TREES * ROWS, 16), dtype=np.uint16)
+        self.counts[::ROWS] = 16
+
+    def code(self, coder: Coder, of: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+        """Code an id of each block; ``ids`` are given when encoding."""
+        encode = ids is not None
+        high = self.byte(coder, of, of * TREES, ids >> 8 if encode else None)
+        low = self.byte(coder, of, of * TREES + 1 + high, ids & 255 if encode else None)
+        return high << 8 | low
+
+    def byte(self, coder: Coder, of: np.ndarray, tree: np.ndarray, byte: np.ndarray | None) -> np.ndarray:
+        every = np.arange(len(of))
+        sums = tree * ROWS
+        held = self.counts[sums]
+        ends = held.cumsum(axis=1, dtype=np.int64)
+        total = ends[:, -1]
+        if byte is None:
+            goal = coder.goal(of, total)
+            first = (ends <= goal[:, None]).sum(axis=1)
+        else:
+            first = byte >> 4
+        below = ends[every, first] - held[every, first]
+        counts = sums + 1 + first
+        held = self.counts[counts]
+        ends = held.cumsum(axis=1, dtype=np.int64)
+        second = (ends <= (goal - below)[:, None]).sum(axis=1) if byte is None else byte & 15
+        count = held[every, second].astype(np.int64)
+        coder.part(of, below + ends[every, second] - count, count, total)
+        self.counts[sums, first] += STEP
+        self.counts[counts, second] += STEP
+        return first << 4 | second
+
+
+def coded(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
     """Run the model over all blocks; ``ids`` (blocks x BLOCK) are given when
-    encoding and returned when decoding. ``rest`` holds the ids no order predicts."""
+    encoding and returned when decoding."""
     n = len(lengths)
     encode = ids is not None
     out = ids if encode else np.zeros((n, BLOCK), dtype=np.int64)
     after2, sure2 = np.zeros(n * ORDER2, dtype=np.int32), np.zeros(n * ORDER2, dtype=np.int8)
     after1, sure1 = np.zeros(n * ORDER1, dtype=np.int32), np.zeros(n * ORDER1, dtype=np.int8)
     seen = np.zeros(n * ORDER0, dtype=np.int8)
-    second, first = Mixer(n, (8, 16, 8)), Mixer(n, (8, 8, 8))
+    second, first, others = Mixer(n, (8, 16, 8)), Mixer(n, (8, 8, 8)), Bytes(n)
     previous, older = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     for step in range(int(lengths.max(initial=0))):
         of = np.flatnonzero(lengths > step)
@@ -193,13 +253,7 @@ def coded(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None, rest: np.nd
             open_[ask[hit]] = False
         ask = np.flatnonzero(open_)
         if len(ask):
-            blocks = of[ask]
-            at = rest_at[blocks]
-            if encode:
-                rest[blocks, at] = value[ask]
-            else:
-                value[ask] = rest[blocks, np.minimum(at, rest.shape[1] - 1)]  # a damaged block may ask for more
-            rest_at[blocks] += 1
+            value[ask] = others.code(coder, of[ask], value[ask] if encode else None)
         if not encode:
             out[of, step] = value
 
@@ -224,40 +278,33 @@ def packed(ids: np.ndarray) -> bytes:
         lengths[-1] = len(ids) - (n - 1) * BLOCK
     grid = np.zeros((n, BLOCK), dtype=np.int64)
     grid.reshape(-1)[:len(ids)] = ids
-    rest, rest_at = np.zeros((n, BLOCK), dtype=np.uint16), np.zeros(n, dtype=np.int64)
     coder = Encoder(n)
-    coded(coder, lengths, grid, rest, rest_at)
+    coded(coder, lengths, grid)
     coder.finish()
     parts = []
     for i in range(n):
         own = ids[i * BLOCK:(i + 1) * BLOCK].astype("<u4").tobytes()
-        parts += [struct.pack("<IIII", zlib.crc32(own), lengths[i], coder.at[i], rest_at[i]),
-                  coder.out[i, :coder.at[i]].tobytes(), rest[i, :rest_at[i]].astype("<u2").tobytes()]
+        parts += [struct.pack("<III", zlib.crc32(own), lengths[i], coder.at[i]), coder.out[i, :coder.at[i]].tobytes()]
     return b"".join(parts)
 
 
 def unpacked(data: bytes) -> np.ndarray:
     """The ids of :func:`packed` bytes; ValueError if a block's checksum fails."""
-    at, heads, coded_parts, rests = 0, [], [], []
+    at, heads, parts = 0, [], []
     while at < len(data):
-        check, count, size, rest_size = struct.unpack_from("<IIII", data, at)
-        at += 16
+        check, count, size = struct.unpack_from("<III", data, at)
+        at += 12
         heads.append((check, count))
-        coded_parts.append(np.frombuffer(data, np.uint8, size, at))
-        rests.append(np.frombuffer(data, "<u2", rest_size, at + size))
-        at += size + 2 * rest_size
+        parts.append(np.frombuffer(data, np.uint8, size, at))
+        at += size
     n = len(heads)
     if not n:
         return np.zeros(0, dtype=np.int64)
-
-    def grid(parts, kind):
-        out = np.zeros((n, max(map(len, parts)) + 1), dtype=kind)
-        for i, part in enumerate(parts):
-            out[i, :len(part)] = part
-        return out
-
+    grid = np.zeros((n, max(map(len, parts)) + 1), dtype=np.uint8)
+    for i, part in enumerate(parts):
+        grid[i, :len(part)] = part
     lengths = np.array([count for _, count in heads], dtype=np.int64)
-    ids = coded(Decoder(grid(coded_parts, np.uint8)), lengths, None, grid(rests, np.uint16), np.zeros(n, dtype=np.int64))
+    ids = coded(Decoder(grid), lengths, None)
     whole = [ids[i, :lengths[i]] for i in range(n)]
     for (check, _), own in zip(heads, whole):
         if zlib.crc32(own.astype("<u4").tobytes()) != check:
