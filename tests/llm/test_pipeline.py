@@ -70,6 +70,16 @@ def test_edge_cases(spark, tmp_dir):
         assert bool(got) == bool(data)
 
 
+def test_near_dedup_judges_rows_of_one_id_each_by_its_text(spark):
+    rows = [(3, "one text that is there twice", 0), (7, "one text that is there twice", 1), (7, "words of its own in here", 2),
+            (7, "some quite different line again", 3), (7, "some quite different line again", 4)]
+    for order in (rows, rows[::-1]):
+        docs = cut(spark.createDataFrame(order, "doc_id long, text string, n int"), "shared-ids")
+        kept = simhash.keep_one_per_group(docs)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == [rows[0][:2], rows[3][:2], rows[2][:2]]
+
+
 def test_near_dedup_keeps_rows_without_an_id(spark):
     docs = cut(spark.createDataFrame([(None, "a b c d", "x"), (1, "a b c d", "x"), (2, "a b c d", "y"), (3, "other words here now", "y")],
                                      "doc_id long, text string, simhash string"), "ids")

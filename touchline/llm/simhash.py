@@ -64,17 +64,19 @@ def fingerprint(text: bytes, words: int) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``(doc_id, simhash)`` with the fingerprint as a signed long, a row per document."""
+def fingerprints(docs: DataFrame, words: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, simhash)`` with the fingerprint as a signed long, then the ``carried``
+    columns of longs, a row per document."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             found = np.array([fingerprint(t.as_py() or b"", words) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "simhash"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
+                                             ["doc_id", "simhash", *carried])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(per_batch, "doc_id long, simhash long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
+    return rows.mapInArrow(per_batch, ", ".join(f"{c} long" for c in ("doc_id", "simhash", *carried)))
 
 
 def flips(radius: int) -> list[int]:
@@ -103,29 +105,41 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     return stars.select(F.col("low").alias("a"), F.col("simhash").alias("b")).distinct()
 
 
-def simhash_groups(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """``(doc_id, simhash, component_id)``: a row per row of ``docs``."""
-    prints = cut(fingerprints(docs, words), "simhash")
+def named_prints(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``(key, root, component_id)``: a row per distinct fingerprint of ``prints``;
+    ``root`` is a fingerprint that its component has alone."""
     classes = prints.groupBy("simhash").agg(F.min("doc_id").alias("first_doc"))
     found = components(links(prints, max_bits))
     rooted = cut(classes.join(found, classes.simhash == found.node, "left")
                  .select("simhash", "first_doc", F.coalesce("root", "simhash").alias("root")), "rooted")
     lowest = rooted.groupBy(F.col("root").alias("of")).agg(F.min("first_doc").alias("component_id"))
-    named = cut(rooted.join(lowest, rooted.root == lowest.of)
-                .select(F.col("simhash").alias("key"), "component_id"), "named")
+    return cut(rooted.join(lowest, rooted.root == lowest.of)
+               .select(F.col("simhash").alias("key"), "root", "component_id"), "named")
+
+
+def simhash_groups(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
+    """``(doc_id, simhash, component_id)``: a row per row of ``docs``."""
+    prints = cut(fingerprints(docs, words), "simhash")
+    named = named_prints(prints, max_bits).select("key", "component_id")
     return prints.join(named, prints.simhash == named.key).select("doc_id", "simhash", "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's id, all columns.
+    """One row of each component, all columns: the smallest by doc_id, hash of the text and row number.
 
-    Rows without a doc_id are kept (nothing names them as a copy). Repeated
-    rows of a kept doc_id fold into one.
+    Rows are told apart by their number in the table, so rows that share a
+    doc_id are judged each by its own text. Rows without a doc_id are kept
+    (nothing names them as a copy).
     """
-    kept = (simhash_groups(docs, words, max_bits).where(F.col("doc_id") == F.col("component_id"))
-            .select(F.col("doc_id").alias("kept_id")).distinct())
-    ided = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return ided.join(kept, ided.doc_id == kept.kept_id, "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = docs.withColumn("near_row", F.monotonically_increasing_id())
+    hashed = rows.withColumn("near_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    prints = cut(fingerprints(hashed, words, ("near_hash", "near_row")), "simhash")
+    named = named_prints(prints, max_bits)
+    kept = (prints.join(named, prints.simhash == named.key).where(F.col("doc_id") == F.col("component_id"))
+            .groupBy("root").agg(F.min(F.struct("near_hash", "near_row")).alias("first"))
+            .select(F.col("first.near_row").alias("kept_row")))
+    one = rows.join(kept, rows.near_row == kept.kept_row, "left_semi").drop("near_row")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def op5_simhash_ball(spark, sf_dir):
