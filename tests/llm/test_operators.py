@@ -175,6 +175,24 @@ def test_mixed_rows_are_whole_documents_in_training_order(docs):
     assert Counter(r.doc_id for r in rows) == Counter({d: sum(c) for d, c in mix.items() if sum(c)})
 
 
+def test_mixed_rows_of_equal_keys_come_back_each_as_itself(spark):
+    seen, twins = {}, None
+    for i in range(1_000_000):
+        text = f"text number {i}"
+        twins = seen.setdefault(hashlib.md5(text.encode()).hexdigest()[:8], text), text
+        if twins[0] != text:
+            break
+    rows = [(None, twins[0], "a", 1), (None, twins[1], "a", 2), (5, "the same words", "a", 3), (5, "the same words", "b", 4),
+            (5, "the same words", "b", 5)]
+    docs = cut(spark.createDataFrame(rows, "doc_id long, text string, source string, n int"), "twins")
+    numbered = docs.withColumn("own", F.col("n").cast("long"))
+    want = {r.own: r.copies for r in mixing.mixed(numbered, carried=("own",)).collect()}
+    got = mixing.mixed_rows(docs).collect()
+    by_source = {s: sum(c for n, c in want.items() if rows[n - 1][2] == s) for s in "ab"}
+    assert all(tuple(r) in rows for r in got) and Counter(r.source for r in got) == by_source
+    assert {r.n for r in got} == {1, 2, 3, 4, 5} and max(Counter(r.n for r in got).values()) <= 2
+
+
 def test_position_inverts_the_demand(spark):
     rows = spark.range(0, 101).select((F.col("id") / 100.0).alias("u")).collect()
     for tilt in mixing.TILTS:

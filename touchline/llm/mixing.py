@@ -98,10 +98,12 @@ def position(before, tilt, target):
     return 2.0 * u / (flat + F.sqrt(flat * flat + 4.0 * tilt * u))
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, tilts=TILTS) -> DataFrame:
-    """``(doc_id, size, source, source_size, target, taken, copies, position)``, a row per document."""
+def mixed(docs: DataFrame, weights=WEIGHTS, tilts=TILTS, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, size, source, source_size, target, taken, copies, before, tilt, key, position)`` and
+    the ``carried`` columns, a row per document. Documents that the order leaves
+    equal follow each other by the ``carried`` columns."""
     sizes = cut(docs.select("doc_id", F.col("source").alias("source"), n_words(F.col("text")).alias("size"),
-                            ordered_key(F.col("doc_id"), F.col("text")).alias("key")), "mix-sizes")
+                            ordered_key(F.col("doc_id"), F.col("text")).alias("key"), *carried), "mix-sizes")
     shares = cut(targets(sizes, weights, tilts), "mix-targets").withColumnRenamed("source", "of_source")
     rows = sizes.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
     # words of the source in buckets before this one: one row per source and bucket
@@ -112,7 +114,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, tilts=TILTS) -> DataFrame:
                        F.coalesce(earlier, F.lit(0)).alias("earlier"))
     sums = (sums.alias("a").join(shares.alias("b"), F.col("a.of_source").eqNullSafe(F.col("b.of_source")))
             .select("a.of_source", "of_bucket", "earlier", "source_size", "tilt", "target"))
-    inside = F.sum("size").over(Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
+    inside = F.sum("size").over(Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", *carried)
                                 .rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("inside", F.coalesce(inside, F.lit(0)))
     rows = (rows.join(sums, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket")))
@@ -124,7 +126,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, tilts=TILTS) -> DataFrame:
     copies = sum(((F.col("size") > 0) & ((wanted - F.col("source_size") * k - F.col("before")) * 2 >= F.col("size"))).cast("int")
                  for k in range(MAX_REPEATS))
     out = rows.withColumn("taken", taken).withColumn("copies", copies)
-    return out.select("doc_id", "size", "source", "source_size", "target", "taken", "copies", "before", "tilt", "key",
+    return out.select("doc_id", "size", "source", "source_size", "target", "taken", "copies", "before", "tilt", "key", *carried,
                       F.when(F.col("taken") > 0, position(F.col("before"), F.col("tilt"), F.col("target"))).alias("position"))
 
 
@@ -138,21 +140,21 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, tilts=TILTS) -> DataFrame:
 
     A document comes back once per whole copy taken (a part of half its words
     or more counts as a copy), each at its own training position. Texts are
-    never cut. Documents without words are not taken.
+    never cut. Documents without words are not taken. Rows are told apart by
+    their number in the table, so each comes back with its own columns.
     """
-    mix = mixed(docs, weights, tilts)
+    rows = docs.withColumn("mix_row", F.monotonically_increasing_id())
+    hashed = rows.withColumn("mix_hash", F.xxhash64("text"))
+    mix = mixed(hashed, weights, tilts, ("mix_hash", "mix_row"))
     times = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), (F.col("copies") > k).alias("taken"))
                                for k in range(MAX_REPEATS)]), lambda c: c["taken"])
-    slots = mix.select(F.col("doc_id").alias("mix_id"), F.col("key").alias("mix_key"), F.explode(times).alias("c"),
+    slots = mix.select(F.col("mix_row").alias("of_row"), F.col("key").alias("mix_key"), F.explode(times).alias("c"),
                        "before", "source_size", "tilt", "target")
-    slots = slots.select("mix_id", "mix_key", position(
+    slots = slots.select("of_row", "mix_key", position(
         F.col("before") + F.col("c.k") * F.col("source_size"), F.col("tilt"),
         F.greatest(F.col("target"), F.lit(1.0))).alias("mix_position"))
-    # equal keys are equal ids with equal text digests: pair the n-th with the n-th by keeping one row of docs a key
-    keyed = docs.withColumn("mix_doc_key", ordered_key(F.col("doc_id"), F.col("text")))
-    one = keyed.dropDuplicates(["mix_doc_key"])
-    joined = one.join(slots, F.col("mix_doc_key") == F.col("mix_key"))
-    return joined.orderBy("mix_position", "mix_key").select(*[joined[c] for c in docs.columns])
+    joined = rows.join(slots, F.col("mix_row") == F.col("of_row"))
+    return joined.orderBy("mix_position", "mix_key", "mix_row").select(*[joined[c] for c in docs.columns])
 
 
 def op3_curriculum_mix(spark, sf_dir):
