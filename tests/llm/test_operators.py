@@ -92,6 +92,17 @@ def test_bad_host_is_rejected_and_small_host_is_shrunk(spark):
     assert verdicts["tiny"].rate_short < 1.0  # one failing page of one: pulled towards the prior
 
 
+def test_host_of_repeated_lines_is_rejected(spark):
+    def page(i, copies):
+        own = [" ".join(f"w{i}x{k}x{j}" for j in range(8)) for k in range(100 - copies)]
+        return "\n".join(own + ["eight words that stand on many lines here"] * copies)
+
+    rows = [(i, page(i, 46), "listy") for i in range(40)] + [(100 + i, page(i, 2), f"fine{i % 4}") for i in range(40)]
+    got = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert all(r.n_lines == 100 and (r.n_dup_lines, r.kept) == ((45, False) if r.source == "listy" else (1, True)) for r in got)
+
+
 # --- operator 2
 
 @pytest.fixture(scope="module")

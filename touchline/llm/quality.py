@@ -30,7 +30,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOL_PERCENT = 10  # symbols per 100 word characters, host rule only
-MAX_DUP_LINE_PERCENT = 30  # host rule only
+MAX_DUP_LINE_PERCENT = 30  # repeated lines per 100 lines with a word, host rule only
 WINDOW_WORDS = 3
 #: Shrunk rate of a rule's failures at which a host is rejected.
 MAX_RATE = 0.5
@@ -76,18 +76,19 @@ def repeat_words(words: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)``."""
+    """``(doc_id, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words)``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     gaps = F.translate(text, WORD_GAPS, " " * len(WORD_GAPS))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, WORD_GAPS, "") != F.lit(""))
     rows = docs.select("doc_id", "source", text.alias("text"),
-                       F.filter(F.split(gaps, " "), lambda w: w != F.lit("")).alias("words"))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.translate(x, WORD_GAPS, "") != F.lit(""))
-    dup = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
+                       F.filter(F.split(gaps, " "), lambda w: w != F.lit("")).alias("words"),
+                       let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"),
+                                                     F.size(F.array_distinct(x)).cast("long").alias("own"))).alias("lines"))
     return rows.select(
         "doc_id", "source", F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", WORD_GAPS, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        dup.alias("n_dup_lines"), repeat_words(F.col("words")).alias("n_repeat_words"))
+        F.col("lines.n").alias("n_lines"), (F.col("lines.n") - F.col("lines.own")).alias("n_dup_lines"), repeat_words(F.col("words")).alias("n_repeat_words"))
 
 
 def failures() -> dict[str, Column]:
@@ -96,7 +97,7 @@ def failures() -> dict[str, Column]:
         "short": F.col("n_words") < MIN_WORDS,
         "repeats": F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT,
         "symbols": F.col("n_symbols") * 100 > F.col("word_chars") * MAX_SYMBOL_PERCENT,
-        "dup_lines": F.col("n_dup_lines") * 100 > F.col("n_words") * MAX_DUP_LINE_PERCENT,
+        "dup_lines": F.col("n_dup_lines") * 100 > F.col("n_lines") * MAX_DUP_LINE_PERCENT,
     }
 
 
