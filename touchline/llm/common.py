@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(_
 #: Tasks that a list of work items is spread over at most.
 MOST_TASKS = 20_000
 
+#: Parts that the rows of one key are dealt into where its totals go back to them.
+SALTS = 1024
+
 #: The characters that part words: space and U+0009 to U+000D.
 WORD_GAPS = " \t\n\x0b\f\r"
 
@@ -51,6 +56,14 @@ def cut(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Remove the files of a table that :func:`cut` wrote and that no later step reads."""
+    spark = frame.sparkSession
+    for folder in {path.rsplit("/", 1)[0] for path in frame.inputFiles()}:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def let(value: Column, body) -> Column:
     """``body`` of a value that is computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -67,6 +80,29 @@ def is_empty(frame: DataFrame) -> bool:
     return not frame.take(1)
 
 
+def salt(*columns: str) -> Column:
+    """A number below ``SALTS`` that deals the rows of one key out evenly."""
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def shared_totals(rows: DataFrame, keys: tuple[str, ...], totals: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """``rows`` (which hold a stored ``salt``) with totals over each key's rows as further columns.
+
+    A total is a pair: the aggregate over rows and the one that merges its
+    parts. Parts are taken by (key, salt), merged by key and handed back by
+    (key, salt), so a key that holds most rows is dealt over all salts both
+    ways. Null keys are keys like any other.
+    """
+    parts = rows.groupBy(*keys, "salt").agg(*[first.alias(name) for name, (first, _) in totals.items()])
+    whole = parts.groupBy(*keys).agg(*[merge.alias(name) for name, (_, merge) in totals.items()])
+    whole = whole.select(*[F.col(k).alias(f"of_{k}") for k in keys], *totals)
+    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
+    parts = parts.select(*keys, "salt").join(whole, on=reduce(and_, same))
+    parts = parts.select(*[f"of_{k}" for k in keys], F.col("salt").alias("of_salt"), *totals)
+    handed = rows.join(parts, on=reduce(and_, [*same, F.col("salt") == F.col("of_salt")]))
+    return handed.select(*rows.columns, *totals)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an edge table ``(a, b)`` of longs.
 

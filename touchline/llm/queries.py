@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .bpe import op2_byte_bpe
+from .exact_dedup import OP11_SQL, op11_exact_dedup
+from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .mixing import OP3_SQL, op3_curriculum_mix
 from .multiset_hash import op4_multiset_hash
 from .quality import OP1_SQL, op1_host_rules
@@ -11,6 +13,7 @@ from .suffix_dedup import op6_suffix_dedup
 from .token_files import op7_token_files
 from .toxicity import op10_toxicity
 from .url_lists import OP8_SQL, op8_url_lists
+from .vector_codes import OP12_SQL, op12_vector_codes
 from .warc import OP9_SQL, op9_warc
 
 REGISTRY = {
@@ -24,10 +27,16 @@ REGISTRY = {
     "op8_url_lists": op8_url_lists,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE: dict[str, str] = {
     "op1_host_rules": OP1_SQL,
     "op3_curriculum_mix": OP3_SQL,
     "op8_url_lists": OP8_SQL,
     "op9_warc": OP9_SQL,
+    "op11_exact_dedup": OP11_SQL,
+    "op12_vector_codes": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
