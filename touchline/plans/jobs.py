@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, model, silver
 from ..params import RunParams, league_dimension
+from ..session import scratch_table
 from ..sources import landing
 from ..sources.bronze import bronze_from_landing
 from ..sources.layers import layer_path, read_table, write_layer
@@ -49,13 +50,13 @@ def _dynamic(params: RunParams) -> bool:
 def land(spark: SparkSession, params: RunParams, run_id: str) -> tuple[DataFrame, DataFrame]:
     """Manifest + landing check for one run -> (results, landed headers).
 
-    The headers scan is materialized once (checkpointed into the shared
-    folder), because both the check and the bronze read use it.
+    The file dimension is written once into the shared folder, because both
+    the check and the bronze read use it.
     """
     run_root = landing.run_folder(params.landing, run_id)
     leagues = league_dimension(spark, params.leagues)
     manifest = landing.ingest_manifest(leagues, params.start_year, params.final_year(), run_root)
-    headers = landing.landed_headers(spark, run_root).checkpoint()
+    headers = scratch_table(landing.landed_headers(spark, run_root), "landed")
     results = landing.landing_results(manifest, headers)
     return results, headers
 
@@ -72,9 +73,7 @@ def build_bronze(spark: SparkSession, params: RunParams, run_id: str, headers: D
     run_root = landing.run_folder(params.landing, run_id)
     if results is not None:
         wanted = landing.successful(results).select("league_name", "season")
-        keyed = headers.select("*", landing.league_name_from_path(F.col("file_path")).alias("league_name"),
-                               landing.season_from_path(F.col("file_path")).alias("season"))
-        headers = keyed.join(wanted, ["league_name", "season"], "left_semi").select("file_path", "header")
+        headers = headers.join(wanted, ["league_name", "season"], "left_semi")
     if headers.isEmpty():
         LOG.warning("no landed file with content under %s; bronze not written", run_root)
         return None
@@ -86,9 +85,7 @@ def build_bronze(spark: SparkSession, params: RunParams, run_id: str, headers: D
 def unlisted_files(headers: DataFrame, results: DataFrame) -> int:
     """Landed files whose (league, season) the manifest does not list."""
     listed = results.select("league_name", "season").distinct()
-    keyed = headers.select(landing.league_name_from_path(F.col("file_path")).alias("league_name"),
-                           landing.season_from_path(F.col("file_path")).alias("season"))
-    return keyed.join(listed, ["league_name", "season"], "left_anti").count()
+    return headers.join(listed, ["league_name", "season"], "left_anti").count()
 
 
 def only_partitions(frame: DataFrame, partitions: list[tuple[str, str]] | None) -> DataFrame:

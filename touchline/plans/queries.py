@@ -8,6 +8,7 @@ list landed files run those jobs while they are built; the others are lazy. Colu
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -136,9 +137,9 @@ def q_required_keys(spark, sf_dir):
 
 @query("path_provenance")
 def q_path_provenance(spark, sf_dir):
-    from ..sources.bronze import provenance
-    raw = load_raw_matches(spark, sf_dir)
-    return raw.select(*provenance(F.col("source_file"), "run0"))
+    from ..sources.bronze import with_provenance
+    raw = load_raw_matches(spark, sf_dir).select("source_file")
+    return with_provenance(raw, "run0")
 
 
 @query("league_code_lookup")
@@ -190,7 +191,8 @@ def _manifest_from_data(spark, files):
     from ..functions.parsing import season_start_year
     from ..params import league_dimension
     from ..sources import landing
-    years = files.select(season_start_year(landing.season_from_path(F.col("file_path"))).alias("y"))
+    keyed = files if "season" in files.columns else landing.with_path_keys(files)
+    years = keyed.select(season_start_year("season").alias("y"))
     bounds = years.select(F.struct(F.min("y").alias("lo"), F.max("y").alias("hi"))).scalar()
     return landing.ingest_manifest(league_dimension(spark), bounds["lo"], bounds["hi"], LANDING_RUN)
 
@@ -312,10 +314,15 @@ def _landed_run(spark, sf_dir) -> tuple[str, str]:
 @query("landing_check")
 def q_landing_check(spark, sf_dir):
     """Manifest checked against the files that actually landed."""
+    from ..session import scratch_table, uri_of
     from ..sources import landing
     run_root, _ = _landed_run(spark, sf_dir)
-    headers = landing.landed_headers(spark, run_root)
-    return landing.landing_results(_manifest_from_data(spark, headers), headers)
+    headers = scratch_table(landing.landed_headers(spark, run_root), "landed")
+    results = landing.landing_results(_manifest_from_data(spark, headers), headers)
+    # the folder a file landed in, as a path of the manifest's form: this run's root and part files have random names
+    landed_in = F.regexp_extract("path", f"^{re.escape(uri_of(spark, run_root))}/league_name=(.+)/season=(.+)/[^/]+[.]csv$", 0) != ""
+    folder = F.regexp_replace("path", "^.*/league_name=(.+)/season=(.+)/[^/]+$", f"{LANDING_RUN}/$1/$2.csv")
+    return results.withColumn("path", F.when(landed_in, folder).otherwise(F.col("path")))
 
 
 @query("landing_to_silver")

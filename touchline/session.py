@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 # HotSpot options: JIT-compile Spark's large generated methods, and room for
 # the compiled code of many generated classes in a long-lived JVM.
 JIT_OPTIONS = "-XX:-DontCompileHugeMethods -XX:ReservedCodeCacheSize=512m"
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 DEBUG_CONF = "spark.python.sql.dataFrameDebugging.enabled"
 
 
@@ -128,6 +129,15 @@ def _local_only_folder(master: str) -> str:
     return tempfile.mkdtemp(prefix="touchline-ckpt-")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Tell Python workers where this package lies, for sessions started from
+    another folder (a cluster installs the package)."""
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared checkpoint folder; what is written
     there goes when the session's file system closes."""
@@ -144,6 +154,12 @@ def scratch_table(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def uri_of(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark names it in ``_metadata.file_path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toUri().toString()
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> str:
     """Have the JVM's file system delete ``path`` when it closes."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

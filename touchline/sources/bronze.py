@@ -1,60 +1,26 @@
 """Landed CSV files -> bronze match rows (all text, with provenance).
 
 Headers drift between seasons (columns appear, and some are inserted in the
-middle). One CSV scan over files with different headers would map every file
-by the position of a single header, shifting values into wrong columns. So
-files are grouped by their header: one all-STRING CSV scan per distinct
-header, then ``unionByName(allowMissingColumns=True)``. The plan grows with
-the number of distinct headers (a handful per decade), not with the files.
+middle), and one CSV scan with one header would shift values into wrong
+columns. So the files are scanned once *by position*, every column as text, and
+the file dimension says for each file which position holds which column: the
+values meet it by path and are picked by its positions. The plan is one scan
+however many headers and files there are. League, code and season are worked
+out in the file dimension, once a file. Only the widest header's length reaches
+the driver.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-import re
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas
 from ..operators.silver import conform_bronze
 from ..params import DEFAULT_LEAGUES
-from .landing import landed_headers, league_name_from_path, season_from_path
-
-
-def header_columns(header: str) -> list[str]:
-    """CSV header line -> non-empty column names, unique without regard to case.
-
-    A repeated name gets the first free ``_1``, ``_2`` ... behind it.
-    """
-    names = [raw.strip() or f"_c{i}" for i, raw in enumerate(next(csv.reader(io.StringIO(header)), []))]
-    given = {name.lower() for name in names}
-    used: set[str] = set()
-    out = []
-    for name in names:
-        unique, n = name, 0
-        while unique.lower() in used or (n and unique.lower() in given):
-            n += 1
-            unique = f"{name}_{n}"
-        used.add(unique.lower())
-        out.append(unique)
-    return out
-
-
-def header_groups(headers: DataFrame) -> list[tuple[list[str], list[str]]]:
-    """[(columns, file paths)] per distinct header.
-
-    Brings to the driver one (header, path) row per landed file, the same
-    information Spark's own file index holds for the CSV scans that follow.
-    The rows are grouped here, not in a Spark aggregate: a header shared by
-    most files would otherwise put every path into one task's buffer.
-    """
-    paths: dict[str, list[str]] = {}
-    for row in headers.select("header", "file_path").toLocalIterator(prefetchPartitions=True):
-        paths.setdefault(row["header"], []).append(row["file_path"])
-    return [(header_columns(h), sorted(paths[h])) for h in sorted(paths)]
+from ..session import scratch_table
+from .landing import folder_path, header_columns, landed_headers, with_path_keys  # noqa: F401 - header_columns: old place
 
 
 def code_of_league(name: Column, leagues: dict[str, str] | None = None) -> Column:
@@ -65,46 +31,46 @@ def code_of_league(name: Column, leagues: dict[str, str] | None = None) -> Colum
     return code
 
 
-def provenance(source_file: Column, run_id: str, leagues: dict[str, str] | None = None) -> list[Column]:
-    """The five provenance columns of a bronze row, from its file path.
+def file_dimension(files: DataFrame, path: str = "file_path", leagues: dict[str, str] | None = None) -> DataFrame:
+    """A row per file with ``league_name``, ``league_code`` and ``season``.
 
     An unknown league folder gives a NULL ``league_code`` (rows are kept in
     bronze and dropped by silver).
     """
-    name = league_name_from_path(source_file)
-    return [
-        source_file.alias("source_file"),
-        F.lit(run_id).alias("ingestion_run_id"),
-        name.alias("league_name"),
-        code_of_league(name, leagues).alias("league_code"),
-        season_from_path(source_file).alias("season"),
-    ]
-
-
-_GLOB_CHARS = re.compile(r"([\\{}\[\]*?])")
-
-
-def readable_path(file_uri: str) -> str:
-    """A ``_metadata.file_path`` URI as a path the file readers accept: escapes
-    decoded (``%20`` -> space) and glob characters escaped, because readers
-    expand ``[``, ``{``, ``*`` and ``?`` in the paths they are given."""
-    return _GLOB_CHARS.sub(r"\\\1", unquote(file_uri))
-
-
-def read_landed_csv(spark: SparkSession, groups: list[tuple[list[str], list[str]]]) -> DataFrame | None:
-    """One all-STRING CSV scan per header group, union by name, + file path."""
-    frames = []
-    for columns, paths in groups:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        scan = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-                .csv([readable_path(p) for p in paths]))
-        frames.append(scan.select("*", F.col("_metadata.file_path").alias("_file_path")))
-    if not frames:
-        return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    keyed = files if "league_name" in files.columns else with_path_keys(files, path)
+    return keyed.withColumn("league_code", code_of_league(F.col("league_name"), leagues))
+
+
+def with_provenance(rows: DataFrame, run_id: str, leagues: dict[str, str] | None = None) -> DataFrame:
+    """``rows`` (with their ``source_file``) and the five provenance columns, met by path.
+
+    The paths are parsed once a file; Spark broadcasts the files where their
+    size allows it.
+    """
+    files = file_dimension(rows.select("source_file").distinct(), "source_file", leagues)
+    added = ("ingestion_run_id", "league_name", "league_code", "season")
+    bare = rows.drop(*added)
+    return bare.join(files, "source_file").select(*bare.columns, F.lit(run_id).alias("ingestion_run_id"),
+                                                  "league_name", "league_code", "season")
+
+
+def positions(columns: Column) -> list[Column]:
+    """Where a file's header holds the known raw columns (from 1; 0: nowhere), and the names and places of all others."""
+    known = F.array(*[F.lit(c) for c in schemas.RAW_MATCH_COLUMNS])
+    places = F.transform(F.sequence(F.lit(1), F.size(columns)), lambda i: F.struct(i.alias("at"), F.get(columns, i - 1).alias("name")))
+    others = F.filter(places, lambda p: ~F.array_contains(known, p["name"]))
+    return [F.transform(known, lambda name: F.array_position(columns, name).cast("int")).alias("known_at"),
+            F.transform(others, lambda p: p["name"]).alias("other_names"),
+            F.transform(others, lambda p: p["at"]).alias("other_at")]
+
+
+def read_by_position(spark: SparkSession, run_root: str, width: int) -> DataFrame:
+    """``(source_file, cells)``: every row of every landed CSV file of the run, its cells in file order."""
+    names = [f"c{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    scan = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(folder_path(run_root)))
+    return scan.select(F.col("_metadata.file_path").alias("source_file"), F.array(*names).alias("cells"))
 
 
 def bronze_from_landing(spark: SparkSession, run_root: str, run_id: str,
@@ -112,13 +78,21 @@ def bronze_from_landing(spark: SparkSession, run_root: str, run_id: str,
     """All landed files of a run -> bronze rows: the 50 known columns, and every
     other landed column in ``extra_columns``.
 
-    Returns None when no file with content landed (nothing to write).
+    ``headers`` names the files to take (:func:`landing.landed_headers`, or a
+    part of it, as a stored table). Returns None when no file with content
+    landed (nothing to write).
     """
-    headers = headers if headers is not None else landed_headers(spark, run_root)
-    raw = read_landed_csv(spark, header_groups(headers))
-    if raw is None:
+    headers = headers if headers is not None else scratch_table(landed_headers(spark, run_root), "landed")
+    width = headers.agg(F.max(F.size("columns"))).first()[0]
+    if not width:
         return None
-    keep = [c for c in raw.columns if c not in ("_file_path", "source_file", "ingestion_run_id", "league_name",
-                                                  "league_code", "season")]
-    with_prov = raw.select(*[F.col(f"`{c}`") for c in keep], *provenance(F.col("_file_path"), run_id, leagues))
-    return conform_bronze(with_prov)
+    files = file_dimension(headers, leagues=leagues).select(
+        F.col("file_path").alias("source_file"), *positions(F.col("columns")), "league_name", "league_code", "season")
+    # Spark broadcasts the files where their size allows it; the rows are then not shuffled
+    rows = read_by_position(spark, run_root, width).join(files, "source_file")
+    cell = lambda at: F.get("cells", at - 1)  # noqa: E731 - NULL where the header lacks the column
+    raw = [cell(F.get("known_at", F.lit(i))).alias(name) for i, name in enumerate(schemas.RAW_MATCH_COLUMNS)]
+    others = F.map_from_arrays("other_names", F.transform("other_at", cell))
+    return conform_bronze(rows.select(
+        "source_file", F.lit(run_id).alias("ingestion_run_id"), "league_name", "league_code", "season", *raw,
+        F.map_filter(others, lambda _, value: value.isNotNull()).alias(schemas.EXTRA)))

@@ -15,10 +15,20 @@ League name and season are read from the path in both layouts.
 
 from __future__ import annotations
 
+import csv
+import io
+import re
+from collections.abc import Iterator
+from functools import lru_cache
+from urllib.parse import urlsplit
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parsing import season_code, season_start_year
+from ..session import let_workers_import
 
 # The path patterns for league folder and season file stem.
 LEAGUE_FROM_PATH = r"([^/\\]+)[/\\][^/\\]+\.csv$"
@@ -98,42 +108,124 @@ def ingest_manifest(leagues: DataFrame, first_year: Column | int, last_year: Col
 
 # --- S3 landing check --------------------------------------------------------
 
-def landed_headers(spark: SparkSession, run_root: str) -> DataFrame:
-    """(file_path, header) for every landed CSV file that has a non-blank line.
+#: Bytes of a landed file that are read at a time until its first line is whole.
+HEAD_BYTES = 1 << 16
+BLANKS = bytes(range(33))
+_LINE_END = re.compile(rb"[\r\n]")
+_GLOB_CHARS = re.compile(r"([\\{}\[\]*?])")
+
+LANDED_SCHEMA = "file_path string, header string, columns array<string>"
+
+
+def header_columns(header: str) -> list[str]:
+    """CSV header line -> non-empty column names, unique without regard to case.
+
+    A repeated name gets the first free ``_1``, ``_2`` ... behind it.
+    """
+    names = [raw.strip() or f"_c{i}" for i, raw in enumerate(next(csv.reader(io.StringIO(header)), []))]
+    given = {name.lower() for name in names}
+    used: set[str] = set()
+    out = []
+    for name in names:
+        unique, n = name, 0
+        while unique.lower() in used or (n and unique.lower() in given):
+            n += 1
+            unique = f"{name}_{n}"
+        used.add(unique.lower())
+        out.append(unique)
+    return out
+
+
+def first_line(file) -> str | None:
+    """The first line with a character above U+0020, without byte order mark; None if there is none.
+
+    Reads on only until that line is whole. What the CSV reader skips as blank is skipped here.
+    """
+    held, piece = b"", file.read(HEAD_BYTES).removeprefix(b"\xef\xbb\xbf")
+    while piece:
+        held = (held + piece).lstrip(BLANKS)
+        end = _LINE_END.search(held)
+        if end:
+            held = held[:end.start()]
+            break
+        piece = file.read(HEAD_BYTES)
+    return held.decode("utf-8", "replace") if held else None
+
+
+@lru_cache
+def _store(scheme: str, host: str) -> fs.FileSystem:
+    return fs.FileSystem.from_uri(f"{scheme}://{host}/")[0]
+
 
-    One text scan of the run folder. The header is the first non-blank line of
-    the file's first split (BOM removed); empty or blank files yield no row,
-    and a run folder that does not exist yields no rows.
+def opened(uri: str):
+    """The file of a ``_metadata.file_path`` (``file:/x`` or ``scheme://host/x``, escapes encoded) as a stream of bytes."""
+    place = urlsplit(uri)
+    full = f"{place.scheme}://{place.netloc}{place.path}"
+    return _store(place.scheme, place.netloc).open_input_stream(fs.FileSystem.from_uri(full)[1])
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file_path, header, columns) of the files of a batch that have a header."""
+    for batch in batches:
+        found = []
+        for uri in batch.column("file_path").to_pylist():
+            with opened(uri) as file:
+                header = first_line(file)
+            if header is not None:
+                found.append((uri, header, header_columns(header)))
+        columns = list(zip(*found)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
+                                          pa.array(columns[2], pa.list_(pa.string()))], ["file_path", "header", "columns"])
+
+
+def folder_path(path: str) -> str:
+    """A folder's name as the file readers accept it (they expand globs)."""
+    return _GLOB_CHARS.sub(r"\\\1", path)
+
+
+def landed_headers(spark: SparkSession, run_root: str) -> DataFrame:
+    """The file dimension of a run: ``(file_path, header, columns, league_name, season)`` for every
+    landed CSV file that has a non-blank line.
+
+    Spark lists the folder (names and lengths only, spread over tasks); each
+    task reads the heads of its files up to the first non-blank line, so the
+    cost grows with the files and not with their bytes. League and season come
+    from the path, once a file. Empty or blank files yield no row, and a run
+    folder that does not exist yields no rows. The folder must be one that
+    ``pyarrow.fs`` opens (file, HDFS, S3, GCS).
     """
     folder = spark._jvm.org.apache.hadoop.fs.Path(run_root)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], "file_path string, header string")
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(run_root)
-        .select("value", F.col("_metadata.file_path").alias("file_path"),
-                F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
-    )
-    first = lines.where((F.col("block") == 0) & (F.trim("value") != "")).groupBy("file_path").agg(
-        F.min_by("value", "pos").alias("header"))
-    return first.select("file_path", F.regexp_replace("header", "^\ufeff", "").alias("header"))
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        let_workers_import(spark)
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+                 .load(folder_path(run_root)).select(F.col("_metadata.file_path").alias("file_path"), "length"))
+        heads = files.mapInArrow(_heads, LANDED_SCHEMA)
+    else:
+        heads = spark.createDataFrame([], LANDED_SCHEMA)
+    return with_path_keys(heads)
+
+
+def with_path_keys(files: DataFrame, path: str = "file_path") -> DataFrame:
+    """A row per file, with the ``league_name`` and ``season`` its path names."""
+    return files.withColumns({"league_name": league_name_from_path(F.col(path)), "season": season_from_path(F.col(path))})
 
 
 def landing_results(manifest: DataFrame, landed: DataFrame) -> DataFrame:
-    """Manifest rows with ``success`` and ``message``.
+    """Manifest rows with ``success`` and ``message``; ``path`` is where the file landed
+    (the first by name of several), or where it was expected if none did.
 
-    ``landed`` needs ``league_name`` and ``season`` (or a ``file_path`` to
-    read them from). A task succeeds when at least one non-blank file landed
+    ``landed`` has ``file_path``, and ``league_name`` and ``season`` where they
+    are known already. A task succeeds when at least one non-blank file landed
     for its league and season. Both sides are bounded by the number of
     (league, season) files, so AQE plans the join from runtime sizes.
     """
     if "league_name" not in landed.columns:
-        landed = landed.select(league_name_from_path(F.col("file_path")).alias("league_name"),
-                               season_from_path(F.col("file_path")).alias("season"))
-    present = landed.groupBy("league_name", "season").agg(F.count(F.lit(1)).alias("files"))
+        landed = with_path_keys(landed)
+    present = landed.groupBy("league_name", "season").agg(F.min("file_path").alias("landed_path"))
     joined = manifest.join(present, ["league_name", "season"], "left")
-    ok = F.col("files").isNotNull()
+    ok = F.col("landed_path").isNotNull()
     return joined.select(
-        "league_code", "league_name", "season", "path", ok.alias("success"),
+        "league_code", "league_name", "season", F.coalesce("landed_path", "path").alias("path"), ok.alias("success"),
         F.when(ok, F.concat(F.lit("landed "), F.col("league_code"), F.lit(" season "), F.col("season")))
         .otherwise(F.concat(F.lit("no data for "), F.col("league_code"), F.lit(" season "), F.col("season")))
         .alias("message"),
