@@ -1,0 +1,304 @@
+"""File heads, the positional bronze scan, staged publishing, partition
+registration, the run table, run ids, run parameters and the model's evaluation."""
+
+from __future__ import annotations
+
+import datetime as dt
+import io
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from touchline import schemas
+from touchline.functions.parsing import run_id_at
+from touchline.params import RunParams, league_dimension, params_from_env
+from touchline.plans import catalog, jobs
+from touchline.plans.queries import REGISTRY
+from touchline.sources import landing, layers
+from touchline.sources.bronze import bronze_from_landing
+from touchline.sources.layers import read_table
+
+from helpers import SF_SMALL, write_text
+
+RUN = "20240101T000000Z"
+HEAD = "Div,Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR\n"
+LEAGUES = {"E0": "england_premier_league", "SP1": "spain_la_liga"}
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().toString()
+
+
+# --- file heads (S3)
+
+@pytest.mark.parametrize("raw, header", [
+    (b"a,b\n1,2\n", "a,b"), (b"a,b", "a,b"), (b"\xef\xbb\xbfa,b\r\n1,2\r\n", "a,b"), (b"\n\r\n  \t\n a,b\r1,2", "a,b"),
+    (b"\xef\xbb\xbf\n\na,b\n", "a,b"), (b"", None), (b"  \n \r\n\t", None), (b"\xef\xbb\xbf", None), (b"\xef\xbb\xbf \n", None),
+    (b" \n" * 200_000 + b"late,header\n", "late,header"), (b"x" * 150_000 + b",y\n1", "x" * 150_000 + ",y"), (b"caf\xe9,b\n", "caf�,b"),
+])
+def test_first_line(raw, header):
+    assert landing.first_line(io.BytesIO(raw)) == header
+
+
+def test_only_heads_of_files_are_read(monkeypatch):
+    file = io.BytesIO(HEAD.encode() + b"1,2,3\n" * 1_000_000)
+    landing.first_line(file)
+    assert file.tell() == landing.HEAD_BYTES
+
+
+def test_landing_check_reads_heads_and_names_where_files_landed(spark, tmp_dir):
+    root = landing.run_folder(f"{tmp_dir}/landing", RUN)
+    write_text(f"{root}/england_premier_league/2223.csv", "﻿\n\n" + HEAD + "E0,12/08/2022,A,B,1,0,H\n")
+    write_text(f"{root}/england_premier_league/2324.csv", "")
+    write_text(f"{root}/spain_la_liga/2223.csv", " \n\t\r\n")
+    for part in ("part-1", "part-0"):
+        write_text(f"{root}/league_name=spain_la_liga/season=2324/{part}.csv", HEAD)
+    headers = landing.landed_headers(spark, root)
+    shape = plan(headers)
+    assert "Scan text" not in shape and "FileScan text" not in shape and "Sort" not in shape and "FileScan binaryFile" in shape
+    assert "content" not in [line for line in shape.splitlines() if "ReadSchema" in line][-1]
+    manifest = landing.ingest_manifest(league_dimension(spark, LEAGUES), 2022, 2023, root)
+    rows = {(r.league_code, r.season): r for r in landing.landing_results(manifest, headers).collect()}
+    assert {k: r.success for k, r in rows.items()} == {
+        ("E0", "2223"): True, ("E0", "2324"): False, ("SP1", "2223"): False, ("SP1", "2324"): True}
+    assert rows["SP1", "2324"].path.endswith("/league_name=spain_la_liga/season=2324")
+    assert rows["E0", "2324"].path == f"{root}/england_premier_league/2324.csv"
+    assert rows["E0", "2223"].message == "landed E0 season 2223"
+
+
+def test_landing_check_query_plans_no_text_scan_and_no_sort(spark):
+    shape = plan(REGISTRY["landing_check"](spark, SF_SMALL))
+    assert "Scan text" not in shape and "FileScan text" not in shape and "Sort" not in shape
+
+
+# --- one scan by position
+
+def test_many_headers_are_one_scan_and_paths_are_parsed_once_a_file(spark, tmp_dir):
+    root = landing.run_folder(f"{tmp_dir}/landing", RUN)
+    known = ["Div", "Date", "HomeTeam", "AwayTeam", "FTHG", "FTAG", "FTR"]
+    for n in range(300):
+        names = known[n % 7:] + [f"odds{n}"] + known[:n % 7] + (["HS"] if n % 3 == 0 else [])
+        cells = [f"{c}{n}" if c != "HS" else "" for c in names]
+        write_text(f"{root}/england_premier_league/{n:04d}.csv", ",".join(names) + "\n" + ",".join(cells) + "\n" + ",".join(cells[:2]) + "\n")
+    bronze = bronze_from_landing(spark, root, RUN, LEAGUES)
+    shape = bronze._jdf.queryExecution().executedPlan().toString()
+    assert shape.count("FileScan csv") == 1 and "Union" not in shape
+    above = shape[:shape.index("FileScan csv")]
+    assert "regexp_extract" not in above.split("BroadcastExchange")[0]
+    rows = [r for r in bronze.collect() if r.extra_columns.get(f"odds{int(r.season)}")]
+    whole = [r for r in rows if r.HomeTeam]
+    assert len({r.season for r in rows}) == 300
+    for r in whole:
+        n = int(r.season)
+        assert r.extra_columns == {f"odds{n}": f"odds{n}{n}"} and r.league_code == "E0" and r.HS is None
+        assert all(r[c] in (f"{c}{n}", None) for c in known)
+    assert sum(all(r[c] == f"{c}{int(r.season)}" for c in known) for r in whole) == 300
+
+
+def test_rows_longer_than_their_header_and_headers_named_like_bronze_columns(spark, tmp_dir):
+    root = landing.run_folder(f"{tmp_dir}/landing", RUN)
+    write_text(f"{root}/england_premier_league/2324.csv", HEAD + "E0,12/08/2023,A,B,1,0,H,over,more\n")
+    write_text(f"{root}/spain_la_liga/2324.csv",
+               HEAD.strip() + ",season,league_name,extra_columns,hometeam\nSP1,12/08/2023,C,D,1,0,H,s,l,e,x\n")
+    rows = {r.HomeTeam: r for r in bronze_from_landing(spark, root, RUN, LEAGUES).collect()}
+    assert rows["A"].extra_columns == {} and (rows["A"].season, rows["A"].league_name) == ("2324", "england_premier_league")
+    assert rows["C"].season == "2324" and rows["C"].extra_columns == {
+        "season": "s", "league_name": "l", "extra_columns": "e", "hometeam_1": "x"}
+
+
+def test_files_that_are_not_asked_for_are_left_out(spark, tmp_dir):
+    root = landing.run_folder(f"{tmp_dir}/landing", RUN)
+    write_text(f"{root}/england_premier_league/2324.csv", HEAD + "E0,12/08/2023,A,B,1,0,H\n")
+    write_text(f"{root}/spain_la_liga/2324.csv", "x,y,z," + HEAD + "1,2,3,SP1,12/08/2023,C,D,1,0,H\n")
+    headers = landing.landed_headers(spark, root).where("league_name = 'england_premier_league'")
+    assert [r.HomeTeam for r in bronze_from_landing(spark, root, RUN, LEAGUES, headers).collect()] == ["A"]
+    assert bronze_from_landing(spark, root, RUN, LEAGUES, headers.where("false")) is None
+
+
+# --- staged publishing
+
+def params_of(tmp_dir, prefix, **more):
+    return RunParams(**{"lake_root": f"{tmp_dir}/lake", "landing_root": f"{tmp_dir}/landing", "start_year": 2022, "end_year": 2023,
+                        "leagues": LEAGUES, "database_prefix": prefix, "train_model": False, **more})
+
+
+def land_one(tmp_dir, run_id, home, season="2324", league="england_premier_league"):
+    write_text(landing.run_folder(f"{tmp_dir}/landing", run_id) + f"/{league}/{season}.csv", HEAD + f"E0,12/08/2023,{home},B,1,0,H\n")
+
+
+def teams(spark, params, table="silver.matches", column="home_team"):
+    return sorted(r[0] for r in read_table(spark, params.lake_root, table).select(column).collect())
+
+
+@pytest.mark.parametrize("broken", ["build_silver", "build_gold", "register_lake"])
+def test_a_broken_run_leaves_the_last_run_readable(spark, tmp_dir, monkeypatch, broken):
+    params = params_of(tmp_dir, f"t_{broken}_")
+    try:
+        land_one(tmp_dir, RUN, "First")
+        jobs.run_all(spark, params, RUN)
+        land_one(tmp_dir, "run2", "Second")
+
+        def fails(*args, **kwargs):
+            raise RuntimeError("lost")
+
+        def half(spark, params, *args, **kwargs):  # breaks with silver half written
+            frame = read_table(spark, params.lake_root, "bronze.matches")
+            layers.write_layer(frame.withColumn("Date", F.raise_error(F.lit("lost"))), layers.layer_path(
+                layers.version_root(params.lake_root, kwargs.get("version") or args[-1]), "silver.matches"))
+
+        with monkeypatch.context() as m:
+            m.setattr(jobs, broken, half if broken == "build_silver" else fails)
+            with pytest.raises(Exception, match="lost"):
+                jobs.run_all(spark, params, "run2")
+        if broken != "register_lake":  # that one breaks when all is published
+            assert teams(spark, params) == ["First"] and teams(spark, params, "bronze.matches", "HomeTeam") == ["First"]
+            assert len(os.listdir(f"{tmp_dir}/lake/_versions")) == 1
+            assert [r.home_team for r in spark.table(f"t_{broken}_silver.matches").collect()] == ["First"]
+        land_one(tmp_dir, "run3", "Third")
+        report = jobs.run_all(spark, params, "run3")
+        assert teams(spark, params) == ["Third"] and len(os.listdir(f"{tmp_dir}/lake/_versions")) == 1
+        assert [r.home_team for r in spark.table(f"t_{broken}_silver.matches").collect()] == ["Third"]
+        assert all(os.path.isdir(path) for path in report.outputs.values())
+    finally:
+        catalog.drop_lake(spark, f"t_{broken}_")
+
+
+def test_single_jobs_publish_their_table_alone(spark, tmp_dir):
+    params = params_of(tmp_dir, "")
+    for run_id, home in ((RUN, "First"), ("run2", "Second")):
+        land_one(tmp_dir, run_id, home)
+        results, headers = jobs.land(spark, params, run_id)
+        jobs.build_bronze(spark, params, run_id, headers, results)
+        if home == "First":
+            jobs.build_silver(spark, params)
+    assert teams(spark, params, "bronze.matches", "HomeTeam") == ["Second"] and teams(spark, params) == ["First"]
+    jobs.build_silver(spark, params)
+    assert teams(spark, params) == ["Second"]
+    assert len(layers._pointers(spark, params.lake_root)) == 1
+
+
+def test_a_first_static_run_replaces_an_unversioned_lake(spark, tmp_dir):
+    params = params_of(tmp_dir, "t_unv_", partition_overwrite="dynamic")
+    try:
+        land_one(tmp_dir, RUN, "First")
+        jobs.run_all(spark, params, RUN)
+        assert layers.published(spark, params.lake_root) == {} and os.path.isdir(f"{tmp_dir}/lake/silver/matches")
+        land_one(tmp_dir, "run2", "Second")
+        jobs.run_all(spark, params_of(tmp_dir, "t_unv_"), "run2")
+        assert teams(spark, params) == ["Second"] and not os.path.exists(f"{tmp_dir}/lake/silver/matches")
+        land_one(tmp_dir, "run3", "Third", "2223")  # a dynamic run on a versioned lake stays in that version
+        jobs.run_all(spark, params, "run3")
+        assert teams(spark, params) == ["Second", "Third"]
+        assert sorted(r.home_team for r in spark.table("t_unv_silver.matches").collect()) == ["Second", "Third"]
+    finally:
+        catalog.drop_lake(spark, "t_unv_")
+
+
+# --- partition registration
+
+def test_a_dynamic_run_registers_what_it_wrote_and_lists_no_other_folder(spark, tmp_dir):
+    params = params_of(tmp_dir, "t_reg_", partition_overwrite="dynamic")
+    try:
+        land_one(tmp_dir, RUN, "First")
+        jobs.run_all(spark, params, RUN)
+        stray = f"{tmp_dir}/lake/silver/matches/league_code=E0/season=9999"
+        read_table(spark, params.lake_root, "silver.matches").drop("league_code", "season").write.parquet(stray)
+        land_one(tmp_dir, "run2", "Second", "2223")
+        jobs.run_all(spark, params, "run2")
+        held = sorted(r.partition for r in spark.sql("SHOW PARTITIONS t_reg_silver.matches").collect())
+        assert held == ["league_code=E0/season=2223", "league_code=E0/season=2324"]
+        assert sorted(r.home_team for r in spark.table("t_reg_silver.matches").collect()) == ["First", "Second"]
+        assert [r.team for r in spark.table("t_reg_gold.team_season_table").where("season = '2223' AND team = 'Second'").collect()] == ["Second"]
+        location = layers.table_path(spark, params.lake_root, "silver.matches")
+        catalog.register_table(spark, "silver.matches", location, "t_reg_")  # a whole repair finds the stray folder
+        assert spark.sql("SHOW PARTITIONS t_reg_silver.matches").count() == 3
+        layers.remove_folder(spark, stray)
+        catalog.register_table(spark, "silver.matches", location, "t_reg_", [("E0", "9999"), ("E0", "2223")])
+        assert spark.sql("SHOW PARTITIONS t_reg_silver.matches").count() == 2
+    finally:
+        catalog.drop_lake(spark, "t_reg_")
+
+
+def test_partition_folders_are_named_as_the_writer_names_them(spark, tmp_dir):
+    frame = spark.createDataFrame([(1, "a/b=c", "20:1'")], "x int, league_code string, season string")
+    layers.write_layer(frame, f"{tmp_dir}/t")
+    assert os.path.isdir(f"{tmp_dir}/t/{catalog.partition_folder(spark, 'a/b=c', chr(50) + '0:1' + chr(39))}")
+
+
+# --- run table, run ids, parameters
+
+def test_runs_are_recorded(spark, tmp_dir):
+    params = params_of(tmp_dir, "t_runs_")
+    at = dt.datetime(2023, 12, 31, 23, 59, 59, tzinfo=dt.timezone.utc)
+    try:
+        assert jobs.run_table(spark, params.lake_root).collect() == []
+        root = landing.run_folder(params.landing, RUN)
+        write_text(f"{root}/england_premier_league/2324.csv", HEAD + "E0,12/08/2023,A,B,1,0,H\nE0,12/08/2023,,C,1,0,H\n")
+        write_text(f"{root}/elsewhere/2324.csv", HEAD)
+        jobs.run_all(spark, params, RUN, clock=lambda: at)
+        report = jobs.run_all(spark, params, clock=lambda: at)
+        assert report.run_id == "20231231T235959Z" and report.outputs == {}
+        rows = {(r.run_id, r.layer): r for r in jobs.run_table(spark, params.lake_root).collect()}
+        counts = {k: (r.rows, r.rejected_rows, r.unlisted_files) for k, r in rows.items()}
+        assert counts == {
+            (RUN, "landing"): (1, 3, 1), (RUN, "bronze.matches"): (2, 0, 0), (RUN, "silver.matches"): (1, 1, 0),
+            (RUN, "gold.team_season_table"): (2, 0, 0), (RUN, "gold.league_season_summary"): (1, 0, 0),
+            ("20231231T235959Z", "landing"): (0, 4, 0)}
+        assert teams(spark, params) == ["A"]  # the empty run replaced nothing
+    finally:
+        catalog.drop_lake(spark, "t_runs_")
+
+
+@pytest.mark.parametrize("moment, wanted", [
+    ((2024, 1, 1, 0, 0, 0), "20240101T000000Z"), ((1999, 12, 31, 23, 59, 59), "19991231T235959Z"),
+    ((1969, 12, 31, 23, 59, 59), "19691231T235959Z"), ((1901, 3, 4, 5, 6, 7), "19010304T050607Z"), ((2000, 2, 29, 12, 0, 1), "20000229T120001Z")])
+def test_run_ids(spark, moment, wanted):
+    at = dt.datetime(*moment, tzinfo=dt.timezone.utc)
+    assert jobs.new_run_id(lambda: at) == wanted
+    assert jobs.new_run_id(lambda: at.astimezone(dt.timezone(dt.timedelta(hours=-7)))) == wanted
+    seconds = int((at - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)).total_seconds())
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            assert spark.range(1).select(run_id_at(F.timestamp_seconds(F.lit(seconds)))).first()[0] == wanted
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_main_takes_prefix_and_model_switch_from_the_environment(spark, tmp_dir, monkeypatch, capsys):
+    from touchline.__main__ import main
+    land_one(tmp_dir, RUN, "First")
+    for name, value in {"LAKE_ROOT": f"{tmp_dir}/lake", "LANDING_ROOT": f"{tmp_dir}/landing", "START_YEAR": "2023", "END_YEAR": "2023",
+                        "DATABASE_PREFIX": "t_main_", "TRAIN_MODEL": "off"}.items():
+        monkeypatch.setenv(f"TOUCHLINE_{name}", value)
+    try:
+        assert main(["touchline", RUN]) == 0
+        assert [r.home_team for r in spark.table("t_main_silver.matches").collect()] == ["First"]
+        assert not os.path.exists(f"{tmp_dir}/lake/models") and "accuracy=None" in capsys.readouterr().out
+        monkeypatch.setenv("TOUCHLINE_TRAIN_MODEL", "perhaps")
+        with pytest.raises(ValueError, match="TOUCHLINE_TRAIN_MODEL"):
+            params_from_env(spark)
+    finally:
+        catalog.drop_lake(spark, "t_main_")
+
+
+# --- evaluation of the model
+
+def test_train_job_evaluates_and_saves(spark, tmp_dir):
+    from pyspark.ml import PipelineModel
+    from touchline.operators import model, silver
+    from touchline.sources.lineitem_matches import load_raw_matches
+    params = params_of(tmp_dir, "")
+    layers.write_layer(silver.silver_matches(load_raw_matches(spark, SF_SMALL)), layers.layer_path(params.lake_root, "silver.matches"))
+    trained = jobs.train_model(spark, params, 1998, num_trees=5)
+    rows = trained.evaluation().collect()
+    assert sorted((r.label, r.predicted) for r in rows) == [(a, b) for a in range(3) for b in range(3)]
+    assert sum(r.train_rows for r in rows) == trained.train_rows and sum(r.test_rows for r in rows) == trained.test_rows
+    right = sum(r.test_rows for r in rows if r.label == r.predicted)
+    assert right / trained.test_rows == pytest.approx(trained.accuracy)
+    assert trained.predicts_alike(PipelineModel.load(jobs.model_path(params.lake_root)))
+    other = model.outcome_pipeline(1, seed=7).fit(trained.features.limit(20))
+    assert not trained.predicts_alike(other)
+    assert schemas.SILVER.names  # the table that was read is the typed one

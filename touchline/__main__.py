@@ -1,6 +1,8 @@
 """Run every layer from the environment: ``spark-submit touchline/__main__.py`` or ``python -m touchline [run_id]``.
 
-Parameters are the ``TOUCHLINE_*`` variables of ``params.params_from_env``.
+Parameters are the ``TOUCHLINE_*`` variables of ``params.params_from_env``
+(``TOUCHLINE_DATABASE_PREFIX`` names the catalog's databases,
+``TOUCHLINE_TRAIN_MODEL`` is ``on`` or ``off``).
 """
 
 from __future__ import annotations

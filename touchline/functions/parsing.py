@@ -71,3 +71,13 @@ def season_code(start_year: str | Column) -> Column:
     """Start year -> season code: 1999 -> ``"9900"``, 2023 -> ``"2324"``."""
     y = _col(start_year)
     return F.concat(F.lpad((y % 100).cast("string"), 2, "0"), F.lpad(((y + 1) % 100).cast("string"), 2, "0"))
+
+
+def run_id_at(moment: Column | str) -> Column:
+    """``yyyyMMdd'T'HHmmss'Z'`` of a timestamp, in UTC whatever the session's zone (also before 1970)."""
+    seconds = F.unix_seconds(moment)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / F.lit(86400)).cast("int"))
+    inside = F.pmod(seconds, F.lit(86400))
+    clock = [F.lpad(F.floor(inside % outer / F.lit(unit)).cast("string"), 2, "0")
+             for outer, unit in ((86400, 3600), (3600, 60), (60, 1))]
+    return F.concat(F.date_format(day, "yyyyMMdd"), F.lit("T"), *clock, F.lit("Z"))

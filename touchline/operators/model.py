@@ -72,6 +72,22 @@ class TrainedModel:
     accuracy: float
     train_rows: int
     test_rows: int
+    features: DataFrame  # the stored feature rows of both sides of the split
+
+    def evaluation(self) -> DataFrame:
+        """``(label, predicted, train_rows, test_rows)``: every label by every label, counted over both sides."""
+        scored = self.model.transform(self.features).select("label", F.col("prediction").cast("int").alias("predicted"), "in_test")
+        counts = scored.groupBy("label", "predicted").agg(F.count_if(~F.col("in_test")).alias("train_rows"),
+                                                          F.count_if("in_test").alias("test_rows"))
+        labels = F.array(*[F.lit(v) for v in sorted(LABELS.values())])
+        pairs = (self.features.sparkSession.range(1).select(F.explode(labels).alias("label"))
+                 .select("label", F.explode(labels).alias("predicted")))
+        return pairs.join(counts, ["label", "predicted"], "left").na.fill(0, ["train_rows", "test_rows"])
+
+    def predicts_alike(self, other: PipelineModel) -> bool:
+        """Whether another model (this one, saved and loaded) predicts every feature row like this one."""
+        first = self.model.transform(self.features).select(*FEATURES, F.col("prediction").alias("first"))
+        return other.transform(first).where(~F.col("prediction").eqNullSafe(F.col("first"))).isEmpty()
 
 
 def outcome_pipeline(num_trees: int = 100, seed: int = 42) -> Pipeline:
@@ -103,4 +119,4 @@ def train_outcome_model(features: DataFrame, *, num_trees: int = 100, seed: int
                 MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(predictions))
     if save_to:
         model.write().overwrite().save(save_to)
-    return TrainedModel(model, accuracy, train.count(), test.count()), predictions
+    return TrainedModel(model, accuracy, train.count(), test.count(), features), predictions

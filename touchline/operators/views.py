@@ -30,6 +30,7 @@ class ViewDef:
         return f"SELECT\n  {body}\nFROM {table_ref or self.source}"
 
 
+# The rank expression, and the columns of the four views in their order.
 LEAGUE_POSITION = (
     "DENSE_RANK() OVER (PARTITION BY league_code, season "
     "ORDER BY points DESC, goal_difference DESC, goals_for DESC, team ASC)"

@@ -349,6 +349,17 @@ def with_stages(final: str, **stages: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + final
 
 
+def bronze_select(src: str) -> str:
+    """The bronze table of landed files with the columns of ``src``; blank cells are NULL in CSV, absent columns too."""
+    held = ("Div", "Date", "HomeTeam", "AwayTeam", "FTHG", "FTAG", "FTR", "HTHG", "HTAG", "HS", "AS", "HST", "AST", "HC", "AC",
+            "HF", "AF", "HY", "AY", "HR", "AR")
+    absent = ("HTR", "Attendance", "Referee", "HHW", "AHW", "HO", "AO", "HBP", "ABP", "GBH", "GBD", "GBA", "IWH", "IWD", "IWA",
+              "LBH", "LBD", "LBA", "SBH", "SBD", "SBA", "WHH", "WHD", "WHA")
+    cells = [f'nullif("{c}", \'\') AS "{c}"' for c in held] + [f'CAST(NULL AS VARCHAR) AS "{c}"' for c in absent]
+    return ("SELECT 'run0' AS ingestion_run_id, 'run0/league_name=' || league_name || '/season=' || season AS source_file, "
+            f"league_name, league_code, season, {', '.join(cells)}, '{{}}' AS extra_columns FROM {src}")
+
+
 _DRIFT = (f"SELECT {_NARROW} FROM raw WHERE {start_year_expr('season')} < 1996\n"
           f"UNION ALL BY NAME\nSELECT * FROM raw WHERE NOT ({start_year_expr('season')} < 1996)")
 
@@ -423,6 +434,33 @@ ORACLE.update({
         + " AND ".join(f"{c.strip()} IS NOT NULL" for c in _FEATURES.split(",")), "silver"),
 })
 
+ORACLE.update({
+    # the label's rows by side; that the forest's answers lie within the bound is the claim
+    "outcome_evaluation": f"""SELECT n.label, p.predicted, n.train_rows_of_label, n.test_rows_of_label,
+  TRUE AS train_within_bound, TRUE AS test_within_bound, TRUE AS loaded_model_alike
+FROM (SELECT label, count(*) FILTER (WHERE NOT in_test) AS train_rows_of_label, count(*) FILTER (WHERE in_test) AS test_rows_of_label
+      FROM ({ORACLE['outcome_split']}) GROUP BY label) n
+CROSS JOIN (VALUES (0), (1), (2)) p(predicted)""",
+    "run_ids": """SELECT DISTINCT s AS unix_seconds, strftime(make_timestamp(s * 1000000), '%Y%m%dT%H%M%SZ') AS run_id
+FROM (SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) - CASE WHEN l_linenumber % 2 = 0 THEN 12000 ELSE 0 END AS BIGINT) * 86400
+             + CASE WHEN l_linenumber = 1 THEN 86399 ELSE l_orderkey * 7919 % 86400 END AS s FROM lineitem)""",
+    "job_run_report": with_stages(
+        """SELECT 'run0' AS run_id, layer, rows, rejected_rows, unlisted_files, CAST(946684799 AS BIGINT) AS finished_second
+FROM (SELECT 'landing' AS layer, count_if(listed) AS rows, (SELECT count(*) FROM manifest) - count_if(listed) AS rejected_rows,
+             count_if(NOT listed) AS unlisted_files FROM files
+      UNION ALL SELECT 'bronze.matches', (SELECT count(*) FROM drift), 0, 0
+      UNION ALL SELECT 'silver.matches', (SELECT count(*) FROM silver), (SELECT count(*) FROM drift) - (SELECT count(*) FROM silver), 0
+      UNION ALL SELECT 'gold.team_season_table', (SELECT count(*) FROM (SELECT league_code, season, home_team AS team FROM silver
+        UNION SELECT league_code, season, away_team FROM silver)), 0, 0
+      UNION ALL SELECT 'gold.league_season_summary', (SELECT count(*) FROM (SELECT DISTINCT league_code, season FROM silver)), 0, 0)""",
+        files=f"SELECT league_code <> 'I1' AND {start_year_expr('season')} >= 1995 AS listed FROM (SELECT DISTINCT league_code, season FROM raw)",
+        manifest=f"SELECT 1 FROM (VALUES {_LEAGUE_VALUES}) l(code, name), range(1995, 2006) WHERE l.code <> 'I1'",
+        drift=f"SELECT * FROM raw WHERE league_code <> 'I1' AND {start_year_expr('season')} >= 1995",
+        silver=silver_select("drift")),
+    # what the run landed: old seasons narrow; every column the wide layout holds, blanks around values kept
+    "job_bronze": with_stages("SELECT * FROM bronze", drift=_DRIFT, bronze=bronze_select("drift")),
+})
+
 
 # --- metric families of the team table --------------------------------------------
 

@@ -11,11 +11,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import gold, silver, views
-from ..sources.lineitem_matches import load_raw_matches
+from ..sources.lineitem_matches import load_raw_matches, raw_matches, read_lineitem
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -159,15 +159,19 @@ NARROW_HEADER = ("ingestion_run_id", "source_file", "league_name", "Div", "Date"
 NARROW_BEFORE = 1996
 
 
+def _two_layouts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Raw rows of old seasons with the narrow header's columns, and of newer ones with all. A season starts in
+    July, so the bound is stated on the ship date, which reaches the Parquet scan."""
+    items = read_lineitem(spark, sf_dir)
+    old = F.col("l_shipdate") < F.lit(f"{NARROW_BEFORE}-07-01").cast("date")
+    return (raw_matches(items.where(old)).select(*[F.col(f"`{c}`") for c in NARROW_HEADER]), raw_matches(items.where(~old)))
+
+
 @query("schema_drift_union")
 def q_schema_drift_union(spark, sf_dir):
     """Old seasons land with a narrow header (no half-time, shots, cards);
     both layouts are united by name and typed; missing stats become NULL."""
-    from ..functions.parsing import season_start_year
-    raw = load_raw_matches(spark, sf_dir)
-    old = season_start_year("season") < NARROW_BEFORE
-    narrow = raw.where(old).select(*[F.col(f"`{c}`") for c in NARROW_HEADER])
-    wide = raw.where(~old)
+    narrow, wide = _two_layouts(spark, sf_dir)
     return silver.silver_matches(narrow.unionByName(wide, allowMissingColumns=True))
 
 
@@ -178,11 +182,10 @@ LANDING_RUN = "file:///landing/_runs/run0"
 
 def _landed_files(raw):
     """Distinct source files of the raw rows (partial aggregate per task),
-    checkpointed to the shared folder: the manifest bounds and the check both
+    written to the shared folder: the manifest bounds and the check both
     read this small table, so the raw rows are scanned once."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(raw.sparkSession)
-    return raw.select(F.col("source_file").alias("file_path")).distinct().checkpoint()
+    from ..session import scratch_table
+    return scratch_table(raw.select(F.col("source_file").alias("file_path")).distinct(), "landed-files")
 
 
 def _manifest_from_data(spark, files):
@@ -276,12 +279,21 @@ def _lake_from(spark, sf_dir, with_gold: bool = True) -> tuple[str, str]:
     return root, prefix
 
 
+def _and_drop(spark, prefix: str, found: DataFrame) -> DataFrame:
+    """``found``, read through the catalog, as a stored table; the databases of ``prefix`` go."""
+    from ..session import scratch_table
+    from .catalog import drop_lake
+    stored = scratch_table(found, "from-catalog")
+    drop_lake(spark, prefix)
+    return stored
+
+
 @query("catalog_tables")
 def q_catalog_tables(spark, sf_dir):
     """External silver table over existing partition folders, after repair."""
     from .catalog import qualified
     _, prefix = _lake_from(spark, sf_dir, with_gold=False)
-    return spark.table(qualified("silver.matches", prefix))
+    return _and_drop(spark, prefix, spark.table(qualified("silver.matches", prefix)))
 
 
 @query("catalog_views")
@@ -289,7 +301,7 @@ def q_catalog_views(spark, sf_dir):
     """The ranked SQL view over the catalog's gold table (Spark's SQL path)."""
     from .catalog import qualified
     _, prefix = _lake_from(spark, sf_dir)
-    return spark.sql(f"SELECT * FROM {qualified(views.TEAM_SEASON_RANKED.name, prefix)}")
+    return _and_drop(spark, prefix, spark.sql(f"SELECT * FROM {qualified(views.TEAM_SEASON_RANKED.name, prefix)}"))
 
 
 # --- landed CSV -> bronze -> silver (S3, S6, P1, J1, J2) ----------------------
@@ -298,16 +310,14 @@ def _landed_run(spark, sf_dir) -> tuple[str, str]:
     """Raw rows written as landed CSV files with two header layouts: old
     seasons narrow, newer ones with every column and ``Date`` moved after the
     teams (a column inserted mid-header for the older layout)."""
-    from ..functions.parsing import season_start_year
     from ..session import scratch_path
     from .jobs import landing_from_rows
-    raw = load_raw_matches(spark, sf_dir)
-    old = season_start_year("season") < NARROW_BEFORE
+    narrow, wide = _two_layouts(spark, sf_dir)
     run_root = scratch_path(spark, "landing") + "/_runs/run0"
-    landing_from_rows(raw.where(old).select(*[F.col(f"`{c}`") for c in NARROW_HEADER]), run_root, "overwrite")
-    moved = [c for c in raw.columns if c != "Date"]
+    landing_from_rows(narrow, run_root, "overwrite")
+    moved = [c for c in wide.columns if c != "Date"]
     moved.insert(moved.index("AwayTeam") + 1, "Date")
-    landing_from_rows(raw.where(~old).select(*[F.col(f"`{c}`") for c in moved]), run_root, "append")
+    landing_from_rows(wide.select(*[F.col(f"`{c}`") for c in moved]), run_root, "append")
     return run_root, "run0"
 
 
@@ -319,10 +329,9 @@ def q_landing_check(spark, sf_dir):
     run_root, _ = _landed_run(spark, sf_dir)
     headers = scratch_table(landing.landed_headers(spark, run_root), "landed")
     results = landing.landing_results(_manifest_from_data(spark, headers), headers)
-    # the folder a file landed in, as a path of the manifest's form: this run's root and part files have random names
-    landed_in = F.regexp_extract("path", f"^{re.escape(uri_of(spark, run_root))}/league_name=(.+)/season=(.+)/[^/]+[.]csv$", 0) != ""
-    folder = F.regexp_replace("path", "^.*/league_name=(.+)/season=(.+)/[^/]+$", f"{LANDING_RUN}/$1/$2.csv")
-    return results.withColumn("path", F.when(landed_in, folder).otherwise(F.col("path")))
+    # the season folder under this run's root (whose name is random), as a path of the manifest's form
+    folder = f"^{re.escape(uri_of(spark, run_root))}/league_name=([^/]+)/season=([^/]+)$"
+    return results.withColumn("path", F.regexp_replace("path", folder, f"{LANDING_RUN}/$1/$2.csv"))
 
 
 @query("landing_to_silver")
@@ -368,13 +377,16 @@ def q_ingest_success(spark, sf_dir):
 
 @query("job_bronze")
 def q_job_bronze(spark, sf_dir):
-    """The landing and bronze jobs (J1, J2); the written table's keys and some raw columns."""
+    """The landing and bronze jobs (J1, J2); the whole written table. Part files have random names, so
+    ``source_file`` is given as the folder below the run."""
     from ..sources.layers import read_table
     from . import jobs
     params, run_id = _job_params(spark, sf_dir)
     results, headers = jobs.land(spark, params, run_id)
     jobs.build_bronze(spark, params, run_id, headers, results)
-    return read_table(spark, params.lake_root, "bronze.matches").select("league_code", "season", "Date", "HomeTeam", "AwayTeam", "FTHG", "HS")
+    bronze = read_table(spark, params.lake_root, "bronze.matches")
+    folder = F.regexp_extract("source_file", "/_runs/(run0/league_name=[^/]+/season=[^/]+)/[^/]+[.]csv$", 1)
+    return bronze.withColumns({"source_file": folder, "extra_columns": F.to_json("extra_columns")})
 
 
 @query("job_silver")
@@ -437,6 +449,67 @@ def q_outcome_model(spark, sf_dir):
                               F.lit(trained.accuracy).alias("test_accuracy"))
 
 
+#: A label counts as learned where at least this share of its rows, on either side of the split, is predicted so.
+LEARNED_SHARE = 0.9
+
+
+@query("outcome_evaluation")
+def q_outcome_evaluation(spark, sf_dir):
+    """The train job (J6) over a written silver table: for every label and predicted label, the label's
+    train and test rows, whether the predictions lie within the bound, and whether the saved model,
+    loaded again, predicts every row like the trained one."""
+    from pyspark.ml import PipelineModel
+    from ..params import RunParams
+    from ..session import scratch_path
+    from ..sources.layers import layer_path, write_layer
+    from . import jobs
+    params = RunParams(lake_root=scratch_path(spark, "model-lake"))
+    write_layer(_silver(spark, sf_dir), layer_path(params.lake_root, "silver.matches"))
+    trained = jobs.train_model(spark, params, FEATURE_MIN_START_YEAR)
+    alike = trained.predicts_alike(PipelineModel.load(jobs.model_path(params.lake_root)))
+    of_label = Window.partitionBy("label")
+    sides = trained.evaluation().withColumns({f"{side}_rows_of_label": F.sum(f"{side}_rows").over(of_label) for side in ("train", "test")})
+    right = F.col("label") == F.col("predicted")
+    within = [F.when(right, F.col(f"{side}_rows") >= LEARNED_SHARE * F.col(f"{side}_rows_of_label"))
+              .otherwise(F.col(f"{side}_rows") <= (1 - LEARNED_SHARE) * F.col(f"{side}_rows_of_label")) for side in ("train", "test")]
+    return sides.select("label", "predicted", "train_rows_of_label", "test_rows_of_label", within[0].alias("train_within_bound"),
+                        within[1].alias("test_within_bound"), F.lit(alike).alias("loaded_model_alike"))
+
+
+# --- runs (J5, C17) --------------------------------------------------------------
+
+@query("run_ids")
+def q_run_ids(spark, sf_dir):
+    """Run ids (C17) of moments on both sides of 1970, every hour of the day and the last second of a year among them."""
+    from ..functions.parsing import run_id_at
+    days = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select("l_shipdate", "l_orderkey", "l_linenumber")
+    day = F.unix_date(F.col("l_shipdate").cast("date")) - F.when(F.col("l_linenumber") % 2 == 0, 12000).otherwise(0)
+    inside = F.when(F.col("l_linenumber") == 1, 86399).otherwise(F.col("l_orderkey") * 7919 % 86400)
+    seconds = day.cast("long") * 86400 + inside
+    return days.select(seconds.alias("unix_seconds")).distinct().select(
+        "unix_seconds", run_id_at(F.timestamp_seconds("unix_seconds")).alias("run_id"))
+
+
+@query("job_run_report")
+def q_job_run_report(spark, sf_dir):
+    """The run table (J5) after a run over landed files of which one league and one season are not in the manifest."""
+    import dataclasses
+    import datetime
+    import uuid
+    from . import catalog, jobs
+    params, run_id = _job_params(spark, sf_dir)
+    leagues = {code: name for code, name in params.leagues.items() if code != UNLISTED_LEAGUE}
+    params = dataclasses.replace(params, leagues=leagues, start_year=UNLISTED_BEFORE, database_prefix=f"tl{uuid.uuid4().hex[:8]}_")
+    at = datetime.datetime(1999, 12, 31, 23, 59, 59, tzinfo=datetime.timezone.utc)
+    jobs.run_all(spark, params, run_id, with_model=False, clock=lambda: at)
+    catalog.drop_lake(spark, params.database_prefix)
+    seconds = F.unix_seconds("finished_at").alias("finished_second")
+    return jobs.run_table(spark, params.lake_root).select("run_id", "layer", "rows", "rejected_rows", "unlisted_files", seconds)
+
+
+UNLISTED_LEAGUE, UNLISTED_BEFORE = "I1", 1995
+
+
 # --- metric families of the team table (A2), for finer-grained checks ----------
 
 TEAM_METRIC_FAMILIES = {

@@ -50,7 +50,7 @@ SILVER = _fields(
     + [("league_code", _S), ("season", _S)]
 )
 
-# Sums kept per team and season, in stored order.
+# The sums and the derived metrics kept per team and season, in stored order.
 TEAM_COUNTS = (
     "matches_played", "home_matches", "away_matches", "wins", "draws", "losses",
     "goals_for", "goals_against", "first_half_goals_for", "first_half_goals_against",

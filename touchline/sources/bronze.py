@@ -20,7 +20,7 @@ from .. import schemas
 from ..operators.silver import conform_bronze
 from ..params import DEFAULT_LEAGUES
 from ..session import scratch_table
-from .landing import folder_path, header_columns, landed_headers, with_path_keys  # noqa: F401 - header_columns: old place
+from .landing import folder_path, header_columns, landed_headers, readable_path, with_path_keys  # noqa: F401 - also named here
 
 
 def code_of_league(name: Column, leagues: dict[str, str] | None = None) -> Column:

@@ -20,7 +20,7 @@ import io
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from urllib.parse import urlsplit
+from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
@@ -34,6 +34,7 @@ from ..session import let_workers_import
 LEAGUE_FROM_PATH = r"([^/\\]+)[/\\][^/\\]+\.csv$"
 SEASON_FROM_PATH = r"([^/\\]+)\.csv$"
 HIVE_LEAGUE = r"league_name=([^/\\]+)[/\\]"
+HIVE_PLACE = r"^(.*league_name=[^/\\]+[/\\]season=[^/\\]+)[/\\][^/\\]+$"
 HIVE_SEASON = r"season=([^/\\]+)[/\\]"
 
 
@@ -183,6 +184,12 @@ def folder_path(path: str) -> str:
     return _GLOB_CHARS.sub(r"\\\1", path)
 
 
+def readable_path(file_uri: str) -> str:
+    """A ``_metadata.file_path`` URI as a path the file readers accept: escapes
+    decoded (``%20`` -> space) and glob characters escaped."""
+    return folder_path(unquote(file_uri))
+
+
 def landed_headers(spark: SparkSession, run_root: str) -> DataFrame:
     """The file dimension of a run: ``(file_path, header, columns, league_name, season)`` for every
     landed CSV file that has a non-blank line.
@@ -211,8 +218,8 @@ def with_path_keys(files: DataFrame, path: str = "file_path") -> DataFrame:
 
 
 def landing_results(manifest: DataFrame, landed: DataFrame) -> DataFrame:
-    """Manifest rows with ``success`` and ``message``; ``path`` is where the file landed
-    (the first by name of several), or where it was expected if none did.
+    """Manifest rows with ``success`` and ``message``; ``path`` is where the file landed (the season's
+    folder in Spark's layout, the first by name of several places), or where it was expected if none did.
 
     ``landed`` has ``file_path``, and ``league_name`` and ``season`` where they
     are known already. A task succeeds when at least one non-blank file landed
@@ -221,7 +228,9 @@ def landing_results(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     """
     if "league_name" not in landed.columns:
         landed = with_path_keys(landed)
-    present = landed.groupBy("league_name", "season").agg(F.min("file_path").alias("landed_path"))
+    # a set of at most one place a layout: hashed, where the minimum of a text column would sort
+    place = F.regexp_replace("file_path", HIVE_PLACE, "$1")
+    present = landed.groupBy("league_name", "season").agg(F.array_min(F.collect_set(place)).alias("landed_path"))
     joined = manifest.join(present, ["league_name", "season"], "left")
     ok = F.col("landed_path").isNotNull()
     return joined.select(
