@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from touchline.llm import queries, simhash, toxicity
+from touchline.llm import common, mixing, queries, simhash, suffix_dedup, toxicity
 from touchline.llm.common import cut, table
 from test_operators import PASSAGE, SF, TEXTS, brute_components, brute_dedup, brute_fingerprint
 
@@ -18,7 +18,7 @@ from test_operators import PASSAGE, SF, TEXTS, brute_components, brute_dedup, br
 def test_stages_are_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "substring_dedup", "mix", "encode"]
     assert "pipeline" in entry.queries() and all(n in entry.queries() for n in queries.REGISTRY)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
@@ -80,8 +80,66 @@ def test_near_dedup_judges_rows_of_one_id_each_by_its_text(spark):
         assert sorted((r.doc_id, r.text) for r in kept.collect()) == [rows[0][:2], rows[3][:2], rows[2][:2]]
 
 
-def test_near_dedup_keeps_rows_without_an_id(spark):
-    docs = cut(spark.createDataFrame([(None, "a b c d", "x"), (1, "a b c d", "x"), (2, "a b c d", "y"), (3, "other words here now", "y")],
+def test_near_dedup_judges_rows_without_an_id(spark):
+    """A row without an id goes where a copy has one; of copies without ids one stays."""
+    docs = cut(spark.createDataFrame([(None, "a b c d", "x"), (1, "a b c d", "x"), (2, "a b c d", "y"), (3, "other words here now", "y"),
+                                      (None, "nobody named these words", "p"), (None, "nobody named these words", "q")],
                                      "doc_id long, text string, simhash string"), "ids")
     kept = simhash.keep_one_per_group(docs)
-    assert sorted(((r.doc_id is None, r.doc_id) for r in kept.collect()), key=str) == [(False, 1), (False, 3), (True, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == [
+        (1, "a b c d"), (3, "other words here now"), (None, "nobody named these words")]
+
+
+HELPERS = ("row", "whole", "of_row", "near_row", "mix_row", "mix_key", "mix_hash", "dedup_row", "dedup_spans", "spans", "key", "size",
+           "position", "taken", "before", "simhash", "hash", "root", "part", "place", "anchor", "_metadata", "kept_row", "target", "tilt")
+
+
+def stage_results(spark, docs):
+    ordered = lambda frame: sorted(map(repr, (tuple(r) for r in frame.collect())))
+    return {"near_dedup": ordered(simhash.keep_one_per_group(docs)), "substring_dedup": ordered(suffix_dedup.with_kept_text(docs)),
+            "mix": ordered(mixing.mixed_rows(docs)), "op6": ordered(suffix_dedup.deduped(docs).drop("row"))}
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    rows = [(d, t, s, *[f"{h} of {n}" for h in HELPERS]) for n, (d, t, s) in enumerate(TEXTS)]
+    docs = cut(spark.createDataFrame(rows, ["doc_id", "text", "source", *HELPERS]), "clashing")
+    wanted = {r[:2] + r[3:]: r[2] for r in rows}
+    for stage in (simhash.keep_one_per_group, suffix_dedup.with_kept_text, mixing.mixed_rows):
+        kept = stage(docs)
+        assert kept.columns == docs.columns
+        found = [tuple(r) for r in kept.collect()]
+        assert found and all(r[3:] in {w[2:] for w in wanted} for r in found)
+
+
+def test_rows_keep_their_numbers_when_executors_come_and_go(spark, monkeypatch, tmp_path):
+    """Scans are split by the cores at hand when a job is planned; no result may depend on that."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150).unionByName(
+        spark.createDataFrame([(d, t, "en", s, 1) for d, t, s in TEXTS], "doc_id long, text string, lang string, source string, n_chars long"))
+    docs.repartition(16).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    wanted = stage_results(spark, docs)
+    key, jobs = "spark.sql.leafNodeDefaultParallelism", []
+
+    def shaken(frame, name, plain=common.cut):
+        jobs.append(name)
+        spark.conf.set(key, str((2, 16, 1, 7)[len(jobs) % 4]))
+        return plain(frame, name)
+
+    try:
+        for module in (common, simhash, suffix_dedup, mixing):
+            monkeypatch.setattr(module, "cut", shaken)
+        assert stage_results(spark, docs) == wanted
+    finally:
+        spark.conf.unset(key)
+    assert len(jobs) > 10
+
+
+def test_numbers_name_file_and_place(spark, tmp_path):
+    frame = spark.range(5000).withColumn("_metadata", F.lit("mine")).repartition(9)
+    frame.write.parquet(f"{tmp_path}/n")
+    rows = common.numbered(spark.read.parquet(f"{tmp_path}/n"))
+    assert rows.select("row").distinct().count() == 5000 and rows.where("row < 0").count() == 0
+    assert rows.select("whole.*").columns == ["id", "_metadata"]
+    derived = common.numbered(spark.read.parquet(f"{tmp_path}/n").select(F.explode(F.array("id", "id")).alias("id")))
+    assert derived.select("row").distinct().count() == 10000
+    assert common.numbered(spark.read.schema("doc_id long").parquet(f"{tmp_path}/n").where("false")).collect() == []

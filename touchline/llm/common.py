@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import let_workers_import, scratch_path
 
 CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 #: Tasks that a list of work items is spread over at most.
 MOST_TASKS = 20_000
 
@@ -28,10 +26,7 @@ WORD_GAPS = " \t\n\x0b\f\r"
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole input table. Python workers are told where this package lies, for
     sessions started from another folder (a cluster installs the package)."""
-    environment = spark.sparkContext.environment
-    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if PACKAGE_ROOT not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,6 +51,53 @@ def cut(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``(row, whole)``: the rows of ``docs`` as one struct each, under a number that every job gives alike.
+
+    Rows of a Parquet table are numbered by their file and their place in it,
+    which do not depend on how a scan is split (that follows from the cores at
+    hand when a job is planned, so it changes when executors come or go). The
+    number is a hash of the file's path, in a number of bits and with a salt for
+    which no two files share one, above the place in the file. Rows of anything
+    but a plain Parquet scan are written once with their number.
+    """
+    let_workers_import(docs.sparkSession)
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("whole")
+    plan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    paths = docs.inputFiles() if plan == "LogicalRelation" else []
+    if not paths or not all(p.endswith(".parquet") for p in paths):
+        return cut(docs.select(F.monotonically_increasing_id().alias("row"), whole), "numbered")
+    bits = 2 * len(paths).bit_length() + 2
+    prefix = next(s for s in map(str, range(1000)) if len({_file_code(s, p, bits) for p in paths}) == len(paths))
+    place = docs.metadataColumn("_metadata")
+    code = F.shiftrightunsigned(F.xxhash64(F.concat(F.lit(prefix), place["file_path"])), 64 - bits)
+    many = F.raise_error(F.lit(f"more than {1 << (63 - bits)} rows in a file")).cast("long")
+    inside = F.when(place["row_index"] >= F.lit(1 << (63 - bits)), many).otherwise(place["row_index"])
+    return docs.select((F.shiftleft(code, 63 - bits) + inside).alias("row"), whole)
+
+
+def _file_code(prefix: str, path: str, bits: int) -> int:
+    return xxhash.xxh64_intdigest((prefix + path).encode(), 42) >> (64 - bits)
+
+
+def before_each(frame: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``frame`` with ``place`` (its row's number, from 0, in the given order) and, under each name, the sum over
+    the rows before it. Rows are dealt by range; only a row per range passes one task."""
+    given = {f"by_{i}": c for i, c in enumerate(order)}
+    added = {f"add_{name}": c for name, c in sums.items()}
+    dealt = frame.withColumns(given | added | {"one": F.lit(1).cast("long")})
+    dealt = cut(dealt.repartitionByRange(*given).withColumn("part", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("part").orderBy(*given).rowsBetween(Window.unboundedPreceding, -1)
+    names = {"place": "one", **{name: f"add_{name}" for name in sums}}
+    rows = dealt.withColumns({f"in_{name}": F.sum(column).over(inside) for name, column in names.items()})
+    parts = dealt.groupBy(F.col("part").alias("of_part")).agg(*[F.sum(column).alias(f"own_{name}") for name, column in names.items()])
+    earlier = Window.partitionBy(F.lit(0)).orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("of_part", *[F.sum(f"own_{name}").over(earlier).alias(f"pre_{name}") for name in names])
+    joined = rows.join(parts, F.col("part") == F.col("of_part"))
+    return joined.select(*frame.columns, *[
+        (F.coalesce(f"in_{name}", F.lit(0)) + F.coalesce(f"pre_{name}", F.lit(0))).alias(name) for name in names])
+
+
 def discard(frame: DataFrame) -> None:
     """Remove the files of a table that :func:`cut` wrote and that no later step reads."""
     spark = frame.sparkSession

@@ -33,14 +33,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_GAPS, cut, table
+from .common import WORD_GAPS, before_each, cut, numbered, table
 
 #: Source weights and weight tilts over training time, by place of the source, repeating.
 WEIGHTS = (3, 1, 2)
 TILTS = (0.5, 0.0, -0.5)
 SHARE_NUMERATOR, SHARE_DENOMINATOR = 3, 2  # 150 % of all words
 MAX_REPEATS = 2
-#: Hash buckets of a source: two hex digits of the hash times a finer level at 100 TB.
+#: Hash buckets of a source, in hex digits of the hash: 4,096.
 BUCKET_DIGITS = 3
 
 
@@ -58,28 +58,26 @@ def cycled(values, place):
 def targets(sizes: DataFrame, weights=WEIGHTS, tilts=TILTS) -> DataFrame:
     """``(source, source_size, weight, tilt, target)``, a row per source.
 
-    Source names are few next to documents: the windows here run over one row
-    per source, summed before.
+    Sources are dealt by range, once by name and once by limit, with running
+    sums over the ranges; three totals over all of them reach the driver.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    everything = Window.partitionBy(F.lit(0))
-    placed = per.withColumn("place", F.row_number().over(
-        everything.orderBy(F.col("source").isNull(), F.hex(F.encode("source", "UTF-8")))) - 1)
-    placed = (placed.withColumn("weight", cycled(weights, F.col("place"))).withColumn("tilt", cycled(tilts, F.col("place")))
-              .withColumn("stop", F.col("source_size") * MAX_REPEATS)
-              .withColumn("wanted", F.sum("source_size").over(everything) * SHARE_NUMERATOR / F.lit(SHARE_DENOMINATOR).cast("double")))
-    by_stop = everything.orderBy((F.col("stop") / F.col("weight").cast("double")), "place")
-    before = by_stop.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_stop.rowsBetween(0, Window.unboundedFollowing)
-    level = (F.col("wanted") - F.coalesce(F.sum("stop").over(before), F.lit(0))) / F.sum("weight").over(after)
-    placed = placed.withColumn("level", level)
+    placed = before_each(per, [F.col("source").isNull(), F.hex(F.encode("source", "UTF-8"))], {})
+    placed = (placed.withColumn("weight", cycled(weights, F.col("place")).cast("long"))
+              .withColumn("tilt", cycled(tilts, F.col("place")))
+              .withColumn("stop", F.col("source_size") * MAX_REPEATS).withColumnRenamed("place", "name_place"))
+    ratio = F.col("stop") / F.col("weight").cast("double")
+    running = cut(before_each(placed, [ratio, F.col("name_place")], {"stop_before": F.col("stop"), "weight_before": F.col("weight")}),
+                  "mix-levels")
+    words, weight = running.agg(F.sum("source_size"), F.sum("weight")).first()
+    wanted = (words or 0) * SHARE_NUMERATOR / SHARE_DENOMINATOR
+    running = running.withColumn("level", (F.lit(wanted) - F.col("stop_before")) / (F.lit(weight or 0) - F.col("weight_before")))
     # level of the first source that does not stop: below it all stop, from it on none does
-    free = F.min(F.when(F.col("level") * F.col("weight") <= F.col("stop"), F.struct(F.col("stop") / F.col("weight").cast("double"), "place", "level"))).over(everything)
-    placed = placed.withColumn("final", free.getField("level"))
-    share = F.col("final") * F.col("weight")
-    return placed.select("source", "source_size", "weight", "tilt",
-                         F.when(F.col("final").isNull() | (share >= F.col("stop")), F.col("stop").cast("double"))
-                         .otherwise(share).alias("target"))
+    free = running.where(F.col("level") * F.col("weight") <= F.col("stop")).agg(
+        F.min(F.struct(F.col("place"), F.col("level"))).alias("first")).first().first
+    stop = F.col("stop").cast("double")
+    share = F.lit(free.level) * F.col("weight") if free else stop
+    return running.select("source", "source_size", "weight", "tilt", F.when(share >= stop, stop).otherwise(share).alias("target"))
 
 
 def ordered_key(id_column, text_column):
@@ -143,8 +141,9 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, tilts=TILTS) -> DataFrame:
     never cut. Documents without words are not taken. Rows are told apart by
     their number in the table, so each comes back with its own columns.
     """
-    rows = docs.withColumn("mix_row", F.monotonically_increasing_id())
-    hashed = rows.withColumn("mix_hash", F.xxhash64("text"))
+    rows = numbered(docs)
+    hashed = rows.select("whole.doc_id", "whole.source", "whole.text", F.xxhash64("whole.text").alias("mix_hash"),
+                         F.col("row").alias("mix_row"))
     mix = mixed(hashed, weights, tilts, ("mix_hash", "mix_row"))
     times = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), (F.col("copies") > k).alias("taken"))
                                for k in range(MAX_REPEATS)]), lambda c: c["taken"])
@@ -153,8 +152,8 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, tilts=TILTS) -> DataFrame:
     slots = slots.select("of_row", "mix_key", position(
         F.col("before") + F.col("c.k") * F.col("source_size"), F.col("tilt"),
         F.greatest(F.col("target"), F.lit(1.0))).alias("mix_position"))
-    joined = rows.join(slots, F.col("mix_row") == F.col("of_row"))
-    return joined.orderBy("mix_position", "mix_key", "mix_row").select(*[joined[c] for c in docs.columns])
+    joined = rows.join(slots, F.col("row") == F.col("of_row"))
+    return joined.orderBy("mix_position", "mix_key", "row").select("whole.*")
 
 
 def op3_curriculum_mix(spark, sf_dir):

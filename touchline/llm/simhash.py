@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut
+from .common import components, cut, numbered
 
 BITS = 64
 SEED = 42
@@ -125,21 +125,20 @@ def simhash_groups(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFr
 
 
 def keep_one_per_group(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """One row of each component, all columns: the smallest by doc_id, hash of the text and row number.
+    """One row of each component, all columns: the smallest by doc_id (nulls last), hash of the text and row number.
 
     Rows are told apart by their number in the table, so rows that share a
-    doc_id are judged each by its own text. Rows without a doc_id are kept
-    (nothing names them as a copy).
+    doc_id, or have none, are judged each by its own text.
     """
-    rows = docs.withColumn("near_row", F.monotonically_increasing_id())
-    hashed = rows.withColumn("near_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    prints = cut(fingerprints(hashed, words, ("near_hash", "near_row")), "simhash")
+    rows = numbered(docs)
+    hashed = rows.select(F.col("whole.doc_id").cast("long").alias("doc_id"), F.col("whole.text").alias("text"), "row",
+                         F.xxhash64(F.coalesce(F.col("whole.text").cast("string"), F.lit(""))).alias("hash"))
+    prints = cut(fingerprints(hashed, words, ("hash", "row")), "simhash")
     named = named_prints(prints, max_bits)
-    kept = (prints.join(named, prints.simhash == named.key).where(F.col("doc_id") == F.col("component_id"))
-            .groupBy("root").agg(F.min(F.struct("near_hash", "near_row")).alias("first"))
-            .select(F.col("first.near_row").alias("kept_row")))
-    one = rows.join(kept, rows.near_row == kept.kept_row, "left_semi").drop("near_row")
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "row")
+    kept = (prints.join(named, prints.simhash == named.key).groupBy("root").agg(F.min(rank).alias("first"))
+            .select(F.col("first.row").alias("kept_row")))
+    return rows.join(kept, rows.row == kept.kept_row, "left_semi").select("whole.*")
 
 
 def op5_simhash_ball(spark, sf_dir):
