@@ -103,6 +103,36 @@ def test_host_of_repeated_lines_is_rejected(spark):
     assert all(r.n_lines == 100 and (r.n_dup_lines, r.kept) == ((45, False) if r.source == "listy" else (1, True)) for r in got)
 
 
+def host_tables():
+    """A host that one rule alone rejects, beside clean ones; all its pages pass the base rules of a page."""
+    own = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    bad = {
+        "symbols": lambda i: own(i, 60) + " " + " ".join("#" * 20 for _ in range(3)),
+        "dup_lines": lambda i: "\n".join([own(f"{i}y{k}", 8) for k in range(60)] + ["eight words that stand on many lines here"] * 40),
+        "short": lambda i: own(i, 5),
+        "repeats": lambda i: " ".join([own(i, 10)] * 6),
+    }
+    for rule, page in bad.items():
+        yield rule, ([(i, page(i), "bad") for i in range(40)] + [(40 + i, own(i, 80), "bad") for i in range(3)]
+                     + [(100 + i, own(i, 70 + i % 9), f"fine{i % 4}") for i in range(400)] + [(900, None, "fine1"), (901, own(901, 60), None)])
+
+
+@pytest.mark.parametrize("rule, rows", list(host_tables()))
+def test_hosts_rejected_by_one_rule_alone_equal_the_sql(spark, rule, rows):
+    import duckdb
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = quality.judged(docs)
+    rates = {r.source: r for r in judged.select("source", *[f"rate_{r}" for r in quality.RULES], "host_failed").distinct().collect()}
+    assert rates["bad"].host_failed and not rates["fine0"].host_failed
+    assert [r for r in quality.RULES if rates["bad"][f"rate_{r}"] > quality.MAX_RATE] == [rule]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "source"]))
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_failed", "kept"]
+    wanted = con.execute(f"SELECT {', '.join(names)} FROM ({quality.OP1_SQL})").fetchall()
+    assert sorted(map(tuple, judged.select(*names).collect())) == sorted(wanted)
+    assert {r.kept for r in judged.where("source = 'bad' AND NOT base_failed").collect()} == {False}
+
+
 # --- operator 2
 
 @pytest.fixture(scope="module")
@@ -224,11 +254,36 @@ def test_multiset_hash_is_homomorphic_and_order_free(spark):
 
 
 def test_vector_equals_brute_force(spark):
-    text = "One line, with clauses; and more.\nSecond line | x\n\nSecond line | x"
-    parts = ["\n" + x for x in text.split("\n") if x]
-    for line in text.split("\n"):
-        parts += [p for p in __import__("re").split(r"(?<=[.!?;:,|])\s", line) if p]
+    texts = ["One line, with clauses; and more.\nSecond line | x\n\nSecond line | x", "no separators at all " * 20,
+             "日本語の文章" * 60 + " and " + "x" * 200, "", LONG[:3000]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], ["i", "t"])
+    for i, got in rows.select("i", multiset_hash.vector(F.col("t"))).collect():
+        assert got == brute_vector(texts[i])
+
+
+def brute_paragraphs(text):
+    def cut_after(part):
+        return xxhash.xxh64_intdigest(part.encode(), 42) % multiset_hash.ONE_IN == 0
+
+    def pieces(clause):
+        if len(clause) <= multiset_hash.LONG_CLAUSE:
+            return [clause]
+        out = ""
+        for w in clause.split(" "):
+            if len(w) > multiset_hash.LONG_WORD:
+                out += "".join(c + ("\n" if cut_after(c) else "") for c in w) + " "
+            else:
+                out += w + ("\n" if cut_after(w) else " ")
+        return out.split("\n")
+
+    lines = text.split("\n")
+    clauses = [c for line in lines for c in __import__("re").split(r"(?<=[.!?;:,|])\s", line)]
+    return ["\n" + x for x in lines if x] + [p for c in clauses for p in pieces(c) if p]
+
+
+def brute_vector(text):
     lanes, wide = [0] * 64, [0, 0]
+    parts = brute_paragraphs(text)
     for p in parts:
         hs = []
         for s in multiset_hash.SEEDS:
@@ -237,8 +292,45 @@ def test_vector_equals_brute_force(spark):
         for k, h in enumerate(hs):
             for b in range(32):
                 lanes[32 * k + b] += (h >> b) & 0x0000000100000001
-    got = spark.createDataFrame([(text,)], ["t"]).select(multiset_hash.vector(F.col("t"))).first()[0]
-    assert got[0] == len(parts) and got[1:65] == lanes and len(wide) == len(got[65:])
+        for k in range(multiset_hash.WIDE):
+            h = xxhash.xxh64_intdigest((1000 + k).to_bytes(4, "little"), 42)
+            for own in hs:
+                h = xxhash.xxh64_intdigest(own.to_bytes(8, "little"), h)
+            wide[k] = (wide[k] + h) % 2 ** 64
+    signed = lambda x: x - 2 ** 64 if x >= 2 ** 63 else x
+    return [len(parts), *map(signed, lanes), *map(signed, wide)]
+
+
+def brute_likeness(a, b):
+    def lanes(v):
+        ones = [x for w in v[1:65] for x in (w & 0xFFFFFFFF, (w >> 32) & 0xFFFFFFFF)]
+        return [2 * x - v[0] for x in ones]
+    p, q = lanes(a), lanes(b)
+    both = sum(x * x for x in p + q)
+    return max(0.0, 1 - sum((x - y) ** 2 for x, y in zip(p, q)) / both) if both else 1.0
+
+
+def test_likeness_equals_brute_force_and_long_clauses_have_many_parts(spark):
+    words = [f"w{i * 7919 % 1000}" for i in range(600)]
+    plain = " ".join(words)
+    edited = " ".join(words[:450] + [f"z{i}" for i in range(150)])
+    han = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(1200))
+    pairs = [(plain, edited), (han, han[:900] + "".join(chr(0x6000 + i * 91 % 3000) for i in range(300))), ("a, b", "a, c"), ("", "")]
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    got = [r[0] for r in rows.select(multiset_hash.likeness(multiset_hash.vector(F.col("a")), multiset_hash.vector(F.col("b")))).collect()]
+    assert got == pytest.approx([brute_likeness(brute_vector(a), brute_vector(b)) for a, b in pairs])
+    assert got[0] > 0.5 and got[1] > 0.5  # three quarters are equal, without any punctuation
+
+
+def test_rows_without_ids_take_the_start_of_the_first_document(spark):
+    for rows in ([(None, "some text of a nameless row"), (None, "another such text"), (None, "b"), (4, "the first of all"), (9, "the last one here")],
+                 [(None, "only nameless rows"), (None, "are in this table")], [(1, "one"), (2, "two")]):
+        found = multiset_hash.compared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        order = sorted({d for d, _ in rows}, key=lambda d: (d is None, d or 0))
+        first = {d: min(t for x, t in rows if x == d) for d in order}
+        after = {d: order[(i + 1) % len(order)] for i, d in enumerate(order)}
+        want = Counter((d, hashlib.sha256((t[:len(t) - len(t) // 4] + first[after[d]][:len(t) // 4]).encode()).hexdigest()) for d, t in rows)
+        assert Counter((r.doc_id, r.edited_sha256) for r in found) == want
 
 
 def test_fingerprints_of_edited_texts(docs, empty):
@@ -479,8 +571,47 @@ def test_url_lists_as_of(spark):
     assert url_lists.judged(captures.limit(0), lists).count() == 0
 
 
+def test_url_entries_of_any_depth_and_any_domain(spark):
+    day = lambda s: pd.Timestamp(s).date()
+    deep = "example.org/a/b/c/d/e/f"
+    lists = spark.createDataFrame([("deep", deep, "add", day("2021-01-01")), ("all", "com", "add", day("2021-01-01")),
+                                   ("all", "com", "remove", day("2021-06-01"))], "label string, pattern string, action string, at date")
+    pages = [(1, f"http://{deep}", "2021-05-01", "deep"), (2, f"http://{deep}/g?h", "2021-05-01", "deep"),
+             (3, "http://example.org/a/b/c/d/e", "2021-05-01", ""), (4, "http://x.com", "2021-05-01", "all"),
+             (5, "http://a.b.c.com/q", "2021-05-31", "all"), (6, "http://x.com", "2021-06-01", ""), (7, "http://com", "2021-02-01", "all"),
+             (8, f"http://{deep}", "9999-12-30", "deep"), (9, "http://xcom", "2021-02-01", ""), (10, f"http://{deep}", "0001-01-01", "")]
+    captures = spark.createDataFrame([(i, u, day(f) if not f.startswith(("0", "9")) else __import__("datetime").date.fromisoformat(f))
+                                      for i, u, f, _ in pages], "page_id long, url string, fetched date")
+    got = {r.page_id: (r.labels, r.rejected) for r in url_lists.judged(captures, lists).collect()}
+    assert got == {i: (want, bool(want)) for i, _, _, want in pages}
+
+
 # --- operator 9
 
+def test_revisits_name_the_record_id_of_their_response(spark, tmp_path):
+    rows = [(1, "http://a", "same"), (2, "http://b", "same"), (3, "http://c", "other"), (5, None, "same"), (None, "http://d", "same"), (7, "http://e", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+
+    def records(name):
+        manifest = warc.written(warc.with_references(pages), f"file://{tmp_path}/{name}")
+        found = {}
+        for row in manifest.collect():
+            with open(row.path.removeprefix("file://"), "rb") as file:
+                for _, got in warc.records_in(file, 0, row.length):
+                    found[got["fields"]["warc-record-id"]] = got
+        return found
+
+    found = records("one")
+    assert len(found) == len(rows)
+    revisits = [r for r in found.values() if r["fields"]["warc-type"] == "revisit"]
+    assert len(revisits) == 3
+    for r in revisits:
+        response = found[r["fields"]["warc-refers-to"]]
+        assert response["fields"]["warc-type"] == "response" and response["block"] == b"same" and response["fields"]["warc-page-id"] == "1"
+        assert response["fields"]["warc-payload-digest"] == r["fields"]["warc-payload-digest"]
+    assert records("two") == found  # a rerun writes the same records
+
+
 def test_warc_ranges_own_each_record_once():
     rng = random.Random(4)
     payloads = [bytes(rng.randrange(256) for _ in range(rng.randint(0, 3000))) + (b"\x1f\x8b\x08\0" * (i % 3)) for i in range(40)]
@@ -555,3 +686,55 @@ def test_toxicity_is_learned(spark, docs, empty):
     assert toxicity.scored(empty, lexicon).count() == 0
     blank = toxicity.learn(empty, known.limit(0), ~toxicity.held_out())
     assert not blank.weights and {r.predicted for r in toxicity.scored(docs, blank).collect()} == {0}
+
+
+def test_folding_of_compatibility_forms_and_marks():
+    assert toxicity.fold("Ｓｔｕｐｉｄ 𝓼𝓽𝓾𝓹𝓲𝓭 stüpïd s̶t̶u̶p̶i̶d̶ ﬁne") == ["stupid", "stupid", "stupid", "stupid", "fine"]
+    assert toxicity.fold("日本 한국 привет") == toxicity.fold("日本 한국 привет".upper())
+
+
+def brute_weight(text, lexicon):
+    """Every entry tried at every place."""
+    words = toxicity.fold(text or "")
+    joined = f" {' '.join(words)} "
+    best = {}
+    for at in range(len(joined)):
+        for entry, weight in lexicon.weights.items():
+            if joined.startswith(entry, at):
+                best[at] = max(weight, best.get(at, 0.0))
+    for phrase in lexicon.exceptions:
+        for at in range(len(joined)):
+            if joined.startswith(f" {phrase} ", at):
+                best = {k: w for k, w in best.items() if not at <= k < at + len(phrase) + 1}
+    total = sum(best[k] for k in sorted(best))
+    return (total / (1.0 + np.log1p(len(words) / 100.0))) ** 0.5 if words or text else 0.0
+
+
+def test_scores_equal_a_naive_scorer(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lexicon = toxicity.Lexicon({" idiot ": 3.0, " idi": 1.5, " the ": 0.25, " and ": 0.5, " s": 0.1, " stup": 2.0},
+                               ["of the", "the clocks", "and then", "idiot box"], base=-2.0, slope=1.5)
+    rng = random.Random(3)
+    vocabulary = ["idiot", "1d10t", "idiom", "box", "the", "clocks", "and", "then", "of", "stupid", "STÜPID", "plain", "ѕtupid", "x"]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(60))) for _ in range(300)] + [None, "", "the", "idiot box idiot box idiot"]
+    texts += [r.text for r in docs.select("text").limit(60).collect()]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.scored(rows, lexicon).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(lexicon.score(brute_weight(text, lexicon)), abs=1e-12)
+
+
+def test_lexicon_has_no_cap(spark):
+    """2,500 words stand in four toxic texts each and in no clean one, ten of them always together:
+    each of the 250 sets gives an entry, so every toxic text is found."""
+    code = lambda k: "".join("bcdfghjklmnpqrstvwxz"[(k // 20 ** p) % 20] for p in (2, 1, 0))
+    rng = random.Random(1)
+    neutral = [str(k) for k in range(1000)]
+    mixed = lambda words: " ".join(rng.sample(words, len(words)))  # noqa: E731 - near copies would count once
+    rows = [(n, mixed([code(n // 4 * 10 + j) for j in range(10)] + rng.choices(neutral, k=25)), 1) for n in range(1000)]
+    rows += [(n, " ".join(rng.choices(neutral, k=15)), 0) for n in range(1000, 7000)]
+    docs = cut(spark.createDataFrame(rows, "doc_id long, text string, toxic int"), "uncapped")
+    lexicon = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), F.lit(True))
+    assert len(lexicon.weights) == 250
+    wrong = toxicity.scored(docs, lexicon).join(docs.select("doc_id", "toxic"), "doc_id").where("predicted <> toxic")
+    assert wrong.count() == 0

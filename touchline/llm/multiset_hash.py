@@ -2,8 +2,9 @@
 DataFrame functions only.
 
 A text is a multiset of paragraphs (lines; a line's clauses, cut after
-``. ! ? ; : , |``, count as paragraphs too, so that a text without line breaks
-still has parts). Each paragraph is hashed to a wide vector: a count lane,
+``. ! ? ; : , |``, count as paragraphs too, and clauses of over ``LONG_CLAUSE``
+characters are cut again where the words say so, so that any long text has many
+parts). Each paragraph is hashed to a wide vector: a count lane,
 ``LANES`` lanes of one bit each, and two lanes of 64 bits. A text's fingerprint
 is the sum of its paragraphs' vectors, the narrow lanes modulo 2^32 and the wide
 ones modulo 2^64. So equal multisets have equal fingerprints in any order, and a
@@ -42,14 +43,32 @@ LOW_BITS = 0x0000000100000001
 MASK32 = 0xFFFFFFFF
 SEEDS = (7, 42)            # salts of the paragraph hashes
 WIDE = 2
+#: Characters of a clause that is cut again, letters of a word that is, and how many parts a piece has on average.
+LONG_CLAUSE, LONG_WORD, ONE_IN = 160, 40, 8
 AFTER_ALL = Decimal(10 ** 19)  # above every long: stands for a null id
 
 
+def pieces(clause: Column) -> Column:
+    """A clause of over ``LONG_CLAUSE`` characters cut again: after the words, and inside words of
+    over ``LONG_WORD`` letters after the letters, whose hash is divisible by ``ONE_IN``. Where it is
+    cut follows from what stands there alone, so an edit changes the pieces around it only."""
+
+    def marked(part: Column, gap: str) -> Column:
+        return F.concat(part, F.when(F.pmod(F.xxhash64(part), F.lit(ONE_IN)) == 0, "\n").otherwise(gap))
+
+    def word(w: Column) -> Column:
+        letters = F.array_join(F.transform(F.split(w, ""), lambda c: marked(c, "")), "")
+        return F.when(F.length(w) > LONG_WORD, F.concat(letters, F.lit(" "))).otherwise(marked(w, " "))
+
+    cut_up = F.split(F.array_join(F.transform(F.split(clause, " "), word), ""), "\n")
+    return F.when(F.length(clause) > LONG_CLAUSE, cut_up).otherwise(F.array(clause))
+
+
 def paragraphs(text: Column) -> Column:
-    """The text's lines and the clauses of lines that have several."""
+    """The text's lines and the clauses of lines that have several, long clauses in pieces."""
     lines = F.split(text, "\n")
     clauses = F.flatten(F.transform(lines, lambda x: F.split(x, r"(?<=[.!?;:,|])\s")))
-    return F.filter(F.concat(F.transform(lines, lambda x: F.concat(F.lit("\n"), x)), clauses),
+    return F.filter(F.concat(F.transform(lines, lambda x: F.concat(F.lit("\n"), x)), F.flatten(F.transform(clauses, pieces))),
                     lambda p: (p != F.lit("")) & (p != F.lit("\n")))
 
 
@@ -161,15 +180,21 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     return rows.select("id", "text", F.length("text").cast("long").alias("n_chars"), vector(F.col("text")).alias("fp"))
 
 
+def _smallest_text(rows: DataFrame) -> DataFrame:
+    """The row with the smallest text: a minimum that is combined in the tasks."""
+    return rows.agg(F.min(F.struct("text", "id", "n_chars", "fp")).alias("least")).select("least.*")
+
+
 def compared(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likenesses.
 
     Edited text: the last quarter of the code points replaced by the first as
     many of the next document. Texts are fingerprinted at the scan and shuffled
     once by id (both uses read one exchange); a document sends its predecessor
-    only the characters asked for.
+    only the characters asked for. Rows without an id, which all have one
+    follower, are not shuffled: they meet its start in the tasks that read them.
     """
-    own = fingerprinted(docs)
+    known, nameless = (fingerprinted(docs.where(c)) for c in (F.col("doc_id").isNotNull(), F.col("doc_id").isNull()))
     lengths = cut(docs.select(sortable(F.col("doc_id")).alias("id"),
                               F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("n")), "lengths")
     order = next_ids(lengths).withColumnRenamed("id", "taker")
@@ -178,14 +203,23 @@ def compared(docs: DataFrame) -> DataFrame:
     wants = cut(wants.join(order, F.col("id") == F.col("taker"))
                 .select(F.col("next_id").alias("giver"), "taker", "want"), "wants")
     smallest = F.lag(F.lit(1)).over(Window.partitionBy("id").orderBy("text")).isNull()
-    givers = own.withColumn("smallest", smallest).where("smallest")
-    gifts = givers.join(wants, F.col("id") == F.col("giver")).select(
-        "taker", F.substring("text", F.lit(1), F.least("want", "n_chars").cast("int")).alias("start"),
-        F.col("fp").alias("next_fp"))
+    givers = known.withColumn("smallest", smallest).where("smallest").drop("smallest")
+    given = lambda some, asked: some.join(asked, F.col("id") == F.col("giver")).select(
+        "taker", F.substring("text", F.lit(1), F.least("want", "n_chars").cast("int")).alias("start"), F.col("fp").alias("next_fp"))
+    gifts = given(givers, wants)
+    nameless_want = wants.where(F.col("taker") == AFTER_ALL).first()
+    if nameless_want:
+        last = _smallest_text(nameless)
+        gifts = gifts.unionByName(given(last, wants))
+        first = last if nameless_want.giver == AFTER_ALL else _smallest_text(
+            fingerprinted(docs.where(F.col("doc_id") == int(nameless_want.giver))))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - quarter),
                       F.substring("start", F.lit(1), quarter))
-    rows = own.join(gifts, F.col("id") == F.col("taker"))
+    rows = known.join(gifts, F.col("id") == F.col("taker"))
+    if nameless_want:
+        to_nameless = F.broadcast(given(first, wants.where(F.col("taker") == AFTER_ALL)))  # one row
+        rows = rows.unionByName(nameless.join(to_nameless, F.col("id") == F.col("taker")))
     rows = rows.select("id", "n_chars", "fp", "next_fp", F.sha2(edited, 256).alias("edited_sha256"),
                        vector(edited).alias("edited_fp"))
     return rows.select(F.when(F.col("id") < AFTER_ALL, F.col("id").cast("long")).alias("doc_id"), "n_chars",

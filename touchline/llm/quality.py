@@ -101,35 +101,39 @@ def failures() -> dict[str, Column]:
     }
 
 
+def beta_prior(all_hosts, rule: str) -> tuple[float, float]:
+    """(mean, strength) of a rule's prior from the sums over all hosts; the corpus rate
+    and ``FLAT`` where the hosts' rates have no variance that a beta could have."""
+    mean = all_hosts[f"sum_{rule}"] / all_hosts.hosts / 1e6
+    variance = float(all_hosts[f"sq_{rule}"]) / all_hosts.hosts / 1e12 - mean * mean
+    spread = mean * (1.0 - mean)
+    if variance > 1e-12 and spread > variance:
+        return mean, spread / variance - 1.0
+    return all_hosts[f"all_{rule}"] / all_hosts.docs, FLAT
+
+
 def host_verdicts(measures: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     """``(host, n_docs, rate_<rule> ..., host_failed)``, a row per host.
 
     The beta prior of a rule has the mean and variance of the hosts' raw rates
     (method of moments); its strength is mean (1 - mean) / variance - 1. The
-    window over all hosts sees one row per host.
+    moments are one aggregate over the hosts, summed in the tasks first; its
+    single row reaches the driver.
     """
     fails = failures()
     hosts = measures.groupBy(F.col("source").alias("host")).agg(
         F.count(F.lit(1)).alias("n_docs"), *[F.sum(fails[r].cast("long")).alias(f"fails_{r}") for r in RULES])
-    everything = Window.partitionBy(F.lit(0))
     n = F.col("n_docs")
     # moments are taken over integers (rates in millionths), so their sums do not depend on row order
-    for r in RULES:
-        hosts = hosts.withColumn(f"ppm_{r}", F.floor(F.col(f"fails_{r}") * 1_000_000 / n))
-    hosts = hosts.select("*", F.count(F.lit(1)).over(everything).alias("hosts"), F.sum(n).over(everything).alias("docs"), *[
+    hosts = cut(hosts.withColumns({f"ppm_{r}": F.floor(F.col(f"fails_{r}") * 1_000_000 / n) for r in RULES}), "hosts")
+    all_hosts = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.sum(n).alias("docs"), *[
         part for r in RULES for part in (
-            F.sum(f"fails_{r}").over(everything).alias(f"all_{r}"),
-            F.sum(f"ppm_{r}").over(everything).alias(f"sum_{r}"),
-            F.sum((F.col(f"ppm_{r}") * F.col(f"ppm_{r}")).cast("decimal(38,0)")).over(everything).alias(f"sq_{r}"))])
+            F.sum(f"fails_{r}").alias(f"all_{r}"), F.sum(f"ppm_{r}").alias(f"sum_{r}"),
+            F.sum((F.col(f"ppm_{r}") * F.col(f"ppm_{r}")).cast("decimal(38,0)")).alias(f"sq_{r}"))]).first()
     shrunk = []
     for r in RULES:
-        k = F.col("hosts").cast("double")
-        mean = F.col(f"sum_{r}") / k / 1e6
-        variance = F.col(f"sq_{r}").cast("double") / k / 1e12 - mean * mean
-        spread = mean * (1.0 - mean)
-        strength = F.when((variance > 1e-12) & (spread > variance), spread / variance - 1.0).otherwise(F.lit(FLAT))
-        centre = F.when((variance > 1e-12) & (spread > variance), mean).otherwise(F.col(f"all_{r}") / F.col("docs").cast("double"))
-        shrunk.append(((F.col(f"fails_{r}") + centre * strength) / (n + strength)).alias(f"rate_{r}"))
+        centre, strength = beta_prior(all_hosts, r) if all_hosts.hosts else (0.0, FLAT)
+        shrunk.append(((F.col(f"fails_{r}") + F.lit(centre * strength)) / (n + F.lit(strength))).alias(f"rate_{r}"))
     hosts = hosts.select("host", "n_docs", *shrunk)
     worst = F.greatest(*[F.col(f"rate_{r}") for r in RULES])
     return hosts.withColumn("host_failed", F.col("host").isNotNull() & (worst > max_rate))
@@ -156,7 +160,7 @@ def _host_sql() -> str:
         "short": f"n_words < {MIN_WORDS}",
         "repeats": f"n_repeat_words * 100 > n_words * {MAX_REPEAT_PERCENT}",
         "symbols": f"n_symbols * 100 > word_chars * {MAX_SYMBOL_PERCENT}",
-        "dup_lines": f"n_dup_lines * 100 > n_words * {MAX_DUP_LINE_PERCENT}",
+        "dup_lines": f"n_dup_lines * 100 > n_lines * {MAX_DUP_LINE_PERCENT}",
     }
     sums = ", ".join(f"sum(CAST({fails[r]} AS BIGINT)) AS fails_{r}" for r in RULES)
     ppm = ", ".join(f"CAST(floor(fails_{r} * 1000000 / n_docs) AS BIGINT) AS ppm_{r}" for r in RULES)
@@ -198,7 +202,7 @@ m AS (
   SELECT n.doc_id, n.source, CAST(len(n.words) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(n.text, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
          CAST(length(n.text) - length(regexp_replace(n.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         CAST(len(l.lines) - len(list_distinct(l.lines)) AS BIGINT) AS n_dup_lines,
+         CAST(len(l.lines) AS BIGINT) AS n_lines, CAST(len(l.lines) - len(list_distinct(l.lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
   FROM numbered n JOIN lines l USING (rid) LEFT JOIN covered c USING (rid)),
 {_host_sql()}

@@ -1,7 +1,9 @@
 """Toxicity by a weighted lexicon (operator 10).
 
-Texts are folded first: lower case, look-alike letters of other scripts and
-digits or signs standing for letters inside a word become the plain letter. An
+Texts are folded first: compatibility forms (full-width, mathematical, ligatures)
+become plain letters, marks and accents go, then lower case; look-alike letters
+of other scripts and digits or signs standing for letters inside a word become
+the plain letter. An
 Aho-Corasick automaton then finds the lexicon's entries (whole words, or word
 beginnings) in one pass over the folded text. A word counts with the highest
 weight among its entries, words inside an exception phrase do not count, and
@@ -15,11 +17,11 @@ and entries are picked greedily: the strongest first, each pick halving the
 weight of the toxic texts it explains, until none stands out. Exception phrases
 are pairs of neighbouring words around an entry that only clean texts hold.
 
-Bounds, all parameters: at most ``SAMPLE_PER_LABEL`` labelled rows a label are
-used to fit (chosen by a hash of the doc_id; near copies count once), at most
-``LEXICON_SIZE`` candidate entries reach the driver and the tasks, and the
-driver gets which of them each sampled row holds. Scoring covers
-every whole text and needs no shuffle.
+One bound, a parameter: at most ``SAMPLE_PER_LABEL`` labelled rows a label are
+used to fit (chosen by a hash of the doc_id; near copies count once). It bounds
+the candidate entries and exception phrases too, which are all kept: they reach
+the driver with which sampled rows hold them. Scoring covers every whole text
+and needs no shuffle.
 
 Defined results: null text is the empty text and gets the score of a text
 without findings; without labelled rows of both kinds the lexicon is empty and
@@ -32,6 +34,8 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -46,8 +50,6 @@ from pyspark.sql import functions as F
 from .common import cut, table
 
 SAMPLE_PER_LABEL = 6000
-LEXICON_SIZE = 2000
-EXCEPTION_SIZE = 500
 #: Log-likelihood ratio an entry needs; chance alone exceeds it about once in 10,000 entries.
 MIN_RATIO = 15.0
 MIN_TOXIC = 3
@@ -68,11 +70,14 @@ DIGIT_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a
 _ALIKE = str.maketrans(LOOK_ALIKE)
 _DIGITS = str.maketrans(DIGIT_FOR)
 _WORD = re.compile(r"[\w@$]+")
+_MARKS = re.compile("[\u0300-\u036f\u0483-\u0489\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+")
 _SUBSTITUTED = re.compile(r"[0-9@$]")
 
 
 def fold(text: str) -> list[str]:
     """The folded words of a text. Digits and signs are read as letters only in words that also hold a letter."""
+    if not text.isascii():
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
     words = _WORD.findall(text.lower().translate(_ALIKE))
     if not _SUBSTITUTED.search(text):
         return words
@@ -123,9 +128,10 @@ def hits(words: list[str], machine: ahocorasick.Automaton) -> tuple[str, dict[in
             excused.append((start, last))
         elif weight > found.get(start, 0.0):
             found[start] = weight
+    places = sorted(found) if excused else []
     for start, last in excused:
-        for at in [a for a in found if start <= a < last]:
-            del found[at]
+        for at in places[bisect_left(places, start):bisect_left(places, last)]:
+            found.pop(at, None)
     return joined, found
 
 
@@ -202,12 +208,9 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from) -> Lexicon:
         return entries_of(set(fold(text)))
 
     t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    n, p = t + c, F.lit(n_toxic / (n_toxic + n_clean))
-    part = lambda k, e: F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
-    ratio = 2 * (part(t, n * p) + part(c, n * (1 - p)))
+    # bounded by the sample: a candidate stands in MIN_TOXIC of its toxic rows or more
     candidates = (_counted(rows, entries).where((t >= MIN_TOXIC) & (t * n_clean >= c * n_toxic * MIN_LIFT))
-                  .select("entry", "toxic", "clean", ratio.alias("ratio"))
-                  .orderBy(F.desc("ratio"), F.desc(F.length("entry")), "entry").limit(LEXICON_SIZE).collect())
+                  .select("entry", "toxic", "clean").collect())
     odds = {r.entry: math.log((r.toxic + 0.5) / (n_toxic + 1)) - math.log((r.clean + 0.5) / (n_clean + 1))
             for r in candidates}
     picked = _picked(rows, {r.entry: r.clean for r in candidates}, n_clean)
@@ -231,29 +234,37 @@ def _picked(rows: DataFrame, clean: dict[str, int], n_clean: int) -> list[str]:
             yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["held"])
 
     toxic = rows.where(F.col("toxic") == 1).select("text").mapInArrow(held, "held array<int>").collect()
-    texts_with: dict[int, list[int]] = {}
-    for at, row in enumerate(toxic):
-        for e in row.held:
-            texts_with.setdefault(e, []).append(at)
-    weight, out = np.ones(len(toxic)), []
-
-    def ratio(t: float, c: int) -> float:
+    if not names or not toxic:
+        return []
+    # (text, entry) pairs as two arrays, by entry
+    text = np.repeat(np.arange(len(toxic)), [len(row.held) for row in toxic])
+    entry = np.concatenate([np.array(row.held, dtype=np.int64) for row in toxic])
+    by_entry = np.argsort(entry, kind="stable")
+    text, entry = text[by_entry], entry[by_entry]
+    ends = np.cumsum(np.bincount(entry, minlength=len(names)))
+    texts_of = [text[a:b] for a, b in zip(np.concatenate(([0], ends[:-1])), ends)]
+    # entries of the same texts (the beginnings of one word): all but the one picked add nothing
+    twins: dict[bytes, list[int]] = {}
+    for e, on in enumerate(texts_of):
+        twins.setdefault(on.tobytes(), []).append(e)
+    order = np.array(sorted(range(len(names)), key=lambda e: (len(names[e]), names[e]), reverse=True))
+    in_clean = np.array([clean[e] for e in names], dtype=float)
+    weight, open_, out = np.ones(len(toxic)), np.ones(len(names), dtype=bool), []
+    while open_.any():
+        # weights are powers of two, so equal sums are equal to the last bit
+        t = np.bincount(entry, weight[text], minlength=len(names))
         share = weight.sum() / (weight.sum() + n_clean)
-        n = t + c
-        if t < MIN_TOXIC or t <= n * share:
-            return 0.0
-        return 2 * (t * math.log(t / (n * share)) + (c * math.log(c / (n * (1 - share))) if c else 0.0))
-
-    while texts_with:
-        best = max((ratio(weight[on].sum(), clean[names[e]]), len(names[e]), names[e], e)
-                   for e, on in texts_with.items())
-        if best[0] < MIN_RATIO:
+        n = t + in_clean
+        able = open_ & (t >= MIN_TOXIC) & (t > n * share)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = 2 * (t * np.log(t / (n * share)) + np.where(in_clean > 0, in_clean * np.log(in_clean / (n * (1 - share))), 0.0))
+        ratio = np.where(able, ratio, 0.0)
+        best = order[np.argmax(ratio[order])]  # the longest among equals
+        if ratio[best] < MIN_RATIO:
             break
-        out.append(best[2])
-        on = texts_with[best[3]]
-        weight[on] /= 2
-        # shorter beginnings of the same words hold the same texts and add nothing
-        texts_with = {e: other for e, other in texts_with.items() if other != on}
+        out.append(names[best])
+        weight[texts_of[best]] /= 2
+        open_[twins[texts_of[best].tobytes()]] = False
     return out
 
 
@@ -275,7 +286,7 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> list[str]:
         return out
 
     only_clean = _counted(rows, pairs).where((F.col("toxic") == 0) & (F.col("clean") >= MIN_EXCEPTION))
-    return [r.entry for r in only_clean.orderBy(F.desc("clean"), "entry").limit(EXCEPTION_SIZE).collect()]
+    return sorted(r.entry for r in only_clean.collect())  # bounded by the sample
 
 
 def _fit(rows: DataFrame, lexicon: Lexicon, n_toxic: int, n_clean: int) -> None:

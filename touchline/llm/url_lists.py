@@ -2,15 +2,16 @@
 
 A list log holds dated entries: at ``at``, ``pattern`` is added to or removed
 from the list ``label``. A pattern is a host (``example.org``, which covers its
-subdomains) or a host with a path (``example.org/en``, which covers everything
-below). Per (label, pattern) the log becomes validity intervals
+subdomains; a top-level domain covers all hosts in it) or a host with a path
+(``example.org/en``, which covers everything below, at any depth). Per (label, pattern) the log becomes validity intervals
 ``[valid_from, valid_to)``; a capture is rejected if an entry of any label that
 covers its URL was active when it was fetched.
 
 As-of join: a capture's URL gives the few patterns that can cover it (host and
-parent domains, host with each leading path). Intervals are cut at the ends of
-``BUCKET_DAYS``-day buckets, so captures and intervals meet by equality on
-(pattern, bucket) and only then compare times. A pattern with a long history
+parent domains, host with each leading path, as deep as the log's deepest
+entry). Intervals are cut at the ends of ``BUCKET_DAYS``-day buckets and stand
+in those buckets that hold captures, so captures and intervals meet by equality
+on (pattern, bucket) and only then compare times. A pattern with a long history
 does not meet all its captures with all its intervals, and a popular pattern's
 captures are spread over buckets; what remains hot is split by adaptive
 execution, as both sides of the join are plain shuffles.
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from .common import cut, table
 
 BUCKET_DAYS = 32
-MAX_PATH_PARTS = 4
 FOREVER = "9999-12-31"
 
 
@@ -46,14 +46,14 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
 
 
-def patterns_of(host: Column, path: Column) -> Column:
-    """The patterns that can cover a URL: the host, its parent domains of two labels
-    or more, and the host with its leading path parts."""
+def patterns_of(host: Column, path: Column, deepest: int) -> Column:
+    """The patterns that can cover a URL: the host, its parent domains, and the host
+    with its leading path parts, up to the ``deepest`` that any entry has."""
     labels = F.split(host, r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
+    domains = F.transform(F.sequence(F.lit(1), F.size(labels)),
                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     parts = F.filter(F.split(path, "/"), lambda p: p != F.lit(""))
-    depth = F.least(F.size(parts), F.lit(MAX_PATH_PARTS))
+    depth = F.least(F.size(parts), F.lit(deepest))
     paths = F.when(depth > 0, F.transform(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))),
                                           lambda i: F.concat_ws("/", host, F.array_join(F.slice(parts, 1, i), "/"))))
     return F.array_distinct(F.concat(domains, F.coalesce(paths, F.array().cast("array<string>"))))
@@ -81,21 +81,17 @@ def judged(captures: DataFrame, log: DataFrame) -> DataFrame:
     rows = captures.select("page_id", "fetched", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
                            F.monotonically_increasing_id().alias("row"))
     rows = cut(rows, "captures")
+    entries = intervals(log)
+    deepest = entries.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
     probes = rows.where(F.col("host").isNotNull() & F.col("fetched").isNotNull()).select(
         F.col("row").alias("of_row"), "fetched", _bucket(F.col("fetched")).alias("probe_bucket"),
-        F.explode(patterns_of(F.col("host"), F.col("path"))).alias("probe"))
-    span = rows.agg(F.min("fetched").alias("low"), F.max("fetched").alias("high")).first()
-    entries = intervals(log)
-    if span.low is None:
-        entries = entries.where(F.lit(False))
-        first = last = F.lit(0)
-    else:
-        first, last = _bucket(F.lit(span.low)), _bucket(F.lit(span.high))
-    # an interval stands in each bucket it touches between the first and the last capture
-    begin = F.greatest(_bucket(F.col("valid_from")), first)
-    end = F.least(_bucket(F.date_sub("valid_to", 1)), last)
-    entries = entries.where((F.col("valid_from") < F.col("valid_to")) & (begin <= end)).select(
-        "label", "pattern", "valid_from", "valid_to", F.explode(F.sequence(begin, end)).alias("bucket"))
+        F.explode(patterns_of(F.col("host"), F.col("path"), deepest)).alias("probe"))
+    # an interval stands in each bucket it touches that holds captures; dates up to 9999 have 114,000 buckets at most
+    held = sorted(r.bucket for r in rows.where("fetched IS NOT NULL").select(_bucket(F.col("fetched")).alias("bucket")).distinct().collect())
+    begin, end = _bucket(F.col("valid_from")), _bucket(F.date_sub("valid_to", 1))
+    buckets = F.filter(F.array(*map(F.lit, held)).cast("array<bigint>"), lambda b: (b >= begin) & (b <= end))
+    entries = entries.where(F.col("valid_from") < F.col("valid_to")).select(
+        "label", "pattern", "valid_from", "valid_to", F.explode(buckets).alias("bucket"))
     met = probes.join(entries, (F.col("probe") == F.col("pattern")) & (F.col("probe_bucket") == F.col("bucket"))
                       & (F.col("fetched") >= F.col("valid_from")) & (F.col("fetched") < F.col("valid_to")))
     matches = met.groupBy("of_row").agg(F.count(F.lit(1)).alias("n"),

@@ -2,8 +2,9 @@
 
 Writer: one record per page, each a gzip member of its own. Of records with
 equal payloads of at least ``min_bytes`` bytes the one with the smallest page_id
-is a ``response``; the others are ``revisit`` records that name it and carry no
-payload. Each task writes archives of its own rows into the shared folder,
+is a ``response``; the others are ``revisit`` records that carry no payload and name
+its record id, which follows from page and payload, so any WARC reader resolves
+them and a rerun writes the same records. Each task writes archives of its own rows into the shared folder,
 under a name no other attempt uses, and hands back a manifest row per archive;
 only archives in the manifest are read, so files of lost or repeated tasks are
 never seen.
@@ -18,7 +19,7 @@ passed over. A task holds one read buffer and one record at a time.
 Defined results: null html is the empty payload; a null page_id never is the
 smallest; among rows that repeat the smallest page_id all are responses; a
 payload whose rows all lack a page_id is a response each time; repeated rows
-come back once per row; an empty table gives an empty result; url may be null
+come back once per row (as records of one id); an empty table gives an empty result; url may be null
 (the header is left out); other columns are ignored.
 """
 
@@ -46,6 +47,7 @@ READ_BYTES = 1 << 17
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 PAGE_ID = "WARC-Page-Id"
+REFERS_TO = "WARC-Refers-To-Page-Id"  # the same reference, by page
 RECORDS = ("page_id long, url string, record_type string, payload_digest string, refers_to long, "
            "payload binary, archive string, start long")
 
@@ -54,18 +56,26 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def record_id(page_id, payload_digest: str, url: str | None = None) -> str:
+    """A record's id, from what it holds: the response of a page and payload is named without a
+    URL, so a revisit can name it and reruns write equal records."""
+    kind = "response" if url is None else f"revisit of {url}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}/{page_id}/{payload_digest}')}>"
+
+
 def record(page_id, url, payload: bytes, payload_digest: str, refers_to) -> bytes:
     """One WARC record as a gzip member."""
     revisit = refers_to is not None
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-            f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", f"WARC-Date: {DATE}",
+            f"WARC-Record-ID: {record_id(page_id, payload_digest, str(url) if revisit else None)}", f"WARC-Date: {DATE}",
             f"WARC-Payload-Digest: sha1:{payload_digest}", "Content-Type: text/html"]
     if page_id is not None:
         head.append(f"{PAGE_ID}: {page_id}")
     if url is not None:
         head.append("WARC-Target-URI: " + "".join(c for c in url if c not in "\r\n"))
     if revisit:
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, payload_digest)}",
+                 f"{REFERS_TO}: {refers_to}"]
         payload = b""
     head.append(f"Content-Length: {len(payload)}")
     whole = "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
@@ -218,11 +228,11 @@ def _schema() -> pa.Schema:
 
 def _row(got: dict, path: str, start: int) -> dict:
     fields = got["fields"]
-    refers = fields.get("warc-refers-to")
+    refers = fields.get(REFERS_TO.lower())
     page = fields.get(PAGE_ID.lower())
     return {"page_id": int(page) if page is not None else None, "url": fields.get("warc-target-uri"),
             "record_type": fields["warc-type"], "payload_digest": fields["warc-payload-digest"].removeprefix("sha1:"),
-            "refers_to": int(refers.rpartition(":")[2].rstrip(">")) if refers else None, "payload": got["block"],
+            "refers_to": int(refers) if refers else None, "payload": got["block"],
             "archive": path, "start": start}
 
 
