@@ -35,7 +35,9 @@ def main(argv: list[str]) -> None:
     from touchline.operators import gold, silver, views
     from touchline.operators.model import match_features
     from touchline.plans.jobs import only_partitions
-    from touchline.plans.queries import REGISTRY, _silver
+    from touchline.plans.queries import REGISTRY, _landed_run, _silver
+    from touchline.sources.bronze import bronze_from_landing
+    from touchline.sources.landing import landed_headers
     from touchline.session import build_session, scratch_path
     from touchline.sources.layers import layer_path, read_table, write_layer
 
@@ -44,6 +46,7 @@ def main(argv: list[str]) -> None:
     root = scratch_path(spark, "plans-lake")
     write_layer(silver.conform_bronze(REGISTRY["raw_matches"](spark, sf_dir)), layer_path(root, "bronze.matches"))
     write_layer(_silver(spark, sf_dir), layer_path(root, "silver.matches"))
+    run_root, run_id = _landed_run(spark, sf_dir)
     bronze, matches = read_table(spark, root, "bronze.matches"), read_table(spark, root, "silver.matches")
     plans = [
         ("Silver job: bronze table -> silver (no shuffle; key filter at the scan)", silver.silver_matches(bronze)),
@@ -55,6 +58,9 @@ def main(argv: list[str]) -> None:
         ("Incremental silver job (dynamic overwrite): only the landed partitions are read",
          silver.silver_matches(only_partitions(bronze, [("E0", "9900")]))),
         ("Model features: the season bound prunes the season folders", match_features(matches, 1998)),
+        ("File heads of a landed run (names and lengths listed, no data scan)", landed_headers(spark, run_root)),
+        ("Bronze from landed files: one positional scan met by the file dimension",
+         bronze_from_landing(spark, run_root, run_id).select("league_code", "season", "HomeTeam", "extra_columns")),
         ("Landing check (manifest vs landed files)", REGISTRY["landing_results"](spark, sf_dir)),
     ]
     out = ["# PLANS", "",

@@ -154,9 +154,14 @@ def build_gold(spark: SparkSession, params: RunParams, partitions: list[tuple[st
     """
     matches = only_partitions(read_table(spark, params.lake_root, "silver.matches", version), partitions)
     per_venue = scratch_table(gold.team_venue_aggregates(matches), "team-venue")
-    team = _written(spark, params, version, "gold.team_season_table", gold.team_table_from(per_venue))
-    summary = _written(spark, params, version, "gold.league_season_summary", gold.league_summary_from(per_venue))
-    return team, summary
+    tables = {"gold.team_season_table": gold.team_table_from(per_venue),
+              "gold.league_season_summary": gold.league_summary_from(per_venue)}
+    staged = version or (None if _dynamic(params) else new_version("gold"))
+    paths = [_written(spark, params, staged, name, frame) for name, frame in tables.items()]
+    if staged and version is None:  # a job of its own: both tables at once
+        publish(spark, params.lake_root, staged, list(tables))
+        prune(spark, params.lake_root)
+    return tuple(paths)
 
 
 def model_path(lake_root: str) -> str:
