@@ -140,6 +140,10 @@ def test_numbers_name_file_and_place(spark, tmp_path):
     rows = common.numbered(spark.read.parquet(f"{tmp_path}/n"))
     assert rows.select("row").distinct().count() == 5000 and rows.where("row < 0").count() == 0
     assert rows.select("whole.*").columns == ["id", "_metadata"]
+    # the codes that are told apart on the driver are those the tasks compute
+    paths = spark.read.parquet(f"{tmp_path}/n").inputFiles()
+    bits = max(31, 2 * len(paths).bit_length() + 2)
+    assert {r.row >> (63 - bits) for r in rows.collect()} == {common._file_code("0", p, bits) for p in paths}
     derived = common.numbered(spark.read.parquet(f"{tmp_path}/n").select(F.explode(F.array("id", "id")).alias("id")))
     assert derived.select("row").distinct().count() == 10000
     assert common.numbered(spark.read.schema("doc_id long").parquet(f"{tmp_path}/n").where("false")).collect() == []

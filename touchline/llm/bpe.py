@@ -11,8 +11,8 @@ has exactly one slot a key; a lookup compares the slot's key, so strings
 outside the vocabulary are refused.
 
 Work is per document and needs no shuffle. A worker process holds the tables
-of one rank file and a memo of recent pre-tokens that is emptied at a fixed
-size, so memory does not grow with the data.
+of one rank file and a memo of recent pre-tokens, none of them long, that is
+emptied at a fixed size, so memory does not grow with the data.
 
 Defined results: a null text is the empty text and has no ids; any string
 round-trips, as every byte is in the vocabulary; repeated rows come back once
@@ -35,7 +35,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO_SIZE = 400_000
+from ..session import let_workers_import
+
+#: Pre-tokens kept in the memo, and the most bytes of one that is kept.
+MEMO_SIZE, MEMO_BYTES = 400_000, 64
 KEYS_A_BUCKET = 4
 #: Of Unicode white space, what the pattern's ``\s`` means to the reference tokenizer library.
 SPACE = r"\p{White_Space}"
@@ -132,7 +135,8 @@ class Codec(dict):
         raw = piece.encode()
         found = self.whole.get(raw)
         ids = (found,) if found is not None else tuple(merge(raw, self.ranks))
-        self[piece] = ids
+        if len(raw) <= MEMO_BYTES:
+            self[piece] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
@@ -200,6 +204,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = Fal
 
 
 def _rows(docs: DataFrame) -> DataFrame:
+    let_workers_import(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

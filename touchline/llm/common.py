@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import and_
 
@@ -39,6 +40,7 @@ def cut(frame: DataFrame, name: str) -> DataFrame:
     session's file system closes.
     """
     spark = frame.sparkSession
+    let_workers_import(spark)
     path = scratch_path(spark, name)
     before = spark.conf.get(CLEANUP_CONF, "false")
     spark.conf.set(CLEANUP_CONF, "true")
@@ -67,17 +69,21 @@ def numbered(docs: DataFrame) -> DataFrame:
     paths = docs.inputFiles() if plan == "LogicalRelation" else []
     if not paths or not all(p.endswith(".parquet") for p in paths):
         return cut(docs.select(F.monotonically_increasing_id().alias("row"), whole), "numbered")
-    bits = 2 * len(paths).bit_length() + 2
+    bits = max(31, 2 * len(paths).bit_length() + 2)
     prefix = next(s for s in map(str, range(1000)) if len({_file_code(s, p, bits) for p in paths}) == len(paths))
     place = docs.metadataColumn("_metadata")
-    code = F.shiftrightunsigned(F.xxhash64(F.concat(F.lit(prefix), place["file_path"])), 64 - bits)
+    path = F.regexp_replace(place["file_path"], _SCHEME, "")  # file:/x and file:///x are one path
+    code = F.shiftrightunsigned(F.xxhash64(F.concat(F.lit(prefix), path)), 64 - bits)
     many = F.raise_error(F.lit(f"more than {1 << (63 - bits)} rows in a file")).cast("long")
     inside = F.when(place["row_index"] >= F.lit(1 << (63 - bits)), many).otherwise(place["row_index"])
     return docs.select((F.shiftleft(code, 63 - bits) + inside).alias("row"), whole)
 
 
+_SCHEME = "^[^:/]*:/*"
+
+
 def _file_code(prefix: str, path: str, bits: int) -> int:
-    return xxhash.xxh64_intdigest((prefix + path).encode(), 42) >> (64 - bits)
+    return xxhash.xxh64_intdigest((prefix + re.sub(_SCHEME, "", path)).encode(), 42) >> (64 - bits)
 
 
 def before_each(frame: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
@@ -156,7 +162,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
                "edges")
-    roots = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots")
+    held = roots = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots")
     while True:
         near = (both.join(roots, both.b == roots.node).groupBy(F.col("a").alias("near"))
                 .agg(F.min("root").alias("seen")))
@@ -166,5 +172,9 @@ def components(edges: DataFrame) -> DataFrame:
         step = cut(lower.join(ahead, F.col("low") == F.col("low_node"))
                    .select("node", F.least("low", "jump").alias("next"), "root"), "step")
         roots = step.select("node", F.col("next").alias("root"))
+        discard(lower)
+        discard(held)
+        held = step
         if is_empty(step.where(F.col("next") != F.col("root"))):
+            discard(both)
             return roots
