@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from touchline.llm import bpe, bwt, mixing, multiset_hash, quality, queries, simhash, suffix_dedup, token_files, toxicity
-from touchline.llm import url_lists, warc
+from touchline.llm import common, url_lists, warc
 from touchline.llm.common import components, cut
 
 SF = "/root/testdata/sf0.001"
@@ -492,6 +492,25 @@ def test_substring_dedup(spark, docs, empty, most_members, batch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_hot_anchors_are_dealt_by_window_from_the_start(spark):
+    """Every anchor counts as hot, or those of a passage that many documents quote: the spans cover the same bytes."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(40)) + PASSAGE + " ".join(f"v{rng.randrange(400)}" for _ in range(40)))
+            for i in range(60)]
+    docs = suffix_dedup.as_bytes(common.numbered(cut(spark.createDataFrame(rows, "doc_id long, text string"), "hot")))
+
+    def covered(hot):
+        out = defaultdict(set)
+        for r in suffix_dedup.repeated_spans(docs, hot=hot).collect():
+            out[r.row].update(range(r.start, r.start + r.windows))
+        return out
+
+    wanted = covered((10 ** 9, 1))
+    assert wanted and covered((1, 1)) == wanted and covered((30, 1)) == wanted
+    found = cut(suffix_dedup.all_segments(docs), "found")
+    assert suffix_dedup.hot_anchors(found, 30, 1).count() > 0 and suffix_dedup.hot_anchors(found, 10 ** 6, 1).count() == 0
+
+
 def test_substring_dedup_of_sf(spark):
     rows = pd.read_parquet(f"{SF}/documents.parquet").sort_values("doc_id")
     got = Counter(tuple(r) for r in queries.REGISTRY["op6_suffix_dedup"](spark, SF).collect())
@@ -519,11 +538,43 @@ def test_ids_without_a_context_are_coded_by_how_often_they_are_seen():
     assert len(data) * 8 < len(ids) * 8
 
 
-def test_coder_bounds_stay_apart():
-    coder = token_files.Encoder(1)
-    of = np.zeros(1, dtype=np.int64)
-    coder.settle(of, np.array([0x00FFFFFF]), np.array([0x01000001]))
-    assert coder.high[0] - coder.low[0] >= 0xFFFF
+def test_coder_settles_carries_that_run_on():
+    """Symbols at the very top of the range leave words of ones; a carry then runs through all of them."""
+    coder, of = token_files.Encoder(2), np.arange(2)
+    narrow = lambda c, each, below: c.narrow(of, each, below, np.ones(2, np.int64))
+    marks = [np.array([65535, 0])] * 5 + [np.array([65535, 65535])] * 3
+    for below in marks:
+        narrow(coder, coder.range[of] >> 16, below)
+    coder.low[0] += coder.range[0] - 1  # the end of the range: the greatest value that decodes alike
+    over = coder.low[0] >= token_files.FULL
+    if over:
+        coder.out[0, coder.at[0] - 1] += 1
+        coder.low[0] -= token_files.FULL
+    coder.finish()
+    assert coder.out.max() <= 65535
+    decoder = token_files.Decoder(coder.out)
+    for below in marks:
+        each = decoder.range[of] >> 16
+        assert ((decoder.value[of] // each) == below).all()
+        narrow(decoder, each, below)
+
+
+def test_ids_of_every_kind_round_trip_in_one_call():
+    rng = np.random.default_rng(9)
+    block = token_files.BLOCK
+    parts = [np.zeros(block), np.full(block, 65535), rng.integers(0, 65536, block), np.arange(block) % 3, rng.integers(65000, 65536, block),
+             np.repeat(rng.integers(0, 50000, 32), block // 32), rng.zipf(1.3, block) % 50000, np.arange(17)]
+    ids = np.concatenate(parts).astype(np.int64)
+    assert (token_files.unpacked(token_files.packed(ids)) == ids).all()
+    data = token_files.packed(ids)
+    for at in range(20, len(data), len(data) // 40):
+        broken = bytearray(data)
+        broken[at] ^= 0x55
+        try:
+            found = token_files.unpacked(bytes(broken))
+        except (ValueError, __import__("struct").error):
+            continue
+        assert (found == ids).all()  # the last words of a block may hold bits that say nothing
 
 
 def brute_tokens(rows):

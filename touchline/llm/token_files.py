@@ -1,4 +1,4 @@
-"""Token-id files with an adaptive context-mixing arithmetic coder (operator 7).
+"""Token-id files with an adaptive context-mixing range coder (operator 7).
 
 Texts are encoded by the tokenizers library, an end id is appended to each, and
 the ids are written in ascending doc_id order. Ids are cut into blocks of
@@ -10,26 +10,32 @@ Model of a block, all in whole numbers so that any machine decodes the same:
 * order 2: the id that last followed the same two ids, with a confidence;
 * order 1: the id that last followed the same id, with a confidence;
 * order 0: how often a predicted id was seen so far, and how often each id was
-  that neither order predicted.
+  that was not predicted.
 
-"Is it the order-2 prediction?" is a binary decision whose probability mixes the
-adaptive estimates of all three orders in the logistic domain by weights that
-are learned on the way; then likewise "is it the order-1 prediction?". An id
-neither predicts is coded by order 0: its high byte by a tree of adaptive counts
-(16 sums, 16 counts below each), then its low byte by such a tree of that high
-byte. Every id thus goes through the arithmetic coder; nothing is stored beside it.
+The order-2 id is the prediction where it was right before or order 1 has none,
+else the order-1 id. "Is it the predicted id?" is a binary decision whose
+probability mixes the adaptive estimates of all three orders in the logistic
+domain by weights that are learned on the way. An id that was not predicted is
+coded by order 0: first its slot, one of 256, by adaptive counts of the slot's
+two digits; then, as a binary decision, whether it is the id last seen in that
+slot; if not, its other byte (slot and other byte make the id).
+Every id thus goes through the range coder; nothing is stored beside it.
+
+The coder keeps 48 bits of the range's low end and gives out 16 at a time. A
+carry is added to the word before; carries that run on are settled at the end.
 
 Blocks do not depend on each other, so a task codes many side by side: one step
-codes the next id of every block with a few array operations. A task holds one
-chunk of about ``CHUNK`` ids at a time.
+codes the next id of every block with a few array operations. A block's whole
+state takes some 8 KB, so that of a chunk's blocks stays near the processor. A
+task holds one chunk of about ``CHUNK`` ids at a time.
 
 Files are written by the tasks under unique names; only those in the manifest
 (a Spark table) are read back. A chunk is read by one task, wherever it runs.
 
 Defined results: null text is the empty text (its only id is the end id); a
 null doc_id comes after all others; rows that share a doc_id follow each other
-in the order of their texts; an empty table gives an empty result; other
-columns are ignored.
+by their first ``PREFIX`` characters, then as they stand in the table; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,224 +55,260 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import cut, spread, table
+from .common import cut, numbered, spread, table
 
-BLOCK = 4096
-CHUNK = 4_000_000
+BLOCK = 2048
+CHUNK = 8_000_000
+PREFIX = 64
 MAGIC = b"TIDS"
 LAST = (1 << 63) - 1  # place of a null doc_id
 END_ID = 0
 
-ORDER1, ORDER2, ORDER0 = 1 << 11, 1 << 13, 1 << 11  # table sizes a block
-#: Order 0: what an id adds to the counts of its bytes; a block's counts stay below 65,536.
-STEP = (65535 - 256) // BLOCK
-#: Trees of a block (the high byte's, and the low byte's of each high byte) and rows of 16 of a tree (its sums, then its counts).
-TREES, ROWS = 257, 17
-M32 = 0xFFFFFFFF
+ORDER1, ORDER2, ORDER0 = 512, 1024, 512  # table sizes a block, powers of two
+#: Order 0: what an id adds to the counts of its slot's digits.
+STEP = 4
+TOTAL = 16 + STEP * BLOCK  # the most a row sums up to
+ROWS = 17  # rows of 16 counts a block: one for the first digit, one for each first digit
+#: The coder's range: at most 2^48, and never below 2^32 when a symbol is coded (whose part may be 2^-26 of it).
+FULL, TOP, LOW32 = 1 << 48, 1 << 32, (1 << 32) - 1
 # logistic tables: 12-bit probabilities and their logits in 1/256
 _logit = np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))
-STRETCH = np.rint(_logit * 256).astype(np.int64)
-SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), 1, 4095).astype(np.int64)
+STRETCH = np.rint(_logit * 256).astype(np.int32)
+SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), 1, 4095).astype(np.int32)
+#: What coding entry i adds to a row of running sums.
+RAISED = (np.arange(16)[None, :] >= np.arange(16)[:, None]).astype(np.uint16) * np.uint16(STEP)
 
 
-class Coder:
-    """Binary arithmetic coder over many blocks at once: 32-bit bounds a block."""
+class Encoder:
+    """Range coder over many blocks at once."""
 
     def __init__(self, blocks: int):
         self.low = np.zeros(blocks, dtype=np.int64)
-        self.high = np.full(blocks, M32, dtype=np.int64)
+        self.range = np.full(blocks, FULL, dtype=np.int64)
         self.at = np.zeros(blocks, dtype=np.int64)
-
-    def split(self, of: np.ndarray, p: np.ndarray):
-        low, high = self.low[of], self.high[of]
-        span = high - low
-        return low, high, low + (span >> 16) * p + (((span & 0xFFFF) * p) >> 16)
-
-    def settle(self, of: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        """Shift out the leading bytes that both bounds share, and keep them 65,535 apart."""
-        while True:
-            same = np.flatnonzero((low ^ high) < (1 << 24))
-            if not len(same):
-                close = np.flatnonzero(high - low < 0xFFFF)
-                if not len(close):
-                    break
-                high[close] = low[close] | 0xFFFF  # below the old bound, as the first bytes differ
-                continue
-            self.shift(of[same], high[same] >> 24)
-            low[same] = (low[same] << 8) & M32
-            high[same] = ((high[same] << 8) & M32) | 255
-        self.low[of], self.high[of] = low, high
-
-    def part(self, of: np.ndarray, below: np.ndarray, count: np.ndarray, total: np.ndarray) -> None:
-        """Narrow the bounds to ``count`` of ``total`` parts (65,536 at most), ``below`` of them left out before."""
-        low = self.low[of]
-        each = (self.high[of] - low + 1) // total
-        low = low + each * below
-        self.settle(of, low, low + each * count - 1)
-
-
-class Encoder(Coder):
-    def __init__(self, blocks: int):
-        super().__init__(blocks)
-        self.out = np.zeros((blocks, BLOCK), dtype=np.uint8)
-
-    def shift(self, of: np.ndarray, byte: np.ndarray) -> None:
-        at = self.at[of]
-        if at.max(initial=0) >= self.out.shape[1]:
-            self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-        self.out[of, at] = byte
-        self.at[of] += 1
-
-    def code(self, of: np.ndarray, p: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        low, high, middle = self.split(of, p)
-        self.settle(of, np.where(bit, low, middle + 1), np.where(bit, middle, high))
+        self.out = np.zeros((blocks, BLOCK // 2 + 8), dtype=np.int32)  # words of 16 bits; a carry may make one larger
+
+    def narrow(self, of: np.ndarray, each: np.ndarray, below: np.ndarray, count: np.ndarray) -> None:
+        """Narrow the range to ``count`` parts of size ``each``, ``below`` of them left out before."""
+        self.take(of, each * below, each * count)
+
+    def take(self, of: np.ndarray, below: np.ndarray, width: np.ndarray) -> None:
+        low = self.low[of] + below
+        over = np.flatnonzero(low >= FULL)
+        if len(over):
+            self.out[of[over], self.at[of[over]] - 1] += 1
+            low[over] -= FULL
+        small = np.flatnonzero(width < TOP)
+        while len(small):
+            who = of[small]
+            at = self.at[who]
+            if at.max() >= self.out.shape[1] - 4:
+                self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
+            self.out[who, at] = low[small] >> 32
+            self.at[who] = at + 1
+            low[small] = (low[small] & LOW32) << 16
+            width[small] <<= 16
+            small = small[width[small] < TOP]
+        self.low[of], self.range[of] = low, width
+
+    def bit(self, of: np.ndarray, p: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        """Code a bit that is 1 with probability ``p`` / 65,536."""
+        self.narrow(of, self.range[of] >> 16, np.where(bit, 0, p), np.where(bit, p, 65536 - p))
         return bit
 
     def finish(self) -> None:
         every = np.arange(len(self.low))
-        for shift in (24, 16, 8, 0):
-            self.shift(every, (self.low >> shift) & 255)
-
-
-class Decoder(Coder):
-    def __init__(self, coded: np.ndarray):
-        super().__init__(len(coded))
-        self.coded = np.concatenate([coded, np.zeros((len(coded), 8), dtype=np.uint8)], axis=1)
-        self.value = np.zeros(len(coded), dtype=np.int64)
-        every = np.arange(len(coded))
-        for _ in range(4):
-            self.shift(every, None)
-
-    def shift(self, of: np.ndarray, byte) -> None:
-        at = np.minimum(self.at[of], self.coded.shape[1] - 1)
-        self.value[of] = ((self.value[of] << 8) & M32) | self.coded[of, at]
-        self.at[of] += 1
-
-    def goal(self, of: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """Which of ``total`` parts the coded value lies in."""
-        low = self.low[of]
-        at = (self.value[of] - low) // ((self.high[of] - low + 1) // total)
-        return np.minimum(np.maximum(at, 0), total - 1)  # a damaged block may lie outside
-
-    def code(self, of: np.ndarray, p: np.ndarray, bit) -> np.ndarray:
-        low, high, middle = self.split(of, p)
-        bit = self.value[of] <= middle
-        self.settle(of, np.where(bit, low, middle + 1), np.where(bit, middle, high))
+        for shift in (32, 16, 0):
+            self.out[every, self.at] = (self.low >> shift) & 65535
+            self.at += 1
+        while True:
+            block, word = np.nonzero(self.out > 65535)
+            if not len(block):
+                return
+            self.out[block, word] -= 65536
+            self.out[block, word - 1] += 1
+
+
+class Decoder:
+    def __init__(self, words: np.ndarray):
+        self.words = np.concatenate([words, np.zeros((len(words), 4), dtype=np.int32)], axis=1)
+        first = self.words[:, :3].astype(np.int64)
+        self.value = (first[:, 0] << 32) | (first[:, 1] << 16) | first[:, 2]
+        self.range = np.full(len(words), FULL, dtype=np.int64)
+        self.at = np.full(len(words), 3, dtype=np.int64)
+
+    def narrow(self, of: np.ndarray, each: np.ndarray, below: np.ndarray, count: np.ndarray) -> None:
+        self.take(of, each * below, each * count)
+
+    def take(self, of: np.ndarray, below: np.ndarray, width: np.ndarray) -> None:
+        value = self.value[of] - below
+        small = np.flatnonzero(width < TOP)
+        while len(small):
+            who = of[small]
+            at = np.minimum(self.at[who], self.words.shape[1] - 1)  # a damaged block may ask for more
+            value[small] = ((value[small] & LOW32) << 16) | self.words[who, at]
+            self.at[who] = at + 1
+            width[small] <<= 16
+            small = small[width[small] < TOP]
+        self.value[of], self.range[of] = value, width
+
+    def bit(self, of: np.ndarray, p: np.ndarray, bit) -> np.ndarray:
+        each = self.range[of] >> 16
+        bit = self.value[of] < each * p
+        self.narrow(of, each, np.where(bit, 0, p), np.where(bit, p, 65536 - p))
         return bit
 
 
 class Mixer:
-    """Adaptive estimates of three orders and their learned weights, for one kind of decision."""
+    """Adaptive estimates of three orders and their learned weights, for a binary decision."""
 
     def __init__(self, blocks: int, contexts: tuple[int, int, int]):
-        self.estimates = [np.full(blocks * n, 1 << 15, dtype=np.int64) for n in contexts]
+        self.estimates = [np.full(blocks * n, 1 << 15, dtype=np.int32) for n in contexts]
         self.contexts = contexts
-        self.weights = np.full((3, blocks), 22000, dtype=np.int64)
+        self.weights = np.full((blocks, 3), 22000, dtype=np.int32)
 
-    def code(self, coder: Coder, of: np.ndarray, contexts: list[np.ndarray], bit) -> np.ndarray:
+    def code(self, coder, of: np.ndarray, contexts: list[np.ndarray], bit) -> np.ndarray:
         slots = [of * n + c for n, c in zip(self.contexts, contexts)]
         now = [e[s] for e, s in zip(self.estimates, slots)]
         logits = [STRETCH[x >> 4] for x in now]
-        weights = [w[of] for w in self.weights]
-        mixed = sum(w * x for w, x in zip(weights, logits)) >> 16
+        weights = self.weights[of]
+        mixed = sum(weights[:, k] * logits[k] for k in range(3)) >> 16
         p = SQUASH[np.minimum(np.maximum(mixed, -2047), 2047) + 2047]
-        bit = coder.code(of, p << 4, bit)
-        error = ((bit.astype(np.int64) << 12) - p) * 6
-        target = np.where(bit, 65535, 0)
+        bit = coder.bit(of, (p << 4).astype(np.int64), bit)
+        error = (np.where(bit, 4096, 0) - p) * 6
+        target = np.where(bit, np.int32(65535), np.int32(0))
         for k in range(3):
-            self.weights[k][of] = weights[k] + ((logits[k] * error) >> 10)
+            weights[:, k] += (logits[k] * error) >> 10
             self.estimates[k][slots[k]] = now[k] + ((target - now[k]) >> 4)
+        self.weights[of] = weights
         return bit
 
 
-class Bytes:
-    """Adaptive counts of the two bytes of an id (order 0); unseen bytes count one."""
+class Slots:
+    """Order 0: an id's slot by adaptive counts of its two digits, then whether it is the id last seen in that
+    slot, else its other byte. Slot and other byte make the id."""
 
     def __init__(self, blocks: int):
-        self.counts = np.ones((blocks * TREES * ROWS, 16), dtype=np.uint16)
-        self.counts[::ROWS] = 16
+        self.sums = np.tile(np.arange(1, 17, dtype=np.uint16), (blocks * ROWS, 1))
+        self.flat = self.sums.reshape(-1)
+        self.held = np.zeros(blocks * 256, dtype=np.int16)  # (other byte + 1) * 8 + confidence; 0: nothing yet
+        self.estimates = np.full(blocks * 8, 1 << 15, dtype=np.int32)
 
-    def code(self, coder: Coder, of: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    def code(self, coder, of: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
         """Code an id of each block; ``ids`` are given when encoding."""
         encode = ids is not None
-        high = self.byte(coder, of, of * TREES, ids >> 8 if encode else None)
-        low = self.byte(coder, of, of * TREES + 1 + high, ids & 255 if encode else None)
-        return high << 8 | low
-
-    def byte(self, coder: Coder, of: np.ndarray, tree: np.ndarray, byte: np.ndarray | None) -> np.ndarray:
-        every = np.arange(len(of))
-        sums = tree * ROWS
-        held = self.counts[sums]
-        ends = held.cumsum(axis=1, dtype=np.int64)
-        total = ends[:, -1]
-        if byte is None:
-            goal = coder.goal(of, total)
-            first = (ends <= goal[:, None]).sum(axis=1)
+        other = ids >> 8 if encode else np.full(len(of), -1, dtype=np.int64)
+        slot = self.slot(coder, of, (ids ^ other) & 255 if encode else None)
+        place = of * 256 + slot
+        held = self.held[place].astype(np.int64)
+        guess, sure = (held >> 3) - 1, held & 7
+        missed = np.ones(len(of), dtype=bool)
+        ask = np.flatnonzero(held)
+        if len(ask):
+            at = of[ask] * 8 + sure[ask]
+            now = self.estimates[at]
+            hit = coder.bit(of[ask], np.minimum(np.maximum(now, 64), 65472).astype(np.int64), other[ask] == guess[ask] if encode else None)
+            self.estimates[at] = now + ((np.where(hit, np.int32(65535), np.int32(0)) - now) >> 5)
+            missed[ask] = ~hit
+            other[ask[hit]] = guess[ask[hit]]
+        ask = np.flatnonzero(missed)
+        if len(ask):
+            each = coder.range[of[ask]] >> 8
+            if not encode:
+                other[ask] = np.minimum(np.maximum(coder.value[of[ask]] // each, 0), 255)
+            coder.narrow(of[ask], each, other[ask], np.ones(len(ask), dtype=np.int64))
+        self.held[place] = ((other + 1) << 3) + np.where(missed, 0, np.minimum(sure + 1, 7))
+        return other << 8 | ((slot ^ other) & 255)
+
+    def slot(self, coder, of: np.ndarray, slot: np.ndarray | None) -> np.ndarray:
+        """Both digits in one step: the second's counts divide the part of the first."""
+        row = of * ROWS
+        upper = self.sums[row]
+        above = upper[:, 15].astype(np.int64)
+        if slot is None:
+            # the first digit is found with the finest parts that both totals can make
+            fine = coder.range[of] // (above * TOTAL)
+            goal = np.minimum(np.maximum(coder.value[of] // (fine * TOTAL), 0), above - 1)  # a damaged block may lie outside
+            first = _not_above(upper, goal)
+        else:
+            first = slot >> 4
+            fine = coder.range[of] // (above * TOTAL)
+        at = row * 16 + first
+        before = np.where(first > 0, self.flat[at - 1], 0).astype(np.int64)
+        wide = self.flat[at].astype(np.int64) - before
+        lower_row = row + 1 + first
+        lower = self.sums[lower_row]
+        total = lower[:, 15].astype(np.int64)
+        # the first digit's part, in TOTAL parts each, is dealt over the second's counts
+        each = fine * (TOTAL * wide) // total
+        if slot is None:
+            rest = coder.value[of] - fine * (TOTAL * before)
+            second = _not_above(lower, np.minimum(np.maximum(rest // each, 0), total - 1))
         else:
-            first = byte >> 4
-        below = ends[every, first] - held[every, first]
-        counts = sums + 1 + first
-        held = self.counts[counts]
-        ends = held.cumsum(axis=1, dtype=np.int64)
-        second = (ends <= (goal - below)[:, None]).sum(axis=1) if byte is None else byte & 15
-        count = held[every, second].astype(np.int64)
-        coder.part(of, below + ends[every, second] - count, count, total)
-        self.counts[sums, first] += STEP
-        self.counts[counts, second] += STEP
+            second = slot & 15
+        at = lower_row * 16 + second
+        below = np.where(second > 0, self.flat[at - 1], 0).astype(np.int64)
+        coder.take(of, fine * (TOTAL * before) + each * below, each * (self.flat[at].astype(np.int64) - below))
+        self.sums[row] = upper + RAISED[first]
+        self.sums[lower_row] = lower + RAISED[second]
         return first << 4 | second
 
 
-def coded(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Run the model over all blocks; ``ids`` (blocks x BLOCK) are given when
+def _not_above(sums: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """How many of each row's 16 running sums are at most the row's goal."""
+    counted = np.bitwise_count((sums <= goal.astype(np.uint16)[:, None]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+    return np.minimum(counted, 15)
+
+
+def coded(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    """Run the model over all blocks; ``ids`` (BLOCK x blocks) are given when
     encoding and returned when decoding."""
     n = len(lengths)
     encode = ids is not None
-    out = ids if encode else np.zeros((n, BLOCK), dtype=np.int64)
-    after2, sure2 = np.zeros(n * ORDER2, dtype=np.int32), np.zeros(n * ORDER2, dtype=np.int8)
-    after1, sure1 = np.zeros(n * ORDER1, dtype=np.int32), np.zeros(n * ORDER1, dtype=np.int8)
+    out = ids if encode else np.zeros((BLOCK, n), dtype=np.int64)
+    # what followed last: (id + 1) * 8 + confidence; 0: nothing yet
+    after2, after1 = np.zeros(n * ORDER2, dtype=np.int32), np.zeros(n * ORDER1, dtype=np.int32)
     seen = np.zeros(n * ORDER0, dtype=np.int8)
-    second, first, others = Mixer(n, (8, 16, 8)), Mixer(n, (8, 8, 8)), Bytes(n)
+    predicted, others = Mixer(n, (16, 16, 8)), Slots(n)
     previous, older = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    of, shortest = np.arange(n), 0
     for step in range(int(lengths.max(initial=0))):
-        of = np.flatnonzero(lengths > step)
-        b1 = previous[of]
-        slot1 = of * ORDER1 + ((b1 * 40503) >> 3) % ORDER1
-        slot2 = of * ORDER2 + ((b1 * 40503 + older[of] * 30011) >> 3) % ORDER2
-        guess1, guess2 = after1[slot1].astype(np.int64) - 1, after2[slot2].astype(np.int64) - 1
-        own1, own2 = sure1[slot1].astype(np.int64), sure2[slot2].astype(np.int64)
-        value = out[of, step] if encode else np.full(len(of), -1, dtype=np.int64)
-        open_ = np.ones(len(of), dtype=bool)
-
-        ask = np.flatnonzero(guess2 >= 0)
-        if len(ask):
-            g = guess2[ask]
-            hit = second.code(coder, of[ask], [own2[ask], own1[ask] * 2 + (guess1[ask] == g),
-                                               seen[of[ask] * ORDER0 + g % ORDER0].astype(np.int64)], value[ask] == g)
-            value[ask[hit]] = g[hit]
-            open_[ask[hit]] = False
-        ask = np.flatnonzero(open_ & (guess1 >= 0) & (guess1 != guess2))
+        if step >= shortest:
+            of = np.flatnonzero(lengths > step)
+            shortest = lengths[of].min()
+            base0, base1, base2 = of * ORDER0, of * ORDER1, of * ORDER2
+        last = previous[of]
+        mixed = last * 40503
+        slot1 = base1 + ((mixed >> 3) & (ORDER1 - 1))
+        slot2 = base2 + ((mixed + older[of] * 30011) >> 3 & (ORDER2 - 1))
+        held1, held2 = after1[slot1], after2[slot2]
+        guess1, guess2, sure1, sure2 = (held1 >> 3) - 1, (held2 >> 3) - 1, held1 & 7, held2 & 7
+        by2 = (guess2 >= 0) & ((sure2 > 0) | (guess1 < 0))
+        guess = np.where(by2, guess2, guess1)
+        value = out[step, of] if encode else np.full(len(of), -1, dtype=np.int64)
+
+        missed = np.ones(len(of), dtype=bool)
+        ask = np.flatnonzero(guess >= 0)
         if len(ask):
-            g = guess1[ask]
-            hit = first.code(coder, of[ask], [own1[ask], own2[ask],
-                                              seen[of[ask] * ORDER0 + g % ORDER0].astype(np.int64)], value[ask] == g)
+            g = guess[ask]
+            contexts = [sure2[ask] + 8 * by2[ask], sure1[ask] + 8 * (guess1[ask] == guess2[ask]), seen[base0[ask] + (g & (ORDER0 - 1))]]
+            hit = predicted.code(coder, of[ask], contexts, value[ask] == g if encode else None)
             value[ask[hit]] = g[hit]
-            open_[ask[hit]] = False
-        ask = np.flatnonzero(open_)
+            missed[ask[hit]] = False
+        ask = np.flatnonzero(missed)
         if len(ask):
             value[ask] = others.code(coder, of[ask], value[ask] if encode else None)
         if not encode:
-            out[of, step] = value
+            out[step, of] = value
 
-        right = guess2 == value
-        sure2[slot2] = np.where(right, np.minimum(own2 + 1, 7), 0)
-        after2[slot2] = value + 1
+        anew = (value + 1) << 3
+        after2[slot2] = np.where(guess2 == value, anew + np.minimum(sure2 + 1, 7), anew)
         right = guess1 == value
-        keep = ~right & (own1 > 1)
-        after1[slot1] = np.where(keep, guess1, value) + 1
-        sure1[slot1] = np.where(right, np.minimum(own1 + 1, 7), np.where(keep, own1 >> 1, 0))
-        slot0 = of * ORDER0 + value % ORDER0
+        keep = ~right & (sure1 > 1)
+        after1[slot1] = np.where(right, anew + np.minimum(sure1 + 1, 7), np.where(keep, (held1 & ~7) + (sure1 >> 1), anew))
+        slot0 = base0 + (value & (ORDER0 - 1))
         seen[slot0] = np.minimum(seen[slot0] + 1, 7)
-        older[of], previous[of] = b1, value
+        older[of], previous[of] = last, value
     return out
 
 
@@ -279,12 +321,12 @@ def packed(ids: np.ndarray) -> bytes:
     grid = np.zeros((n, BLOCK), dtype=np.int64)
     grid.reshape(-1)[:len(ids)] = ids
     coder = Encoder(n)
-    coded(coder, lengths, grid)
+    coded(coder, lengths, np.ascontiguousarray(grid.T))
     coder.finish()
     parts = []
     for i in range(n):
         own = ids[i * BLOCK:(i + 1) * BLOCK].astype("<u4").tobytes()
-        parts += [struct.pack("<III", zlib.crc32(own), lengths[i], coder.at[i]), coder.out[i, :coder.at[i]].tobytes()]
+        parts += [struct.pack("<III", zlib.crc32(own), lengths[i], coder.at[i]), coder.out[i, :coder.at[i]].astype("<u2").tobytes()]
     return b"".join(parts)
 
 
@@ -295,17 +337,17 @@ def unpacked(data: bytes) -> np.ndarray:
         check, count, size = struct.unpack_from("<III", data, at)
         at += 12
         heads.append((check, count))
-        parts.append(np.frombuffer(data, np.uint8, size, at))
-        at += size
+        parts.append(np.frombuffer(data, "<u2", size, at))
+        at += 2 * size
     n = len(heads)
     if not n:
         return np.zeros(0, dtype=np.int64)
-    grid = np.zeros((n, max(map(len, parts)) + 1), dtype=np.uint8)
+    words = np.zeros((n, max(map(len, parts))), dtype=np.int32)
     for i, part in enumerate(parts):
-        grid[i, :len(part)] = part
+        words[i, :len(part)] = part
     lengths = np.array([count for _, count in heads], dtype=np.int64)
-    ids = coded(Decoder(grid), lengths, None)
-    whole = [ids[i, :lengths[i]] for i in range(n)]
+    ids = coded(Decoder(words), lengths, None).T
+    whole = [np.ascontiguousarray(ids[i, :lengths[i]]) for i in range(n)]
     for (check, _), own in zip(heads, whole):
         if zlib.crc32(own.astype("<u4").tobytes()) != check:
             raise ValueError("a block of token ids is damaged")
@@ -369,9 +411,11 @@ def written(docs: DataFrame, tokenizer_path: str, folder: str) -> DataFrame:
                 [("part", pa.int32()), ("chunk", pa.int32()), ("path", pa.string()), ("offset", pa.int64()),
                  ("length", pa.int64()), ("ids", pa.int64())]))
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc").sortWithinPartitions("doc", "text")
+    rows = numbered(docs).select(F.coalesce(F.col("whole.doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+                                 F.coalesce(F.col("whole.text").cast("string"), F.lit("")).alias("text"), "row")
+    # rows without an id, or of one id, are dealt out by their beginnings and numbers
+    order = ("doc", F.substring("text", 1, PREFIX), "row")
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc", "text")
     return cut(ordered.mapInArrow(per_task, "part int, chunk int, path string, offset long, length long, ids long"), "ids-manifest")
 
 
