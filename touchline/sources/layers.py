@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..session import write_conf
 
 LAYER_TABLES = {
     "bronze.matches": ("bronze", "matches"),
@@ -137,10 +138,11 @@ def write_layer(frame: DataFrame, path: str, *, rebalance: bool = True, dynamic:
     ``dynamic`` replaces only the partitions present in ``frame``.
     """
     out = frame.hint("rebalance", *partition_by) if rebalance else frame
-    (out.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-     .partitionBy(*partition_by)
-     .parquet(path))
+    with write_conf(frame.sparkSession):
+        (out.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+         .partitionBy(*partition_by)
+         .parquet(path))
     return path
 
 
