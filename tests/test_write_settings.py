@@ -37,6 +37,16 @@ def test_silver_write_holds_no_sorted_rows(spark, tmp_dir):
     assert "Sort" not in last_plan(spark)
 
 
+def test_bronze_write_holds_no_sorted_rows(spark, tmp_dir):
+    raw = load_raw_matches(spark, SF)
+    params = RunParams(lake_root=f"{tmp_dir}/lake", landing_root=f"{tmp_dir}/landing", start_year=1990, end_year=2005)
+    jobs.landing_from_rows(raw, f"{tmp_dir}/landing/_runs/run0")
+    assert "Sort" not in last_plan(spark)
+    results, headers = jobs.land(spark, params, "run0")
+    jobs.build_bronze(spark, params, "run0", headers, results)
+    assert "InsertIntoHadoopFs" in last_plan(spark) and "Sort [" not in last_plan(spark)
+
+
 def test_more_partitions_than_open_files(spark, tmp_dir):
     """Rows of partitions beyond the open files are sorted and written all the same."""
     rows = spark.range(0, 3000, 1, 1).select("id", (F.col("id") % 150).cast("string").alias("season"),

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, model, silver
 from ..params import RunParams, league_dimension
-from ..session import scratch_table
+from ..session import scratch_table, write_conf
 from ..sources import landing
 from ..sources.bronze import bronze_from_landing
 from ..sources.layers import folder_exists, layer_path, new_version, prune, publish, read_table, remove_folder, table_path
@@ -275,8 +275,9 @@ def landing_from_rows(raw: DataFrame, run_root: str, mode: str = "overwrite") ->
     and season, Spark's partitioned layout; blanks around values kept). Used to
     feed the landing and bronze steps from data derived from the driver's tables."""
     data_cols = [c for c in raw.columns if c not in ("ingestion_run_id", "source_file", "league_code")]
-    (raw.select(*[F.col(f"`{c}`") for c in data_cols])
-     .hint("rebalance", "league_name", "season")
-     .write.mode(mode).option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy("league_name", "season").csv(run_root))
+    with write_conf(raw.sparkSession):
+        (raw.select(*[F.col(f"`{c}`") for c in data_cols])
+         .hint("rebalance", "league_name", "season")
+         .write.mode(mode).option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy("league_name", "season").csv(run_root))
     return run_root
