@@ -47,6 +47,30 @@ def test_bronze_write_holds_no_sorted_rows(spark, tmp_dir):
     assert "InsertIntoHadoopFs" in last_plan(spark) and "Sort [" not in last_plan(spark)
 
 
+@pytest.mark.parametrize("own", [None, "60000"])
+def test_writes_compile_in_methods_hotspot_takes(spark, tmp_dir, monkeypatch, own):
+    at_write = []
+    for kind in ("parquet", "csv"):
+        plain = getattr(DataFrameWriter, kind)
+
+        def noted(self, *args, _plain=plain, **kwargs):
+            at_write.append((spark.conf.get(HUGE), int(spark.conf.get(WRITERS))))
+            return _plain(self, *args, **kwargs)
+        monkeypatch.setattr(DataFrameWriter, kind, noted)
+    default = spark.conf.get(HUGE)
+    if own:
+        spark.conf.set(HUGE, own)
+    try:
+        raw = load_raw_matches(spark, SF)
+        write_layer(silver_matches(raw), f"{tmp_dir}/silver")
+        scratch_table(raw.limit(5), "few")
+        jobs.landing_from_rows(raw, f"{tmp_dir}/landing/_runs/run0")
+        assert at_write == [("8000", 64)] * 3
+        assert spark.conf.get(HUGE) == (own or default) and int(spark.conf.get(WRITERS)) == 0
+    finally:
+        spark.conf.unset(HUGE)
+
+
 def test_more_partitions_than_open_files(spark, tmp_dir):
     """Rows of partitions beyond the open files are sorted and written all the same."""
     rows = spark.range(0, 3000, 1, 1).select("id", (F.col("id") % 150).cast("string").alias("season"),
