@@ -47,6 +47,15 @@ def test_bronze_write_holds_no_sorted_rows(spark, tmp_dir):
     assert "InsertIntoHadoopFs" in last_plan(spark) and "Sort [" not in last_plan(spark)
 
 
+def test_more_partitions_than_open_files(spark, tmp_dir):
+    """Rows of partitions beyond the open files are sorted and written all the same."""
+    rows = spark.range(0, 3000, 1, 1).select("id", (F.col("id") % 150).cast("string").alias("season"),
+                                             F.lit("E0").alias("league_code"))
+    path = write_layer(rows, f"{tmp_dir}/many", rebalance=False)
+    back = spark.read.schema("id long, league_code string, season string").parquet(path)
+    assert sorted(map(tuple, back.select("id", "season").collect())) == sorted((i, str(i % 150)) for i in range(3000))
+
+
 @pytest.mark.parametrize("own", [None, "60000"])
 def test_writes_compile_in_methods_hotspot_takes(spark, tmp_dir, monkeypatch, own):
     at_write = []
@@ -71,10 +80,13 @@ def test_writes_compile_in_methods_hotspot_takes(spark, tmp_dir, monkeypatch, ow
         spark.conf.unset(HUGE)
 
 
-def test_more_partitions_than_open_files(spark, tmp_dir):
-    """Rows of partitions beyond the open files are sorted and written all the same."""
-    rows = spark.range(0, 3000, 1, 1).select("id", (F.col("id") % 150).cast("string").alias("season"),
-                                             F.lit("E0").alias("league_code"))
-    path = write_layer(rows, f"{tmp_dir}/many", rebalance=False)
-    back = spark.read.schema("id long, league_code string, season string").parquet(path)
-    assert sorted(map(tuple, back.select("id", "season").collect())) == sorted((i, str(i % 150)) for i in range(3000))
+def test_rows_are_scored_once_by_each_model(spark, tmp_dir, monkeypatch):
+    calls = []
+    plain = PipelineModel.transform
+    monkeypatch.setattr(PipelineModel, "transform", lambda self, *a, **k: calls.append(self) or plain(self, *a, **k))
+    trained, predictions = model.train_outcome_model(_split_features(spark, SF), num_trees=3, save_to=f"{tmp_dir}/model")
+    assert sum(r.train_rows + r.test_rows for r in trained.evaluation().collect()) == trained.features.count()
+    assert predictions.count() == trained.test_rows
+    loaded = PipelineModel.load(f"{tmp_dir}/model")
+    assert trained.predicts_alike(loaded)
+    assert calls == [trained.model, loaded]

@@ -73,21 +73,23 @@ class TrainedModel:
     train_rows: int
     test_rows: int
     features: DataFrame  # the stored feature rows of both sides of the split
+    scored: DataFrame    # the same rows, stored with their prediction
 
     def evaluation(self) -> DataFrame:
         """``(label, predicted, train_rows, test_rows)``: every label by every label, counted over both sides."""
-        scored = self.model.transform(self.features).select("label", F.col("prediction").cast("int").alias("predicted"), "in_test")
+        scored = self.scored.select("label", F.col("prediction").cast("int").alias("predicted"), "in_test")
         counts = scored.groupBy("label", "predicted").agg(F.count_if(~F.col("in_test")).alias("train_rows"),
                                                           F.count_if("in_test").alias("test_rows"))
         labels = F.array(*[F.lit(v) for v in sorted(LABELS.values())])
-        pairs = (self.features.sparkSession.range(1).select(F.explode(labels).alias("label"))
+        pairs = (self.scored.sparkSession.range(1).select(F.explode(labels).alias("label"))
                  .select("label", F.explode(labels).alias("predicted")))
         return pairs.join(counts, ["label", "predicted"], "left").na.fill(0, ["train_rows", "test_rows"])
 
     def predicts_alike(self, other: PipelineModel) -> bool:
         """Whether another model (this one, saved and loaded) predicts every feature row like this one."""
-        first = self.model.transform(self.features).select(*FEATURES, F.col("prediction").alias("first"))
-        return other.transform(first).where(~F.col("prediction").eqNullSafe(F.col("first"))).isEmpty()
+        first = self.scored.select(*FEATURES, F.col("prediction").alias("first"))
+        # counted, not asked for a first row: that would go through the partitions a few at a time
+        return other.transform(first).where(~F.col("prediction").eqNullSafe(F.col("first"))).count() == 0
 
 
 def outcome_pipeline(num_trees: int = 100, seed: int = 42) -> Pipeline:
@@ -104,9 +106,10 @@ def train_outcome_model(features: DataFrame, *, num_trees: int = 100, seed: int
     Returns the trained model summary and the test predictions.
 
     The feature rows are written once as Parquet into the shared folder: the
-    forest's passes, the evaluation and the counts then read that table
-    instead of re-running the lineage from the source, and a lost executor
-    costs only its tasks of the pass in flight.
+    forest's passes then read that table instead of re-running the lineage
+    from the source, and a lost executor costs only its tasks of the pass in
+    flight. Every row is scored once, into a second such table, from which
+    accuracy, evaluation and counts are taken.
     """
     from ..session import scratch_table
     features = scratch_table(features, "features")
@@ -114,9 +117,10 @@ def train_outcome_model(features: DataFrame, *, num_trees: int = 100, seed: int
     if train.isEmpty():
         raise NoTrainingRows("no training rows after the split")
     model = outcome_pipeline(num_trees, seed).fit(train)
-    predictions = model.transform(test)
-    accuracy = (float("nan") if test.isEmpty() else
+    scored = scratch_table(model.transform(features).select(*features.columns, "prediction"), "scored")
+    predictions = scored.where("in_test")
+    accuracy = (float("nan") if predictions.isEmpty() else
                 MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(predictions))
     if save_to:
         model.write().overwrite().save(save_to)
-    return TrainedModel(model, accuracy, train.count(), test.count(), features), predictions
+    return TrainedModel(model, accuracy, train.count(), test.count(), features, scored), predictions
