@@ -17,6 +17,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -577,6 +578,63 @@ def test_ids_of_every_kind_round_trip_in_one_call():
         assert (found == ids).all()  # the last words of a block may hold bits that say nothing
 
 
+def test_lanes_of_a_block_share_its_model():
+    rng = np.random.default_rng(4)
+    ids = rng.choice(rng.integers(0, 65536, 4096), 300_000)  # 12 bits an id; a fresh model every 2,048 ids never learns them
+    data = token_files.packed(ids)
+    assert (token_files.unpacked(data) == ids).all()
+    assert len(data) * 8 < len(ids) * 13.5
+
+
+def test_a_damaged_block_harms_no_other(monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK", 3000)
+    ids = np.random.default_rng(5).zipf(1.4, 10_000) % 50_000
+    first, rest = token_files.packed(ids[:3000]), token_files.packed(ids[3000:])
+    assert token_files.packed(ids) == first + rest
+    for at in (4, 8, 12, 60, len(first) - 40):
+        broken = bytearray(first)
+        broken[at] ^= 0x41
+        with pytest.raises(ValueError):
+            token_files.unpacked(bytes(broken) + rest)
+    assert (token_files.unpacked(rest) == ids[3000:]).all()
+
+
+def library_ids(texts):
+    own = token_files.tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return [[*got.ids, 0] for got in own.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_are_encoded_as_in_their_texts():
+    rng = np.random.default_rng(6)
+    plain = ["a", "foo", "'s", "don't", "I'll", "'", " ", " ", " ", "  ", "\n", "\n\n", " \n", ".", ",", "12", "é", "ción", "中文", "😀",
+             "<|endoftext|>", "Ġ", "Ċ"]
+    odd = ["\t", "\r\n", "\u00a0", "\u2003", "\x0b", "\x1c", "\x85", "\u200b"]
+    for parts in (plain, plain + odd):
+        own = token_files.Words(public_tokenizers.path("byte_bpe_50k.json"))
+        own.MOST = 500  # words are forgotten now and then
+        for _ in range(20):
+            texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(300)]
+            ids, counts = own.encode(pa.array(texts))
+            want = library_ids(texts)
+            assert counts.tolist() == list(map(len, want))
+            assert ids.tolist() == [i for one in want for i in one]
+
+
+def test_the_library_is_asked_once_for_a_word_that_returns(monkeypatch):
+    own = token_files.Words(public_tokenizers.path("byte_bpe_50k.json"))
+    asked = []
+    monkeypatch.setattr(own, "asked", lambda texts, ask=own.asked: asked.extend(texts) or ask(texts))
+    texts = ["one two three\none two", "two three one one  two", "two\n\nthree", ""] * 50
+    for _ in range(2):
+        assert own.encode(pa.array(texts))[0].tolist() == [i for one in library_ids(texts) for i in one]
+    assert sum(map(len, asked)) < 60
+    own.encode(pa.array(["one   two"]))
+    assert asked[-1] == "one   two"  # three blanks: the text goes whole
+    own.LETTERS = 10
+    own.encode(pa.array(["x"]))
+    assert len(own.places) == 1
+
+
 def brute_tokens(rows):
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     own.encode_special_tokens = True

@@ -1,33 +1,33 @@
 """Token-id files with an adaptive context-mixing range coder (operator 7).
 
-Texts are encoded by the tokenizers library, an end id is appended to each, and
-the ids are written in ascending doc_id order. Ids are cut into blocks of
-``BLOCK`` ids; every block starts from a fresh model, ends with a flush and
-carries the CRC-32 of its ids, so a damaged block is found and harms no other.
+Texts are encoded by the tokenizers library (asked once for a word that a worker
+process meets again, see :class:`Words`), an end id is appended to each, and the
+ids are written in ascending doc_id order. Ids are cut into blocks of ``BLOCK``
+ids; every block starts from a fresh model, ends with a flush and carries the
+CRC-32 of its ids, so a damaged block is found and harms no other.
 
 Model of a block, all in whole numbers so that any machine decodes the same:
 
 * order 2: the id that last followed the same two ids, with a confidence;
 * order 1: the id that last followed the same id, with a confidence;
-* order 0: how often a predicted id was seen so far, and how often each id was
-  that was not predicted.
+* order 0: how often each id was seen.
 
 The order-2 id is the prediction where it was right before or order 1 has none,
 else the order-1 id. "Is it the predicted id?" is a binary decision whose
 probability mixes the adaptive estimates of all three orders in the logistic
 domain by weights that are learned on the way. An id that was not predicted is
-coded by order 0: first its slot, one of 256, by adaptive counts of the slot's
-two digits; then, as a binary decision, whether it is the id last seen in that
-slot; if not, its other byte (slot and other byte make the id).
-Every id thus goes through the range coder; nothing is stored beside it.
+coded by its share of order 0. Every id thus goes through the range coder in one
+step; nothing is stored beside it.
 
 The coder keeps 48 bits of the range's low end and gives out 16 at a time. A
 carry is added to the word before; carries that run on are settled at the end.
 
-Blocks do not depend on each other, so a task codes many side by side: one step
-codes the next id of every block with a few array operations. A block's whole
-state takes some 8 KB, so that of a chunk's blocks stays near the processor. A
-task holds one chunk of about ``CHUNK`` ids at a time.
+A block's ids are dealt to lanes of ``LANE`` consecutive ones at most, each with
+a range of its own, that share the block's model: a step codes the next id of
+every lane with a few array operations, by what the steps before it have taught.
+What followed is learned after every step, estimates and weights after
+``EVERY`` and shares after ``EVERY0`` steps (sooner at the beginning). A task
+holds one chunk of about ``CHUNK`` ids at a time.
 
 Files are written by the tasks under unique names; only those in the manifest
 (a Spark table) are read back. A chunk is read by one task, wherever it runs.
@@ -41,6 +41,7 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -49,6 +50,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -57,26 +59,32 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import cut, numbered, spread, table
 
-BLOCK = 2048
+BLOCK = 1 << 20  # ids
+LANE = 256  # ids a lane
 CHUNK = 8_000_000
 PREFIX = 64
-MAGIC = b"TIDS"
+MAGIC = b"TID2"
 LAST = (1 << 63) - 1  # place of a null doc_id
 END_ID = 0
-
-ORDER1, ORDER2, ORDER0 = 512, 1024, 512  # table sizes a block, powers of two
-#: Order 0: what an id adds to the counts of its slot's digits.
-STEP = 4
-TOTAL = 16 + STEP * BLOCK  # the most a row sums up to
-ROWS = 17  # rows of 16 counts a block: one for the first digit, one for each first digit
-#: The coder's range: at most 2^48, and never below 2^32 when a symbol is coded (whose part may be 2^-26 of it).
+SLICE = 4 << 20  # bytes of text that are encoded at a time, or one text
+BLANKS = (" ", "\n")
+
+SYMBOLS = 1 << 16
+PAIRS = 1 << 16  # places of order 2, a power of two
+BITS0 = 19
+TOTAL0 = 1 << BITS0  # what the shares of order 0 sum up to at most
+NEW = 1024  # ids not seen yet count as so many seen ones together
+#: Steps between two counts of order 0, and between two of the mixer, once as many are coded.
+EVERY0, EVERY = 128, 8
+#: The coder's range: at most 2^48, and never below 2^32 when an id is coded (whose part may be 2^-25 of it).
 FULL, TOP, LOW32 = 1 << 48, 1 << 32, (1 << 32) - 1
 # logistic tables: 12-bit probabilities and their logits in 1/256
 _logit = np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))
-STRETCH = np.rint(_logit * 256).astype(np.int32)
-SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), 1, 4095).astype(np.int32)
-#: What coding entry i adds to a row of running sums.
-RAISED = (np.arange(16)[None, :] >= np.arange(16)[:, None]).astype(np.uint16) * np.uint16(STEP)
+STRETCH = np.rint(_logit * 256).astype(np.int64)
+SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), 1, 4095).astype(np.int64)
+#: What a confidence of 0 to 7 gains when its id follows again, and loses (by half) when another does.
+GAIN = np.array([1, 1, 1, 1, 1, 1, 1, 0], dtype=np.int32)
+MOVE = np.concatenate([(np.arange(8) >> 1) - np.arange(8), GAIN]).astype(np.int32)
 
 
 class Encoder:
@@ -86,35 +94,42 @@ class Encoder:
         self.low = np.zeros(blocks, dtype=np.int64)
         self.range = np.full(blocks, FULL, dtype=np.int64)
         self.at = np.zeros(blocks, dtype=np.int64)
-        self.out = np.zeros((blocks, BLOCK // 2 + 8), dtype=np.int32)  # words of 16 bits; a carry may make one larger
+        self.out = np.zeros((blocks, LANE // 2 + 8), dtype=np.int32)  # words of 16 bits; a carry may make one larger
 
     def narrow(self, of: np.ndarray, each: np.ndarray, below: np.ndarray, count: np.ndarray) -> None:
         """Narrow the range to ``count`` parts of size ``each``, ``below`` of them left out before."""
         self.take(of, each * below, each * count)
 
-    def take(self, of: np.ndarray, below: np.ndarray, width: np.ndarray) -> None:
+    def take(self, of: np.ndarray | slice, below: np.ndarray, width: np.ndarray) -> None:
+        """``of``: numbers, or a slice from the first on."""
         low = self.low[of] + below
         over = np.flatnonzero(low >= FULL)
         if len(over):
-            self.out[of[over], self.at[of[over]] - 1] += 1
+            who = over if isinstance(of, slice) else of[over]
+            self.out[who, self.at[who] - 1] += 1
             low[over] -= FULL
         small = np.flatnonzero(width < TOP)
         while len(small):
-            who = of[small]
+            who = small if isinstance(of, slice) else of[small]
             at = self.at[who]
             if at.max() >= self.out.shape[1] - 4:
                 self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
             self.out[who, at] = low[small] >> 32
             self.at[who] = at + 1
             low[small] = (low[small] & LOW32) << 16
-            width[small] <<= 16
-            small = small[width[small] < TOP]
+            wider = width[small] << 16
+            width[small] = wider
+            small = small[wider < TOP]
         self.low[of], self.range[of] = low, width
 
-    def bit(self, of: np.ndarray, p: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        """Code a bit that is 1 with probability ``p`` / 65,536."""
-        self.narrow(of, self.range[of] >> 16, np.where(bit, 0, p), np.where(bit, p, 65536 - p))
-        return bit
+    def code(self, of: slice, p: np.ndarray, shares: Shares, hit: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Code whether an id is the predicted one (probability ``p`` / 65,536) and, if not, its share of order 0."""
+        held = self.range[of]
+        part = (held >> 16) * p
+        each = (held - part) >> BITS0
+        below, share = shares.of(ids)
+        self.take(of, np.where(hit, 0, part + each * below), np.where(hit, part, each * share))
+        return hit, ids
 
     def finish(self) -> None:
         every = np.arange(len(self.low))
@@ -140,218 +155,190 @@ class Decoder:
     def narrow(self, of: np.ndarray, each: np.ndarray, below: np.ndarray, count: np.ndarray) -> None:
         self.take(of, each * below, each * count)
 
-    def take(self, of: np.ndarray, below: np.ndarray, width: np.ndarray) -> None:
+    def take(self, of: np.ndarray | slice, below: np.ndarray, width: np.ndarray) -> None:
         value = self.value[of] - below
         small = np.flatnonzero(width < TOP)
         while len(small):
-            who = of[small]
+            who = small if isinstance(of, slice) else of[small]
             at = np.minimum(self.at[who], self.words.shape[1] - 1)  # a damaged block may ask for more
             value[small] = ((value[small] & LOW32) << 16) | self.words[who, at]
             self.at[who] = at + 1
-            width[small] <<= 16
-            small = small[width[small] < TOP]
+            wider = width[small] << 16
+            width[small] = wider
+            small = small[wider < TOP]
         self.value[of], self.range[of] = value, width
 
-    def bit(self, of: np.ndarray, p: np.ndarray, bit) -> np.ndarray:
-        each = self.range[of] >> 16
-        bit = self.value[of] < each * p
-        self.narrow(of, each, np.where(bit, 0, p), np.where(bit, p, 65536 - p))
-        return bit
+    def code(self, of: slice, p: np.ndarray, shares: Shares, guess: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        held, value = self.range[of], self.value[of]
+        part = (held >> 16) * p
+        each = (held - part) >> BITS0
+        hit = value < part
+        # exact: whole numbers below 2^48 whose quotient is below 2^20; a damaged block may lie outside
+        place = np.minimum(np.maximum((value - part) / each, 0), TOTAL0 - 1).astype(np.int64)
+        ids = np.where(hit, guess, shares.at[place])
+        below, share = shares.of(ids)
+        self.take(of, np.where(hit, 0, part + each * below), np.where(hit, part, each * share))
+        return hit, ids
+
+
+class Shares:
+    """Order 0: every id's part of ``TOTAL0``, by how often it was seen in the block when last counted."""
+
+    def __init__(self, decode: bool):
+        self.decode = decode
+        self.counts = np.zeros(SYMBOLS, dtype=np.int64)
+        self.count(np.zeros(0, dtype=np.int64))
+
+    def count(self, ids: np.ndarray) -> None:
+        self.counts += np.bincount(ids, minlength=SYMBOLS)
+        seen, free = int(self.counts.sum()), TOTAL0 - SYMBOLS
+        share = 1 + self.counts * free // (seen + NEW) + (free * NEW // (seen + NEW) >> 16)
+        ends = np.cumsum(share)
+        self.both = (ends - share) << 20 | share
+        # 0 to 7: how common an id is as a prediction; place 0 is that of no prediction
+        self.level = np.zeros(SYMBOLS + 1, dtype=np.int32)
+        for limit in (64, 128, 256, 512, 1024, 2048, 4096):
+            self.level[1:] += share >= limit
+        if self.decode:
+            self.at = np.full(TOTAL0, SYMBOLS - 1, dtype=np.uint16)
+            self.at[:ends[-1]] = np.repeat(np.arange(SYMBOLS, dtype=np.uint16), share)
+
+    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sum of all shares before each id's, and its own."""
+        both = self.both[ids]
+        return both >> 20, both & (1 << 20) - 1
 
 
 class Mixer:
-    """Adaptive estimates of three orders and their learned weights, for a binary decision."""
-
-    def __init__(self, blocks: int, contexts: tuple[int, int, int]):
-        self.estimates = [np.full(blocks * n, 1 << 15, dtype=np.int32) for n in contexts]
-        self.contexts = contexts
-        self.weights = np.full((blocks, 3), 22000, dtype=np.int32)
-
-    def code(self, coder, of: np.ndarray, contexts: list[np.ndarray], bit) -> np.ndarray:
-        slots = [of * n + c for n, c in zip(self.contexts, contexts)]
-        now = [e[s] for e, s in zip(self.estimates, slots)]
-        logits = [STRETCH[x >> 4] for x in now]
-        weights = self.weights[of]
-        mixed = sum(weights[:, k] * logits[k] for k in range(3)) >> 16
-        p = SQUASH[np.minimum(np.maximum(mixed, -2047), 2047) + 2047]
-        bit = coder.bit(of, (p << 4).astype(np.int64), bit)
-        error = (np.where(bit, 4096, 0) - p) * 6
-        target = np.where(bit, np.int32(65535), np.int32(0))
-        for k in range(3):
-            weights[:, k] += (logits[k] * error) >> 10
-            self.estimates[k][slots[k]] = now[k] + ((target - now[k]) >> 4)
-        self.weights[of] = weights
-        return bit
-
-
-class Slots:
-    """Order 0: an id's slot by adaptive counts of its two digits, then whether it is the id last seen in that
-    slot, else its other byte. Slot and other byte make the id."""
-
-    def __init__(self, blocks: int):
-        self.sums = np.tile(np.arange(1, 17, dtype=np.uint16), (blocks * ROWS, 1))
-        self.flat = self.sums.reshape(-1)
-        self.held = np.zeros(blocks * 256, dtype=np.int16)  # (other byte + 1) * 8 + confidence; 0: nothing yet
-        self.estimates = np.full(blocks * 8, 1 << 15, dtype=np.int32)
-
-    def code(self, coder, of: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """Code an id of each block; ``ids`` are given when encoding."""
-        encode = ids is not None
-        other = ids >> 8 if encode else np.full(len(of), -1, dtype=np.int64)
-        slot = self.slot(coder, of, (ids ^ other) & 255 if encode else None)
-        place = of * 256 + slot
-        held = self.held[place].astype(np.int64)
-        guess, sure = (held >> 3) - 1, held & 7
-        missed = np.ones(len(of), dtype=bool)
-        ask = np.flatnonzero(held)
-        if len(ask):
-            at = of[ask] * 8 + sure[ask]
-            now = self.estimates[at]
-            hit = coder.bit(of[ask], np.minimum(np.maximum(now, 64), 65472).astype(np.int64), other[ask] == guess[ask] if encode else None)
-            self.estimates[at] = now + ((np.where(hit, np.int32(65535), np.int32(0)) - now) >> 5)
-            missed[ask] = ~hit
-            other[ask[hit]] = guess[ask[hit]]
-        ask = np.flatnonzero(missed)
-        if len(ask):
-            each = coder.range[of[ask]] >> 8
-            if not encode:
-                other[ask] = np.minimum(np.maximum(coder.value[of[ask]] // each, 0), 255)
-            coder.narrow(of[ask], each, other[ask], np.ones(len(ask), dtype=np.int64))
-        self.held[place] = ((other + 1) << 3) + np.where(missed, 0, np.minimum(sure + 1, 7))
-        return other << 8 | ((slot ^ other) & 255)
-
-    def slot(self, coder, of: np.ndarray, slot: np.ndarray | None) -> np.ndarray:
-        """Both digits in one step: the second's counts divide the part of the first."""
-        row = of * ROWS
-        upper = self.sums[row]
-        above = upper[:, 15].astype(np.int64)
-        if slot is None:
-            # the first digit is found with the finest parts that both totals can make
-            fine = coder.range[of] // (above * TOTAL)
-            goal = np.minimum(np.maximum(coder.value[of] // (fine * TOTAL), 0), above - 1)  # a damaged block may lie outside
-            first = _not_above(upper, goal)
-        else:
-            first = slot >> 4
-            fine = coder.range[of] // (above * TOTAL)
-        at = row * 16 + first
-        before = np.where(first > 0, self.flat[at - 1], 0).astype(np.int64)
-        wide = self.flat[at].astype(np.int64) - before
-        lower_row = row + 1 + first
-        lower = self.sums[lower_row]
-        total = lower[:, 15].astype(np.int64)
-        # the first digit's part, in TOTAL parts each, is dealt over the second's counts
-        each = fine * (TOTAL * wide) // total
-        if slot is None:
-            rest = coder.value[of] - fine * (TOTAL * before)
-            second = _not_above(lower, np.minimum(np.maximum(rest // each, 0), total - 1))
-        else:
-            second = slot & 15
-        at = lower_row * 16 + second
-        below = np.where(second > 0, self.flat[at - 1], 0).astype(np.int64)
-        coder.take(of, fine * (TOTAL * before) + each * below, each * (self.flat[at].astype(np.int64) - below))
-        self.sums[row] = upper + RAISED[first]
-        self.sums[lower_row] = lower + RAISED[second]
-        return first << 4 | second
-
-
-def _not_above(sums: np.ndarray, goal: np.ndarray) -> np.ndarray:
-    """How many of each row's 16 running sums are at most the row's goal."""
-    counted = np.bitwise_count((sums <= goal.astype(np.uint16)[:, None]).view(np.uint64)).sum(axis=1, dtype=np.int64)
-    return np.minimum(counted, 15)
-
-
-def coded(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Run the model over all blocks; ``ids`` (BLOCK x blocks) are given when
-    encoding and returned when decoding."""
-    n = len(lengths)
+    """Estimates of three orders and their learned weights for "is it the predicted id?", a probability for each
+    triple of their contexts (16, 16 and 8). Both are learned from what was counted since the last time."""
+
+    SHAPE = (16, 16, 8)
+
+    def __init__(self):
+        self.hits, self.all = [[np.full(n, x, dtype=np.int64) for n in self.SHAPE] for x in (1, 2)]
+        self.weights = [22000] * 3
+        self.mix()
+
+    def mix(self) -> None:
+        self.logits = []
+        for k, n in enumerate(self.SHAPE):
+            form = [1, 1, 1]
+            form[k] = n
+            self.logits.append(STRETCH[self.hits[k] * 4095 // self.all[k]].reshape(form))
+        mixed = sum(w * x for w, x in zip(self.weights, self.logits)) >> 16
+        self.p = SQUASH[np.minimum(np.maximum(mixed, -2047), 2047) + 2047]
+        # never so sure that a part of what is left gets too small for order 0
+        self.chance = np.minimum(self.p << 4, 65536 - 1024).reshape(-1)
+
+    def learn(self, contexts: np.ndarray, hit: np.ndarray) -> None:
+        every = np.bincount(contexts, minlength=2048).reshape(self.SHAPE)
+        right = np.bincount(contexts[hit], minlength=2048).reshape(self.SHAPE)
+        error = right * 4096 - every * self.p
+        for k, logits in enumerate(self.logits):
+            step = int((error * logits).sum()) // len(contexts)
+            self.weights[k] = min(max(self.weights[k] + (step * 24 >> 10), 0), 1 << 17)
+            others = tuple(j for j in range(3) if j != k)
+            self.hits[k] += right.sum(axis=others)
+            self.all[k] += every.sum(axis=others)
+            old = self.all[k] > 1 << 16  # what lies far back counts less
+            self.hits[k][old] >>= 1
+            self.all[k][old] >>= 1
+        self.mix()
+
+
+def lanes(count: int) -> tuple[int, int]:
+    """How many lanes a block of ``count`` ids has, and how many ids each (the last may have fewer)."""
+    n = -(-count // LANE)
+    length = -(-count // n)
+    return -(-count // length), length
+
+
+def coded(coder, count: int, ids: np.ndarray | None) -> np.ndarray:
+    """Run the model over a block; ``ids`` are given when encoding and returned when decoding."""
+    n, length = lanes(count)
     encode = ids is not None
-    out = ids if encode else np.zeros((BLOCK, n), dtype=np.int64)
+    grid = np.zeros((n, length), dtype=np.int32)
+    if encode:
+        grid.reshape(-1)[:count] = ids
+    grid = np.ascontiguousarray(grid.T)
     # what followed last: (id + 1) * 8 + confidence; 0: nothing yet
-    after2, after1 = np.zeros(n * ORDER2, dtype=np.int32), np.zeros(n * ORDER1, dtype=np.int32)
-    seen = np.zeros(n * ORDER0, dtype=np.int8)
-    predicted, others = Mixer(n, (16, 16, 8)), Slots(n)
-    previous, older = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    of, shortest = np.arange(n), 0
-    for step in range(int(lengths.max(initial=0))):
-        if step >= shortest:
-            of = np.flatnonzero(lengths > step)
-            shortest = lengths[of].min()
-            base0, base1, base2 = of * ORDER0, of * ORDER1, of * ORDER2
-        last = previous[of]
-        mixed = last * 40503
-        slot1 = base1 + ((mixed >> 3) & (ORDER1 - 1))
-        slot2 = base2 + ((mixed + older[of] * 30011) >> 3 & (ORDER2 - 1))
-        held1, held2 = after1[slot1], after2[slot2]
-        guess1, guess2, sure1, sure2 = (held1 >> 3) - 1, (held2 >> 3) - 1, held1 & 7, held2 & 7
-        by2 = (guess2 >= 0) & ((sure2 > 0) | (guess1 < 0))
+    after2, after1 = np.zeros(PAIRS, dtype=np.int32), np.zeros(SYMBOLS, dtype=np.int32)
+    shares, mixer = Shares(not encode), Mixer()
+    last, older = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
+    final, counted, learned = count - (n - 1) * length, 0, 0
+    contexts, hits = [], []
+    for step in range(length):
+        m = n if step < final else n - 1
+        of = slice(0, m)
+        last, older = last[:m], older[:m]
+        pair = (last * 40503 + older * 30011) & (PAIRS - 1)
+        held1, held2 = after1[last], after2[pair]
+        sure1, sure2, guess1, guess2 = held1 & 7, held2 & 7, held1 >> 3, held2 >> 3
+        by2 = (sure2 > 0) | ((held1 == 0) & (held2 > 0))
         guess = np.where(by2, guess2, guess1)
-        value = out[step, of] if encode else np.full(len(of), -1, dtype=np.int64)
-
-        missed = np.ones(len(of), dtype=bool)
-        ask = np.flatnonzero(guess >= 0)
-        if len(ask):
-            g = guess[ask]
-            contexts = [sure2[ask] + 8 * by2[ask], sure1[ask] + 8 * (guess1[ask] == guess2[ask]), seen[base0[ask] + (g & (ORDER0 - 1))]]
-            hit = predicted.code(coder, of[ask], contexts, value[ask] == g if encode else None)
-            value[ask[hit]] = g[hit]
-            missed[ask[hit]] = False
-        ask = np.flatnonzero(missed)
-        if len(ask):
-            value[ask] = others.code(coder, of[ask], value[ask] if encode else None)
-        if not encode:
-            out[step, of] = value
+        context = (sure2 | by2 << 3) << 7 | (sure1 | (guess1 == guess2) << 3) << 3 | shares.level[guess]
+        guess -= 1
+        chance = mixer.chance[context]
+        if encode:
+            value = grid[step, :m]
+            hit, _ = coder.code(of, chance, shares, value == guess, value)
+        else:
+            hit, value = coder.code(of, chance, shares, guess)
+            value = value.astype(np.int32)
+            grid[step, :m] = value
 
         anew = (value + 1) << 3
-        after2[slot2] = np.where(guess2 == value, anew + np.minimum(sure2 + 1, 7), anew)
-        right = guess1 == value
-        keep = ~right & (sure1 > 1)
-        after1[slot1] = np.where(right, anew + np.minimum(sure1 + 1, 7), np.where(keep, (held1 & ~7) + (sure1 >> 1), anew))
-        slot0 = base0 + (value & (ORDER0 - 1))
-        seen[slot0] = np.minimum(seen[slot0] + 1, 7)
-        older[of], previous[of] = last, value
-    return out
+        after2[pair] = np.where(guess2 == value + 1, held2 + GAIN[sure2], anew)
+        right = guess1 == value + 1
+        after1[last] = np.where(right | (sure1 > 1), held1 + MOVE[sure1 | right << 3], anew)
+        older, last = last, value
+
+        contexts.append(context)
+        hits.append(hit)
+        done = step + 1
+        if done - learned >= min(EVERY, done - done // 2):
+            mixer.learn(np.concatenate(contexts), np.concatenate(hits))
+            contexts, hits, learned = [], [], done
+        if done - counted >= min(EVERY0, done - done // 2) and done < length:
+            shares.count(grid[counted:done].reshape(-1) if done <= final else np.concatenate([grid[counted:done, :n - 1].reshape(-1), grid[counted:final, n - 1]]))
+            counted = done
+    return np.ascontiguousarray(grid.T).reshape(-1)[:count]
 
 
 def packed(ids: np.ndarray) -> bytes:
     """The blocks of an id sequence (below 65,536) as bytes."""
-    n = -(-len(ids) // BLOCK)
-    lengths = np.full(n, BLOCK, dtype=np.int64)
-    if n:
-        lengths[-1] = len(ids) - (n - 1) * BLOCK
-    grid = np.zeros((n, BLOCK), dtype=np.int64)
-    grid.reshape(-1)[:len(ids)] = ids
-    coder = Encoder(n)
-    coded(coder, lengths, np.ascontiguousarray(grid.T))
-    coder.finish()
     parts = []
-    for i in range(n):
-        own = ids[i * BLOCK:(i + 1) * BLOCK].astype("<u4").tobytes()
-        parts += [struct.pack("<III", zlib.crc32(own), lengths[i], coder.at[i]), coder.out[i, :coder.at[i]].astype("<u2").tobytes()]
+    for at in range(0, len(ids), BLOCK):
+        own = ids[at:at + BLOCK]
+        coder = Encoder(lanes(len(own))[0])
+        coded(coder, len(own), own)
+        coder.finish()
+        words = coder.out[np.arange(coder.out.shape[1]) < coder.at[:, None]].astype("<u2")
+        parts += [struct.pack("<III", zlib.crc32(own.astype("<u4").tobytes()), len(own), len(words)),
+                  coder.at.astype("<u4").tobytes(), words.tobytes()]
     return b"".join(parts)
 
 
 def unpacked(data: bytes) -> np.ndarray:
     """The ids of :func:`packed` bytes; ValueError if a block's checksum fails."""
-    at, heads, parts = 0, [], []
+    at, parts = 0, [np.zeros(0, dtype=np.int32)]
     while at < len(data):
         check, count, size = struct.unpack_from("<III", data, at)
-        at += 12
-        heads.append((check, count))
-        parts.append(np.frombuffer(data, "<u2", size, at))
-        at += 2 * size
-    n = len(heads)
-    if not n:
-        return np.zeros(0, dtype=np.int64)
-    words = np.zeros((n, max(map(len, parts))), dtype=np.int32)
-    for i, part in enumerate(parts):
-        words[i, :len(part)] = part
-    lengths = np.array([count for _, count in heads], dtype=np.int64)
-    ids = coded(Decoder(words), lengths, None).T
-    whole = [np.ascontiguousarray(ids[i, :lengths[i]]) for i in range(n)]
-    for (check, _), own in zip(heads, whole):
+        n = lanes(count)[0] if 0 < count <= BLOCK else 0
+        at += 12 + 4 * n + 2 * size
+        if not n or at > len(data):
+            raise ValueError("the head of a block of token ids is damaged")
+        sizes = np.frombuffer(data, "<u4", n, at - 2 * size - 4 * n).astype(np.int64)
+        if sizes.sum() != size or sizes.min() < 3:
+            raise ValueError("the head of a block of token ids is damaged")
+        words = np.zeros((n, sizes.max()), dtype=np.int32)
+        words[np.arange(sizes.max()) < sizes[:, None]] = np.frombuffer(data, "<u2", size, at - 2 * size)
+        own = coded(Decoder(words), count, None)
         if zlib.crc32(own.astype("<u4").tobytes()) != check:
             raise ValueError("a block of token ids is damaged")
-    return np.concatenate(whole)
+        parts.append(own)
+    return np.concatenate(parts)
 
 
 @lru_cache(maxsize=2)
@@ -365,12 +352,122 @@ def tokenizer(path: str):
     return own
 
 
+@lru_cache(maxsize=2)
+def words(path: str) -> Words:
+    """The words of a tokenizer file met so far, once per worker process."""
+    return Words(path)
+
+
+class Words:
+    """Ids of texts by the library, which is asked once for a word that returns.
+
+    A text is cut before every space and newline. The byte-level pattern never joins what stands before such a cut
+    with what follows, whatever these are, as long as no more than two blanks follow each other (one at the end of
+    the text); so the ids of the words, in order, are those of the text. Texts with longer blanks, or with other
+    characters that an engine may hold for blanks, go to the library whole.
+    """
+
+    MOST, LETTERS = 1_000_000, 1 << 25  # words kept, and their characters
+    JOINED = 300  # words that the library gets in one text
+    ODD = re.compile("[\x00-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
+    NONE, END = 0, 1  # places of no ids, and of the end id
+    WHOLE = -1  # place of a word whose text goes to the library whole
+
+    def __init__(self, path: str):
+        self.own = tokenizer(path)
+        # in the byte-level alphabet these are a space and a newline
+        self.opens = np.zeros(SYMBOLS, dtype=bool)
+        self.opens[[i for token, i in self.own.get_vocab().items() if token[0] in "\u0120\u010a"]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.letters = 0
+        self.ids, self.sizes = np.array([END_ID], dtype=np.int32), np.array([0, 1], dtype=np.int64)
+
+    def asked(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(got.ids, dtype=np.int32) for got in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def add(self, ids: list[np.ndarray], sizes: list[np.ndarray]) -> int:
+        """Append the ids of some words; the place of the first."""
+        first = len(self.sizes)
+        self.ids = np.concatenate([self.ids, *ids])
+        self.sizes = np.concatenate([self.sizes, *sizes])
+        return first
+
+    def learn(self, keys: list[str]) -> None:
+        """Ask the library for those words (no two alike) that were not met yet."""
+        joined, alone = [], []
+        for key in [k for k in keys if k not in self.places]:
+            if self.ODD.search(key, 1 if key[:1] == "\n" else 0):
+                self.places[key] = self.WHOLE
+                self.letters += len(key)
+            else:
+                (joined if key[:1] in BLANKS and len(key) > 1 else alone).append(key)
+        self.letters += sum(map(len, joined)) + sum(map(len, alone))
+        met, ids, sizes = [], [], []
+        parts = [joined[i:i + self.JOINED] for i in range(0, len(joined), self.JOINED)]
+        for i in range(0, len(parts), 64):
+            for part, got in zip(parts[i:i + 64], self.asked(["".join(p) for p in parts[i:i + 64]])):
+                starts = np.flatnonzero(self.opens[got])
+                if len(starts) == len(part) and starts[0] == 0:
+                    met += part
+                    ids.append(got)
+                    sizes.append(np.diff(starts, append=len(got)))
+                else:
+                    alone += part
+        for i in range(0, len(alone), 1024):
+            got = self.asked(alone[i:i + 1024])
+            met += alone[i:i + 1024]
+            ids += got
+            sizes.append(np.array([len(x) for x in got]))
+        self.places.update(zip(met, range(self.add(ids, sizes), len(self.sizes))))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (none null), an end id after each, and how many each text has."""
+        if len(self.places) > self.MOST or self.letters > self.LETTERS:
+            self.forget()
+        texts = texts.cast(pa.large_string())
+        cuts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        at = cuts.offsets.to_numpy()
+        at, pieces = at - at[0], cuts.flatten()
+        # a text's first piece has no blank before it
+        later = np.ones(len(pieces), dtype=bool)
+        later[at[:-1]] = False
+        place = np.zeros(len(pieces), dtype=np.int64)
+        bare = np.zeros(len(pieces), dtype=bool)
+        for chosen, blank in ((later, " "), (~later, "")):
+            coded = pieces.filter(pa.array(chosen)).dictionary_encode()
+            keys = [x if x[:1] == "\n" else blank + x for x in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+            self.learn(keys)
+            own = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))
+            alone = np.fromiter(map(BLANKS.__contains__, keys), bool, len(keys))
+            index = coded.indices.to_numpy()
+            place[chosen], bare[chosen] = own[index], alone[index]
+        known = len(self.sizes), len(self.ids)
+        long = np.flatnonzero((place == self.WHOLE) | bare & np.append(bare[1:], False) & np.append(later[1:], False))
+        whole = np.unique(np.searchsorted(at, long, "right") - 1)
+        for i in range(0, len(whole), 64):
+            some = whole[i:i + 64]
+            got = self.asked(texts.take(pa.array(some)).to_pylist())
+            first = self.add(got, [np.array([len(x) for x in got])])
+            for k, text in enumerate(some):
+                place[at[text]:at[text + 1]] = self.NONE
+                place[at[text]] = first + k
+        place = np.insert(place, at[1:], self.END)
+        sizes, starts = self.sizes[place], (np.cumsum(self.sizes) - self.sizes)[place]
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])]
+        self.sizes, self.ids = self.sizes[:known[0]], self.ids[:known[1]]  # whole texts are not kept
+        return ids, np.diff(ends[at[1:] + np.arange(len(texts))], prepend=0)
+
+
 def written(docs: DataFrame, tokenizer_path: str, folder: str) -> DataFrame:
     """Write the ids of all texts in ascending doc_id order; the manifest
     ``(part, chunk, path, offset, length, ids)``, a row per chunk."""
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(tokenizer_path)
+        own = words(tokenizer_path)
         part = TaskContext.get().partitionId()
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
@@ -383,9 +480,9 @@ def written(docs: DataFrame, tokenizer_path: str, folder: str) -> DataFrame:
             nonlocal sink, offset, docs_in, counts, ids, size
             if sink is None:
                 sink = store.open_output_stream(f"{root}/{name}", compression=None)
-            index = np.array([docs_in, counts], dtype="<i8").tobytes()
+            index = np.concatenate(docs_in + counts).astype("<i8").tobytes()
             body = packed(np.concatenate(ids))
-            data = MAGIC + struct.pack("<IQI", len(docs_in), len(body), zlib.crc32(index)) + index + body
+            data = MAGIC + struct.pack("<IQI", len(index) // 16, len(body), zlib.crc32(index)) + index + body
             sink.write(data)
             rows.append({"part": part, "chunk": len(rows), "path": f"{folder}/{name}", "offset": offset,
                          "length": len(data), "ids": size})
@@ -393,14 +490,17 @@ def written(docs: DataFrame, tokenizer_path: str, folder: str) -> DataFrame:
             docs_in, counts, ids, size = [], [], [], 0
 
         for batch in batches:
-            docs_here, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(0, len(texts), 64):
-                for doc, got in zip(docs_here[i:i + 64], own.encode_batch(texts[i:i + 64], add_special_tokens=False)):
-                    mine = np.array([*got.ids, END_ID], dtype=np.int32)
-                    docs_in.append(doc)
-                    counts.append(len(mine))
-                    ids.append(mine)
-                    size += len(mine)
+            far = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+            begin = 0
+            while begin < len(far):
+                limit = SLICE + (far[begin - 1] if begin else 0)
+                end = max(begin + 1, int(np.searchsorted(far, limit, "right")))
+                mine, many = own.encode(batch.column(1).slice(begin, end - begin))
+                docs_in.append(batch.column(0).slice(begin, end - begin).to_numpy())
+                counts.append(many)
+                ids.append(mine)
+                size += len(mine)
+                begin = end
                 if size >= CHUNK:
                     chunk()
         if docs_in:
