@@ -635,6 +635,30 @@ def test_the_library_is_asked_once_for_a_word_that_returns(monkeypatch):
     assert len(own.places) == 1
 
 
+def test_words_met_last_are_not_asked_for_again(monkeypatch):
+    own = token_files.Words(public_tokenizers.path("byte_bpe_50k.json"))
+    own.MOST = 100
+    asked = []
+    monkeypatch.setattr(own, "asked", lambda texts, ask=own.asked: asked.extend(texts) or ask(texts))
+    for k in range(20):
+        texts = ["it is often seen", " ".join(f"w{k}x{i}" for i in range(30))]
+        assert own.encode(pa.array(texts))[0].tolist() == [i for one in library_ids(texts) for i in one]
+        assert len(own.places) <= 135  # of 622 words
+    assert "".join(asked).count("often") == 1
+
+
+def test_words_of_one_hash_and_long_words_keep_their_ids():
+    rng = np.random.default_rng(8)
+    own = token_files.Words(public_tokenizers.path("byte_bpe_50k.json"))
+    own.POWERS = np.ones_like(own.POWERS)  # words of the same letters have one hash
+    for _ in range(5):
+        texts = [" ".join("".join(rng.permutation(list("abcd"))) for _ in range(20)) for _ in range(30)] + ["y" * 300 + " a " + "é" * 200, "y" * 256, ""]
+        ids, counts = own.encode(pa.array(texts))
+        want = library_ids(texts)
+        assert counts.tolist() == list(map(len, want))
+        assert ids.tolist() == [i for one in want for i in one]
+
+
 def brute_tokens(rows):
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     own.encode_special_tokens = True

@@ -41,7 +41,6 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -67,7 +66,6 @@ MAGIC = b"TID2"
 LAST = (1 << 63) - 1  # place of a null doc_id
 END_ID = 0
 SLICE = 4 << 20  # bytes of text that are encoded at a time, or one text
-BLANKS = (" ", "\n")
 
 SYMBOLS = 1 << 16
 PAIRS = 1 << 16  # places of order 2, a power of two
@@ -365,101 +363,176 @@ class Words:
     with what follows, whatever these are, as long as no more than two blanks follow each other (one at the end of
     the text); so the ids of the words, in order, are those of the text. Texts with longer blanks, or with other
     characters that an engine may hold for blanks, go to the library whole.
+
+    Words that were met are kept in arrays: their bytes, their ids, and their places in the order of a 64-bit hash.
+    A word is known by its bytes; the hash only says where to look.
     """
 
-    MOST, LETTERS = 1_000_000, 1 << 25  # words kept, and their characters
+    MOST, LETTERS = 2_000_000, 1 << 26  # words kept (three quarters of them, the last met, stay), and their bytes
+    LONG = 256  # bytes from which on a word is not kept
+    POWERS = np.cumprod(np.full(LONG, 0x9E3779B97F4A7C15, dtype=np.uint64))
     JOINED = 300  # words that the library gets in one text
-    ODD = re.compile("[\x00-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
+    WHOLE = "[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]|[ \n]{2}(?:[ \n]|\\z)"
     NONE, END = 0, 1  # places of no ids, and of the end id
-    WHOLE = -1  # place of a word whose text goes to the library whole
 
     def __init__(self, path: str):
         self.own = tokenizer(path)
         # in the byte-level alphabet these are a space and a newline
         self.opens = np.zeros(SYMBOLS, dtype=bool)
         self.opens[[i for token, i in self.own.get_vocab().items() if token[0] in "\u0120\u010a"]] = True
+        self.now = 0
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[str, int] = {}
+        # by place: a word without its blank or with its newline, or a space and a text's first word; the end (in bytes) of its ids
+        self.words = pa.array(["", ""], pa.large_string())
+        self.ids, self.ends = np.array([END_ID], dtype=np.int32), np.array([0, 0, 4], dtype=np.int64)
+        self.met = np.zeros(2, dtype=np.int32)  # when it was last asked for
+        self.hashes, self.places = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.letters = 0
-        self.ids, self.sizes = np.array([END_ID], dtype=np.int32), np.array([0, 1], dtype=np.int64)
+
+    def keep_latest(self) -> None:
+        """Forget the words that were not met for longest."""
+        many = len(self.met) - 2 - self.MOST * 3 // 4
+        stays = np.ones(len(self.met), dtype=bool)
+        stays[2 + np.argpartition(self.met[2:], many)[:many]] = False
+        held = np.flatnonzero(stays)
+        index = stays[self.places]
+        self.hashes, self.places = self.hashes[index], (np.cumsum(stays) - 1)[self.places[index]]
+        self.words = self.words.take(pa.array(held))
+        self.ids, self.ends = self.gathered(held)
+        self.met = self.met[held]
+        self.letters = pc.sum(pc.binary_length(self.words)).as_py()
+
+    def gathered(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some places, and where each one's end (in bytes, from 0)."""
+        pool = pa.Array.from_buffers(pa.large_binary(), len(self.ends) - 1, [None, pa.py_buffer(self.ends), pa.py_buffer(self.ids)])
+        got = pool.take(pa.array(places)).buffers()
+        ends = np.frombuffer(got[1], np.int64, len(places) + 1).copy()
+        return np.frombuffer(got[2], np.int32, ends[-1] // 4).copy(), ends
 
     def asked(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(got.ids, dtype=np.int32) for got in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
     def add(self, ids: list[np.ndarray], sizes: list[np.ndarray]) -> int:
-        """Append the ids of some words; the place of the first."""
-        first = len(self.sizes)
+        """Append the ids of some words or texts; the place of the first."""
+        first = len(self.ends) - 1
         self.ids = np.concatenate([self.ids, *ids])
-        self.sizes = np.concatenate([self.sizes, *sizes])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + 4 * np.cumsum(np.concatenate(sizes))])
         return first
 
-    def learn(self, keys: list[str]) -> None:
-        """Ask the library for those words (no two alike) that were not met yet."""
-        joined, alone = [], []
-        for key in [k for k in keys if k not in self.places]:
-            if self.ODD.search(key, 1 if key[:1] == "\n" else 0):
-                self.places[key] = self.WHOLE
-                self.letters += len(key)
-            else:
-                (joined if key[:1] in BLANKS and len(key) > 1 else alone).append(key)
-        self.letters += sum(map(len, joined)) + sum(map(len, alone))
+    def learn(self, words: pa.Array) -> np.ndarray:
+        """Ask the library for words that were not met yet; the number of each, in the order of their new places."""
+        keys = words.to_numpy(zero_copy_only=False).tolist()
+        bare = pc.or_(pc.is_in(words, pa.array(["", "\n"], pa.large_string())), pc.starts_with(words, " ")).to_numpy(zero_copy_only=False)
+        joined, alone = np.flatnonzero(~bare), [np.flatnonzero(bare)]
         met, ids, sizes = [], [], []
         parts = [joined[i:i + self.JOINED] for i in range(0, len(joined), self.JOINED)]
         for i in range(0, len(parts), 64):
-            for part, got in zip(parts[i:i + 64], self.asked(["".join(p) for p in parts[i:i + 64]])):
+            some = parts[i:i + 64]
+            for part, got in zip(some, self.asked([self.text([keys[k] for k in part.tolist()]) for part in some])):
                 starts = np.flatnonzero(self.opens[got])
                 if len(starts) == len(part) and starts[0] == 0:
-                    met += part
+                    met.append(part)
                     ids.append(got)
                     sizes.append(np.diff(starts, append=len(got)))
                 else:
-                    alone += part
+                    alone.append(part)
+        alone = np.concatenate(alone)
         for i in range(0, len(alone), 1024):
-            got = self.asked(alone[i:i + 1024])
-            met += alone[i:i + 1024]
+            some = [keys[k] for k in alone[i:i + 1024].tolist()]
+            got = self.asked([key[1:] if key[:1] == " " else self.text([key]) for key in some])
+            met.append(alone[i:i + 1024])
             ids += got
             sizes.append(np.array([len(x) for x in got]))
-        self.places.update(zip(met, range(self.add(ids, sizes), len(self.sizes))))
+        self.add(ids, sizes)
+        return np.concatenate(met)
+
+    @staticmethod
+    def text(keys: list[str]) -> str:
+        return (" " + " ".join(keys)).replace(" \n", "\n")
+
+    def hashed(self, words: pa.Array) -> np.ndarray:
+        """A sum of each word's bytes times powers of an odd number, modulo 2^64."""
+        found = [np.zeros(0, dtype=np.uint64)]
+        for i in range(0, len(words), 1 << 13):
+            some = words[i:i + (1 << 13)]
+            _, ends, data = some.buffers()
+            ends = np.frombuffer(ends, np.int64)[some.offset:some.offset + len(some) + 1]
+            size = np.diff(ends)
+            data = np.frombuffer(data, np.uint8, ends[-1] - ends[0], ends[0]) if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+            place = np.arange(len(data)) - np.repeat(ends[:-1] - ends[0], size)
+            sums = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * self.POWERS[place], dtype=np.uint64))
+            sums = sums[ends[1:] - ends[0]] - sums[ends[:-1] - ends[0]]
+            found.append(sums ^ sums >> np.uint64(31))
+        return np.concatenate(found)
+
+    def found(self, words: pa.Array) -> np.ndarray:
+        """The places of words, no two alike."""
+        hashes = self.hashed(words)
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[order])
+        near = np.flatnonzero(at < len(self.hashes))
+        near = near[self.hashes[at[near]] == hashes[order[near]]]
+        places = np.full(len(words), self.NONE)
+        if len(near):
+            held = self.places[at[near]]
+            same = pc.equal(self.words.take(pa.array(held)), words.take(pa.array(order[near]))).to_numpy(zero_copy_only=False)
+            places[order[near[same]]] = held[same]
+        new = np.flatnonzero(places == self.NONE)
+        if len(new):
+            first = len(self.met)  # as new places begin
+            new = new[self.learn(words.take(pa.array(new)))]
+            places[new] = np.arange(first, first + len(new))
+            self.words = pa.concat_arrays([self.words, words.take(pa.array(new))])
+            self.met = np.append(self.met, np.zeros(len(new), dtype=np.int32))
+            free = np.ones(len(words), dtype=bool)
+            free[order[near]] = False  # another word has its hash: it is asked for again
+            new = order[free[order] & (places[order] >= first)]
+            at = np.searchsorted(self.hashes, hashes[new])
+            self.hashes, self.places = np.insert(self.hashes, at, hashes[new]), np.insert(self.places, at, places[new])
+            self.letters += pc.sum(pc.binary_length(words.take(pa.array(new)))).as_py() or 0
+        self.met[places] = self.now
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (none null), an end id after each, and how many each text has."""
-        if len(self.places) > self.MOST or self.letters > self.LETTERS:
+        self.now += 1
+        if self.letters > self.LETTERS:
             self.forget()
+        elif len(self.met) - 2 > self.MOST:
+            self.keep_latest()
         texts = texts.cast(pa.large_string())
-        cuts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        whole = pc.match_substring_regex(texts, self.WHOLE)
+        cuts = pc.split_pattern(pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n"), " ")
         at = cuts.offsets.to_numpy()
         at, pieces = at - at[0], cuts.flatten()
         # a text's first piece has no blank before it
         later = np.ones(len(pieces), dtype=bool)
         later[at[:-1]] = False
-        place = np.zeros(len(pieces), dtype=np.int64)
-        bare = np.zeros(len(pieces), dtype=bool)
-        for chosen, blank in ((later, " "), (~later, "")):
-            coded = pieces.filter(pa.array(chosen)).dictionary_encode()
-            keys = [x if x[:1] == "\n" else blank + x for x in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
-            self.learn(keys)
-            own = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))
-            alone = np.fromiter(map(BLANKS.__contains__, keys), bool, len(keys))
-            index = coded.indices.to_numpy()
-            place[chosen], bare[chosen] = own[index], alone[index]
-        known = len(self.sizes), len(self.ids)
-        long = np.flatnonzero((place == self.WHOLE) | bare & np.append(bare[1:], False) & np.append(later[1:], False))
-        whole = np.unique(np.searchsorted(at, long, "right") - 1)
+        none, blank = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+        first = pc.binary_join_element_wise(blank, pieces.take(pa.array(at[:-1])), none).dictionary_encode()
+        coded = pieces.filter(pa.array(later)).dictionary_encode()
+        words = pa.concat_arrays([coded.dictionary, first.dictionary])
+        short = pc.less(pc.binary_length(words), self.LONG).to_numpy(zero_copy_only=False)
+        own = np.empty(len(words), dtype=np.int64)
+        own[short] = self.found(words.filter(pa.array(short)))
+        known = len(self.ends), len(self.ids)
+        if not short.all():
+            long, start = np.flatnonzero(~short), len(self.ends) - 1
+            own[long[self.learn(words.take(pa.array(long)))]] = np.arange(start, start + len(long))
+        place = np.empty(len(pieces), dtype=np.int64)
+        place[later] = own[coded.indices.to_numpy()]
+        place[at[:-1]] = own[len(coded.dictionary) + first.indices.to_numpy()]
+        whole = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
         for i in range(0, len(whole), 64):
             some = whole[i:i + 64]
             got = self.asked(texts.take(pa.array(some)).to_pylist())
-            first = self.add(got, [np.array([len(x) for x in got])])
-            for k, text in enumerate(some):
-                place[at[text]:at[text + 1]] = self.NONE
-                place[at[text]] = first + k
-        place = np.insert(place, at[1:], self.END)
-        sizes, starts = self.sizes[place], (np.cumsum(self.sizes) - self.sizes)[place]
-        ends = np.cumsum(sizes)
-        ids = self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])]
-        self.sizes, self.ids = self.sizes[:known[0]], self.ids[:known[1]]  # whole texts are not kept
-        return ids, np.diff(ends[at[1:] + np.arange(len(texts))], prepend=0)
+            start = self.add(got, [np.array([len(x) for x in got])])
+            place[at[some]] = np.arange(start, start + len(some))
+        ids, ends = self.gathered(np.insert(place, at[1:], self.END))
+        self.ends, self.ids = self.ends[:known[0]], self.ids[:known[1]]  # whole texts and long words are not kept
+        return ids, np.diff(ends[at[1:] + np.arange(1, len(texts) + 1)] // 4, prepend=0)
 
 
 def written(docs: DataFrame, tokenizer_path: str, folder: str) -> DataFrame:
