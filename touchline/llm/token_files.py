@@ -83,6 +83,17 @@ SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), 1,
 #: What a confidence of 0 to 7 gains when its id follows again, and loses (by half) when another does.
 GAIN = np.array([1, 1, 1, 1, 1, 1, 1, 0], dtype=np.int32)
 MOVE = np.concatenate([(np.arange(8) >> 1) - np.arange(8), GAIN]).astype(np.int32)
+#: How common an id is by its share / 64: 0 below 64, then one more whenever that doubles, up to 7.
+LEVEL = np.array([n.bit_length() for n in range(65)], dtype=np.int32)
+
+
+def turned(table: np.ndarray) -> np.ndarray:
+    """The transposed table as one of its own, 64 columns at a time, which is what a processor's cache holds."""
+    out = np.empty(table.shape[::-1], dtype=table.dtype)
+    for i in range(0, table.shape[1], 64):
+        for j in range(0, table.shape[0], 512):
+            out[i:i + 64, j:j + 512] = table[j:j + 512, i:i + 64].T
+    return out
 
 
 class Encoder:
@@ -92,7 +103,9 @@ class Encoder:
         self.low = np.zeros(blocks, dtype=np.int64)
         self.range = np.full(blocks, FULL, dtype=np.int64)
         self.at = np.zeros(blocks, dtype=np.int64)
-        self.out = np.zeros((blocks, LANE // 2 + 8), dtype=np.int32)  # words of 16 bits; a carry may make one larger
+        # words of 16 bits; a carry may make one larger. Blocks go on alike: their words of a place lie together
+        self.out = np.zeros((LANE + 8, blocks), dtype=np.int32).T
+        self.most = 0  # at most so many words are in any block
 
     def narrow(self, of: np.ndarray, each: np.ndarray, below: np.ndarray, count: np.ndarray) -> None:
         """Narrow the range to ``count`` parts of size ``each``, ``below`` of them left out before."""
@@ -104,17 +117,21 @@ class Encoder:
         over = np.flatnonzero(low >= FULL)
         if len(over):
             who = over if isinstance(of, slice) else of[over]
-            self.out[who, self.at[who] - 1] += 1
+            self.out.T.reshape(-1)[(self.at[who] - 1) * len(self.out) + who] += 1
             low[over] -= FULL
         small = np.flatnonzero(width < TOP)
         while len(small):
             who = small if isinstance(of, slice) else of[small]
             at = self.at[who]
-            if at.max() >= self.out.shape[1] - 4:
-                self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-            self.out[who, at] = low[small] >> 32
+            self.most += 1
+            if self.most > self.out.shape[1] - 4:
+                self.most = int(self.at.max()) + 1
+                if self.most > self.out.shape[1] - 4:
+                    self.out = np.concatenate([self.out.T, np.zeros_like(self.out.T)]).T
+            own = low[small]
+            self.out.T.reshape(-1)[at * len(self.out) + who] = own >> 32
             self.at[who] = at + 1
-            low[small] = (low[small] & LOW32) << 16
+            low[small] = (own & LOW32) << 16
             wider = width[small] << 16
             width[small] = wider
             small = small[wider < TOP]
@@ -130,6 +147,7 @@ class Encoder:
         return hit, ids
 
     def finish(self) -> None:
+        self.out = turned(self.out.T[:self.at.max() + 3])
         every = np.arange(len(self.low))
         for shift in (32, 16, 0):
             self.out[every, self.at] = (self.low >> shift) & 65535
@@ -144,9 +162,9 @@ class Encoder:
 
 class Decoder:
     def __init__(self, words: np.ndarray):
-        self.words = np.concatenate([words, np.zeros((len(words), 4), dtype=np.int32)], axis=1)
-        first = self.words[:, :3].astype(np.int64)
-        self.value = (first[:, 0] << 32) | (first[:, 1] << 16) | first[:, 2]
+        self.words = np.concatenate([turned(words), np.zeros((4, len(words)), dtype=np.int32)])  # those of a place together
+        first = self.words[:3].astype(np.int64)
+        self.value = (first[0] << 32) | (first[1] << 16) | first[2]
         self.range = np.full(len(words), FULL, dtype=np.int64)
         self.at = np.full(len(words), 3, dtype=np.int64)
 
@@ -158,8 +176,8 @@ class Decoder:
         small = np.flatnonzero(width < TOP)
         while len(small):
             who = small if isinstance(of, slice) else of[small]
-            at = np.minimum(self.at[who], self.words.shape[1] - 1)  # a damaged block may ask for more
-            value[small] = ((value[small] & LOW32) << 16) | self.words[who, at]
+            at = np.minimum(self.at[who], len(self.words) - 1)  # a damaged block may ask for more
+            value[small] = ((value[small] & LOW32) << 16) | self.words.reshape(-1)[at * self.words.shape[1] + who]
             self.at[who] = at + 1
             wider = width[small] << 16
             width[small] = wider
@@ -173,7 +191,7 @@ class Decoder:
         hit = value < part
         # exact: whole numbers below 2^48 whose quotient is below 2^20; a damaged block may lie outside
         place = np.minimum(np.maximum((value - part) / each, 0), TOTAL0 - 1).astype(np.int64)
-        ids = np.where(hit, guess, shares.at[place])
+        ids = np.where(hit, guess, shares.at.take(place))
         below, share = shares.of(ids)
         self.take(of, np.where(hit, 0, part + each * below), np.where(hit, part, each * share))
         return hit, ids
@@ -195,15 +213,14 @@ class Shares:
         self.both = (ends - share) << 20 | share
         # 0 to 7: how common an id is as a prediction; place 0 is that of no prediction
         self.level = np.zeros(SYMBOLS + 1, dtype=np.int32)
-        for limit in (64, 128, 256, 512, 1024, 2048, 4096):
-            self.level[1:] += share >= limit
+        self.level[1:] = LEVEL.take(share >> 6, mode="clip")
         if self.decode:
             self.at = np.full(TOTAL0, SYMBOLS - 1, dtype=np.uint16)
             self.at[:ends[-1]] = np.repeat(np.arange(SYMBOLS, dtype=np.uint16), share)
 
     def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The sum of all shares before each id's, and its own."""
-        both = self.both[ids]
+        both = self.both.take(ids)
         return both >> 20, both & (1 << 20) - 1
 
 
@@ -259,11 +276,11 @@ def coded(coder, count: int, ids: np.ndarray | None) -> np.ndarray:
     grid = np.zeros((n, length), dtype=np.int32)
     if encode:
         grid.reshape(-1)[:count] = ids
-    grid = np.ascontiguousarray(grid.T)
+    grid = turned(grid)
     # what followed last: (id + 1) * 8 + confidence; 0: nothing yet
     after2, after1 = np.zeros(PAIRS, dtype=np.int32), np.zeros(SYMBOLS, dtype=np.int32)
     shares, mixer = Shares(not encode), Mixer()
-    last, older = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
+    last, older = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     final, counted, learned = count - (n - 1) * length, 0, 0
     contexts, hits = [], []
     for step in range(length):
@@ -271,25 +288,25 @@ def coded(coder, count: int, ids: np.ndarray | None) -> np.ndarray:
         of = slice(0, m)
         last, older = last[:m], older[:m]
         pair = (last * 40503 + older * 30011) & (PAIRS - 1)
-        held1, held2 = after1[last], after2[pair]
+        held1, held2 = after1.take(last), after2.take(pair)
         sure1, sure2, guess1, guess2 = held1 & 7, held2 & 7, held1 >> 3, held2 >> 3
         by2 = (sure2 > 0) | ((held1 == 0) & (held2 > 0))
         guess = np.where(by2, guess2, guess1)
-        context = (sure2 | by2 << 3) << 7 | (sure1 | (guess1 == guess2) << 3) << 3 | shares.level[guess]
+        context = sure2 << 7 | by2.astype(np.int32) << 10 | sure1 << 3 | (guess1 == guess2).astype(np.int32) << 6 | shares.level.take(guess)
         guess -= 1
-        chance = mixer.chance[context]
+        chance = mixer.chance.take(context)
         if encode:
-            value = grid[step, :m]
+            value = grid[step, :m].astype(np.int64)
             hit, _ = coder.code(of, chance, shares, value == guess, value)
         else:
             hit, value = coder.code(of, chance, shares, guess)
-            value = value.astype(np.int32)
             grid[step, :m] = value
 
-        anew = (value + 1) << 3
-        after2[pair] = np.where(guess2 == value + 1, held2 + GAIN[sure2], anew)
-        right = guess1 == value + 1
-        after1[last] = np.where(right | (sure1 > 1), held1 + MOVE[sure1 | right << 3], anew)
+        found = grid[step, :m] + np.int32(1)
+        anew = found << 3
+        after2[pair] = np.where(guess2 == found, held2 + GAIN.take(sure2), anew)
+        right = guess1 == found
+        after1[last] = np.where(right | (sure1 > 1), held1 + MOVE.take(sure1 | right.astype(np.int32) << 3), anew)
         older, last = last, value
 
         contexts.append(context)
@@ -301,7 +318,7 @@ def coded(coder, count: int, ids: np.ndarray | None) -> np.ndarray:
         if done - counted >= min(EVERY0, done - done // 2) and done < length:
             shares.count(grid[counted:done].reshape(-1) if done <= final else np.concatenate([grid[counted:done, :n - 1].reshape(-1), grid[counted:final, n - 1]]))
             counted = done
-    return np.ascontiguousarray(grid.T).reshape(-1)[:count]
+    return turned(grid).reshape(-1)[:count]
 
 
 def packed(ids: np.ndarray) -> bytes:
